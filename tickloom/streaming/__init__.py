@@ -1,0 +1,2 @@
+"""Intentionally empty: every supported feed is a batch of daily files, so there
+is no stream source, watermark or keyed state to express."""
