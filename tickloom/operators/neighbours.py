@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.operators.ordering import position
+
 WINDOW_ROWS = 5_000_000
 
 
@@ -71,9 +73,9 @@ def _edges(first: Column, last: Column, known: Column) -> list[Column]:
     return [first.alias("_first"), last.alias("_last"), known.alias("_known")]
 
 
-def _beyond(groups: DataFrame, within: Sequence[str], position: Column) -> DataFrame:
+def _beyond(groups: DataFrame, within: Sequence[str], place: Column) -> DataFrame:
     """What lies just outside each group, looked up among its siblings."""
-    sequence = Window.partitionBy(*within).orderBy(position)
+    sequence = Window.partitionBy(*within).orderBy(place)
     before = sequence.rowsBetween(Window.unboundedPreceding, -1)
     return groups.withColumns(
         {
@@ -107,13 +109,13 @@ def _outer(level: DataFrame, parent: DataFrame, on: Sequence[str]) -> DataFrame:
 
 def _split_scan(rows, key, day, order, block, value, wanted) -> DataFrame:
     boxed = F.struct(F.col(value).alias("v"))  # a present row with a null value stays distinguishable
-    position = F.struct(*order)
-    known_position = F.when(F.col(value).isNotNull(), position)
+    place = position(order)
+    known_place = F.when(F.col(value).isNotNull(), place)
     # One shuffle serves the block summaries and the row windows below.
     placed = rows.withColumn("_block", block).repartition(key, day, "_block")
 
     blocks = placed.groupBy(key, day, "_block").agg(
-        *_edges(F.min_by(boxed, position), F.max_by(boxed, position), F.max_by(F.col(value), known_position))
+        *_edges(F.min_by(boxed, place), F.max_by(boxed, place), F.max_by(F.col(value), known_place))
     )
     known_block = F.when(F.col("_known").isNotNull(), F.col("_block"))
     days = blocks.groupBy(key, day).agg(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import dates, names, numbers
 from tickloom.operators.ohlcv import UNKNOWN_SYMBOL
+from tickloom.operators.ordering import position
 
 # History kept and the size under which metrics are called unstable.
 MAX_PERIOD_DAYS = 365
@@ -76,11 +77,16 @@ def parse_series(
 
 def keep_last_per_day(parsed: DataFrame, order: Sequence[str]) -> DataFrame:
     """Valid rows only, one per (symbol, date): the last in input order. Duplicates
-    collapse before the shuffle, so a hot symbol arrives as at most one row per day."""
+    collapse before the shuffle, so a hot symbol arrives as at most one row per day.
+
+    Invalid rows take part without a position and their groups are dropped afterwards: a
+    filter in front would make the optimizer parse every text twice.
+    """
+    valid = F.col("date").isNotNull() & F.col("close").isNotNull()
     return (
-        parsed.dropna(subset=["date", "close"])
-        .groupBy("symbol", "date")
-        .agg(F.max_by("close", F.struct(*order)).alias("close"))
+        parsed.groupBy("symbol", "date")
+        .agg(F.max_by("close", F.when(valid, position(order))).alias("close"))
+        .where(F.col("close").isNotNull())
     )
 
 

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.operators.ordering import position
+
 # The distinct ticker that is dropped, and the number of symbols charted.
 DROPPED_POSITION = 7
 TOP_SYMBOLS = 6
@@ -21,8 +23,8 @@ def first_seen(table: DataFrame, order: Sequence[str], symbol: str = "symbol") -
 def _first_positions(table: DataFrame, symbol: Column, order: Sequence[str]) -> DataFrame:
     return (
         table.groupBy(symbol.alias("symbol"))
-        .agg(F.min(F.struct(*order)).alias("_first"))
-        .select("symbol", "_first.*")
+        .agg(F.min(position(order)).alias("_first"))
+        .select("symbol", F.col("_first").alias(order[0]) if len(order) == 1 else F.col("_first.*"))
     )
 
 

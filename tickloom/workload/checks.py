@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from tickloom.workload.tables import BARS_SQL, FIXED_LINES_SQL, PRICE_LINES_SQL, RAW_QUOTES_SQL, RUNS_SQL
 
-_POSITION = "row(l_orderkey, l_linenumber, l_partkey, l_extendedprice)"
 
 # Text rules
 
@@ -35,12 +34,12 @@ _SYMBOL = "coalesce(nullif(trim(symbol), ''), 'UNKNOWN')"
 def _parsed(day: str, close: str) -> str:
     return f"""WITH {RAW_QUOTES_SQL},
 parsed AS (SELECT {_SYMBOL} AS symbol, {day} AS date, {close} AS close,
-  l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM raw_quotes)"""
+  position FROM raw_quotes)"""
 
 
 def _treated(day: str, close: str, shown: str) -> str:
     return f"""{_parsed(day, close)},
-daily AS (SELECT symbol, date, arg_max(close, {_POSITION}) AS close FROM parsed
+daily AS (SELECT symbol, date, arg_max(close, position) AS close FROM parsed
   WHERE date IS NOT NULL AND close IS NOT NULL GROUP BY ALL)
 SELECT symbol, strftime(date, '{shown}') AS date, close FROM daily d
 WHERE date >= (SELECT max(date) FROM daily x WHERE x.symbol = d.symbol) - INTERVAL 365 DAY"""
@@ -50,12 +49,12 @@ _CURATED = f"""{RAW_QUOTES_SQL},
 typed AS (
   SELECT coalesce(symbol, 'UNKNOWN') AS symbol, coalesce(trade_date, '1970-01-01') AS td, TRY_CAST(open AS DOUBLE) AS o,
     TRY_CAST(high AS DOUBLE) AS h, TRY_CAST(low AS DOUBLE) AS l, TRY_CAST(close AS DOUBLE) AS c,
-    TRY_CAST(volume AS BIGINT) AS v, l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM raw_quotes
+    TRY_CAST(volume AS BIGINT) AS v, position FROM raw_quotes
 ),
 dated AS (SELECT *, {_OHLCV_DAY} AS day FROM typed),
 linked AS (
   SELECT *, last_value(c IGNORE NULLS) OVER (PARTITION BY symbol
-    ORDER BY day NULLS FIRST, l_orderkey, l_linenumber, l_partkey, l_extendedprice
+    ORDER BY day NULLS FIRST, position
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_close FROM dated
 ),
 curated AS (
@@ -203,11 +202,11 @@ SELECT {_TRAINING_DAY} AS training_date, {_PADDED_DAY} AS padded_date, count(*)
 typed AS (
   SELECT symbol, {_TRAINING_DAY} AS trade_date_fmt, TRY_CAST(open AS DOUBLE) AS open, TRY_CAST(high AS DOUBLE) AS high,
     TRY_CAST(low AS DOUBLE) AS low, TRY_CAST(close AS DOUBLE) AS close, TRY_CAST(volume AS DOUBLE) AS volume,
-    l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM raw_quotes
+    position FROM raw_quotes
 ),
 linked AS (
   SELECT *, lag(close) OVER w AS prev_close, lead(close) OVER w AS next_close FROM typed
-  WINDOW w AS (PARTITION BY symbol ORDER BY trade_date_fmt NULLS FIRST, l_orderkey, l_linenumber, l_partkey, l_extendedprice)
+  WINDOW w AS (PARTITION BY symbol ORDER BY trade_date_fmt NULLS FIRST, position)
 )
 SELECT symbol, trade_date_fmt, close, prev_close, next_close, volume FROM linked
 WHERE open IS NOT NULL AND high IS NOT NULL AND low IS NOT NULL AND volume IS NOT NULL AND prev_close IS NOT NULL
@@ -235,18 +234,18 @@ FROM price_lines WHERE place > 0""",
 SELECT text, coalesce(nullif(trim(regexp_replace(text, '[^A-Za-z0-9]+', '_', 'g'), '_'), ''), 'dados') AS slug,
   coalesce(nullif(trim(regexp_replace(text, '[^\\p{L}\\p{N}_-]', '_', 'g'), '_'), ''), 'forecast') AS prefix FROM named""",
     "first_seen_symbols": f"""WITH {RAW_QUOTES_SQL},
-firsts AS (SELECT symbol, min({_POSITION}) AS f FROM raw_quotes GROUP BY 1)
-SELECT symbol, f[1] AS l_orderkey, f[2] AS l_linenumber, f[3] AS l_partkey, f[4] AS l_extendedprice FROM firsts""",
+firsts AS (SELECT symbol, min(position) AS f FROM raw_quotes GROUP BY 1)
+SELECT symbol, CAST(f AS VARCHAR) AS position FROM firsts""",
     "drop_nth_symbol": f"""WITH {RAW_QUOTES_SQL},
-firsts AS (SELECT coalesce(trim(symbol), 'nan') AS s, min({_POSITION}) AS f FROM raw_quotes GROUP BY 1),
-ranked AS (SELECT s, row_number() OVER (ORDER BY f, s) AS position FROM firsts)
-SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, symbol, trade_date, close FROM raw_quotes
-WHERE coalesce(trim(symbol), 'nan') NOT IN (SELECT s FROM ranked WHERE position = 7)""",
+firsts AS (SELECT coalesce(trim(symbol), 'nan') AS s, min(position) AS f FROM raw_quotes GROUP BY 1),
+ranked AS (SELECT s, row_number() OVER (ORDER BY f, s) AS nth FROM firsts)
+SELECT CAST(position AS VARCHAR) AS position, symbol, trade_date, close FROM raw_quotes
+WHERE coalesce(trim(symbol), 'nan') NOT IN (SELECT s FROM ranked WHERE nth = 7)""",
     "dropped_ticker_report": f"""WITH {RAW_QUOTES_SQL},
-firsts AS (SELECT coalesce(trim(symbol), 'nan') AS s, min({_POSITION}) AS f, count(*) AS n FROM raw_quotes GROUP BY 1),
-ranked AS (SELECT *, row_number() OVER (ORDER BY f, s) AS position FROM firsts)
+firsts AS (SELECT coalesce(trim(symbol), 'nan') AS s, min(position) AS f, count(*) AS n FROM raw_quotes GROUP BY 1),
+ranked AS (SELECT *, row_number() OVER (ORDER BY f, s) AS nth FROM firsts)
 SELECT s AS symbol, 'ticker_removed' AS "check", 'warning' AS severity, n AS observed,
-  'ticker number 7 removed with ' || n || ' rows' AS message FROM ranked WHERE position = 7""",
+  'ticker number 7 removed with ' || n || ' rows' AS message FROM ranked WHERE nth = 7""",
     "symbol_counts": f"WITH {BARS_SQL}, {_RANKED} SELECT * FROM ranked",
     "top_symbol": f"WITH {BARS_SQL}, {_RANKED} SELECT * FROM ranked LIMIT 1",
     "primary_symbol": f"""WITH {BARS_SQL}, {_RANKED}

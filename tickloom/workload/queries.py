@@ -28,6 +28,10 @@ def _rounded(table: DataFrame, columns, places: int = 6) -> DataFrame:
     return table.withColumns({name: F.round(name, places) for name in columns})
 
 
+def _position_text(table: DataFrame) -> DataFrame:
+    return table.withColumn("position", F.col("position").cast("string"))
+
+
 # Curation and text normalisation
 
 
@@ -110,12 +114,13 @@ def slug(spark, folder):
 
 @registered
 def first_seen_symbols(spark, folder):
-    return tickers.first_seen(raw_quotes(spark, folder), ORDER)
+    return _position_text(tickers.first_seen(raw_quotes(spark, folder), ORDER))
 
 
 @registered
 def drop_nth_symbol(spark, folder):
-    return tickers.drop_nth_symbol(raw_quotes(spark, folder), ORDER).select(*ORDER, "symbol", "trade_date", "close")
+    kept = tickers.drop_nth_symbol(raw_quotes(spark, folder), ORDER)
+    return _position_text(kept.select("position", "symbol", "trade_date", "close"))
 
 
 @registered
