@@ -12,9 +12,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 EPOCH_DAY = "1970-01-01"
-_CLOCK = r"^\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?$"
-_DAY_FIRST = r"^\d{1,2}/\d{1,2}/\d{4}$"
-_YEAR_FIRST = r"^\d{4}/\d{1,2}/\d{1,2}$"
+_CLOCK = r"[ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?$"
+_DAY_FIRST = r"^\?(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})$"
+_YEAR_FIRST = r"^\?(\d{4})(?:[-/.](\d{1,2})[-/.](\d{1,2})|(\d{2})(\d{2}))$"
 
 
 def _shape(text: Column) -> Column:
@@ -52,12 +52,11 @@ def strict_date(text: Column) -> Column:
     )
 
 
-def _without_clock(trimmed: Column) -> Column:
-    """The part before the first blank or T when what follows is a clock time, else null."""
-    spaced = F.translate(trimmed, "T", " ")
-    day = F.substring_index(spaced, " ", 1)
-    rest = F.substring(spaced, F.length(day) + 2, F.length(spaced))
-    return F.when((rest == "") | rest.rlike(_CLOCK), day)
+def _unclocked(trimmed: Column) -> Column:
+    """The text without a clock time after a blank or T, marked by a leading ``?``. The mark
+    goes away when a later pattern rewrites the whole text; a text that keeps it is no date."""
+    bare = F.when(trimmed.contains(":"), F.regexp_replace(trimmed, _CLOCK, "")).otherwise(trimmed)
+    return F.concat(F.lit("?"), bare)
 
 
 def lenient_date(text: Column) -> Column:
@@ -66,21 +65,10 @@ def lenient_date(text: Column) -> Column:
     Accepts ``-``, ``/`` and ``.`` between the parts. A day-first text whose month slot
     is no month (01/15/2024) is read month first.
     """
-    day = _without_clock(F.trim(text))
-    plain = F.translate(day, "-.", "//")
-
-    def joined(*places: int) -> Column:
-        return F.concat_ws("-", *[F.split_part(plain, F.lit("/"), F.lit(place)) for place in places])
-
-    day_first = plain.rlike(_DAY_FIRST)
-    return F.coalesce(
-        _as_day(
-            F.when(_shape(day) == "99999999", _iso(day, 1, 5, 7))
-            .when(day_first, joined(3, 2, 1))
-            .when(plain.rlike(_YEAR_FIRST), joined(1, 2, 3))
-        ),
-        _as_day(F.when(day_first, joined(3, 1, 2))),
-    )
+    marked = _unclocked(F.trim(text))
+    day_first = F.regexp_replace(marked, _DAY_FIRST, "$3-$2-$1")
+    month_first = F.regexp_replace(marked, _DAY_FIRST, "$3-$1-$2")
+    return F.coalesce(_as_day(F.regexp_replace(day_first, _YEAR_FIRST, "$1-$2$4-$3$5")), _as_day(month_first))
 
 
 def training_date(text: Column) -> Column:
@@ -94,16 +82,10 @@ def training_date(text: Column) -> Column:
 
 
 def padded_date(text: Column) -> Column:
-    """Six characters get ``01`` appended; then ISO, yyyyMMdd or yyyy/MM/dd, where a clock
-    time may follow."""
+    """Six characters get ``01`` appended; then a year-first day, where a clock time may follow."""
     trimmed = F.trim(text)
-    day = _without_clock(F.when(F.length(trimmed) == 6, F.concat(trimmed, F.lit("01"))).otherwise(trimmed))
-    shape = _shape(day)
-    return _as_day(
-        F.when(shape == "9999-99-99", day)
-        .when(shape == "99999999", _iso(day, 1, 5, 7))
-        .when(shape == "9999/99/99", _iso(day, 1, 6, 9))
-    )
+    padded = F.when(F.length(trimmed) == 6, F.concat(trimmed, F.lit("01"))).otherwise(trimmed)
+    return _as_day(F.regexp_replace(_unclocked(padded), _YEAR_FIRST, "$1-$2$4-$3$5"))
 
 
 def compact_date(text: Column) -> Column:

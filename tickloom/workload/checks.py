@@ -258,7 +258,7 @@ totals AS (
   FROM parsed GROUP BY 1
 ) {_FINDINGS}""",
     "ticker_report": f"""WITH {RAW_QUOTES_SQL},
-counted AS (SELECT 'file-' || (l_partkey % 50) AS source, count(DISTINCT nullif(trim(symbol), '')) AS tickers FROM raw_quotes GROUP BY 1)
+counted AS (SELECT 'file-' || CAST(position % 50 AS BIGINT) AS source, count(DISTINCT nullif(trim(symbol), '')) AS tickers FROM raw_quotes GROUP BY 1)
 SELECT source AS symbol, 'several_tickers' AS "check", 'error' AS severity, tickers AS observed,
   'source holds ' || tickers || ' tickers' AS message FROM counted WHERE tickers > 1""",
     "top_symbol_close_trend": f"""WITH {BARS_SQL}, {_RANKED}

@@ -151,7 +151,7 @@ def quality_report(spark, folder):
 
 @registered
 def ticker_report(spark, folder):
-    files = raw_quotes(spark, folder).withColumn("source", F.concat(F.lit("file-"), F.pmod("l_partkey", F.lit(50))))
+    files = raw_quotes(spark, folder).withColumn("source", F.concat(F.lit("file-"), F.pmod("position", F.lit(50)).cast("bigint")))
     return quality.ticker_findings(files, "source")
 
 
