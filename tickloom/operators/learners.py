@@ -3,7 +3,8 @@ penalty-by-iterations search on one chosen series."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.ml import Model
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -23,6 +24,7 @@ BOOSTING_ROUNDS = 20
 VALIDATION_FRACTION = 0.2
 MEASURES = ("rmse", "mae", "r2")
 _TIE_BUCKETS = 65_536
+_ROWS_PER_PARTITION = 100_000
 
 
 def assemble(rows: DataFrame, inputs: Sequence[str], label: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -85,6 +87,18 @@ def _score(predictions: DataFrame) -> dict[str, float]:
     return {name: evaluator.evaluate(predictions, {evaluator.metricName: name}) for name in MEASURES}
 
 
+@contextmanager
+def _packed(rows: DataFrame) -> Iterator[DataFrame]:
+    """Keep rows for the many passes of a learner, in as few partitions as their number
+    needs: one series should not pay for a shuffle's width in every pass."""
+    kept = rows.persist()
+    try:
+        wanted = max(1, -(-kept.count() // _ROWS_PER_PARTITION))
+        yield kept.coalesce(wanted)
+    finally:
+        kept.unpersist()
+
+
 def compare(training: DataFrame, validation: DataFrame) -> tuple[str, Model, DataFrame]:
     """Fit the three learners; the lowest validation RMSE wins, the first on ties.
     Returns its name, the fitted model and the (model, rmse, mae, r2) table."""
@@ -93,13 +107,9 @@ def compare(training: DataFrame, validation: DataFrame) -> tuple[str, Model, Dat
         "random_forest": RandomForestRegressor(numTrees=FOREST_TREES),
         "gbt": GBTRegressor(maxIter=BOOSTING_ROUNDS),
     }
-    training, validation = training.persist(), validation.persist()
-    try:
-        fitted = {name: learner.fit(training) for name, learner in learners.items()}
-        scored = {name: _score(model.transform(validation)) for name, model in fitted.items()}
-    finally:
-        training.unpersist()
-        validation.unpersist()
+    with _packed(training) as known, _packed(validation) as unseen:
+        fitted = {name: learner.fit(known) for name, learner in learners.items()}
+        scored = {name: _score(model.transform(unseen)) for name, model in fitted.items()}
     best = min(scored, key=lambda name: scored[name]["rmse"])
     spark = training.sparkSession
     table = spark.createDataFrame(
@@ -120,9 +130,8 @@ def held_out_score(model: Model, rows: DataFrame) -> DataFrame:
 def search_one(feature_rows: DataFrame) -> tuple[DataFrame, dict]:
     """The full grid of penalties and iteration limits on one series, with MLlib's own
     optimizer. Returns the attempts and the chosen one, first wins ties."""
-    data = assemble(feature_rows, features.FEATURES, "log_close", ["part"]).persist()
     attempts = []
-    try:
+    with _packed(assemble(feature_rows, features.FEATURES, "log_close", ["part"])) as data:
         train, test = data.where(F.col("part") == "train"), data.where(F.col("part") == "test")
         for penalty in ridge.PENALTIES:
             for limit in ridge.ITERATION_LIMITS:
@@ -130,8 +139,6 @@ def search_one(feature_rows: DataFrame) -> tuple[DataFrame, dict]:
                 model = learner.fit(train)
                 on_test, on_train = _score(model.transform(test)), _score(model.transform(train))
                 attempts.append({"epochs": limit, "reg_param": penalty, "train_r2": on_train["r2"], **on_test})
-    finally:
-        data.unpersist()
 
     def objective(attempt: dict) -> float:
         gap = max(0.0, attempt["train_r2"] - attempt["r2"])

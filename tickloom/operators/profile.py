@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from itertools import combinations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 QUARTILES = (0.25, 0.5, 0.75)
 CORRELATED = ("open", "high", "low", "close", "volume", "daily_pct_change")
-EXACT_ROWS = 5_000_000  # most rows one exact percentile buffer may hold
-_SPLITS = 1000
+EXACT_ROWS = 100_000  # most values one exact percentile buffer may hold
+_SPLITS = 200  # slices per round
+_ACCURACY = 1000
 
 
 def _as_number(field: T.StructField) -> Column:
@@ -36,8 +40,14 @@ def profile(table: DataFrame, exact_rows: int = EXACT_ROWS) -> DataFrame:
     numbers = table.select(*[_as_number(field).alias(field.name) for field in measured])
     parts = []
     if measured:
-        quartiles = exact_quantiles(numbers, [field.name for field in measured], QUARTILES, exact_rows)
-        parts.append(_number_profile(numbers, measured).join(F.broadcast(quartiles), "column", "left"))
+        moments = _number_profile(numbers, measured).collect()  # one row per column
+        sizes = {row["column"]: row["count"] for row in moments}
+        quartiles = exact_quantiles(numbers, list(sizes), QUARTILES, exact_rows, sizes)
+        found = table.sparkSession.createDataFrame(
+            [tuple(row) for row in moments],
+            "column string, count bigint, mean double, std double, min double, max double",
+        )
+        parts.append(found.join(F.broadcast(quartiles), "column", "left"))
     parts += [_text_profile(table, field.name) for field in texts]
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts).select(
         "column", "count", "unique", "top", "freq", "mean", "std", "min", "q25", "q50", "q75", "max"
@@ -75,84 +85,132 @@ def _text_profile(table: DataFrame, name: str) -> DataFrame:
     )
 
 
+@dataclass
+class _Target:
+    """One wanted rank of one column and the value range it is known to lie in."""
+
+    column: str
+    rank: int
+    total: int
+    low: float = -math.inf  # inclusive
+    high: float = math.inf  # inclusive
+    value: float | None = None
+
+    @property
+    def slot(self) -> tuple[str, float, float]:
+        return self.column, self.low, self.high
+
+    def inside(self) -> Column:
+        v = F.col(self.column)
+        return F.when((v >= F.lit(self.low)) & (v <= F.lit(self.high)), v)
+
+
 def exact_quantiles(
-    numbers: DataFrame, columns: Sequence[str], probabilities: Sequence[float], exact_rows: int = EXACT_ROWS
+    numbers: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    exact_rows: int = EXACT_ROWS,
+    sizes: dict[str, int] | None = None,
 ) -> DataFrame:
-    """Exact linear-interpolated quantiles: (column, q25, q50, ...).
+    """Exact linear-interpolated quantiles of double columns: (column, q25, q50, ...).
 
     Spark's exact ``percentile`` merges all distinct values into one buffer, so it only
-    ever sees ``exact_rows`` rows here. Larger columns are narrowed first: approximate
-    quantiles cut the value range, counts per slice tell which slice holds the wanted
-    ranks, and only that slice is cut again.
+    ever sees ``exact_rows`` values here. Larger columns are narrowed first: approximate
+    quantiles cut the value range into slices, a count per slice tells which one holds the
+    wanted rank, and only that slice is looked at again. Each round is two aggregations for
+    all columns together, and only slice edges and counts reach the driver.
     """
-    names = [f"q{round(probability * 100):d}" for probability in probabilities]
-    sizes = numbers.agg(*[F.count(name).alias(name) for name in columns]).collect()[0]
-    small = [name for name in columns if sizes[name] <= exact_rows]
-    large = [name for name in columns if sizes[name] > exact_rows]
+    sizes = sizes or numbers.agg(*[F.count(name).alias(name) for name in columns]).collect()[0].asDict()
+    targets: dict[tuple[str, int], _Target] = {}
+    places = {(name, p): p * (sizes[name] - 1) for name in columns if sizes[name] for p in probabilities}
+    for (name, _), place in places.items():
+        for rank in {math.floor(place), math.ceil(place)}:
+            targets.setdefault((name, rank), _Target(name, rank, sizes[name]))
+    while wide := [t for t in targets.values() if t.value is None and t.total > exact_rows]:
+        _narrow(numbers, wide)
+    _finish(numbers, [t for t in targets.values() if t.value is None])
+
+    def interpolated(name: str, p: float) -> float | None:
+        if (name, p) not in places:
+            return None
+        place = places[name, p]
+        low, high = targets[name, math.floor(place)].value, targets[name, math.ceil(place)].value
+        return low + (high - low) * (place - math.floor(place))
+
+    names = [f"q{round(p * 100):d}" for p in probabilities]
     schema = T.StructType([T.StructField("column", T.StringType())] + [T.StructField(n, T.DoubleType()) for n in names])
-    results = []
-    if small:
-        entries = [
-            F.struct(
-                F.lit(name).alias("column"),
-                *[F.percentile(F.col(name), F.lit(p)).alias(n) for p, n in zip(probabilities, names)],
-            )
-            for name in small
-        ]
-        results.append(numbers.agg(F.array(*entries).alias("entries")).select(F.inline("entries")))
-    if large:
-        spark = numbers.sparkSession
-        found = []
-        for name in large:
-            values = numbers.select(F.col(name).alias("v")).where("v IS NOT NULL")
-            found.append((name, *[_quantile(values, sizes[name], p, exact_rows) for p in probabilities]))
-        results.append(spark.createDataFrame(found, schema))
-    return reduce(DataFrame.unionByName, results)
-
-
-def _quantile(values: DataFrame, total: int, probability: float, exact_rows: int) -> float:
-    place = probability * (total - 1)
-    low_rank = int(place)
-    low = _value_at(values, total, low_rank, exact_rows)
-    high = low if place == low_rank else _value_at(values, total, low_rank + 1, exact_rows)
-    return low + (high - low) * (place - low_rank)
-
-
-def _value_at(values: DataFrame, total: int, rank: int, exact_rows: int) -> float:
-    """The value at a zero-based rank. Each round keeps one slice of the value range;
-    everything that reaches the driver is one counter per slice."""
-    while total > exact_rows:
-        edges = sorted(set(values.agg(F.percentile_approx("v", [i / _SPLITS for i in range(_SPLITS + 1)])).collect()[0][0]))
-        if len(edges) == 1:
-            return edges[0]
-        # 2i: strictly between edge i-1 and edge i; 2i + 1: equal to edge i.
-        below = F.aggregate(
-            F.lit(edges), F.lit(0), lambda n, edge: n + F.when(edge < F.col("v"), 2).when(edge == F.col("v"), 1).otherwise(0)
-        )
-        counts = {row["slice"]: row["n"] for row in values.groupBy(below.alias("slice")).agg(F.count(F.lit(1)).alias("n")).collect()}
-        for part in sorted(counts):
-            if rank < counts[part]:
+    rows = [(name, *[interpolated(name, p) for p in probabilities]) for name in columns]
+    return numbers.sparkSession.createDataFrame(rows, schema)
+
+
+def _narrow(numbers: DataFrame, targets: Sequence[_Target]) -> None:
+    """Move every target into one slice of its range."""
+    slots = {t.slot: t for t in targets}
+    cuts = [i / _SPLITS for i in range(_SPLITS + 1)]
+    found = numbers.agg(*[F.percentile_approx(t.inside(), cuts, _ACCURACY).alias(f"s{i}") for i, t in enumerate(slots.values())])
+    splits, inputs = {}, {}
+    for i, (slot, edges) in enumerate(zip(slots, found.collect()[0])):
+        # Every edge gets a slice of its own, so a value that fills a slice ends the search.
+        cut = sorted({e for edge in edges for e in (edge, math.nextafter(edge, math.inf))})
+        splits[slot] = [-math.inf, *cut, math.inf]
+        inputs[slot] = slots[slot].inside().alias(f"v{i}")
+    order = list(slots)
+    bucketizer = Bucketizer(
+        splitsArray=[splits[slot] for slot in order],
+        inputCols=[f"v{i}" for i in range(len(order))],
+        outputCols=[f"b{i}" for i in range(len(order))],
+        handleInvalid="keep",
+    )
+    sliced = bucketizer.transform(numbers.select(*[inputs[slot] for slot in order]))
+    entries = F.array(*[F.struct(F.lit(i).alias("slot"), F.col(f"b{i}").alias("slice")) for i in range(len(order))])
+    counted = sliced.select(F.inline(entries)).groupBy("slot", "slice").agg(F.count(F.lit(1)).alias("n")).collect()
+    counts: dict[int, dict[int, int]] = {i: {} for i in range(len(order))}
+    for row in counted:
+        if row["slice"] is not None and row["slice"] < len(splits[order[row["slot"]]]) - 1:
+            counts[row["slot"]][int(row["slice"])] = row["n"]
+    for target in targets:
+        number = order.index(target.slot)
+        edges, sizes = splits[target.slot], counts[number]
+        for part in sorted(sizes):
+            if target.rank < sizes[part]:
                 break
-            rank -= counts[part]
-        if part % 2:
-            return edges[part // 2]
-        first, last = part // 2 - 1, part // 2
-        if first >= 0:
-            values = values.where(F.col("v") > edges[first])
-        if last < len(edges):
-            values = values.where(F.col("v") < edges[last])
-        total = counts[part]
-    return values.agg(F.percentile("v", F.lit(rank / (total - 1) if total > 1 else 0.0))).collect()[0][0]
+            target.rank -= sizes[part]
+        target.total = sizes[part]
+        target.low = max(target.low, edges[part])
+        target.high = min(target.high, math.nextafter(edges[part + 1], -math.inf) if edges[part + 1] < math.inf else math.inf)
+        if target.low == target.high:
+            target.value = target.low
+
+
+def _finish(numbers: DataFrame, targets: Sequence[_Target]) -> None:
+    """The exact ranks of ranges that are small by now, in one aggregation."""
+    slots: dict[tuple[str, float, float], list[_Target]] = {}
+    for target in targets:
+        slots.setdefault(target.slot, []).append(target)
+    if not slots:
+        return
+    asked = [
+        F.percentile(group[0].inside(), F.array(*[F.lit(t.rank / (t.total - 1) if t.total > 1 else 0.0) for t in group]))
+        for group in slots.values()
+    ]
+    for group, values in zip(slots.values(), numbers.agg(*asked).collect()[0]):
+        for target, value in zip(group, values):
+            target.value = value
 
 
 def correlation_matrix(table: DataFrame, columns: Sequence[str] = CORRELATED) -> DataFrame:
     """Pairwise-complete Pearson correlation, long form (x, y, correlation); null where
     a column does not vary. One pass computes every pair."""
 
+    nullable = {field.name for field in table.schema.fields if field.nullable}
+
     def pair(left: str, right: str) -> Column:
+        # A column without nulls needs no guard; its deviation is then shared by all its pairs.
         x, y = F.col(left).cast("double"), F.col(right).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        x, y = F.when(both, x), F.when(both, y)
+        both = [F.col(name).isNotNull() for name in {left, right} if name in nullable]
+        if both:
+            complete = reduce(lambda a, b: a & b, both)
+            x, y = F.when(complete, x), F.when(complete, y)
         return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
 
     pairs = [(name, name) for name in columns] + list(combinations(columns, 2))

@@ -35,13 +35,13 @@ def fingerprints(series: DataFrame, source_name: Column | str, held_out: float,
     row_text = F.concat_ws("|", F.date_format("date", "yyyy-MM-dd"), *[fixed(n) for n in ("close", "high", "low", "volume")])
     digest = F.sha2(row_text, 256)
     lanes = [
-        F.conv(F.substring(digest, 1 + i * _LANE_DIGITS, _LANE_DIGITS), 16, 10).cast("decimal(38,0)") for i in range(_LANES)
+        F.conv(F.substring(digest, 1 + i * _LANE_DIGITS, _LANE_DIGITS), 16, 10).cast("bigint") for i in range(_LANES)
     ]
     totals = series.select("symbol", "date", *[lane.alias(f"_lane{i}") for i, lane in enumerate(lanes)]).groupBy("symbol").agg(
         F.min("date").alias("_first"),
         F.max("date").alias("_last"),
         F.count(F.lit(1)).alias("_rows"),
-        *[F.sum(f"_lane{i}").alias(f"_lane{i}") for i in range(_LANES)],
+        *[F.sum(F.col(f"_lane{i}").cast("decimal(19,0)")).alias(f"_lane{i}") for i in range(_LANES)],
     )
     key = F.concat_ws(
         "|",

@@ -106,7 +106,7 @@ def _read(spark: SparkSession, paths: Sequence[str], separator: str, tolerant: b
 def read_file(spark: SparkSession, path: str, sep: str = "auto", lower_names: bool = False) -> DataFrame:
     """One delimited file, every column text, with its input order columns."""
     if sep == "auto":
-        probed = probe_files(spark.createDataFrame([(_qualified(spark, path),)], "path string")).collect()[0]
+        probed = probe_files(spark.createDataFrame([(qualified(spark, path),)], "path string")).collect()[0]
         if probed["separator"] is None:
             raise NoInput(f"{path} is empty")
         sep = probed["separator"]
@@ -115,7 +115,7 @@ def read_file(spark: SparkSession, path: str, sep: str = "auto", lower_names: bo
     return table.toDF(*[name.lower() if lower_names else name for name in names])
 
 
-def _qualified(spark: SparkSession, path: str) -> str:
+def qualified(spark: SparkSession, path: str) -> str:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     return system.makeQualified(hadoop_path).toString()
