@@ -73,12 +73,12 @@ def attempt_counts(attempts: DataFrame, symbol: str = "symbol", at: str = "updat
 
 
 def latest_runs(
-    runs: DataFrame, by: Sequence[str] = ("symbol",), at: Sequence[str] = ("updated_at", "run_key"), keep: int = MAX_RUNS
+    runs: DataFrame, by: Sequence[str] = ("symbol",), at: Sequence[str] = ("updated_at", "run_key"), keep: int | None = None
 ) -> DataFrame:
-    """The newest ``keep`` runs of every group. A literal rank bound lets Spark cut each
+    """The newest ``keep`` (by default ``MAX_RUNS``) runs of every group. A literal rank bound lets Spark cut each
     task's rows to ``keep`` per group before they are shuffled."""
     newest = Window.partitionBy(*by).orderBy(*[F.desc(name) for name in at])
-    return runs.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= keep).drop("_rank")
+    return runs.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= (keep or MAX_RUNS)).drop("_rank")
 
 
 def retained_runs(runs: DataFrame) -> DataFrame:

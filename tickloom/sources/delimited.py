@@ -46,7 +46,8 @@ def line_separators(lines: DataFrame, path: str, place: str, text: str) -> DataF
 
 
 def list_files(spark: SparkSession, folder: str, suffixes: Sequence[str]) -> DataFrame:
-    """(path, modified, length) of the folder's files with a suffix; contents are not read."""
+    """(path, modified, length) of the folder's files with a suffix; contents are not read.
+    Spark never lists files of zero length."""
     listed = spark.read.format("binaryFile").load(folder).select(
         "path", F.col("modificationTime").alias("modified"), "length"
     )
@@ -134,7 +135,7 @@ def read_folder(
     number of layouts and not of files. Columns a layout lacks are null.
     """
     listed = list_files(spark, folder, [".csv"])
-    probed = probe_files(listed) if sep == "auto" or tolerant else probe_files(listed).withColumn("separator", F.lit(sep))
+    probed = probe_files(listed)
     if sep != "auto":
         probed = probed.withColumn("separator", F.when(F.col("separator").isNotNull(), F.lit(sep)))
     files = sorted(probed.collect(), key=lambda row: row["path"])
