@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -90,23 +91,31 @@ class Forecast:
 
 
 def forecast_all(
-    series: DataFrame, days: int = HORIZON_DAYS, held_out: float = features.TEST_FRACTION
+    series: DataFrame,
+    days: int = HORIZON_DAYS,
+    held_out: float = features.TEST_FRACTION,
+    keep: Callable[[DataFrame], DataFrame] = lambda frame: frame,
 ) -> Forecast:
     """Fit, score, back-test and forecast every series of ``features.model_input`` shape.
 
     Search uses the test part to choose the penalty and damping uses its actual values, as
     the reported metrics are defined. Series that are too short appear in ``status`` only.
+    ``keep`` is applied to the frames that several results share; a job that writes them
+    all passes one that materialises.
     """
-    built = features.temporal_features(series, held_out)
+    built = keep(features.temporal_features(series, held_out))
     rows = features.trainable(built)
-    fits = ridge.fit_all(rows)
+    fits = keep(ridge.fit_all(rows))
     models = ridge.with_chosen(fits)
 
     naive = rows.withColumn("naive", features.naive_prediction())
     scored = naive.join(models.select("symbol", "reg_param", "beta", "intercept"), "symbol").withColumn(
         "predicted", F.expm1(ridge.linear_rule(F.col("beta"), F.col("intercept")))
     )
-    calibrated = backtest.calibrate(scored, ["symbol", "part"]).withColumn("predicted", F.col("calibrated"))
+    damped = backtest.calibrate(scored, ["symbol", "part"]).withColumn("predicted", F.col("calibrated"))
+    calibrated = keep(
+        damped.select("symbol", "date", "close", "part", "predicted", "naive", "calibrated_r2", "reg_param", "last_date")
+    )
     test = calibrated.where(F.col("part") == "test")
     past = test.select("symbol", "date", "close", "predicted")
     metrics = _metrics(calibrated, days)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tickloom.operators.ordering import position
 
 WINDOW_ROWS = 5_000_000
+BROADCAST_KEYS = 10_000  # most crowded keys that are told apart; beyond it every key is scanned in parts
 
 
 def with_neighbours(
@@ -45,14 +46,15 @@ def with_neighbours(
     """
     wanted = {"previous": previous, "following": following, "last_known": last_known}
     wanted = {kind: name for kind, name in wanted.items() if name}
-    crowded = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > window_rows).select(key)
-    if crowded.isEmpty():
+    crowded = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > window_rows)
+    number = crowded.limit(BROADCAST_KEYS + 1).count()
+    if number == 0:
         return _windowed(rows, key, day, order, value, wanted)
-    marked = crowded.select(F.col(key).alias("_hot_key"))
+    if number > BROADCAST_KEYS:
+        return _split_scan(rows, key, day, order, block, value, wanted)
+    marked = F.broadcast(crowded.select(F.col(key).alias("_hot_key")))
     same = F.col(key).eqNullSafe(F.col("_hot_key"))
-    # At most total rows / window_rows keys are crowded; the size is left to the optimizer's own check.
-    calm = rows.join(marked, same, "left_anti")
-    hot = rows.join(marked, same, "left_semi")
+    calm, hot = rows.join(marked, same, "left_anti"), rows.join(marked, same, "left_semi")
     return _windowed(calm, key, day, order, value, wanted).unionByName(
         _split_scan(hot, key, day, order, block, value, wanted)
     )
@@ -73,9 +75,9 @@ def _edges(first: Column, last: Column, known: Column) -> list[Column]:
     return [first.alias("_first"), last.alias("_last"), known.alias("_known")]
 
 
-def _beyond(groups: DataFrame, within: Sequence[str], place: Column) -> DataFrame:
+def _beyond(groups: DataFrame, within: str, place: Column) -> DataFrame:
     """What lies just outside each group, looked up among its siblings."""
-    sequence = Window.partitionBy(*within).orderBy(place)
+    sequence = Window.partitionBy(within).orderBy(place)
     before = sequence.rowsBetween(Window.unboundedPreceding, -1)
     return groups.withColumns(
         {
@@ -86,45 +88,41 @@ def _beyond(groups: DataFrame, within: Sequence[str], place: Column) -> DataFram
     )
 
 
-def _outer(level: DataFrame, parent: DataFrame, on: Sequence[str]) -> DataFrame:
+def _outer(level: DataFrame, parent: DataFrame, on: str) -> DataFrame:
     """Fill edges that have no sibling from the parent level."""
     outside = parent.select(
-        *[F.col(name).alias(f"_p_{i}") for i, name in enumerate(on)],
-        F.col("_left").alias("_p_left"),
-        F.col("_right").alias("_p_right"),
-        F.col("_left_known").alias("_p_known"),
+        on, F.col("_left").alias("_p_left"), F.col("_right").alias("_p_right"), F.col("_left_known").alias("_p_known")
     )
-    condition = F.lit(True)
-    for i, name in enumerate(on):
-        condition = condition & F.col(name).eqNullSafe(F.col(f"_p_{i}"))
-    joined = level.join(outside, condition, "inner")
-    return joined.withColumns(
-        {
-            "_left": F.coalesce("_left", "_p_left"),
-            "_right": F.coalesce("_right", "_p_right"),
-            "_left_known": F.coalesce("_left_known", "_p_known"),
-        }
-    ).drop("_p_left", "_p_right", "_p_known", *[f"_p_{i}" for i in range(len(on))])
+    filled = {
+        "_left": F.coalesce("_left", "_p_left"),
+        "_right": F.coalesce("_right", "_p_right"),
+        "_left_known": F.coalesce("_left_known", "_p_known"),
+    }
+    return level.join(outside, on).withColumns(filled).drop("_p_left", "_p_right", "_p_known")
 
 
 def _split_scan(rows, key, day, order, block, value, wanted) -> DataFrame:
     boxed = F.struct(F.col(value).alias("v"))  # a present row with a null value stays distinguishable
     place = position(order)
     known_place = F.when(F.col(value).isNotNull(), place)
-    # One shuffle serves the block summaries and the row windows below.
-    placed = rows.withColumn("_block", block).repartition(key, day, "_block")
+    # Groups are structs: unlike bare columns they join on plain equality with nulls inside,
+    # so one shuffle serves the block summaries, the row windows and the join between them.
+    in_block = F.struct(F.col(key).alias("key"), F.col(day).alias("day"), block.alias("block"))
+    placed = rows.withColumn("_in_block", in_block).repartition("_in_block")
 
-    blocks = placed.groupBy(key, day, "_block").agg(
+    blocks = placed.groupBy("_in_block").agg(
         *_edges(F.min_by(boxed, place), F.max_by(boxed, place), F.max_by(F.col(value), known_place))
     )
-    known_block = F.when(F.col("_known").isNotNull(), F.col("_block"))
-    days = blocks.groupBy(key, day).agg(
-        *_edges(F.min_by("_first", "_block"), F.max_by("_last", "_block"), F.max_by(F.col("_known"), known_block))
+    blocks = blocks.withColumn("_in_day", F.struct("_in_block.key", "_in_block.day"))
+    at = F.col("_in_block.block")
+    known_at = F.when(F.col("_known").isNotNull(), at)
+    days = blocks.groupBy("_in_day").agg(
+        *_edges(F.min_by("_first", at), F.max_by("_last", at), F.max_by(F.col("_known"), known_at))
     )
-    days = _beyond(days, [key], F.col(day).asc_nulls_first())
-    blocks = _outer(_beyond(blocks, [key, day], F.col("_block")), days, [key, day])
+    days = _beyond(days.withColumn("_of_key", F.struct("_in_day.key")), "_of_key", F.col("_in_day.day").asc_nulls_first())
+    blocks = _outer(_beyond(blocks, "_in_day", at), days, "_in_day")
 
-    sequence = Window.partitionBy(key, day, "_block").orderBy(*order)
+    sequence = Window.partitionBy("_in_block").orderBy(*order)
     before = sequence.rowsBetween(Window.unboundedPreceding, -1)
     inside = placed.withColumns(
         {
@@ -133,6 +131,6 @@ def _split_scan(rows, key, day, order, block, value, wanted) -> DataFrame:
             "_left_known": F.last(value, ignorenulls=True).over(before),
         }
     )
-    filled = _outer(inside, blocks, [key, day, "_block"])
+    found = _outer(inside, blocks, "_in_block")
     results = {"previous": F.col("_left.v"), "following": F.col("_right.v"), "last_known": F.col("_left_known")}
-    return filled.select(*rows.columns, *[results[kind].alias(name) for kind, name in wanted.items()])
+    return found.select(*rows.columns, *[results[kind].alias(name) for kind, name in wanted.items()])

@@ -48,7 +48,8 @@ def profile(table: DataFrame, exact_rows: int = EXACT_ROWS) -> DataFrame:
             "column string, count bigint, mean double, std double, min double, max double",
         )
         parts.append(found.join(F.broadcast(quartiles), "column", "left"))
-    parts += [_text_profile(table, field.name) for field in texts]
+    if texts:
+        parts.append(_text_profile(table, [field.name for field in texts]))
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts).select(
         "column", "count", "unique", "top", "freq", "mean", "std", "min", "q25", "q50", "q75", "max"
     )
@@ -73,14 +74,20 @@ def _number_profile(numbers: DataFrame, fields: Sequence[T.StructField]) -> Data
     return numbers.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
 
 
-def _text_profile(table: DataFrame, name: str) -> DataFrame:
-    """Counted by grouping, not by a mode aggregate, whose buffer would hold every value."""
-    counts = table.groupBy(F.col(name).alias("value")).agg(F.count(F.lit(1)).alias("rows")).where("value IS NOT NULL")
-    return counts.agg(
-        F.lit(name).alias("column"),
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("count"),
+def _text_profile(table: DataFrame, names: Sequence[str]) -> DataFrame:
+    """All text columns in one pass, counted by grouping: a mode aggregate would hold every
+    value of a column in one buffer."""
+    entries = F.array(*[F.struct(F.lit(name).alias("column"), F.col(name).alias("value")) for name in names])
+    counts = (
+        table.select(F.inline(entries))
+        .where("value IS NOT NULL")
+        .groupBy("column", "value")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    return counts.groupBy("column").agg(
+        F.sum("rows").alias("count"),
         F.count(F.lit(1)).alias("unique"),
-        F.max(F.struct(F.col("rows"))).getField("rows").alias("freq"),
+        F.max("rows").alias("freq"),
         F.min_by("value", F.struct(-F.col("rows"), F.col("value"))).alias("top"),
     )
 

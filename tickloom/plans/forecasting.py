@@ -76,7 +76,7 @@ def run_forecast(
     plan = materialised(registry.reuse_plan(keys, valid, reuse))
     fresh = plan.where(F.col("decision") == "train")
     wanted = series.join(fresh.select("symbol"), "symbol", "left_semi")
-    made = forecast.forecast_all(wanted, days, held_out)
+    made = forecast.forecast_all(wanted, days, held_out, keep=materialised)
     usable = made.status.where(F.col("status") == "ok").select("symbol")
     trained = materialised(fresh.join(usable, "symbol", "left_semi"))
     sinks.write_forecast(made, trained, f"{root}/artifacts")
