@@ -106,9 +106,10 @@ def _split_scan(rows, key, day, order, block, value, wanted) -> DataFrame:
     place = position(order)
     known_place = F.when(F.col(value).isNotNull(), place)
     # Groups are structs: unlike bare columns they join on plain equality with nulls inside,
-    # so one shuffle serves the block summaries, the row windows and the join between them.
+    # so the shuffle of the row windows also serves the join with the block summaries. Those
+    # are aggregated before their own, much narrower shuffle.
     in_block = F.struct(F.col(key).alias("key"), F.col(day).alias("day"), block.alias("block"))
-    placed = rows.withColumn("_in_block", in_block).repartition("_in_block")
+    placed = rows.withColumn("_in_block", in_block)
 
     blocks = placed.groupBy("_in_block").agg(
         *_edges(F.min_by(boxed, place), F.max_by(boxed, place), F.max_by(F.col(value), known_place))
