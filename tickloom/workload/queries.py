@@ -280,12 +280,22 @@ def ridge_moments(spark, folder):
 @registered
 def ridge_search(spark, folder):
     rows = _features(spark, folder)
-    return ridge.search_attempts(rows, ridge.fit_all(rows))
+    return _rounded(ridge.search_attempts(rows, ridge.fit_all(rows)), ["train_r2", "r2", "rmse", "mae"], 5)
 
 
 @registered
 def ridge_refit(spark, folder):
-    return ridge.with_chosen(ridge.fit_all(_features(spark, folder)))
+    models = ridge.with_chosen(ridge.fit_all(_features(spark, folder)))
+    coefficients = {
+        f"{kind}_{name}": F.round(F.col(column)[i], 5)
+        for kind, column in (("train", "beta"), ("full", "full_beta"))
+        for i, name in enumerate(features.FEATURES)
+    }
+    return models.select(
+        "symbol", "train_rows", "test_rows", "scale", "first_date", "last_date", "reg_param",
+        F.round("intercept", 4).alias("train_intercept"), F.round("full_intercept", 4).alias("full_intercept"),
+        *[value.alias(name) for name, value in coefficients.items()],
+    )
 
 
 FIXED_BETA = (0.02, -0.01, 0.03, 0.4, 0.2, 0.1, 0.2, -0.05, 0.1)
@@ -308,19 +318,36 @@ def _forecast(spark, folder) -> forecast.Forecast:
 
 @registered
 def forecast_all(spark, folder):
-    return _forecast(spark, folder).metrics
+    record = _forecast(spark, folder).metrics
+    flat = record.select(
+        *[name for name in record.columns if name not in ("backtest_folds", "backtest_summary", "feature_set")],
+        "backtest_summary.*", F.size("feature_set").alias("features"),
+    )
+    measures = ["train_r2", "r2", "test_r2", "rmse", "mae", "baseline_naive_rmse", "baseline_naive_mae", "baseline_naive_r2"]
+    return _rounded(flat, [*measures, "model_rmse_mean", "naive_rmse_mean"], 4)
+
+
+@registered
+def forecast_folds(spark, folder):
+    folds = _forecast(spark, folder).metrics.select("symbol", F.inline("backtest_folds"))
+    return _rounded(folds, _ERRORS, 4)
+
+
+@registered
+def forecast_past(spark, folder):
+    return _rounded(_forecast(spark, folder).past, ["predicted"], 3)
 
 
 @registered
 def forecast_future(spark, folder):
-    return _forecast(spark, folder).future
+    return _rounded(_forecast(spark, folder).future, ["predicted"], 3)
 
 
 @registered
 def forecast_chart(spark, folder):
     series_rows = _model_series(spark, folder)
     made = forecast.forecast_all(series_rows)
-    return charts.forecast_overlay(series_rows, made.past, made.future, made.horizon_days)
+    return _rounded(charts.forecast_overlay(series_rows, made.past, made.future, made.horizon_days), ["value"], 3)
 
 
 def _next_close(spark, folder) -> DataFrame:
