@@ -230,8 +230,8 @@ def test_forecast_of_many_series(series):
 
 
 def test_nested_folds_equal_the_fold_table(series):
-    rows = features.trainable(features.temporal_features(series)).withColumns(
-        {"naive": features.naive_prediction(), "predicted": F.expm1("rolling_mean_7")}
+    rows = features.trainable(features.temporal_features(series)).withColumn(
+        "predicted", F.expm1("rolling_mean_7")
     ).where("part = 'test'")
     table = backtest.fold_metrics(rows)
     nested = {r["symbol"]: r["backtest_folds"] for r in backtest.nested_folds(table).collect()}

@@ -21,8 +21,9 @@ def regression_metrics(rows: DataFrame, by: list[str], actual: str, predicted: s
 
 def with_fold(test_rows: DataFrame, folds: int = FOLDS, by: list[str] | None = None) -> DataFrame:
     """Number equal sequential folds per symbol from 1; the remainder joins the last fold."""
-    series = Window.partitionBy(*(by or ["symbol"]))
-    size, place = F.count(F.lit(1)).over(series), F.row_number().over(series.orderBy("date"))
+    ordered = Window.partitionBy(*(by or ["symbol"])).orderBy("date")
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    size, place = F.count(F.lit(1)).over(whole), F.row_number().over(ordered)
     count = F.greatest(F.lit(1), F.least(F.lit(folds), F.col("_size")))
     width = F.greatest(F.lit(1), F.floor(F.col("_size") / count))
     fold = F.least(F.floor((F.col("_place") - 1) / width), count - 1) + 1
@@ -78,9 +79,10 @@ def calibrate(rows: DataFrame, by: list[str], actual: str = "close", predicted:
 
     With d = p - mean(y), e = y - mean(y) and the shrink factor a, R² = (2aA - a²B) / S for
     A = sum(de), B = sum(d²), S = sum(e²), a quadratic in a. Group moments come from a
-    window, so the rows are not read a second time.
+    window, so the rows are not read a second time; it is ordered like the fold window, so
+    the rows are sorted once for both.
     """
-    group = Window.partitionBy(*by)
+    group = Window.partitionBy(*by).orderBy("date").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     y, p = F.col(actual), F.col(predicted)
     moments = {
         "_mean": F.avg(y).over(group),

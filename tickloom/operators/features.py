@@ -22,8 +22,9 @@ MIN_FEATURE_ROWS = 14
 TEST_FRACTION = 0.2
 
 
-def _series() -> WindowSpec:
-    return Window.partitionBy("symbol")
+def _whole() -> WindowSpec:
+    """All rows of the series, in the same order as ``_days`` so that both share an operator."""
+    return _days().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
 def _days() -> WindowSpec:
@@ -61,12 +62,12 @@ def split_size(rows: Column, held_out: float) -> Column:
 
 
 def day_index(series: DataFrame) -> DataFrame:
-    return series.withColumn("day_index", F.datediff("date", F.min("date").over(_series())).cast("double"))
+    return series.withColumn("day_index", F.datediff("date", F.min("date").over(_whole())).cast("double"))
 
 
 def temporal_split(series: DataFrame, held_out: float = TEST_FRACTION) -> DataFrame:
     """Add ``part``: the first rows of each symbol are ``train``, the rest ``test``."""
-    place, size = F.row_number().over(_days()), F.count(F.lit(1)).over(_series())
+    place, size = F.row_number().over(_days()), F.count(F.lit(1)).over(_whole())
     return (
         series.withColumns({"_place": place, "_size": size})
         .withColumn("part", F.when(F.col("_place") <= split_size(F.col("_size"), held_out), "train").otherwise("test"))
@@ -79,24 +80,25 @@ def temporal_features(series: DataFrame, held_out: float = TEST_FRACTION) -> Dat
 
     Adds the nine features, ``log_close`` (the label), the time ``scale`` (last training
     day of the raw split), ``first_date`` and ``last_date`` of the series, the number of
-    its ``rows``, and the feature row's ``place`` among ``feature_rows``. Rows without a
-    full set of lags are gone.
+    its ``rows``, the feature row's ``place`` among ``feature_rows``, the mean log close
+    ``center`` of those, and the ``naive`` prediction. Rows without a full set of lags are
+    gone.
     """
     shift = _days().rowsBetween(-7, -1)
     raw = series.withColumns(
         {
             "log_close": F.log1p("close"),
             "_place": F.row_number().over(_days()),
-            "rows": F.count(F.lit(1)).over(_series()),
-            "first_date": F.min("date").over(_series()),
-            "last_date": F.max("date").over(_series()),
+            "rows": F.count(F.lit(1)).over(_whole()),
+            "first_date": F.min("date").over(_whole()),
+            "last_date": F.max("date").over(_whole()),
         }
     ).withColumn("day_index", F.datediff("date", "first_date").cast("double"))
     in_training = F.col("_place") <= split_size(F.col("rows"), held_out)
     known = F.count("log_close").over(shift)
     built = raw.withColumns(
         {
-            "scale": F.greatest(F.max(F.when(in_training, F.col("day_index"))).over(_series()), F.lit(1.0)),
+            "scale": F.greatest(F.max(F.when(in_training, F.col("day_index"))).over(_whole()), F.lit(1.0)),
             "lag_1": F.lag("log_close", 1).over(_days()),
             "lag_2": F.lag("log_close", 2).over(_days()),
             "lag_3": F.lag("log_close", 3).over(_days()),
@@ -114,7 +116,12 @@ def temporal_features(series: DataFrame, held_out: float = TEST_FRACTION) -> Dat
     )
     complete = built.dropna(subset=[*FEATURES, "log_close"]).drop("_place", "_lag_6")
     numbered = complete.withColumns(
-        {"place": F.row_number().over(_days()), "feature_rows": F.count(F.lit(1)).over(_series())}
+        {
+            "place": F.row_number().over(_days()),
+            "feature_rows": F.count(F.lit(1)).over(_whole()),
+            "center": F.avg("log_close").over(_whole()),
+            "naive": naive_prediction(),
+        }
     )
     part = F.when(F.col("place") <= split_size(F.col("feature_rows"), held_out), "train").otherwise("test")
     return numbered.withColumn("part", part)

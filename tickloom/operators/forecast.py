@@ -108,8 +108,7 @@ def forecast_all(
     fits = keep(ridge.fit_all(rows))
     models = ridge.with_chosen(fits)
 
-    naive = rows.withColumn("naive", features.naive_prediction())
-    scored = naive.join(models.select("symbol", "reg_param", "beta", "intercept"), "symbol").withColumn(
+    scored = rows.join(models.select("symbol", "reg_param", "beta", "intercept"), "symbol").withColumn(
         "predicted", F.expm1(ridge.linear_rule(F.col("beta"), F.col("intercept")))
     )
     damped = backtest.calibrate(scored, ["symbol", "part"]).withColumn("predicted", F.col("calibrated"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.operators.features import FEATURES
@@ -29,16 +29,13 @@ def moments(features: DataFrame) -> DataFrame:
     """Per (symbol, part): row count, sums and sums of products of features and label.
 
     Price levels enter relative to the series' mean log close (``center``), which keeps
-    the products well scaled. The window that gives the mean and these sums reuse the
-    partitioning of the feature windows.
+    the products well scaled. The sums reuse the partitioning of the feature windows.
     """
-    center = F.avg("log_close").over(Window.partitionBy("symbol"))
-    shifted = features.withColumn("center", center)
 
     def value(name: str) -> Column:
         return F.col(name) - F.col("center") if name in _CENTRED else F.col(name)
 
-    shifted = shifted.withColumns({f"_x{i}": value(name) for i, name in enumerate(_NAMES)})
+    shifted = features.withColumns({f"_x{i}": value(name) for i, name in enumerate(_NAMES)})
     size = len(_NAMES)
     sums = [F.sum(f"_x{i}").alias(f"_s{i}") for i in range(size)]
     products = [

@@ -222,9 +222,7 @@ def series_status(spark, folder):
 
 def _test_rows(spark, folder) -> DataFrame:
     """Test rows with the mean of the last seven log closes standing in for the model."""
-    rows = _features(spark, folder).withColumns(
-        {"naive": features.naive_prediction(), "predicted": F.expm1("rolling_mean_7")}
-    )
+    rows = _features(spark, folder).withColumn("predicted", F.expm1("rolling_mean_7"))
     return rows.where(F.col("part") == "test")
 
 
