@@ -129,6 +129,11 @@ def test_stock_job_and_exploration(spark, tmp_path):
     table = curated.read_curated(spark, str(tmp_path / "curated"), ordered=True)
     first = table.collect()[0]
     assert (first["symbol"], first["trade_date_fmt"]) == ("A", dt.date(2024, 1, 1))
+    etl.run_stock_job(spark, path, str(tmp_path / "buckets"), buckets=4)
+    own = curated.of_symbols(curated.read_curated(spark, str(tmp_path / "buckets")), ["B"], 4)
+    assert own.count() == 8 and {r["symbol"] for r in own.collect()} == {"B"}
+    plan = own._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "symbol_bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
     made = exploring.explore(spark, str(tmp_path / "curated"), str(tmp_path / "eda"))
     counts = spark.read.option("header", True).csv(made["symbol_counts"]).collect()
     assert [(r["symbol"], r["count"]) for r in counts] == [("A", "8"), ("B", "8")]

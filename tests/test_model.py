@@ -209,8 +209,10 @@ def test_fold_remainder_joins_the_last(spark, size, expected):
     assert {r["fold"]: r["count"] for r in backtest.with_fold(rows).groupBy("fold").count().collect()} == expected
 
 
-def test_forecast_of_many_series(series):
+def test_forecast_of_many_series(spark, series):
     made = forecast.forecast_all(series, days=5)
+    stored = spark.createDataFrame([], forecast.METRICS_SCHEMA)
+    assert [(f.name, f.dataType.simpleString()) for f in stored.schema] == [(f.name, f.dataType.simpleString()) for f in made.metrics.schema]
     metrics = {r["symbol"]: r for r in made.metrics.collect()}
     assert set(metrics) == {"UP", "W1", "W2", "W3", "FLAT"}
     up = metrics["UP"]

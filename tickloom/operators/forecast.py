@@ -15,6 +15,21 @@ from tickloom.operators import backtest, features, ridge
 HORIZON_DAYS = 31
 MODEL_NAME = "pyspark_linear_regression_lbfgs_log_scale_temporal_features"
 
+# The metrics record, for reading it back from files.
+_FOLD = (
+    "fold:int,start_date:date,end_date:date,rows:bigint,model_rmse:double,model_mae:double,model_r2:double,"
+    "naive_rmse:double,naive_mae:double,naive_r2:double,model_beats_naive_rmse:boolean"
+)
+_SUMMARY = "folds:int,model_rmse_mean:double,naive_rmse_mean:double,model_beats_naive_in_mean_rmse:boolean"
+METRICS_SCHEMA = (
+    "symbol string, iterations int, epochs int, reg_param double, train_rows bigint, test_rows bigint, future_days int, "
+    "forecast_anchor_date date, train_r2 double, r2 double, test_r2 double, target_r2_min double, target_r2_max double, "
+    "train_target_reached boolean, test_target_reached boolean, target_reached boolean, rmse double, mae double, "
+    "baseline_naive_rmse double, baseline_naive_mae double, baseline_naive_r2 double, model_beats_naive_rmse boolean, "
+    f"backtest_folds array<struct<{_FOLD}>>, backtest_summary struct<{_SUMMARY}>, feature_set array<string>, "
+    "model string, from_cache boolean"
+)
+
 
 def _mean(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda total, x: total + x) / F.lit(float(ridge.TAIL))

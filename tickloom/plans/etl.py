@@ -108,12 +108,14 @@ def run_price_series_job(
     return JobSummary(rows, csv_path, parquet_path, bucket_root, key, warnings)
 
 
-def run_stock_job(spark: SparkSession, input_path: str, output_path: str, sep: str = "auto") -> JobSummary:
-    """Curate an OHLCV file into Parquet partitioned by symbol."""
+def run_stock_job(
+    spark: SparkSession, input_path: str, output_path: str, sep: str = "auto", buckets: int = 0
+) -> JobSummary:
+    """Curate an OHLCV file into Parquet partitioned by symbol, or by hash bucket of symbols."""
     raw = delimited.read_file(spark, input_path, sep)
     curated = ohlcv.curate(raw, order.ORDER, order.block())
     watch = Observation()
-    sinks.write_parquet(curated.observe(watch, F.count(F.lit(1)).alias("rows")), output_path, ["symbol"])
+    sinks.write_by_symbol(curated.observe(watch, F.count(F.lit(1)).alias("rows")), output_path, buckets)
     return JobSummary(watch.get["rows"], None, output_path)
 
 

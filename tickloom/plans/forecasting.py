@@ -100,18 +100,10 @@ def _keys_of(spark: SparkSession, root: str, name: str) -> DataFrame:
 def _artifact(spark: SparkSession, root: str, name: str) -> DataFrame:
     path = f"{root}/artifacts/{name}"
     if name == "training_metrics":
-        return spark.read.schema(_metrics_schema(spark)).json(path)
+        return spark.read.schema(f"{forecast.METRICS_SCHEMA}, run_key string").json(path)
     return spark.read.schema(_PREDICTIONS[name]).option("header", True).option("enforceSchema", False).csv(path)
 
 
-def _metrics_schema(spark: SparkSession):
-    """Schema of the metrics table, from the plan that produces it."""
-    empty = spark.createDataFrame(
-        [], "symbol string, date date, close double, high double, low double, volume double"
-    )
-    return forecast.forecast_all(empty).metrics.withColumn("run_key", F.lit("")).schema
-
-
 def _results(spark: SparkSession, root: str, plan: DataFrame, counts: DataFrame) -> ForecastRun:
     """Rows of the planned runs from the artifact tables, marked as new or reused."""
     chosen = plan.select("run_key", "decision", "action_key", "valid_runs")

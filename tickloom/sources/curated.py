@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.sources.sinks import symbol_bucket
+
 
 def read_curated(spark: SparkSession, path: str, ordered: bool = False) -> DataFrame:
     """Curated Parquet with ``trade_date_fmt`` as a real date. Ask for ``ordered`` only at
     a sink; every operator states the order it needs itself."""
     table = spark.read.parquet(path).withColumn("trade_date_fmt", F.try_to_date("trade_date_fmt", "yyyy-MM-dd"))
     return table.orderBy("symbol", "trade_date_fmt") if ordered else table
+
+
+def of_symbols(table: DataFrame, symbols: Sequence[str], buckets: int = 0) -> DataFrame:
+    """Rows of some symbols. With the bucket number the table was written with, only those
+    symbols' bucket folders are read."""
+    rows = table.where(F.col("symbol").isin(*symbols))
+    if buckets:
+        rows = rows.where(F.col("symbol_bucket").isin(*[symbol_bucket(F.lit(s), buckets) for s in symbols]))
+    return rows

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions import dates
@@ -54,6 +54,21 @@ def write_single(table: DataFrame, target: str, kind: str, sep: str = ";") -> st
     return target
 
 
+def symbol_bucket(symbol: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(symbol), F.lit(buckets)).cast("int")
+
+
+def write_by_symbol(table: DataFrame, path: str, buckets: int = 0, day: str = "trade_date_fmt") -> str:
+    """Parquet in one folder per symbol, or per hash bucket of symbols when there are too
+    many for folders. Rebalancing evens the files out, also where one symbol has most rows,
+    and the order inside a file lets row groups be skipped by symbol and day."""
+    by = "symbol"
+    if buckets:
+        by = "symbol_bucket"
+        table = table.withColumn(by, symbol_bucket(F.col("symbol"), buckets))
+    return write_parquet(table.hint("rebalance", by).sortWithinPartitions(by, "symbol", day), path, [by])
+
+
 def publish(table: DataFrame, root: str, prefix: str, source_name: str, by: Sequence[str] = ()) -> str:
     """Parquet at ``root/prefix/slug.parquet``; the root may be any Hadoop URI."""
     return write_parquet(table, f"{root.rstrip('/')}/{prefix}/{slug_text(source_name)}.parquet", by)
