@@ -113,6 +113,7 @@ def test_price_series_job_writes_named_files_and_publishes(spark, tmp_path):
     assert job.to_frame(spark).collect()[0]["rows"] == 10
     wide = etl.run_price_series_job(spark, path, "dir", str(tmp_path / "t2"), str(tmp_path / "o2"), single_symbol=False, single_file=False)
     assert wide.rows == 10 and (tmp_path / "o2/dir.parquet").is_dir()
+    assert {r["check"] for r in spark.read.parquet(str(tmp_path / "o2/dir_findings.parquet")).collect()} == {"dropped_rows", "small_series", "trimmed"}
 
 
 def test_single_files_refuse_large_tables(spark, tmp_path, monkeypatch):

@@ -83,7 +83,7 @@ def run_price_series_job(
     under ``bucket_root`` (any Hadoop URI) when one is given.
 
     A single series is written as one file per format; ``single_file=False`` leaves
-    directories, as suits a table of many symbols.
+    directories, as suits a table of many symbols, whose findings become a table as well.
     """
     name = slug_text(source_name)
     table = delimited.read_file(spark, input_path, sep)
@@ -103,8 +103,12 @@ def run_price_series_job(
     key = f"{key_prefix}/{name}.parquet" if bucket_root else None
     if bucket_root:
         sinks.publish(spark.read.parquet(parquet_path), bucket_root, key_prefix, source_name)
-    shown = treated.findings.where(F.col("severity") == "warning").orderBy("symbol", "check").limit(100).collect()
-    warnings = [f"{row['symbol']}: {row['message']} ({row['observed']})" for row in shown]
+    noticed = treated.findings.where(F.col("severity") == "warning")
+    if single_symbol:  # a few findings of one series
+        warnings = [f"{row['symbol']}: {row['message']} ({row['observed']})" for row in noticed.orderBy("check").collect()]
+    else:
+        findings_path = sinks.write_parquet(treated.findings, f"{output_root}/{name}_findings.parquet")
+        warnings = [f"findings of all symbols: {findings_path}"]
     return JobSummary(rows, csv_path, parquet_path, bucket_root, key, warnings)
 
 
