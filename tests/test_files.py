@@ -8,11 +8,15 @@ from tickloom.operators import quality, series
 from tickloom.plans import etl, exploring, training
 from tickloom.sources import curated, delimited, fixedwidth, order, sinks
 
-QUOTE = (
-    "012025071796EALT3F      020ACO ALTONA  ON           R$  000000000150100000000015370000000001493000000000150000"
-    "00000001493000000000148200000000014930001300000000000000007300000000000010954200000000000000999912310000001000"
-    "0000000000BREALTACNOR4139"
-)
+
+def _quote(symbol="10ABCD3", day="20250717", opened="1501", high="1537", low="1493", close="1482", volume="1493", name="COMPANY"):
+    """One record of the default layout, fields at their documented positions."""
+    parts = ["01", day, symbol.ljust(14), name.ljust(32)]
+    parts += [text.rjust(13, "0") for text in (opened, high, low, "0", "0", close, volume)]
+    return "".join(parts).ljust(200)
+
+
+QUOTE = _quote()
 
 
 def _write(path, text, encoding="utf-8"):
@@ -27,19 +31,19 @@ def test_separator_rule():
 
 
 def test_fixed_width_records(spark, tmp_path):
-    text = "00HEADER 20250731\n" + QUOTE + "\n" + QUOTE[:100] + "\n" + QUOTE.replace("ACO ALTONA", "AÇO ALTONÃ").replace("EALT3F", "EALT4F") + "\n"
+    text = "00HEADER 20250731\n" + QUOTE + "\n" + QUOTE[:100] + "\n" + _quote("10ABCD4", name="AÇÃO É") + "\n"
     path = _write(tmp_path / "sample.txt", text, "latin-1")
     rows = fixedwidth.read_quotes(spark, path).orderBy("symbol").collect()
-    assert [r["symbol"] for r in rows] == ["96EALT3F", "96EALT4F"]
+    assert [r["symbol"] for r in rows] == ["10ABCD3", "10ABCD4"]
     for row in rows:
         assert [row[c] for c in ("trade_date", "open", "high", "low", "close", "volume")] == ["2025-07-17", "15.01", "15.37", "14.93", "14.82", "1493"]
 
 
 def test_bad_fixed_width_fields_are_reported(spark, tmp_path):
-    path = _write(tmp_path / "bad.txt", QUOTE.replace("0000000001501", "00000000015x1") + "\n" + QUOTE.replace("20250717", "20251399") + "\n")
+    path = _write(tmp_path / "bad.txt", _quote(opened="15x1") + "\n" + _quote(day="20251399") + "\n")
     quotes = fixedwidth.read_quotes(spark, path)
     assert {(r["open"], r["trade_date"]) for r in quotes.collect()} == {(None, "2025-07-17"), ("15.01", None)}
-    assert [(r["symbol"], r["observed"]) for r in fixedwidth.unreadable(quotes).collect()] == [("96EALT3F", 2)]
+    assert [(r["symbol"], r["observed"]) for r in fixedwidth.unreadable(quotes).collect()] == [("10ABCD3", 2)]
 
 
 def test_folder_with_two_layouts_and_text_files(spark, tmp_path):
@@ -50,12 +54,12 @@ def test_folder_with_two_layouts_and_text_files(spark, tmp_path):
     _write(tmp_path / "note.md", "not a price file")
     scan = delimited.read_folder(spark, str(tmp_path))
     rows = {r["symbol"]: r for r in scan.table.collect()}
-    assert set(rows) == {"A", "B", "96EALT3F"} and rows["B"]["close"] == "2" and rows["B"]["open"] is None
+    assert set(rows) == {"A", "B", "10ABCD3"} and rows["B"]["close"] == "2" and rows["B"]["open"] is None
     found = {(os.path.basename(r["symbol"]), r["check"]) for r in scan.findings.collect()}
     assert found == {("b.csv", "separator"), ("blank.csv", "skipped_file")}
     from tickloom.functions.dates import padded_date
 
-    days = [r[0] for r in scan.table.where("symbol != '96EALT3F'").select(F.min(padded_date(F.col("trade_date")))).collect()]
+    days = [r[0] for r in scan.table.where("symbol != '10ABCD3'").select(F.min(padded_date(F.col("trade_date")))).collect()]
     assert days == [dt.date(2025, 7, 1)]
     assert sorted(p.name for p in tmp_path.iterdir()) == ["a.csv", "b.csv", "blank.csv", "c.txt", "note.md"]
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,17 +92,71 @@ def future_path(models: DataFrame, days: int = HORIZON_DAYS) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
 class Forecast:
-    """Lazy frames of one forecast run over many series, all keyed by ``symbol``."""
+    """Frames of one forecast run over many series, all keyed by ``symbol``. Each frame is
+    built when it is first asked for, so a caller pays only for what it uses."""
+
+    def __init__(
+        self, series: DataFrame, days: int, held_out: float, keep: Callable[[DataFrame], DataFrame]
+    ) -> None:
+        if int(days) < 1:
+            raise ValueError("the horizon must be at least one day")
+        self.series, self.horizon_days, self.held_out, self._keep = series, int(days), held_out, keep
+
+    @cached_property
+    def _built(self) -> DataFrame:
+        return self._keep(features.temporal_features(self.series, self.held_out))
+
+    @cached_property
+    def _trainable(self) -> DataFrame:
+        return features.trainable(self._built)
+
+    @cached_property
+    def _fits(self) -> DataFrame:
+        return self._keep(ridge.fit_all(self._trainable))
+
+    @cached_property
+    def _models(self) -> DataFrame:
+        return ridge.with_chosen(self._fits)
+
+    @cached_property
+    def _calibrated(self) -> DataFrame:
+        chosen = self._models.select("symbol", "reg_param", "beta", "intercept")
+        scored = self._trainable.join(chosen, "symbol").withColumn(
+            "predicted", F.expm1(ridge.linear_rule(F.col("beta"), F.col("intercept")))
+        )
+        damped = backtest.calibrate(scored, ["symbol", "part"]).withColumn("predicted", F.col("calibrated"))
+        return self._keep(
+            damped.select(
+                "symbol", "date", "close", "part", "predicted", "naive", "calibrated_r2", "reg_param", "last_date"
+            )
+        )
+
+    @cached_property
+    def metrics(self) -> DataFrame:
+        return _metrics(self._calibrated, self.horizon_days)
+
+    @cached_property
+    def past(self) -> DataFrame:
+        """Test-period predictions: (symbol, date, close, predicted)."""
+        return self._calibrated.where(F.col("part") == "test").select("symbol", "date", "close", "predicted")
+
+    @cached_property
+    def future(self) -> DataFrame:
+        return future_path(self._models, self.horizon_days)
+
+    @cached_property
+    def attempts(self) -> DataFrame:
+        return ridge.search_attempts(self._trainable, self._fits)
 
-    metrics: DataFrame
-    past: DataFrame
-    future: DataFrame
-    attempts: DataFrame
-    rows: DataFrame
-    status: DataFrame
-    horizon_days: int
+    @cached_property
+    def rows(self) -> DataFrame:
+        """The rows that were modelled, with their part."""
+        return self._trainable.select("symbol", "date", "close", "high", "low", "volume", "part")
+
+    @cached_property
+    def status(self) -> DataFrame:
+        return features.series_status(self.series, self._built)
 
 
 def forecast_all(
@@ -118,30 +172,7 @@ def forecast_all(
     ``keep`` is applied to the frames that several results share; a job that writes them
     all passes one that materialises.
     """
-    built = keep(features.temporal_features(series, held_out))
-    rows = features.trainable(built)
-    fits = keep(ridge.fit_all(rows))
-    models = ridge.with_chosen(fits)
-
-    scored = rows.join(models.select("symbol", "reg_param", "beta", "intercept"), "symbol").withColumn(
-        "predicted", F.expm1(ridge.linear_rule(F.col("beta"), F.col("intercept")))
-    )
-    damped = backtest.calibrate(scored, ["symbol", "part"]).withColumn("predicted", F.col("calibrated"))
-    calibrated = keep(
-        damped.select("symbol", "date", "close", "part", "predicted", "naive", "calibrated_r2", "reg_param", "last_date")
-    )
-    test = calibrated.where(F.col("part") == "test")
-    past = test.select("symbol", "date", "close", "predicted")
-    metrics = _metrics(calibrated, days)
-    return Forecast(
-        metrics=metrics,
-        past=past,
-        future=future_path(models, days),
-        attempts=ridge.search_attempts(rows, fits),
-        rows=rows.select("symbol", "date", "close", "high", "low", "volume", "part"),
-        status=features.series_status(series, built),
-        horizon_days=int(days),
-    )
+    return Forecast(series, days, held_out, keep)
 
 
 def _metrics(calibrated: DataFrame, days: int) -> DataFrame:
