@@ -32,3 +32,23 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(longest, 0) AS INTEGER) AS longest
 FROM doc_words d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id) LEFT JOIN longest USING (doc_id)
 """
+
+CHECKS["op10_odd_sketches"] = r"""
+WITH RECURSIVE doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS i FROM doc_words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached(start, node) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.start, l.b FROM reached r JOIN both_ways l ON l.a = r.node),
+named AS (SELECT start, min(node) AS component_id FROM reached GROUP BY start)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM doc_words d LEFT JOIN sizes USING (doc_id) LEFT JOIN named ON start = d.doc_id
+"""

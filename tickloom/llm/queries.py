@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tickloom.llm import decontaminate
+import public_tokenizers
+
+from tickloom.llm import bpe, decontaminate, oddsketch
 from tickloom.llm.tables import read
 
 QUERIES = {}
@@ -16,3 +18,14 @@ def registered(query):
 @registered
 def op2_decontaminate(spark, folder):
     return decontaminate.report(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+@registered
+def op7_byte_bpe(spark, folder):
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.digests(read(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@registered
+def op10_odd_sketches(spark, folder):
+    return oddsketch.near_duplicates(read(spark, folder, "documents"), length=3, percent=85)
