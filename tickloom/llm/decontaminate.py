@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  pa.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,15 +72,6 @@ class Suffixes:
         return cls(found.hashes, at, size, first, number[order], offset[order], [name for name, _ in items], anchors)
 
 
-def _holds(values: np.ndarray, among: np.ndarray) -> np.ndarray:
-    """Which values are in the sorted ``among``: a bit table first, then a search for those it lets through."""
-    table = np.zeros(1 << 20, bool)
-    table[among >> np.uint64(44)] = True
-    left = np.flatnonzero(table[values >> np.uint64(44)])
-    place = np.minimum(np.searchsorted(among, values[left]), len(among) - 1)
-    return left[among[place] == values[left]]
-
-
 def _bound(column: np.ndarray, low: np.ndarray, high: np.ndarray, key: np.ndarray, after: bool) -> np.ndarray:
     """Within each [low, high) of a column sorted there: the first place with a value not before (not up to) its key."""
     low, high = low.copy(), high.copy()
@@ -98,7 +90,7 @@ def _search(shard: words.Words, test: Suffixes) -> tuple[np.ndarray, np.ndarray]
     starts = []
     for n, anchors in test.anchors.items():
         if len(shard.hashes) >= n:
-            starts.append(_holds(words.shingle_hashes(shard.hashes, n), anchors))
+            starts.append(words.held_in(words.shingle_hashes(shard.hashes, n), anchors))
     suffix = np.unique(np.concatenate(starts)) if starts else none
     if not len(suffix):
         return none, none
@@ -202,8 +194,6 @@ def _pass(frame: DataFrame, text: str, items: list[tuple[str, str]], window: int
     keep = [frame.columns.index(c) for c in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute  # noqa: F401
-
         for batch in batches:
             for piece in words.pieces(batch, at):
                 made = _shard(piece, at, held.value, earlier)

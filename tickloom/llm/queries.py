@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tickloom.llm import bpe, decontaminate, oddsketch
+from tickloom.llm import bpe, decontaminate, oddsketch, quality, toxicity
 from tickloom.llm.tables import read
 
 QUERIES = {}
@@ -29,3 +29,13 @@ def op7_byte_bpe(spark, folder):
 @registered
 def op10_odd_sketches(spark, folder):
     return oddsketch.near_duplicates(read(spark, folder, "documents"), length=3, percent=85)
+
+
+@registered
+def op6_toxicity(spark, folder):
+    return toxicity.report(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@registered
+def op5_quality(spark, folder):
+    return quality.report(read(spark, folder, "documents"), read(spark, folder, "labels"))

@@ -113,6 +113,17 @@ def shingle_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     return mixed(out)
 
 
+def held_in(values: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Places of the values that are in the sorted ``among``: a bit table first, then a search for those it lets through."""
+    if not len(among):
+        return np.zeros(0, np.int64)
+    table = np.zeros(1 << 20, bool)
+    table[among >> np.uint64(44)] = True
+    left = np.flatnonzero(table[values >> np.uint64(44)])
+    place = np.minimum(np.searchsorted(among, values[left]), len(among) - 1)
+    return left[among[place] == values[left]]
+
+
 def pieces(batch: pa.RecordBatch, column: int, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose texts have about ``limit`` bytes at most; a longer text is a run of its own."""
     if not batch.num_rows:
