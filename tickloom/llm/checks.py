@@ -52,3 +52,44 @@ named AS (SELECT start, min(node) AS component_id FROM reached GROUP BY start)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM doc_words d LEFT JOIN sizes USING (doc_id) LEFT JOIN named ON start = d.doc_id
 """
+
+CHECKS["op9_line_dedup"] = r"""
+WITH cut AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+numbered AS (
+  SELECT doc_id, place, line, row_number() OVER (PARTITION BY doc_id ORDER BY place) - 1 AS i,
+    length(line) - length(replace(line, ' ', '')) + 1 AS words, CAST('0x' || substr(md5(line), 1, 15) AS BIGINT) AS h
+  FROM (
+    SELECT doc_id, place, trim(regexp_replace(parts[place + 1], '[ \t\x0B\f\r]+', ' ', 'g')) AS line
+    FROM (SELECT doc_id, parts, unnest(generate_series(0, len(parts) - 1)) AS place FROM cut))
+  WHERE line <> ''),
+grown AS (
+  SELECT a.doc_id, a.i, a.words AS first_words, b.i AS e, b.h,
+    sum(b.words) OVER (PARTITION BY a.doc_id, a.i ORDER BY b.i) AS total,
+    sum(b.words) OVER (PARTITION BY a.doc_id, a.i ORDER BY b.i) - b.words AS total_before
+  FROM numbered a JOIN numbered b ON a.doc_id = b.doc_id AND b.i BETWEEN a.i AND a.i + 24),
+units AS (
+  SELECT doc_id, i, any_value(first_words) AS first_words,
+    CAST('0x' || substr(md5(' ' || string_agg(CAST(h AS VARCHAR), ' ' ORDER BY e)), 1, 15) AS BIGINT) AS unit
+  FROM grown WHERE total_before < 25 GROUP BY doc_id, i HAVING max(total) >= 25),
+windowed AS (
+  SELECT *, row_number() OVER w AS r, count(*) OVER (PARTITION BY doc_id) AS n,
+    lag(unit) OVER w AS earlier, lead(unit) OVER w AS later FROM units WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+prints AS (
+  SELECT doc_id, i, unit FROM windowed
+  WHERE first_words >= 25 OR n = 1 OR unit <= earlier OR unit < later),
+firsts AS (SELECT unit, min({'d': doc_id, 'i': i}) AS f FROM prints GROUP BY unit HAVING count(*) > 1),
+diagonals AS (
+  SELECT DISTINCT p.doc_id, f.d AS source, p.i - f.i AS diagonal FROM prints p JOIN firsts USING (unit)
+  WHERE p.doc_id <> f.d OR p.i <> f.i),
+same AS (
+  SELECT g.doc_id, g.source, g.diagonal, a.place, a.words, a.i - row_number() OVER (PARTITION BY g.doc_id, g.source, g.diagonal ORDER BY a.i) AS run
+  FROM diagonals g JOIN numbered a ON a.doc_id = g.doc_id JOIN numbered b ON b.doc_id = g.source AND b.i = a.i - g.diagonal
+  WHERE a.line = b.line),
+ranges AS (
+  SELECT DISTINCT doc_id, min(place) AS x, max(place) AS y FROM same GROUP BY doc_id, source, diagonal, run HAVING sum(words) >= 25),
+removed AS (SELECT doc_id, list({'x': x, 'y': y} ORDER BY x, y) AS r FROM ranges GROUP BY doc_id)
+SELECT doc_id, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(parts) END AS BIGINT) AS n_lines,
+  coalesce(array_to_string(list_transform(r, lambda q: q.x || '-' || q.y), ','), '') AS removed,
+  sha256(CASE WHEN r IS NULL THEN coalesce(text, '') ELSE array_to_string(list_filter(parts, lambda p, k: len(list_filter(r, lambda q: k - 1 BETWEEN q.x AND q.y)) = 0), chr(10)) END) AS text_sha256
+FROM cut LEFT JOIN removed USING (doc_id)
+"""

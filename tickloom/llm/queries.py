@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tickloom.llm import bpe, decontaminate, oddsketch, quality, toxicity
+from tickloom.llm import bpe, decontaminate, linededup, oddsketch, quality, toxicity
 from tickloom.llm.tables import read
 
 QUERIES = {}
@@ -39,3 +39,8 @@ def op6_toxicity(spark, folder):
 @registered
 def op5_quality(spark, folder):
     return quality.report(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@registered
+def op9_line_dedup(spark, folder):
+    return linededup.report(read(spark, folder, "documents"))
