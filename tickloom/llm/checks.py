@@ -93,3 +93,40 @@ SELECT doc_id, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(parts) END AS BIGINT)
   sha256(CASE WHEN r IS NULL THEN coalesce(text, '') ELSE array_to_string(list_filter(parts, lambda p, k: len(list_filter(r, lambda q: k - 1 BETWEEN q.x AND q.y)) = 0), chr(10)) END) AS text_sha256
 FROM cut LEFT JOIN removed USING (doc_id)
 """
+
+CHECKS["op4_pii"] = r"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+patterns(k, kind, p) AS (VALUES
+  (1, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+'),
+  (2, 'ip', '[0-9]+(?:\.[0-9]+){3}'),
+  (3, 'card', '[0-9](?:[ -]?[0-9])+'),
+  (4, 'phone', '\+[0-9][ ().0-9-]+[0-9]'),
+  (5, 'iban', '[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?'),
+  (6, 'ssn', '[0-9]+(?:-[0-9]+)+')),
+cut AS (SELECT doc_id, t, k, kind, regexp_extract_all(t, p) AS m, regexp_split_to_array(t, p) AS g FROM texts, patterns WHERE regexp_matches(t, p)),
+one AS (SELECT *, unnest(generate_series(1, len(m))) AS i FROM cut),
+placed AS (
+  SELECT doc_id, t, k, kind, m[i] AS x, CAST(list_sum(list_transform(g[1:i], lambda q: length(q))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda q: length(q))), 0) AS BIGINT) AS s
+  FROM one),
+cleaned AS (
+  SELECT *, regexp_replace(x, '[^0-9]', '', 'g') AS digits, replace(x, ' ', '') AS code,
+    substr(t, greatest(s - 40, 0) + 1, least(s, 40)) AS near FROM placed),
+valid AS (
+  SELECT * FROM cleaned WHERE CASE kind
+    WHEN 'email' THEN true
+    WHEN 'ip' THEN len(list_filter(string_split(x, '.'), lambda q: length(ltrim(q, '0')) > 3 OR CAST('0' || right(ltrim(q, '0'), 3) AS INTEGER) > 255)) = 0
+    WHEN 'card' THEN length(digits) BETWEEN 16 AND 19 AND list_sum(list_transform(string_split(reverse(digits), ''), lambda q, j:
+      CASE WHEN j % 2 = 1 THEN CAST(q AS INTEGER) WHEN CAST(q AS INTEGER) > 4 THEN 2 * CAST(q AS INTEGER) - 9 ELSE 2 * CAST(q AS INTEGER) END)) % 10 = 0
+    WHEN 'phone' THEN length(digits) BETWEEN 8 AND 15
+    WHEN 'iban' THEN length(code) = map {'AT': 20, 'BE': 16, 'CH': 21, 'CZ': 24, 'DE': 22, 'DK': 18, 'ES': 24, 'FI': 18, 'FR': 27, 'GB': 22, 'IE': 22,
+        'IT': 27, 'LU': 20, 'NL': 18, 'NO': 15, 'PL': 28, 'PT': 25, 'SE': 24}[left(code, 2)]
+      AND list_reduce(list_transform(string_split(substr(code, 5) || left(code, 4), ''), lambda q: CASE WHEN q BETWEEN '0' AND '9' THEN ascii(q) - 48 ELSE ascii(q) - 55 END),
+        lambda a, b: (a * CASE WHEN b > 9 THEN 100 ELSE 10 END + b) % 97) = 1
+    ELSE regexp_full_match(x, '[0-9]{3}-[0-9]{2}-[0-9]{4}') AND left(x, 3) NOT IN ('000', '666') AND left(x, 1) <> '9' AND substr(x, 5, 2) <> '00' AND right(x, 4) <> '0000'
+      AND regexp_matches(lower(near), '\bssn\b|social security') END)
+SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip, count(*) FILTER (kind = 'card') AS n_card,
+  count(*) FILTER (kind = 'phone') AS n_phone,
+  sha256(coalesce(string_agg(kind || ':' || s || ':' || (s + length(x)), ',' ORDER BY k, s) FILTER (k <= 4), '')) AS base_sha256,
+  coalesce(string_agg(kind || ':' || s || ':' || (s + length(x)), ',' ORDER BY k, s), '') AS spans
+FROM texts LEFT JOIN valid USING (doc_id) GROUP BY doc_id
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tickloom.llm import bpe, decontaminate, linededup, oddsketch, quality, toxicity
+from tickloom.llm import bpe, decontaminate, linededup, oddsketch, pii, quality, toxicity
 from tickloom.llm.tables import read
 
 QUERIES = {}
@@ -44,3 +44,8 @@ def op5_quality(spark, folder):
 @registered
 def op9_line_dedup(spark, folder):
     return linededup.report(read(spark, folder, "documents"))
+
+
+@registered
+def op4_pii(spark, folder):
+    return pii.report(read(spark, folder, "documents"))
