@@ -130,3 +130,18 @@ SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kin
   coalesce(string_agg(kind || ':' || s || ':' || (s + length(x)), ',' ORDER BY k, s), '') AS spans
 FROM texts LEFT JOIN valid USING (doc_id) GROUP BY doc_id
 """
+
+CHECKS["op3_cross_polytope"] = r"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda q: q IS NULL OR NOT isfinite(q))) = 0 AND len(list_filter(embedding, lambda q: q <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reached(start, node) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.start, l.b FROM reached r JOIN links l ON l.a = r.node),
+named AS (SELECT start, min(node) AS component_id FROM reached GROUP BY start),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings LEFT JOIN counted ON a = vec_id LEFT JOIN named ON start = vec_id
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tickloom.llm import bpe, decontaminate, linededup, oddsketch, pii, quality, toxicity
+from tickloom.llm import bpe, decontaminate, linededup, oddsketch, pii, polytope, quality, toxicity
 from tickloom.llm.tables import read
 
 QUERIES = {}
@@ -49,3 +49,8 @@ def op9_line_dedup(spark, folder):
 @registered
 def op4_pii(spark, folder):
     return pii.report(read(spark, folder, "documents"))
+
+
+@registered
+def op3_cross_polytope(spark, folder):
+    return polytope.near_duplicates(read(spark, folder, "embeddings"), threshold=0.98)
