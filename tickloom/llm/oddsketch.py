@@ -6,9 +6,10 @@ a look: the bits in which two sketches differ count the samples in which the set
 Pairs that pass are confirmed on the full sets, so no link is ever made by an estimate.
 
 Texts of equal sets are one class from the start. Within a bucket every class is first held
-against the bucket's smallest one. Only pairs that the links found so far leave in different
-components are proposed after that, in blocks of bounded size; links inside a component
-change nothing. So a group of many near copies costs as many checks as it has members.
+against the bucket's smallest one, then, where the links so far leave several components in
+the bucket, against other members chosen by a hash. All pairs of different components that
+are left after that are proposed in blocks of bounded size; links inside a component change
+nothing. So a group of many near copies costs about as many checks as it has members.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ from tickloom.llm.components import components
 BANDS, ROWS = 24, 5
 SKETCH_BITS = 512
 BLOCK = 256
-#: How many standard deviations of the samples' count an estimate may fall short of the threshold.
-SLACK = 6.0
+#: After the first hubs, other members of the split buckets are hubs so many times.
+TURNS = 3
+#: How many standard deviations an estimate may fall short of the threshold.
+SLACK = 5.5
 
 
 def _permutations(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -109,14 +112,16 @@ def _signed(batch: pa.RecordBatch, text: int, alphabet: words.Alphabet, length:
 def _most_differing(threshold: float, samples: int, bits: int = SKETCH_BITS) -> int:
     """The number of differing bits above which a pair's sets can be taken as less alike than the threshold.
 
-    Of ``samples`` samples a pair at the threshold differs in t on average. 2 t flipped
-    bits in a map of ``bits`` leave (1 - (1 - 2 / bits) ** (2 t)) / 2 of the bits set. t is
-    taken SLACK standard deviations higher, and so is the count of bits.
+    At the threshold t = samples * (1 - threshold) samples differ on average, each of which
+    flips two bits; 2 t flips leave (1 - (1 - 2 / bits) ** (2 t)) / 2 of the bits set. The
+    count of bits varies with t and with the flips that cancel out: SLACK standard
+    deviations are allowed.
     """
     t = samples * (1 - threshold)
-    t = min(samples, t + SLACK * (samples * threshold * (1 - threshold)) ** 0.5)
-    share = (1 - (1 - 2 / bits) ** (2 * t)) / 2
-    return int(bits * share + SLACK * (bits * share * (1 - share)) ** 0.5)
+    left = (1 - 2 / bits) ** (2 * t)
+    by_samples = 2 * (t * threshold) ** 0.5 * left
+    by_chance = 2 * t * (2 / bits) ** 0.5
+    return int(bits * (1 - left) / 2 + SLACK * (by_samples**2 + by_chance**2) ** 0.5)
 
 
 def _apart(a: Column, b: Column) -> Column:
@@ -169,6 +174,22 @@ def _promising(pairs: DataFrame, sketches: DataFrame, percent: int, most: int) -
     return sized.where(_apart(F.col("left"), F.col("right")) <= most).select("a", "b")
 
 
+def _split_buckets(slots: DataFrame, links: DataFrame) -> DataFrame:
+    """``(key, node, component)`` of the buckets whose members the links leave in more than one component."""
+    members = slots.join(components(links), "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    members = written(members, "members")
+    split = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    return members.join(split, "key", "left_semi")
+
+
+def _to_hubs(members: DataFrame, turn: int) -> DataFrame:
+    """Each bucket's members outside the component of one of them, chosen by a hash, paired with that one."""
+    order = F.xxhash64("key", "node", F.lit(turn))
+    hubs = members.groupBy("key").agg(F.min(F.struct(order.alias("order"), "node", "component")).alias("hub"))
+    pairs = members.join(hubs, "key").where(F.col("component") != F.col("hub.component"))
+    return pairs.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+
+
 def _cross(members: DataFrame, most: int, percent: int) -> DataFrame:
     """Pairs of different components that sizes and sketches leave possible, among the members of each bucket.
 
@@ -256,19 +277,16 @@ def near_duplicates(
     sets = _full_sets(texts, alphabet, length).withColumn("node", _node()).drop("one", "two")
     sets = written(sets.join(involved, "node", "left_semi").dropDuplicates(["node"]), "sets")
 
-    stars = slots.where("node > hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    first = written(_confirmed(_promising(stars, sketches, percent, most), sets, percent), "confirmed")
-    found = components(first)
-    members = slots.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    members = written(members, "members")
-    split = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    members = members.join(split, "key", "left_semi").join(sketches, "node")
-    rest = _confirmed(_cross(members, most, percent).join(stars, ["a", "b"], "left_anti"), sets, percent)
+    checked = lambda pairs: written(_confirmed(_promising(pairs, sketches, percent, most), sets, percent), "confirmed")
+    links = checked(slots.where("node > hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
+    for turn in range(TURNS):
+        links = links.union(checked(_to_hubs(_split_buckets(slots, links), turn)))
+    rest = checked(_cross(_split_buckets(slots, links).join(sketches, "node"), most, percent))
 
     owners = full.select("id", "node").distinct()
     lowest = owners.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("top")).where("a < top").select("id", "a")
     one_id = owners.join(lowest, "id").select("a", F.col("node").alias("b"))
-    grouped = components(first.union(rest).union(one_id))
+    grouped = components(links.union(rest).union(one_id))
     placed = written(
         signed.select("id", "size", "node").join(grouped, "node", "left")
         .select("id", "size", F.when(F.col("size") > 0, F.coalesce("component", "node")).alias("group")),
