@@ -2,8 +2,10 @@
 
 Each text's distinct word shingles give MinHash samples. Bands of samples propose pairs;
 the samples, folded by parity into a bitmap (the odd sketch), decide which pairs are worth
-a look: the bits in which two sketches differ count the samples in which the sets differ.
-Pairs that pass are confirmed on the full sets, so no link is ever made by an estimate.
+a look: the bits in which two sketches differ count the samples in which the sets differ. A
+second bitmap folds the whole set; two of these never differ in more bits than the sets
+differ in shingles, so it excludes pairs for certain. Pairs that pass are confirmed on the
+full sets, so no link is ever made by an estimate.
 
 Texts of equal sets are one class from the start. Within a bucket every class is first held
 against the bucket's smallest one, then, where the links so far leave several components in
@@ -26,10 +28,11 @@ from tickloom.llm.common import Held, picked, written
 from tickloom.llm.components import components
 
 BANDS, ROWS = 24, 5
-SKETCH_BITS = 512
+SKETCH_BITS, SET_BITS = 512, 2048
+_BYTES = (SKETCH_BITS + SET_BITS) // 8
 BLOCK = 256
 #: After the first hubs, other members of the split buckets are hubs so many times.
-TURNS = 3
+TURNS = 1
 #: How many standard deviations an estimate may fall short of the threshold.
 SLACK = 5.5
 
@@ -73,6 +76,12 @@ def _samples(hashes: np.ndarray, offsets: np.ndarray, count: int) -> np.ndarray:
     return out
 
 
+def _folded(row: np.ndarray, values: np.ndarray, n: int, bits: int) -> np.ndarray:
+    """The parity bitmap of each row's values, as bytes."""
+    spots = row * bits + (values % np.uint64(bits)).astype(np.int64)
+    return np.packbits((np.bincount(spots, minlength=n * bits) & 1).astype(np.uint8).reshape(n, bits), axis=1)
+
+
 def _prints(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Two fingerprints of each set; those of the empty set are 0."""
     full = np.flatnonzero(np.diff(offsets))
@@ -90,7 +99,7 @@ def _signed(batch: pa.RecordBatch, text: int, alphabet: words.Alphabet, length:
     full = np.flatnonzero(size)
     starts = np.append(offsets[full], len(hashes))
     prints = _prints(hashes, offsets)
-    keys, sketch = np.zeros((0, bands), np.uint64), np.zeros((0, SKETCH_BITS // 8), np.uint8)
+    keys, sketch = np.zeros((0, bands), np.uint64), np.zeros((0, _BYTES), np.uint8)
     if len(full):
         samples = _samples(hashes, starts, bands * rows)
         grouped = words.mixed(samples).reshape(len(full), bands, rows)
@@ -98,12 +107,15 @@ def _signed(batch: pa.RecordBatch, text: int, alphabet: words.Alphabet, length:
         for i in range(rows):
             keys = words.mixed(keys + grouped[:, :, i])
         keys = words.mixed(keys + np.arange(bands, dtype=np.uint64))
-        spots = (words.mixed(samples + np.arange(bands * rows, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(SKETCH_BITS)).astype(np.int64)
-        bits = np.bincount((spots + np.arange(len(full))[:, None] * SKETCH_BITS).ravel(), minlength=len(full) * SKETCH_BITS) & 1
-        sketch = np.packbits(bits.reshape(len(full), SKETCH_BITS).astype(np.uint8), axis=1)
+        sampled = words.mixed(samples + np.arange(bands * rows, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        row = np.repeat(np.arange(len(full)), size[full])
+        sketch = np.concatenate(
+            [_folded(np.repeat(np.arange(len(full)), bands * rows), sampled.ravel(), len(full), SKETCH_BITS), _folded(row, words.mixed(hashes), len(full), SET_BITS)],
+            axis=1,
+        )
     held = np.zeros(len(size), np.int64)
     held[full] = 1
-    sketches = np.zeros((len(size), SKETCH_BITS // 8), np.uint8)
+    sketches = np.zeros((len(size), _BYTES), np.uint8)
     sketches[full] = sketch
     fixed = pa.array([row.tobytes() for row in sketches], pa.binary())
     return [words.longs(size), words.longs(prints[0]), words.longs(prints[1]), words.lists(words.longs(keys.ravel()), held * bands), fixed]
@@ -124,13 +136,16 @@ def _most_differing(threshold: float, samples: int, bits: int = SKETCH_BITS) ->
     return int(bits * (1 - left) / 2 + SLACK * (by_samples**2 + by_chance**2) ** 0.5)
 
 
-def _apart(a: Column, b: Column) -> Column:
-    """In how many bits two sketches differ."""
-    pieces = [
-        F.bit_count(F.conv(F.hex(F.substring(a, 1 + 7 * i, 7)), 16, 10).cast("long").bitwiseXOR(F.conv(F.hex(F.substring(b, 1 + 7 * i, 7)), 16, 10).cast("long")))
-        for i in range(-(-SKETCH_BITS // 56))
-    ]
-    return sum(pieces[1:], pieces[0])
+def _possible(left: np.ndarray, right: np.ndarray, m: np.ndarray, n: np.ndarray, percent: int, most: int) -> np.ndarray:
+    """Which pairs of sketches (rows of 64-bit words) of sets with m and n shingles may be links."""
+    differ = np.bitwise_count(left ^ right)
+    cut = SKETCH_BITS // 64
+    apart = (100 - percent) * (m + n) // (100 + percent)  # no link differs in more shingles
+    return (differ[:, :cut].sum(axis=1) <= most) & (differ[:, cut:].sum(axis=1) <= apart) & (100 * np.minimum(m, n) >= percent * np.maximum(m, n))
+
+
+def _rows_of_words(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), -1)
 
 
 def _node() -> Column:
@@ -170,8 +185,16 @@ def _promising(pairs: DataFrame, sketches: DataFrame, percent: int, most: int) -
     """The pairs whose sizes and sketches leave a link possible."""
     left = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("left"), F.col("size").alias("m"))
     right = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("right"), F.col("size").alias("n"))
-    sized = pairs.join(left, "a").join(right, "b").where(100 * F.least("m", "n") >= percent * F.greatest("m", "n"))
-    return sized.where(_apart(F.col("left"), F.col("right")) <= most).select("a", "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                m, n = (batch.column(i).to_numpy() for i in (4, 5))
+                good = _possible(_rows_of_words(batch.column(2)), _rows_of_words(batch.column(3)), m, n, percent, most)
+                yield batch.select([0, 1]).filter(pa.array(good))
+
+    sized = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right", "m", "n")
+    return sized.mapInArrow(run, "a decimal(38,0), b decimal(38,0)")
 
 
 def _split_buckets(slots: DataFrame, links: DataFrame) -> DataFrame:
@@ -211,12 +234,10 @@ def _cross(members: DataFrame, most: int, percent: int) -> DataFrame:
         component, size = np.array([labels[r[5]] for r in rows]), np.array([r[7] for r in rows])
         for i in np.flatnonzero(own == low).tolist():
             can = (own == high) & (component != component[i])
-            can &= 100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])
             if low == high:
                 can[: i + 1] = False
             others = np.flatnonzero(can)
-            apart = np.bitwise_count(sketch[others] ^ sketch[i]).sum(axis=1)
-            for j in others[apart <= most].tolist():
+            for j in others[_possible(sketch[others], sketch[i], size[others], size[i], percent, most)].tolist():
                 yield min(rows[i][4], rows[j][4]), max(rows[i][4], rows[j][4])
 
     def table(pairs: list[tuple]) -> pa.RecordBatch:
