@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tickloom.llm import bpe, decontaminate, linededup, oddsketch, pii, polytope, quality, toxicity
+from tickloom.llm import bpe, decontaminate, linededup, oddsketch, pii, polytope, quality, toxicity, wavelet
+from tickloom.llm.common import written
 from tickloom.llm.tables import read
 
 QUERIES = {}
@@ -54,3 +55,9 @@ def op4_pii(spark, folder):
 @registered
 def op3_cross_polytope(spark, folder):
     return polytope.near_duplicates(read(spark, folder, "embeddings"), threshold=0.98)
+
+
+@registered
+def op8_wavelet_files(spark, folder):
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return wavelet.digests(written(wavelet.shards(read(spark, folder, "documents"), vocabulary), "token-files"))
