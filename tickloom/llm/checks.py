@@ -145,3 +145,47 @@ counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM embeddings LEFT JOIN counted ON a = vec_id LEFT JOIN named ON start = vec_id
 """
+
+
+def _licences() -> str:
+    from tickloom.llm.licences import TEMPLATES
+
+    notices = ", ".join(f"({i}, '{licence}', '{text}')" for i, (licence, text) in enumerate(TEMPLATES))
+    return rf"""
+WITH templates(template, licence, notice) AS (VALUES {notices}),
+files AS (
+  SELECT doc_id, coalesce(text, '') AS text, CASE WHEN doc_id % 500 = 0 THEN source || '/LICENSE' ELSE source || '/' || lang || '/' || (doc_id // 1000) || '/' ||
+    CASE WHEN doc_id % 20 = 0 THEN 'LICENSE' ELSE doc_id || '.txt' END END AS path FROM documents),
+t_terms AS (
+  SELECT template, licence, term, count(*) AS tf FROM (SELECT template, licence, unnest(regexp_extract_all(lower(notice), '[a-z0-9]+(?:\.[0-9]+)*')) AS term FROM templates) GROUP BY ALL),
+present AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+(?:\.[0-9]+)*')) AS term FROM files),
+weights AS (
+  SELECT term, ln((1.0 + (SELECT count(*) FROM files)) / (1.0 + count(*))) + 1.0 AS idf FROM present WHERE term IN (SELECT term FROM t_terms) GROUP BY term),
+t_raw AS (SELECT template, licence, term, tf * coalesce(idf, 1.0) AS tw FROM t_terms LEFT JOIN weights USING (term)),
+t_norm AS (SELECT template, sqrt(sum(tw * tw)) AS norm FROM t_raw GROUP BY template),
+lines AS (SELECT doc_id, place, parts[place + 1] AS line FROM (SELECT doc_id, parts, unnest(generate_series(0, len(parts) - 1)) AS place FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM files))),
+statements AS (
+  SELECT doc_id, place, line FROM lines WHERE regexp_matches(line, '(?i)licen[cs]|copyright|copyleft|spdx|rights reserved|redistribut|permission|public domain|\bgnu\b|\bcc[ -]|\bcc0\b')
+  UNION ALL SELECT doc_id, -1, text FROM files WHERE path LIKE '%/LICENSE'),
+s_terms AS (
+  SELECT doc_id, place, term, count(*) * coalesce(any_value(idf), 1.0) AS w
+  FROM (SELECT doc_id, place, unnest(regexp_extract_all(lower(line), '[a-z0-9]+(?:\.[0-9]+)*')) AS term FROM statements) LEFT JOIN weights USING (term) GROUP BY doc_id, place, term),
+s_norm AS (SELECT doc_id, place, sqrt(sum(w * w)) AS length FROM s_terms GROUP BY doc_id, place),
+scores AS (
+  SELECT doc_id, licence, round(dot / norm / length, 6) AS score FROM (
+    SELECT doc_id, place, template, licence, sum(w * tw) AS dot FROM s_terms JOIN t_raw USING (term) GROUP BY ALL) JOIN t_norm USING (template) JOIN s_norm USING (doc_id, place)),
+own AS (SELECT doc_id, score, licence FROM scores WHERE score >= 0.6 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, licence) = 1),
+placed AS (SELECT doc_id, path, regexp_replace(path, '/?[^/]*$', '') AS directory FROM files),
+granted AS (
+  SELECT directory, licence, score FROM placed JOIN own USING (doc_id) WHERE path LIKE '%/LICENSE'
+  QUALIFY row_number() OVER (PARTITION BY directory ORDER BY score DESC, licence) = 1),
+inherited AS (
+  SELECT p.doc_id, g.licence, g.score, g.directory AS origin FROM placed p JOIN granted g ON p.directory = g.directory OR starts_with(p.directory, g.directory || '/')
+  WHERE p.doc_id NOT IN (SELECT doc_id FROM own) QUALIFY row_number() OVER (PARTITION BY p.doc_id ORDER BY length(g.directory) DESC) = 1)
+SELECT doc_id, path, coalesce(o.licence, i.licence) AS licence, coalesce(o.score, i.score) AS licence_score,
+  CASE WHEN o.doc_id IS NOT NULL THEN 'self' ELSE i.origin END AS licence_from
+FROM files LEFT JOIN own o USING (doc_id) LEFT JOIN inherited i USING (doc_id)
+"""
+
+
+CHECKS["op1_licences"] = _licences()

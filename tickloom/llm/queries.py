@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tickloom.llm import bpe, decontaminate, linededup, oddsketch, pii, polytope, quality, toxicity, wavelet
+from tickloom.llm import bpe, decontaminate, licences, linededup, oddsketch, pii, polytope, quality, toxicity, wavelet
 from tickloom.llm.common import written
 from tickloom.llm.tables import read
 
@@ -61,3 +61,8 @@ def op3_cross_polytope(spark, folder):
 def op8_wavelet_files(spark, folder):
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     return wavelet.digests(written(wavelet.shards(read(spark, folder, "documents"), vocabulary), "token-files"))
+
+
+@registered
+def op1_licences(spark, folder):
+    return licences.report(read(spark, folder, "documents"))
