@@ -65,5 +65,5 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     """The frame as a Parquet table in the shared folder: lineage ends there, a lost executor costs nothing."""
     spark = frame.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/tickloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)

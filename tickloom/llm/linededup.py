@@ -44,22 +44,23 @@ def _units(lines: Column, min_words: int) -> Column:
     grown = lambda n, x: F.when(n["words"] >= min_words, n).otherwise(
         F.struct((n["words"] + x["words"]).alias("words"), F.concat(n["text"], F.lit(" "), x["h"].cast("string")).alias("text"))
     )
-    unit = lambda i: F.aggregate(
-        F.slice(lines, i, F.lit(min_words)), start, grown, lambda n: F.when(n["words"] >= min_words, _number(n["text"]))
+    several = lambda i: F.aggregate(
+        F.slice(lines, i + 1, F.lit(min_words)), start, grown, lambda n: F.when(n["words"] >= min_words, _number(n["text"]))
     )
-    places = F.when(F.size(lines) > 0, F.sequence(F.lit(1), F.size(lines))).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, unit)
+    one = lambda x: _number(F.concat(F.lit(" "), x["h"].cast("string")))
+    return F.transform(lines, lambda x, i: F.when(x["words"] >= min_words, one(x)).otherwise(several(i)))
 
 
-def _fingerprints(lines: Column, units: Column, window: int, min_words: int) -> Column:
-    """(unit hash, line index from 0) of the single-line units and of the windows' minima (the last one at ties)."""
-    placed = F.transform(units, lambda u, i: F.struct(u.alias("unit"), (-i).alias("back")))
-    placed = F.filter(placed, lambda x: x["unit"].isNotNull())
-    count = F.size(placed)
+def _fingerprints(lines: DataFrame, window: int, min_words: int) -> DataFrame:
+    """``(uid, id, unit, at)``: hash and first line (from 0) of the single-line units and of the windows' minima (the last one at ties)."""
+    unit = lambda u, i: F.struct(u.alias("unit"), (-i).alias("back"))
+    units = lines.withColumn("units", F.filter(F.transform(_units(F.col("lines"), min_words), unit), lambda x: x["unit"].isNotNull()))
+    count = F.size("units")
     starts = F.sequence(F.lit(1), F.greatest(count - window + 1, F.lit(1)))
-    minima = F.transform(starts, lambda s: F.array_min(F.slice(placed, s, F.lit(window))))
-    long = F.filter(placed, lambda x: F.get(lines, -x["back"])["words"] >= min_words)
-    return F.when(count > 0, F.array_distinct(F.concat(minima, long)))
+    minima = F.transform(starts, lambda s: F.array_min(F.slice("units", s, F.lit(window))))
+    long = F.filter("units", lambda x: F.get("lines", -x["back"])["words"] >= min_words)
+    prints = units.where(count > 0).select("uid", "id", F.explode(F.array_distinct(F.concat(minima, long))).alias("p"))
+    return prints.select("uid", "id", F.col("p.unit").alias("unit"), (-F.col("p.back")).alias("at"))
 
 
 def _repeated(own: Column, first: Column, diagonal: Column, min_words: int) -> Column:
@@ -94,8 +95,7 @@ def marked(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW, ke
     name, own_key = held[text], held[key]
     numbered = written(_numbered(held, name, min_words), "lines")
     lines = numbered.select("uid", F.col(own_key).alias("id"), "lines")
-    prints = lines.select("uid", "id", F.explode(_fingerprints(F.col("lines"), _units(F.col("lines"), min_words), window, min_words)).alias("p"))
-    prints = written(prints.select("uid", "id", F.col("p.unit").alias("unit"), (-F.col("p.back")).alias("at")), "prints")
+    prints = written(_fingerprints(lines, window, min_words), "prints")
     first = prints.groupBy("unit").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "uid", "at")).alias("first")).where("n > 1")
     first = first.select("unit", F.col("first.uid").alias("source"), F.col("first.at").alias("source_at"))
     diagonals = prints.join(first, "unit").where("uid != source or at != source_at")
