@@ -31,10 +31,13 @@ class Held:
     def columns(self) -> list[str]:
         return [f"_{i}" for i in range(len(self.names))]
 
-    def restored(self, frame: DataFrame, added: dict[str, Column]) -> DataFrame:
-        """The input's columns under their own names, and the added ones; an added column replaces those of its name."""
+    def restored(self, frame: DataFrame, added: dict[str, Column], without: str = "") -> DataFrame:
+        """The input's columns under their own names, and the added ones; an added column replaces those of its name.
+
+        The column with the private name ``without`` stays out.
+        """
         taken = {name.lower() for name in added}
-        kept = [i for i, name in enumerate(self.names) if name.lower() not in taken]
+        kept = [i for i, name in enumerate(self.names) if name.lower() not in taken and f"_{i}" != without]
         out = frame.select(*(F.col(f"_{i}") for i in kept), *(column.alias(f"+{name}") for name, column in added.items()))
         return out.toDF(*(self.names[i] for i in kept), *added)
 

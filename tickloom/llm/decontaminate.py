@@ -216,7 +216,7 @@ def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[tupl
             yield rows
 
 
-def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, text: str = "text") -> DataFrame:
     """The documents, with the benchmark's windows found in them.
 
     Adds ``n_words``; ``spans``: word ranges [first, last) covered by windows, merged; and
@@ -228,7 +228,7 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_by
     replaced, all others stay whatever their names.
     """
     held = Held(docs)
-    text, frame, again = held["text"], held.frame, False
+    text, frame, again = held[text], held.frame, False
     for items in blocks(benchmark, block_bytes):
         frame, again = _pass(frame, text, items, window, again), True
     if not again:
@@ -262,6 +262,5 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataF
 def removed(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without those that hold a window of the benchmark; columns as they were."""
     held = Held(docs)
-    found = search(held.frame.withColumnRenamed(held["text"], "text"), benchmark, window)
-    found = found.where(F.size("spans") == 0).withColumnRenamed("text", held["text"])
+    found = search(held.frame, benchmark, window, text=held["text"]).where(F.size("spans") == 0)
     return found.select(*held.columns()).toDF(*held.names)

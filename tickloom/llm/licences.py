@@ -122,7 +122,7 @@ def scan(files: DataFrame, threshold: float = THRESHOLD, path: str = "path", tex
     )
     directories = placed.select("directory").distinct()
     depth = F.size(F.split("directory", "/"))
-    ancestors = directories.select("directory", F.explode(F.sequence(F.lit(1), depth)).alias("depth"))
+    ancestors = directories.select("directory", F.explode(F.sequence(F.lit(0), depth)).alias("depth"))
     ancestors = ancestors.select("directory", "depth", F.array_join(F.slice(F.split("directory", "/"), 1, F.col("depth")), "/").alias("ancestor"))
     nearest = ancestors.join(granted.withColumnRenamed("directory", "ancestor"), "ancestor")
     nearest = nearest.groupBy("directory").agg(F.max_by(F.struct("ancestor", "grant"), "depth").alias("up"))
@@ -130,9 +130,8 @@ def scan(files: DataFrame, threshold: float = THRESHOLD, path: str = "path", tex
         "uid", F.col("up.grant.licence").alias("licence"), F.col("up.grant.score").alias("score"), F.col("up.ancestor").alias("origin")
     )
     result = own.select("uid", "licence", "score", F.lit("self").alias("origin")).unionByName(inherited)
-    joined = table.drop("present", "statements").join(result, "uid", "left").withColumn(what, F.lit(None).cast("string"))
-    out = held.restored(joined, {"licence": F.col("licence"), "licence_score": F.col("score"), "licence_from": F.col("origin")})
-    return out.drop(held.names[int(what[1:])])
+    joined = table.drop("present", "statements").join(result, "uid", "left")
+    return held.restored(joined, {"licence": F.col("licence"), "licence_score": F.col("score"), "licence_from": F.col("origin")}, without=what)
 
 
 def _notice_terms(notice: str) -> list[str]:

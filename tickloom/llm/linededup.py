@@ -114,17 +114,25 @@ def remaining(text: Column, removed: Column) -> Column:
     return F.when(F.size(removed) == 0, text).otherwise(F.array_join(kept, "\n"))
 
 
-def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with later repeated runs of lines deleted; columns as they were, ``n_chars`` follows the text if there."""
-    held = Held(marked(docs, min_words, window, key, text))
+def deduplicated(
+    docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW, key: str = "doc_id", text: str = "text", keep_emptied: bool = True,
+) -> DataFrame:
+    """The documents with later repeated runs of lines deleted; columns as they were, ``n_chars`` follows the text if there.
+
+    ``keep_emptied`` says whether documents of which no line is left stay. Texts that were
+    null, empty or blank before always do.
+    """
+    held = Held(docs)
     name = held[text]
-    left = remaining(F.col(name), F.col(held["removed"]))
-    frame = held.frame.withColumn(name, left)
+    found = marked(held.frame, min_words, window, held[key], name)
+    same = F.size("removed") == 0
+    frame = found.withColumn(name, remaining(F.col(name), F.col("removed")))
+    if not keep_emptied:
+        frame = frame.where(same | (F.regexp_replace(name, r"\s", "") != ""))
     if "n_chars" in held.names:
-        same = F.size(F.col(held["removed"])) == 0
-        frame = frame.withColumn(held["n_chars"], F.when(same, F.col(held["n_chars"])).otherwise(F.length(name)).cast(frame.schema[held["n_chars"]].dataType))
-    keep = [i for i, c in enumerate(held.names) if c in docs.columns]
-    return frame.select(*(f"_{i}" for i in keep)).toDF(*(held.names[i] for i in keep))
+        count = held["n_chars"]
+        frame = frame.withColumn(count, F.when(same, F.col(count)).otherwise(F.length(name)).cast(frame.schema[count].dataType))
+    return frame.select(*held.columns()).toDF(*held.names)
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -129,8 +129,9 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents with each span of personal data as its kind in angle brackets; overlapping spans become one."""
-    found = Held(find(docs, text))
-    name, spans = F.col(found[text]), F.array_sort(F.transform(F.col(found["pii"]), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    held = Held(docs)
+    found = find(held.frame, held[text])
+    name, spans = F.col(held[text]), F.array_sort(F.transform("pii", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(n: Column, s: Column) -> Column:
@@ -138,9 +139,8 @@ def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
         return F.struct(F.greatest(n["at"], s["end"]).alias("at"), F.when(s["start"] >= n["at"], plain).otherwise(n["out"]).alias("out"))
 
     clean = F.aggregate(spans, start, step, lambda n: F.concat(n["out"], name.substr(n["at"] + 1, F.length(name))))
-    frame = found.frame.withColumn(found[text], F.when(F.size(spans) == 0, name).otherwise(clean))
-    keep = [i for i, c in enumerate(found.names) if c in docs.columns]
-    return frame.select(*(f"_{i}" for i in keep)).toDF(*(found.names[i] for i in keep))
+    frame = found.withColumn(held[text], F.when(F.size(spans) == 0, name).otherwise(clean))
+    return frame.select(*held.columns()).toDF(*held.names)
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -176,14 +176,14 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = labelled.SAMPLE_ROWS,
     return _fitted(featured(sample, features).toArrow(), features, evenness)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
+def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The documents with ``score``: the probability that their whole text is toxic.
 
     Null and wordless texts get the model's bias alone. Rows and columns stay as they are;
     a column named score is replaced.
     """
     held = Held(docs)
-    frame, at = held.frame, held.frame.columns.index(held["text"])
+    frame, at = held.frame, held.frame.columns.index(held[text])
     shared = frame.sparkSession.sparkContext.broadcast(model)  # FEATURES numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,5 +209,5 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that score below the threshold; columns as they were."""
     held = Held(docs)
-    scored = score(held.frame.withColumnRenamed(held["text"], "text"), train(docs, labels)).where(F.col("score") < threshold)
-    return scored.withColumnRenamed("text", held["text"]).select(*held.columns()).toDF(*held.names)
+    scored = score(held.frame, train(docs, labels), held["text"]).where(F.col("score") < threshold)
+    return scored.select(*held.columns()).toDF(*held.names)
