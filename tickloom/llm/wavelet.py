@@ -11,9 +11,10 @@ executor leaves no half file: ``part`` and ``shard`` (its place in order), the d
 and ``file``, the bytes: a header of 40 bytes (magic, bits, tokens, documents), the count of
 zeros of each plane, the documents' ends, the planes, compressed by zstandard.
 
-Texts are encoded by the tokenizers library, each distinct word once per task. That gives
+Texts are encoded by the tokenizers library, each distinct word once per worker. That gives
 the ids of whole texts: the tokenizer's normalizer and pattern neither join nor look across
-ASCII white space, and white space itself has no token.
+ASCII white space, which itself has no token, nor in words of ASCII letters and signs across
+the edge between the two kinds.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from tickloom.llm import words
 from tickloom.llm.common import picked
 
-SHARD_TOKENS = 4 << 20
+SHARD_TOKENS = 2 << 20
 END_ID = 1
 _MAGIC = 0x31764D57
 _BLOCK = 512
@@ -157,37 +158,84 @@ class WaveletMatrix:
 
 
 class _WordIds:
-    """Ids of words; each distinct word is encoded once while it stays in the table of up to ``limit`` words."""
+    """Ids of words; each distinct word is encoded once while it stays in the table of up to ``limit`` words.
 
-    def __init__(self, path: str, limit: int = 2_000_000):
+    The table is sorted arrays: the words' hashes, and where their ids stand in one array.
+    """
+
+    def __init__(self, path: str, limit: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(path)
         self.encoder.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.limit, self.known = limit, {}
+        self.limit = limit
+        self._clear()
+
+    def _clear(self) -> None:
+        self.hashes, self.start, self.size, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+
+    def _learn(self, hashes: np.ndarray, spelled: list[bytes]) -> None:
+        sizes, ids = [], []
+        for at in range(0, len(spelled), 4096):
+            some = [x.decode("utf-8", "replace") for x in spelled[at : at + 4096]]
+            made = [x.ids for x in self.encoder.encode_batch_fast(some, add_special_tokens=False)]
+            sizes.append(np.array([len(x) for x in made], np.int32))
+            ids.append(np.array([i for x in made for i in x], np.int32))
+        size = np.concatenate(sizes)
+        start = len(self.ids) + np.cumsum(size, dtype=np.int64) - size
+        self.ids = np.concatenate([self.ids, *ids])
+        where = np.searchsorted(self.hashes, hashes)
+        self.start, self.size = np.insert(self.start, where, start), np.insert(self.size, where, size)
+        self.hashes = np.insert(self.hashes, where, hashes)
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one after the other, and how many each text has."""
-        found = words.words_of(data, offsets, _SPACED)
+        found = _units(data, offsets)
         hashes, one, which = np.unique(found.hashes, return_index=True, return_inverse=True)
-        if len(self.known) > self.limit:
-            self.known.clear()
-        keys = hashes.tolist()
-        new = [i for i, key in enumerate(keys) if key not in self.known]
-        if new:
-            raw = data.tobytes()
-            spelled = [raw[found.starts[one[i]] : found.ends[one[i]]].decode("utf-8", "replace") for i in new]
-            for i, made in zip(new, self.encoder.encode_batch_fast(spelled, add_special_tokens=False), strict=True):
-                self.known[keys[i]] = made.ids
-        ids = [self.known[key] for key in keys]
-        size = np.array([len(x) for x in ids], np.int64)
-        flat = np.array([x for y in ids for x in y], np.int64)
-        begin = np.concatenate([[0], np.cumsum(size)[:-1]]) if len(size) else np.zeros(0, np.int64)
-        n = size[which]
-        place = np.repeat(begin[which] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else np.zeros(0, np.int64)
+        if len(self.hashes) > self.limit:
+            self._clear()
+        place = np.minimum(np.searchsorted(self.hashes, hashes), max(0, len(self.hashes) - 1))
+        new = np.flatnonzero(self.hashes[place] != hashes) if len(self.hashes) else np.arange(len(hashes))
+        if len(new):
+            raw = found.text.tobytes()
+            self._learn(hashes[new], [raw[found.starts[i] : found.ends[i]] for i in one[new].tolist()])
+        if not len(hashes):
+            return np.zeros(0, np.int32), np.zeros(len(offsets) - 1, np.int64)
+        at = np.searchsorted(self.hashes, hashes)[which]
+        n, begin = self.size[at].astype(np.int64), self.start[at]
         total = np.concatenate([[0], np.cumsum(n)])
-        return flat[place], np.diff(total[found.first])
+        return self.ids[np.repeat(begin - total[:-1], n) + np.arange(total[-1])], np.diff(total[found.first])
+
+
+def _units(data: np.ndarray, offsets: np.ndarray) -> words.Words:
+    """The texts cut where tokens never cross: at ASCII white space and, in words of ASCII
+    letters and signs alone (no digit, no apostrophe), between letters and signs. Such words
+    are in lower case, as the tokenizer has them; all others keep their bytes."""
+    whole = words.words_of(data, offsets, _SPACED)
+    odd = np.concatenate([[0], np.cumsum(_KIND[data] == 2)])
+    plain = odd[whole.ends] == odd[whole.starts]
+    step = np.zeros(len(data) + 1, np.int8)
+    step[whole.starts[plain]] = 1
+    step[whole.ends[plain]] -= 1
+    inside = np.cumsum(step[:-1], dtype=np.int8) > 0
+    text = whole.text
+    text[:-8][inside] = words.UNSPACED.lower[data[inside]]
+    cut = np.zeros(len(data), bool)
+    cut[1:] = inside[1:] & inside[:-1] & (_KIND[data[1:]] != _KIND[data[:-1]])
+    cut[whole.starts] = True
+    starts = np.flatnonzero(cut)
+    last = np.searchsorted(starts, whole.starts[1:]) - 1  # the last unit of each word but the last word
+    ends = np.append(starts[1:], 0)
+    ends[last] = whole.ends[:-1]
+    if len(starts):
+        ends[-1] = whole.ends[-1]
+    ends = ends[: len(starts)]
+    return words.Words(words.hashes_of(text, starts, ends), np.searchsorted(starts, offsets), starts, ends, text)
+
+
+#: Kinds of bytes: letters 0, signs 1, others (digits, apostrophe, beyond ASCII, control characters) 2.
+_KIND = np.array([0 if chr(b).isascii() and chr(b).isalpha() else 1 if 0x21 <= b <= 0x7E and not chr(b).isdigit() and b != 0x27 else 2 for b in range(256)], np.uint8)
 
 
 @lru_cache(maxsize=1)
@@ -223,7 +271,7 @@ def shards(docs: DataFrame, vocabulary: str, end_id: int = END_ID, shard_tokens:
             for piece in words.pieces(batch, 1):
                 ids, sizes = encoder(*words.text_bytes(piece.column(1)))
                 ends = np.cumsum(sizes)
-                pending.append((piece.column(0), np.insert(ids, ends, end_id).astype(np.uint32), sizes + 1))
+                pending.append((piece.column(0), np.insert(ids, ends, end_id).astype(np.uint32, copy=False), sizes + 1))
                 held += int(sizes.sum()) + len(sizes)
                 if held >= shard_tokens:
                     yield made()

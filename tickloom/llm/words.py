@@ -84,10 +84,10 @@ def words_of(data: np.ndarray, offsets: np.ndarray, alphabet: Alphabet) -> Words
     before[edges], after[edges - 1] = False, False
     starts = np.flatnonzero(inside & ~before)
     ends = np.flatnonzero(inside & ~after) + 1
-    return Words(_hashes(text, starts, ends), np.searchsorted(starts, offsets), starts, ends, text)
+    return Words(hashes_of(text, starts, ends), np.searchsorted(starts, offsets), starts, ends, text)
 
 
-def _hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def hashes_of(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     if not len(starts):
         return np.zeros(0, np.uint64)
     eights = np.ndarray(shape=(len(text) - 7,), dtype="<u8", buffer=text, strides=(1,))
