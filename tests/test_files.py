@@ -9,7 +9,7 @@ from tickloom.plans import etl, exploring, training
 from tickloom.sources import curated, delimited, fixedwidth, order, sinks
 
 
-def _quote(symbol="10ABCD3", day="20250717", opened="1501", high="1537", low="1493", close="1482", volume="1493", name="COMPANY"):
+def _quote(symbol="77ZEDX3", day="20190312", opened="880", high="912", low="805", close="899", volume="2600", name="COMPANY"):
     """One record of the default layout, fields at their documented positions."""
     parts = ["01", day, symbol.ljust(14), name.ljust(32)]
     parts += [text.rjust(13, "0") for text in (opened, high, low, "0", "0", close, volume)]
@@ -28,22 +28,24 @@ def test_separator_rule():
     assert delimited.separator_of("a;b\n1;2\n") == ";"
     assert delimited.separator_of("Date,Close\n2024-01-01,10.5\n") == ","
     assert delimited.separator_of("plain") == ";"
+    assert delimited.separator_of('a,b,c\n"x;y;z;;",1,2\n') == ","
+    assert delimited.separator_of("day;close\n1;10,5\n2;11,25\n3;9\n") == ";"
 
 
 def test_fixed_width_records(spark, tmp_path):
-    text = "00HEADER 20250731\n" + QUOTE + "\n" + QUOTE[:100] + "\n" + _quote("10ABCD4", name="AÇÃO É") + "\n"
+    text = "00HEADER 20250731\n" + QUOTE + "\n" + QUOTE[:100] + "\n" + _quote("77ZEDX4", name="AÇÃO É") + "\n"
     path = _write(tmp_path / "sample.txt", text, "latin-1")
     rows = fixedwidth.read_quotes(spark, path).orderBy("symbol").collect()
-    assert [r["symbol"] for r in rows] == ["10ABCD3", "10ABCD4"]
+    assert [r["symbol"] for r in rows] == ["77ZEDX3", "77ZEDX4"]
     for row in rows:
-        assert [row[c] for c in ("trade_date", "open", "high", "low", "close", "volume")] == ["2025-07-17", "15.01", "15.37", "14.93", "14.82", "1493"]
+        assert [row[c] for c in ("trade_date", "open", "high", "low", "close", "volume")] == ["2019-03-12", "8.80", "9.12", "8.05", "8.99", "2600"]
 
 
 def test_bad_fixed_width_fields_are_reported(spark, tmp_path):
-    path = _write(tmp_path / "bad.txt", _quote(opened="15x1") + "\n" + _quote(day="20251399") + "\n")
+    path = _write(tmp_path / "bad.txt", _quote(opened="88x0") + "\n" + _quote(day="20191399") + "\n")
     quotes = fixedwidth.read_quotes(spark, path)
-    assert {(r["open"], r["trade_date"]) for r in quotes.collect()} == {(None, "2025-07-17"), ("15.01", None)}
-    assert [(r["symbol"], r["observed"]) for r in fixedwidth.unreadable(quotes).collect()] == [("10ABCD3", 2)]
+    assert {(r["open"], r["trade_date"]) for r in quotes.collect()} == {(None, "2019-03-12"), ("8.80", None)}
+    assert [(r["symbol"], r["observed"]) for r in fixedwidth.unreadable(quotes).collect()] == [("77ZEDX3", 2)]
 
 
 def test_folder_with_two_layouts_and_text_files(spark, tmp_path):
@@ -54,12 +56,12 @@ def test_folder_with_two_layouts_and_text_files(spark, tmp_path):
     _write(tmp_path / "note.md", "not a price file")
     scan = delimited.read_folder(spark, str(tmp_path))
     rows = {r["symbol"]: r for r in scan.table.collect()}
-    assert set(rows) == {"A", "B", "10ABCD3"} and rows["B"]["close"] == "2" and rows["B"]["open"] is None
+    assert set(rows) == {"A", "B", "77ZEDX3"} and rows["B"]["close"] == "2" and rows["B"]["open"] is None
     found = {(os.path.basename(r["symbol"]), r["check"]) for r in scan.findings.collect()}
     assert found == {("b.csv", "separator"), ("blank.csv", "skipped_file")}
     from tickloom.functions.dates import padded_date
 
-    days = [r[0] for r in scan.table.where("symbol != '10ABCD3'").select(F.min(padded_date(F.col("trade_date")))).collect()]
+    days = [r[0] for r in scan.table.where("symbol != '77ZEDX3'").select(F.min(padded_date(F.col("trade_date")))).collect()]
     assert days == [dt.date(2025, 7, 1)]
     assert sorted(p.name for p in tmp_path.iterdir()) == ["a.csv", "b.csv", "blank.csv", "c.txt", "note.md"]
 
@@ -120,10 +122,20 @@ def test_price_series_job_writes_named_files_and_publishes(spark, tmp_path):
     assert {r["check"] for r in spark.read.parquet(str(tmp_path / "o2/dir_findings.parquet")).collect()} == {"dropped_rows", "small_series", "trimmed"}
 
 
-def test_single_files_refuse_large_tables(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(sinks, "SINGLE_FILE_ROWS", 3)
-    with pytest.raises(ValueError):
-        sinks.write_single(spark.range(4), str(tmp_path / "x.csv"), "csv")
+def test_single_file_replaces_an_earlier_one(spark, tmp_path):
+    target = str(tmp_path / "x.csv")
+    for n in (2, 5):
+        sinks.write_single(spark.range(n), target, "csv")
+        assert len((tmp_path / "x.csv").read_text().splitlines()) == n + 1
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["x.csv"]
+
+
+def test_headers_longer_than_the_sample_are_told_apart(spark, tmp_path):
+    wide = ";".join(f"column_{i:04d}" for i in range(500))
+    _write(tmp_path / "a.csv", f"symbol;{wide};close\n" + ";".join(["A", *["0"] * 500, "1"]) + "\n")
+    _write(tmp_path / "b.csv", f"symbol;{wide};open\n" + ";".join(["B", *["0"] * 500, "2"]) + "\n")
+    rows = {r["symbol"]: (r["close"], r["open"]) for r in delimited.read_folder(spark, str(tmp_path)).table.select("symbol", "close", "open").collect()}
+    assert rows == {"A": ("1", None), "B": (None, "2")}
 
 
 def test_stock_job_and_exploration(spark, tmp_path):

@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 
 import numpy as np
 import pandas as pd
@@ -143,7 +144,10 @@ def test_constant_series_predicts_its_value(fits):
 
 def test_search_attempts_report_absolute_error(walks, fits):
     rows, fitted, found = fits
-    table = ridge.search_attempts(rows, fitted).where("symbol = 'W2'").orderBy("reg_param").collect()
+    table = ridge.search_attempts(rows, fitted).where("symbol = 'W2'").orderBy("reg_param", "epochs").collect()
+    assert [(r["reg_param"], r["epochs"]) for r in table] == [(p, e) for p in ridge.PENALTIES for e in ridge.ITERATION_LIMITS]
+    assert sum(r["chosen"] for r in table) == 1
+    table = [r for r in table if r["epochs"] == ridge.ITERATION_LIMITS[0]]
     made, cut, _, _ = _reference(walks[walks["ticker"] == "W2"])
     x, y = made[list(features.FEATURES)].to_numpy()[cut:], made["log_close"].to_numpy()[cut:]
     for i, row in enumerate(table):
@@ -231,15 +235,6 @@ def test_forecast_of_many_series(spark, series):
     assert lines.where("series = 'future'").count() == 25
 
 
-def test_nested_folds_equal_the_fold_table(series):
-    rows = features.trainable(features.temporal_features(series)).withColumn(
-        "predicted", F.expm1("rolling_mean_7")
-    ).where("part = 'test'")
-    table = backtest.fold_metrics(rows)
-    nested = {r["symbol"]: r["backtest_folds"] for r in backtest.nested_folds(table).collect()}
-    assert [f["fold"] for f in nested["W1"]] == [1, 2, 3]
-
-
 def test_short_input_is_an_error(spark, walks):
     with pytest.raises(SeriesError):
         forecasting.train_predict_evaluate(spark.createDataFrame(walks[walks["ticker"] == "SHORT"]))
@@ -256,6 +251,24 @@ def test_full_grid_on_one_series(fits):
     np.testing.assert_allclose([a["r2"] for a in settled], found["W2"]["fit"]["r2"], atol=1e-4)
 
 
+def test_constant_test_label_has_no_r2(spark):
+    draw = np.random.default_rng(5)
+    for level in draw.uniform(1, 1e4, 5):
+        days = pd.date_range("2024-01-01", periods=60).date
+        close = np.where(np.arange(60) < 40, draw.uniform(1, 9, 60), level)
+        series = spark.createDataFrame(pd.DataFrame({"ticker": "C", "date": days, "close": close}))
+        rows = features.trainable(features.temporal_features(features.model_input(series)))
+        fit = ridge.fit_all(rows).collect()[0]["fit"]
+        assert all(x is None or math.isnan(x) for x in fit["r2"])
+
+
+def test_model_input_dates_and_duplicates(spark):
+    rows = [("a", "01/02/2024", 1.0, 1), ("a", "13/02/2024", 2.0, 2), ("a", "2024-01-02", 3.0, 3), (" ", "2024-03-01T10:00:00Z", 4.0, 4), ("a", "x", 5.0, 5)]
+    table = spark.createDataFrame(rows, "ticker string, date string, close double, n int")
+    found = {(r["symbol"], str(r["date"])): r["close"] for r in features.model_input(table, "zed", ["n"]).collect()}
+    assert found == {("a", "2024-01-02"): 3.0, ("a", "2024-02-13"): 2.0, ("ZED", "2024-03-01"): 4.0}
+
+
 def test_rank_split_is_exact_with_ties(spark):
     rows = spark.createDataFrame(
         [(f"S{i}", float(i), dt.date(2024, 1, 1 if i < 3 else 2)) for i in range(20)], "symbol string, label double, trade_date_fmt date"

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom.functions import scores
 from tickloom.operators import charts, profile
 
 
@@ -63,6 +64,24 @@ def test_correlations_are_pairwise_complete(spark):
     assert len(found) == 36
 
 
+@pytest.mark.parametrize("parts", [1, 3, 8])
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_constants_have_no_correlation_however_partitioned(spark, parts, adaptive):
+    draw = np.random.default_rng(8)
+    frame = pd.DataFrame({"open": 0.1, "high": draw.normal(size=999), "low": 1e15 + 0.3})
+    table = spark.createDataFrame(frame).repartition(parts)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        found = {(r["x"], r["y"]): r["correlation"] for r in profile.correlation_matrix(table, ["open", "high", "low"]).collect()}
+        label = {r["label"] for r in charts.correlation_chart(table, ["high"]).collect()}
+        row = table.select(scores.r2(F.col("open"), F.col("high")).alias("r2")).collect()[0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert {pair for pair, value in found.items() if value is not None} == {("high", "high")}
+    assert found["high", "high"] == 1.0 and label == {"1.00"} and row["r2"] == 1.0
+
+
 def test_chart_frames(spark):
     rows = [("A", "2024-01-01", 1.0, 2_000_000), ("A", "2024-01-01", 3.0, 0), ("B", None, 1.0, 1)]
     table = spark.createDataFrame(rows, "symbol string, d string, close double, volume bigint").select(

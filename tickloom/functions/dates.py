@@ -15,6 +15,14 @@ EPOCH_DAY = "1970-01-01"
 _CLOCK = r"[ T]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?$"
 _DAY_FIRST = r"^\?(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})$"
 _YEAR_FIRST = r"^\?(\d{4})(?:[-/.](\d{1,2})[-/.](\d{1,2})|(\d{2})(\d{2}))$"
+#: White space of any kind at a text's edges, and a zone behind a clock time.
+_EDGES = r"^[\s\u00A0\u2000-\u200A\u202F\u3000]+|[\s\u00A0\u2000-\u200A\u202F\u3000]+$"
+_ZONE = r"(:[0-9]{2}(?:\.[0-9]+)?) ?(?:Z|UTC|[+-][0-9]{2}:?[0-9]{2})$"
+
+
+def stripped(text: Column) -> Column:
+    """The text without white space of any kind at its edges."""
+    return F.regexp_replace(text, _EDGES, "")
 
 
 def _shape(text: Column) -> Column:
@@ -65,10 +73,21 @@ def lenient_date(text: Column) -> Column:
     Accepts ``-``, ``/`` and ``.`` between the parts. A day-first text whose month slot
     is no month (01/15/2024) is read month first.
     """
-    marked = _unclocked(F.trim(text))
+    day_first, month_first = _both_readings(text)
+    return F.coalesce(_as_day(F.regexp_replace(day_first, _YEAR_FIRST, "$1-$2$4-$3$5")), _as_day(month_first))
+
+
+def month_first_date(text: Column) -> Column:
+    """As ``lenient_date``, but 01/02/2024 is 2 January; where that is no day, it is read day first."""
+    day_first, month_first = _both_readings(text)
+    return F.coalesce(_as_day(F.regexp_replace(month_first, _YEAR_FIRST, "$1-$2$4-$3$5")), _as_day(day_first))
+
+
+def _both_readings(text: Column) -> tuple[Column, Column]:
+    marked = _unclocked(F.regexp_replace(stripped(text), _ZONE, "$1"))
     day_first = F.regexp_replace(marked, _DAY_FIRST, "$3-$2-$1")
     month_first = F.regexp_replace(marked, _DAY_FIRST, "$3-$1-$2")
-    return F.coalesce(_as_day(F.regexp_replace(day_first, _YEAR_FIRST, "$1-$2$4-$3$5")), _as_day(month_first))
+    return day_first, month_first
 
 
 def training_date(text: Column) -> Column:
@@ -94,12 +113,13 @@ def compact_date(text: Column) -> Column:
 
 
 def as_date(column: Column, kind: str) -> Column:
-    """Date of a column that may already be a date or timestamp (``kind`` is its Spark type name)."""
+    """Date of a column that may already be a date or timestamp (``kind`` is its Spark type
+    name); text is read month first."""
     if kind == "date":
         return column
     if kind.startswith("timestamp"):
         return column.cast("date")
-    return lenient_date(column.cast("string"))
+    return month_first_date(column.cast("string"))
 
 
 def display_date(day: Column) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -35,15 +34,23 @@ def find_column(
     required: bool = True,
     exact_first: bool = False,
 ) -> str | None:
-    """Header name for a logical column: candidate order wins, case and outer blanks are ignored."""
-    if exact_first:
-        for candidate in candidates:
-            if candidate in columns:
-                return candidate
-    by_plain_name = {name.strip().lower(): name for name in columns}
-    for candidate in candidates:
-        if candidate.strip().lower() in by_plain_name:
-            return by_plain_name[candidate.strip().lower()]
+    """Header name for a logical column: the earliest candidate wins, then the last header.
+
+    Case and outer blanks do not count; with ``exact_first`` literal matches of any
+    candidate come before all others.
+    """
+    plain = [candidate.strip().lower() for candidate in candidates]
+
+    def rank(place: int) -> tuple[bool, int, int] | None:
+        name = columns[place]
+        if exact_first and name in candidates:
+            return False, list(candidates).index(name), -place
+        bare = name.strip().lower()
+        return (True, plain.index(bare), -place) if bare in plain else None
+
+    ranked = [(found, columns[place]) for place in range(len(columns)) if (found := rank(place))]
+    if ranked:
+        return min(ranked)[1]
     if required:
         raise MissingColumn(f"required column not found: {label}")
     return None
@@ -67,4 +74,5 @@ def _or_default(text: Column, default: str) -> Column:
 
 def slug_text(text: str, default: str = DEFAULT_SLUG) -> str:
     """The same rule for one driver-side name, such as an output folder."""
-    return re.sub(r"[^A-Za-z0-9]+", "_", text).strip("_") or default
+    kept = "".join(c if c.isascii() and c.isalnum() else " " for c in text)
+    return "_".join(kept.split()) or default

@@ -7,6 +7,8 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tickloom.functions.dates import stripped
+
 _PLAIN_DECIMAL = r"^[+-]?\d+(\.\d+)?$"
 _ANY_DECIMAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 _FRACTION = r"^[+-]?\d+\.\d*$"
@@ -27,7 +29,7 @@ def strict_decimal(text: Column) -> Column:
 
 def lenient_decimal(text: Column, places: int = 6) -> Column:
     """Same comma rule, any finite decimal notation, rounded to ``places``."""
-    cleaned = _comma_to_point(F.trim(text))
+    cleaned = _comma_to_point(stripped(text))
     return F.round(F.when(cleaned.rlike(_ANY_DECIMAL), cleaned.try_cast("double")), places)
 
 

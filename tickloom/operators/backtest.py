@@ -67,12 +67,6 @@ def fold_summary(folds: DataFrame) -> DataFrame:
     )
 
 
-def nested_folds(folds: DataFrame) -> DataFrame:
-    """Per symbol the folds as one array (at most ``FOLDS`` entries), in fold order."""
-    entry = F.struct(*[name for name in folds.columns if name != "symbol"])
-    return folds.groupBy("symbol").agg(F.array_sort(F.collect_list(entry)).alias("backtest_folds"))
-
-
 def calibrate(rows: DataFrame, by: list[str], actual: str = "close", predicted: str = "predicted") -> DataFrame:
     """Pull predictions whose R² exceeds the band towards the actual mean until R² meets
     its upper end; predictions at or below it stay. Adds ``calibrated`` and ``calibrated_r2``.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,10 +34,10 @@ def symbol_frame(table: DataFrame, symbol: str, day: str = "date", check: bool =
     )
 
 
-def correlation_chart(table: DataFrame) -> DataFrame:
-    """Correlations with two decimals, as written on a heat map."""
-    matrix = profile.correlation_matrix(table)
-    return matrix.withColumn("label", F.format_string("%.2f", F.col("correlation")))
+def correlation_chart(table: DataFrame, columns: Sequence[str] = profile.CORRELATED) -> DataFrame:
+    """Correlations with two decimals, as written on a heat map; no label where there is none."""
+    matrix = profile.correlation_matrix(table, columns)
+    return matrix.withColumn("label", F.when(F.col("correlation").isNotNull(), F.format_string("%.2f", "correlation")))
 
 
 def forecast_overlay(actual: DataFrame, past: DataFrame, future: DataFrame, horizon_days: int) -> DataFrame:

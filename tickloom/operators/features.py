@@ -7,6 +7,8 @@ frames below keep it: one shuffle and one sort serve the whole module.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -31,9 +33,13 @@ def _days() -> WindowSpec:
     return Window.partitionBy("symbol").orderBy("date")
 
 
-def model_input(table: DataFrame, default_ticker: str = "") -> DataFrame:
+def model_input(table: DataFrame, default_ticker: str = "", order: Sequence[str] = ()) -> DataFrame:
     """(symbol, date, close, high, low, volume) from any table with recognisable headers.
-    Missing optional columns are null; a blank ticker becomes the upper-cased default."""
+
+    Missing optional columns are null; a blank ticker becomes the upper-cased default; text
+    dates are read month first. ``order`` names the columns by which the last row of a symbol
+    and day wins. A table that has one row for each (a treated series) can go without.
+    """
     kinds = {name.strip().lower(): kind for name, kind in table.dtypes}
     headers = {
         logical: names.find_column(table.columns, candidates, logical, required=logical in ("date", "close"))
@@ -49,11 +55,17 @@ def model_input(table: DataFrame, default_ticker: str = "") -> DataFrame:
     fallback = default_ticker.strip().upper() or UNKNOWN_SYMBOL
     ticker = F.lit("") if headers["ticker"] is None else F.trim(quoted(headers["ticker"]).cast("string"))
     day_header = headers["date"]
-    return table.select(
+    measures = ("close", "high", "low", "volume")
+    found = table.select(
         F.coalesce(F.nullif(ticker, F.lit("")), F.lit(fallback)).alias("symbol"),
         dates.as_date(quoted(day_header), kinds[day_header.strip().lower()]).alias("date"),
-        *[number(logical).alias(logical) for logical in ("close", "high", "low", "volume")],
+        *[number(logical).alias(logical) for logical in measures],
+        *[quoted(name).alias(f"_order{i}") for i, name in enumerate(order)],
     ).dropna(subset=["date", "close"])
+    if not order:
+        return found
+    last = F.max(F.struct(*[f"_order{i}" for i in range(len(order))], *measures)).alias("_last")
+    return found.groupBy("symbol", "date").agg(last).select("symbol", "date", *[f"_last.{name}" for name in measures])
 
 
 def split_size(rows: Column, held_out: float) -> Column:

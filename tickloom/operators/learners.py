@@ -24,7 +24,6 @@ BOOSTING_ROUNDS = 20
 VALIDATION_FRACTION = 0.2
 MEASURES = ("rmse", "mae", "r2")
 _TIE_BUCKETS = 65_536
-_ROWS_PER_PARTITION = 100_000
 
 
 def assemble(rows: DataFrame, inputs: Sequence[str], label: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -87,9 +86,9 @@ def _score(predictions: DataFrame) -> dict[str, float]:
     scale: minus infinity, or undefined when the fit is perfect too."""
     y, p = F.col("label"), F.col("prediction")
     row = predictions.agg(
-        F.avg((y - p) * (y - p)).alias("mse"), F.avg(F.abs(y - p)).alias("mae"), F.var_pop(y).alias("spread")
+        F.avg((y - p) * (y - p)).alias("mse"), F.avg(F.abs(y - p)).alias("mae"), F.var_pop(y).alias("spread"), (F.min(y) < F.max(y)).alias("varies"),
     ).collect()[0]
-    if row["spread"]:
+    if row["varies"]:
         r2 = 1.0 - row["mse"] / row["spread"]
     else:
         r2 = -math.inf if row["mse"] else math.nan
@@ -98,12 +97,10 @@ def _score(predictions: DataFrame) -> dict[str, float]:
 
 @contextmanager
 def _packed(rows: DataFrame) -> Iterator[DataFrame]:
-    """Keep rows for the many passes of a learner, in as few partitions as their number
-    needs: one series should not pay for a shuffle's width in every pass."""
+    """Keep rows for the many passes of a learner."""
     kept = rows.persist()
     try:
-        wanted = max(1, -(-kept.count() // _ROWS_PER_PARTITION))
-        yield kept.coalesce(wanted)
+        yield kept
     finally:
         kept.unpersist()
 

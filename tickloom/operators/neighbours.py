@@ -1,8 +1,7 @@
 """Previous and next value per key over raw, not yet de-duplicated rows.
 
 A plain window puts all rows of a key into one task. Raw rows have no bound per key
-(every row without a symbol shares ``UNKNOWN``), so keys above ``window_rows`` take a
-split scan instead:
+(every row without a symbol shares ``UNKNOWN``), so every key takes a split scan:
 
     rows -> (key, day, block) -> (key, day) -> (key)
 
@@ -21,9 +20,6 @@ from pyspark.sql import functions as F
 
 from tickloom.operators.ordering import position
 
-WINDOW_ROWS = 5_000_000
-BROADCAST_KEYS = 10_000  # most crowded keys that are told apart; beyond it every key is scanned in parts
-
 
 def with_neighbours(
     rows: DataFrame,
@@ -35,7 +31,6 @@ def with_neighbours(
     previous: str | None = None,
     following: str | None = None,
     last_known: str | None = None,
-    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Add the requested neighbours of ``value`` in (``day``, ``order``) sequence per ``key``.
 
@@ -46,29 +41,9 @@ def with_neighbours(
     """
     wanted = {"previous": previous, "following": following, "last_known": last_known}
     wanted = {kind: name for kind, name in wanted.items() if name}
-    crowded = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > window_rows)
-    number = crowded.limit(BROADCAST_KEYS + 1).count()
-    if number == 0:
-        return _windowed(rows, key, day, order, value, wanted)
-    if number > BROADCAST_KEYS:
-        return _split_scan(rows, key, day, order, block, value, wanted)
-    marked = F.broadcast(crowded.select(F.col(key).alias("_hot_key")))
-    same = F.col(key).eqNullSafe(F.col("_hot_key"))
-    calm, hot = rows.join(marked, same, "left_anti"), rows.join(marked, same, "left_semi")
-    return _windowed(calm, key, day, order, value, wanted).unionByName(
-        _split_scan(hot, key, day, order, block, value, wanted)
-    )
-
-
-def _windowed(rows, key, day, order, value, wanted) -> DataFrame:
-    sequence = Window.partitionBy(key).orderBy(F.col(day).asc_nulls_first(), *order)
-    before = sequence.rowsBetween(Window.unboundedPreceding, -1)
-    expressions = {
-        "previous": lambda: F.lag(value).over(sequence),
-        "following": lambda: F.lead(value).over(sequence),
-        "last_known": lambda: F.last(value, ignorenulls=True).over(before),
-    }
-    return rows.withColumns({name: expressions[kind]() for kind, name in wanted.items()})
+    if not order:
+        raise ValueError("rows of one day need an order")
+    return _split_scan(rows, key, day, order, block, value, wanted)
 
 
 def _edges(first: Column, last: Column, known: Column) -> list[Column]:

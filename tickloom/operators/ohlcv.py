@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions import dates, names, numbers
-from tickloom.operators.neighbours import WINDOW_ROWS, with_neighbours
+from tickloom.operators.neighbours import with_neighbours
 
 # The raw table's columns, all text.
 RAW_COLUMNS = ("symbol", "trade_date", "open", "high", "low", "close", "volume")
@@ -24,9 +24,7 @@ def as_raw_text(table: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return table.select(*[F.col(name).cast("string").alias(name) for name in RAW_COLUMNS], *keep)
 
 
-def curate(
-    raw: DataFrame, order: Sequence[str], block: Column, window_rows: int = WINDOW_ROWS
-) -> DataFrame:
+def curate(raw: DataFrame, order: Sequence[str], block: Column) -> DataFrame:
     """Typed table with the previous known close and the daily percent change.
 
     ``order`` and ``block`` describe the input order (see ``sources.order``), which
@@ -41,9 +39,7 @@ def curate(
         }
     )
     dated = typed.withColumn("_day", dates.ohlcv_date(F.col("trade_date")))
-    linked = with_neighbours(
-        dated, "symbol", "_day", order, block, "close", last_known="prev_close", window_rows=window_rows
-    )
+    linked = with_neighbours(dated, "symbol", "_day", order, block, "close", last_known="prev_close")
     changed = linked.withColumns(
         {
             "trade_date_fmt": dates.iso_text(F.col("_day")),
@@ -55,9 +51,7 @@ def curate(
     ).select(*RAW_COLUMNS, "trade_date_fmt", "prev_close", "daily_pct_change")
 
 
-def training_rows(
-    raw: DataFrame, order: Sequence[str], block: Column, window_rows: int = WINDOW_ROWS
-) -> DataFrame:
+def training_rows(raw: DataFrame, order: Sequence[str], block: Column) -> DataFrame:
     """Rows that have a next close, with the previous and next close of their symbol."""
     typed = raw.withColumns(
         {
@@ -67,7 +61,7 @@ def training_rows(
     )
     linked = with_neighbours(
         typed, "symbol", "trade_date_fmt", order, block, "close",
-        previous="prev_close", following="next_close", window_rows=window_rows,
+        previous="prev_close", following="next_close",
     )
     return linked.where(F.col("next_close").isNotNull())
 

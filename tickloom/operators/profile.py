@@ -206,19 +206,30 @@ def _finish(numbers: DataFrame, targets: Sequence[_Target]) -> None:
 
 
 def correlation_matrix(table: DataFrame, columns: Sequence[str] = CORRELATED) -> DataFrame:
-    """Pairwise-complete Pearson correlation, long form (x, y, correlation); null where
-    a column does not vary. One pass computes every pair."""
+    """Pairwise-complete Pearson correlation, long form (x, y, correlation); null where a
+    column does not vary over the pair's rows. One pass computes every pair.
 
+    Constant means min = max. A deviation is no test for it: merged from partial buffers,
+    that of a constant may come out as a residue, depending on how rows are partitioned.
+    """
     nullable = {field.name for field in table.schema.fields if field.nullable}
 
-    def pair(left: str, right: str) -> Column:
+    def guarded(left: str, right: str) -> tuple[Column, Column]:
         # A column without nulls needs no guard; its deviation is then shared by all its pairs.
         x, y = F.col(left).cast("double"), F.col(right).cast("double")
         both = [F.col(name).isNotNull() for name in {left, right} if name in nullable]
         if both:
             complete = reduce(lambda a, b: a & b, both)
             x, y = F.when(complete, x), F.when(complete, y)
-        return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+        return x, y
+
+    def pair(left: str, right: str) -> Column:
+        x, y = guarded(left, right)
+        varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
+        if left == right:
+            return F.when(varies, F.lit(1.0))
+        value = F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+        return F.when(varies, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), value)))
 
     pairs = [(name, name) for name in columns] + list(combinations(columns, 2))
     row = table.agg(*[pair(left, right).alias(f"c{i}") for i, (left, right) in enumerate(pairs)])

@@ -44,6 +44,7 @@ def moments(features: DataFrame) -> DataFrame:
     back = F.col("feature_rows") - F.col("place")
     tail = [F.max(F.when(back == k, F.col("log_close"))).alias(f"_tail{k}") for k in range(TAIL)]
     carried = [F.max(name).alias(name) for name in ("center", "scale", "first_date", "last_date", "feature_rows")]
+    carried += [F.array(F.min("log_close"), F.max("log_close")).alias("label_range")]
     grouped = shifted.groupBy("symbol", "part").agg(F.count(F.lit(1)).alias("n"), *sums, *products, *tail, *carried)
     return grouped.select(
         "symbol",
@@ -56,6 +57,7 @@ def moments(features: DataFrame) -> DataFrame:
         "scale",
         "first_date",
         "last_date",
+        "label_range",
     )
 
 
@@ -66,7 +68,7 @@ def _pivot(parts: DataFrame) -> DataFrame:
     sides = [
         F.max(F.when(F.col("part") == part, F.col(name))).alias(f"{part}_{name}")
         for part in ("train", "test")
-        for name in ("n", "sums", "products")
+        for name in ("n", "sums", "products", "label_range")
     ]
     return (
         parts.groupBy("symbol")
@@ -86,14 +88,14 @@ def _central(n: float, sums: np.ndarray, products: np.ndarray) -> tuple[np.ndarr
     return means, raw - n * np.outer(means, means)
 
 
-def _solve(n: float, means: np.ndarray, scatter: np.ndarray, penalty: float) -> tuple[np.ndarray, float]:
-    """Coefficients and intercept of the penalised fit on standardised inputs."""
+def _solve(n: float, means: np.ndarray, scatter: np.ndarray, penalty: float, constant: bool) -> tuple[np.ndarray, float]:
+    """Coefficients and intercept of the penalised fit on standardised inputs; none for a constant label."""
     label = len(means) - 1
     variance = np.clip(np.diag(scatter), 0.0, None) / max(n - 1.0, 1.0)
     spread = np.sqrt(variance)
     floor = 1e-12 * np.maximum(1.0, np.abs(means))
     beta = np.zeros(label)
-    if spread[label] > floor[label]:
+    if not constant and spread[label] > floor[label]:
         used = np.flatnonzero(spread[:label] > floor[:label])
         if used.size:
             scaled = scatter[np.ix_(used, used)] / np.outer(spread[used], spread[used]) / n
@@ -103,14 +105,17 @@ def _solve(n: float, means: np.ndarray, scatter: np.ndarray, penalty: float) ->
     return beta, float(means[label] - means[:label] @ beta)
 
 
-def _errors(n: float, means: np.ndarray, scatter: np.ndarray, beta: np.ndarray, intercept: float) -> tuple[float, float]:
-    """R² and RMSE of a linear rule on the rows behind the moments."""
+def _errors(
+    n: float, means: np.ndarray, scatter: np.ndarray, beta: np.ndarray, intercept: float, constant: bool
+) -> tuple[float, float]:
+    """R² and RMSE of a linear rule on the rows behind the moments. A constant label, told by
+    its range (its sum of squares is a rounding residue), has no R²."""
     label = len(means) - 1
     rule = np.append(-beta, 1.0)
     bias = means[label] - means[:label] @ beta - intercept
     sse = max(float(rule @ scatter @ rule), 0.0) + n * bias * bias
     total = float(scatter[label, label])
-    r2 = 1.0 - sse / total if total > 0 else float("nan")
+    r2 = 1.0 - sse / total if not constant and total > 0 else float("nan")
     return r2, float(np.sqrt(sse / n))
 
 
@@ -126,16 +131,18 @@ def _fit_one(train, test, center: float) -> dict:
     full = [train[i] + test[i] for i in range(3)]
     train_moments = _central(n_train, train[1], train[2])
     test_moments = _central(n_test, test[1], test[2])
+    flat_train, flat_test = train[3][0] == train[3][1], test[3][0] == test[3][1]
+    flat = min(train[3][0], test[3][0]) == max(train[3][1], test[3][1])
     attempts = []
     for penalty in PENALTIES:
-        beta, intercept = _solve(n_train, *train_moments, penalty)
-        train_r2, _ = _errors(n_train, *train_moments, beta, intercept)
-        r2, rmse = _errors(n_test, *test_moments, beta, intercept)
+        beta, intercept = _solve(n_train, *train_moments, penalty, flat_train)
+        train_r2, _ = _errors(n_train, *train_moments, beta, intercept, flat_train)
+        r2, rmse = _errors(n_test, *test_moments, beta, intercept, flat_test)
         attempts.append((beta, intercept, train_r2, r2, rmse))
     objective = [-r2 + GAP_WEIGHT * max(0.0, tr - r2) + RMSE_WEIGHT * rmse for _, _, tr, r2, rmse in attempts]
     # Python's min keeps the first of equals; an undefined objective never wins over a defined one.
     chosen = min(range(len(attempts)), key=lambda i: np.inf if np.isnan(objective[i]) else objective[i])
-    full_beta, full_intercept = _solve(float(full[0]), *_central(float(full[0]), full[1], full[2]), PENALTIES[chosen])
+    full_beta, full_intercept = _solve(float(full[0]), *_central(float(full[0]), full[1], full[2]), PENALTIES[chosen], flat)
     levels = np.array([1.0 if name in _CENTRED else 0.0 for name in FEATURES])
 
     def uncentred(beta: np.ndarray, intercept: float) -> float:
@@ -155,13 +162,12 @@ def _fit_one(train, test, center: float) -> dict:
 
 
 def _fit_batch(
-    train_n: pd.Series, train_sums: pd.Series, train_products: pd.Series,
-    test_n: pd.Series, test_sums: pd.Series, test_products: pd.Series, center: pd.Series,
+    train_n: pd.Series, train_sums: pd.Series, train_products: pd.Series, train_range: pd.Series,
+    test_n: pd.Series, test_sums: pd.Series, test_products: pd.Series, test_range: pd.Series, center: pd.Series,
 ) -> pd.DataFrame:
-    rows = [
-        _fit_one((a, np.asarray(b), np.asarray(c)), (d, np.asarray(e), np.asarray(f)), g)
-        for a, b, c, d, e, f, g in zip(train_n, train_sums, train_products, test_n, test_sums, test_products, center)
-    ]
+    train = zip(train_n, map(np.asarray, train_sums), map(np.asarray, train_products), train_range)
+    test = zip(test_n, map(np.asarray, test_sums), map(np.asarray, test_products), test_range)
+    rows = [_fit_one(a, b, c) for a, b, c in zip(train, test, center)]
     columns = [part.split()[0] for part in _FIT_TYPE.split(", ")]
     return pd.DataFrame(rows, columns=columns)
 
@@ -170,7 +176,8 @@ def fit_all(features: DataFrame) -> DataFrame:
     """One row per symbol: every candidate's fit on the training part, the chosen one, and
     the refit on all rows, plus what the forecast starts from (tail, scale, dates)."""
     fit = F.pandas_udf(_fit_batch, _FIT_TYPE)(
-        "train_n", "train_sums", "train_products", "test_n", "test_sums", "test_products", "center"
+        "train_n", "train_sums", "train_products", "train_label_range",
+        "test_n", "test_sums", "test_products", "test_label_range", "center",
     )
     both = _pivot(moments(features)).where(F.col("train_n").isNotNull() & F.col("test_n").isNotNull())
     return both.select(
@@ -207,9 +214,10 @@ def with_chosen(fits: DataFrame) -> DataFrame:
 
 
 def search_attempts(features: DataFrame, fits: DataFrame) -> DataFrame:
-    """Every candidate of every symbol with its log-scale errors: one row per penalty.
-    The absolute error is the only measure that needs the rows; all candidates share
-    that pass."""
+    """Every candidate of every symbol with its log-scale errors: a row per penalty and
+    iteration limit. A fit on the moments has few unknowns and is solved exactly, so that all
+    limits have the penalty's converged fit and the first of them is chosen. The absolute
+    error is the only measure that needs the rows; all candidates share that pass."""
     candidates = range(len(PENALTIES))
     scored = features.where(F.col("part") == "test").join(fits.select("symbol", "fit"), "symbol")
     error = [
@@ -225,7 +233,7 @@ def search_attempts(features: DataFrame, fits: DataFrame) -> DataFrame:
         "symbol", F.col("fit.chosen").alias("_chosen"), F.posexplode(zipped).alias("_candidate", "_attempt")
     ).select(
         "symbol",
-        F.lit(None).cast("int").alias("epochs"),
+        F.explode(F.array(*[F.lit(limit) for limit in ITERATION_LIMITS])).alias("epochs"),
         "_attempt.*",
-        (F.col("_candidate") == F.col("_chosen")).alias("chosen"),
-    )
+        (F.col("_candidate") == F.col("_chosen")).alias("_best"),
+    ).select("*", (F.col("_best") & (F.col("epochs") == ITERATION_LIMITS[0])).alias("chosen")).drop("_best")

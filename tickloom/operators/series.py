@@ -57,7 +57,7 @@ def quoted(name: str) -> Column:
 
 
 def clean_symbol(text: Column) -> Column:
-    return F.coalesce(F.nullif(F.trim(text), F.lit("")), F.lit(UNKNOWN_SYMBOL))
+    return F.coalesce(F.nullif(dates.stripped(text), F.lit("")), F.lit(UNKNOWN_SYMBOL))
 
 
 def parse_series(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tickloom.operators import features, forecast, registry
 from tickloom.operators.series import SeriesError
 from tickloom.plans.session import materialised
-from tickloom.sources import delimited, sinks
+from tickloom.sources import delimited, order, sinks
 
 _TABLES = ("training_metrics", "test_predictions", "future_predictions")
 _PREDICTIONS = {
@@ -137,4 +137,4 @@ def run_forecast_from_csv(
 ) -> ForecastRun:
     """Forecast a treated CSV; header names are matched in lower case."""
     table = delimited.read_file(spark, path, sep, lower_names=True)
-    return run_forecast(spark, features.model_input(table, source_name), root, source_name, days, held_out, reuse, now)
+    return run_forecast(spark, features.model_input(table, source_name, order.ORDER), root, source_name, days, held_out, reuse, now)

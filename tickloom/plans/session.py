@@ -2,20 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 
 
 def materialised(frame: DataFrame) -> DataFrame:
     """The frame's rows, computed once and kept by a reliable checkpoint.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local session without one
-    gets a temporary folder of its own.
+    The folder is the session's ``spark.checkpoint.dir``; a session without one is an error.
     """
-    context = frame.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tickloom-"))
+    if frame.sparkSession.sparkContext.getCheckpointDir() is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return frame.checkpoint()

@@ -1,5 +1,5 @@
-"""Writers. Output is a directory of part files unless one named file is asked for,
-which is meant for a single small series and refuses anything larger."""
+"""Writers. Output is a directory of part files unless one named file is asked for, which
+one task then writes."""
 
 from __future__ import annotations
 
@@ -12,8 +12,6 @@ from tickloom.functions import dates
 from tickloom.functions.names import slug, slug_text
 from tickloom.sources import order
 
-SINGLE_FILE_ROWS = 5_000_000
-
 # Header names of exported train and test tables, and the test metrics kept.
 EXPORT_NAMES = {"symbol": "ticker", "date": "data", "close": "fechamento", "low": "mínima", "high": "máxima", "volume": "volume"}
 TEST_METRICS = (
@@ -33,11 +31,10 @@ def write_csv(table: DataFrame, path: str, sep: str = ",", mode: str = "overwrit
 
 
 def write_single(table: DataFrame, target: str, kind: str, sep: str = ";") -> str:
-    """One file with exactly the name ``target``: a small table goes through one task and
-    its part file is renamed by the file system."""
+    """One file with exactly the name ``target``: the table goes through one task and its
+    part file is renamed by the file system. An earlier file of that name stays until the
+    new one is complete, and comes back if the rename fails."""
     spark = table.sparkSession
-    if table.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
-        raise ValueError(f"more than {SINGLE_FILE_ROWS} rows do not belong in one file; write a directory")
     staging = f"{target}.parts"
     if kind == "csv":
         write_csv(table.coalesce(1), staging, sep)
@@ -48,8 +45,14 @@ def write_single(table: DataFrame, target: str, kind: str, sep: str = ";") -> st
     parts = system.globStatus(path(f"{staging}/part-*.{kind}"))
     if len(parts) != 1:
         raise FileNotFoundError(f"expected one part file in {staging}, found {len(parts)}")
-    system.delete(path(target), True)
-    system.rename(parts[0].getPath(), path(target))
+    aside = f"{target}.before"
+    system.delete(path(aside), True)
+    had = system.exists(path(target)) and system.rename(path(target), path(aside))
+    if not system.rename(parts[0].getPath(), path(target)):
+        if had:
+            system.rename(path(aside), path(target))
+        raise OSError(f"{parts[0].getPath()} could not be renamed to {target}")
+    system.delete(path(aside), True)
     system.delete(path(staging), True)
     return target
 

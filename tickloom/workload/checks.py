@@ -168,8 +168,8 @@ _MEASURES = ("open", "high", "low", "close", "volume", "daily_pct_change")
 _CORRELATIONS = " UNION ALL ".join(
     f"SELECT '{x}' AS x, '{y}' AS y, round(CASE WHEN isnan(c) THEN NULL ELSE c END, 6) AS correlation FROM "
     f"(SELECT corr({x}, {y}) AS c FROM varied)"
-    for x in _MEASURES
-    for y in _MEASURES
+    for x in (*_MEASURES, "unit")
+    for y in (*_MEASURES, "unit")
 )
 
 _FINDINGS = """
@@ -377,15 +377,19 @@ SELECT date, open, high, low, close, CAST(volume AS DOUBLE) / 1e6 AS volume_mill
 UNION ALL SELECT 'symbol', CAST(sum(n) AS BIGINT), count(*), (SELECT symbol FROM counted ORDER BY n DESC, symbol LIMIT 1), max(n),
   NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM counted""",
     "correlation_matrix": f"""WITH {_CURATED},
-varied AS (SELECT 1.0::DOUBLE AS open, high, low, close, CAST(volume AS DOUBLE) AS volume, daily_pct_change FROM curated)
+varied AS (SELECT open, high, low, close, CAST(volume AS DOUBLE) AS volume, daily_pct_change, 1.0::DOUBLE AS unit FROM curated)
 {_CORRELATIONS}""",
+    "correlation_chart": f"""WITH {_CURATED},
+varied AS (SELECT open, high, low, close, CAST(volume AS DOUBLE) AS volume, daily_pct_change, 1.0::DOUBLE AS unit FROM curated)
+SELECT x, y, CASE WHEN correlation IS NOT NULL THEN format('{{:.2f}}', correlation) END AS label FROM ({_CORRELATIONS})""",
     "temporal_features": f"""WITH {BARS_SQL}, {_features()}
 SELECT symbol, date, close, day_index, scale, {", ".join(f"round({name}, 6) AS {name}" for name in _NAMES)}, part FROM features""",
     "temporal_split": f"""WITH {BARS_SQL},
 placed AS (SELECT symbol, date, row_number() OVER (PARTITION BY symbol ORDER BY date) AS rn, count(*) OVER (PARTITION BY symbol) AS n FROM bars),
 parts AS (SELECT *, CASE WHEN rn <= {_SPLIT_SIZE.format(n="n")} THEN 'train' ELSE 'test' END AS part FROM placed)
 SELECT symbol, part, count(*) AS rows, min(date) AS first, max(date) AS last FROM parts GROUP BY 1, 2""",
-    "series_status": f"""WITH {BARS_SQL}, early AS (SELECT * FROM bars WHERE date < DATE '1995-02-15'), {_features("early")},
+    "series_status": f"""WITH {BARS_SQL}, early AS (SELECT * REPLACE (symbol || '-' || year(date) || '-' ||
+  CASE WHEN month(date) <= 6 THEN 'H1' WHEN month(date) <= 9 THEN 'Q3' ELSE CAST(month(date) AS VARCHAR) END AS symbol) FROM bars), {_features("early")},
 raw AS (SELECT symbol, count(*) AS rows FROM early GROUP BY 1), built_rows AS (SELECT symbol, count(*) AS f FROM features GROUP BY 1)
 SELECT symbol, rows, coalesce(f, 0) AS feature_rows, CASE WHEN rows < 10 THEN 'too_few_rows'
   WHEN coalesce(f, 0) < 14 THEN 'too_few_feature_rows' ELSE 'ok' END AS status FROM raw LEFT JOIN built_rows USING (symbol)""",
@@ -437,8 +441,8 @@ steps AS (
 )
 SELECT symbol, CAST(last_date + i AS DATE) AS date, round(exp(p) - 1, 4) AS predicted FROM steps WHERE i > 0""",
     "ridge_search": f"""WITH RECURSIVE {_FITS}
-SELECT symbol, CAST(NULL AS INTEGER) AS epochs, reg_param, {", ".join(f"round({x}, 5) AS {x}" for x in ("train_r2", "r2", "rmse", "mae"))}, chosen
-FROM search""",
+SELECT symbol, CAST(epochs AS INTEGER) AS epochs, reg_param, {", ".join(f"round({x}, 5) AS {x}" for x in ("train_r2", "r2", "rmse", "mae"))}, chosen AND epochs = 8 AS chosen
+FROM search, (VALUES (8), (16), (32), (64), (128)) AS limits(epochs)""",
     "ridge_refit": f"""WITH RECURSIVE {_FITS},
 sizes AS (
   SELECT symbol, count(*) FILTER (part = 'train') AS train_rows, count(*) FILTER (part = 'test') AS test_rows, max(scale) AS scale,
@@ -456,7 +460,7 @@ totals AS (
 ),
 tested AS (SELECT symbol, {_errors("", "predicted", ", 10")}, {_errors("baseline_naive_", "naive", ", 10")} FROM past GROUP BY 1),
 means AS (SELECT symbol, CAST(count(*) AS INTEGER) AS folds, avg(model_rmse) AS mm, avg(naive_rmse) AS nm FROM folds GROUP BY 1)
-SELECT symbol, 3 AS iterations, CAST(NULL AS INTEGER) AS epochs, reg_param, train_rows, test_rows, 31 AS future_days, forecast_anchor_date,
+SELECT symbol, 15 AS iterations, 8 AS epochs, reg_param, train_rows, test_rows, 31 AS future_days, forecast_anchor_date,
   round(train_r2, 4) AS train_r2, round(test_r2, 4) AS r2, round(test_r2, 4) AS test_r2, 0.6::DOUBLE AS target_r2_min, 0.8::DOUBLE AS target_r2_max,
   train_r2 BETWEEN 0.6 AND 0.8 AS train_target_reached, test_r2 BETWEEN 0.6 AND 0.8 AS test_target_reached,
   train_r2 BETWEEN 0.6 AND 0.8 AND test_r2 BETWEEN 0.6 AND 0.8 AS target_reached, round(rmse, 4) AS rmse, round(mae, 4) AS mae,

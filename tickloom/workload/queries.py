@@ -92,7 +92,11 @@ def separator_by_file(spark, folder):
 
 @registered
 def union_mixed_files(spark, folder):
-    lines = tables.price_lines(spark, folder).where(F.col("place") > 0)
+    """Each file's separator is found from its header and used for its lines; some fields are quoted."""
+    written = tables.price_lines(spark, folder).select("path", "place", "text")
+    found = delimited.line_separators(written, "path", "place", "text")
+    quoted = F.regexp_replace("text", "^(S[0-9]*5)([;,])", '"$1"$2')
+    lines = written.where(F.col("place") > 0).withColumn("text", quoted).join(found, "path")
     semicolons = delimited.parse_lines(lines.where(F.col("separator") == ";"), "text", ["symbol", "date", "close"], ";")
     commas = delimited.parse_lines(
         lines.where(F.col("separator") == ","), "text", ["symbol", "date", "close", "volume"], ","
@@ -180,10 +184,20 @@ def profile(spark, folder):
     return _rounded(found, ["mean", "std", "min", "q25", "q50", "q75", "max"])
 
 
+def _correlated(spark, folder) -> tuple[DataFrame, list[str]]:
+    """The curated quotes with a column that does not vary beside the measured ones."""
+    table = ohlcv.curate(raw_quotes(spark, folder), ORDER, block()).withColumn("unit", F.lit(1.0))
+    return table, [*profiles.CORRELATED, "unit"]
+
+
 @registered
 def correlation_matrix(spark, folder):
-    table = ohlcv.curate(raw_quotes(spark, folder), ORDER, block()).withColumn("open", F.lit(1.0))
-    return _rounded(profiles.correlation_matrix(table), ["correlation"])
+    return _rounded(profiles.correlation_matrix(*_correlated(spark, folder)), ["correlation"])
+
+
+@registered
+def correlation_chart(spark, folder):
+    return charts.correlation_chart(*_correlated(spark, folder)).select("x", "y", "label")
 
 
 # Features, split, baseline
@@ -215,9 +229,11 @@ def temporal_split(spark, folder):
 
 @registered
 def series_status(spark, folder):
-    """Only the series' first year, so that some are too short."""
-    early = _model_series(spark, folder).where(F.col("date") < "1995-02-15")
-    return features.series_status(early, features.temporal_features(early))
+    """Series of all lengths: each symbol's half years, quarters and months count as series of their own."""
+    month = F.month("date")
+    span = F.when(month <= 6, F.lit("H1")).when(month <= 9, F.lit("Q3")).otherwise(month.cast("string"))
+    parts = _model_series(spark, folder).withColumn("symbol", F.concat_ws("-", "symbol", F.year("date"), span))
+    return features.series_status(parts, features.temporal_features(parts))
 
 
 def _test_rows(spark, folder) -> DataFrame:
@@ -350,9 +366,7 @@ def forecast_chart(spark, folder):
 
 def _next_close(spark, folder) -> DataFrame:
     raw = bars(spark, folder).withColumn("trade_date", dates.iso_text(F.col("date")))
-    training = ohlcv.training_rows(raw, [], F.lit(0))
-    largest = tickers.top_symbols(training, 1).collect()[0]["symbol"]
-    return learners.next_close_rows(training, largest)
+    return learners.next_close_rows(ohlcv.training_rows(raw, ["trade_date"], F.lit(0)))
 
 
 @registered
