@@ -27,6 +27,14 @@ _LENIENT_DAY = """coalesce(
 
 _CLEAN = "CASE WHEN contains(close, ',') THEN replace(replace(trim(close), '.', ''), ',', '.') ELSE trim(close) END"
 _STRICT_CLOSE = f"CASE WHEN regexp_full_match({_CLEAN}, '[+-]?[0-9]+([.][0-9]+)?') THEN TRY_CAST({_CLEAN} AS DOUBLE) END"
+_MONTH_FIRST_DAY = """coalesce(
+  CASE WHEN regexp_full_match(trim(trade_date), '\\d{2}[/.]\\d{2}[/.]\\d{4}') THEN coalesce(
+      TRY_CAST(substr(trim(trade_date), 7, 4) || '-' || substr(trim(trade_date), 1, 2) || '-' || substr(trim(trade_date), 4, 2) AS DATE),
+      TRY_CAST(substr(trim(trade_date), 7, 4) || '-' || substr(trim(trade_date), 4, 2) || '-' || substr(trim(trade_date), 1, 2) AS DATE)) END,
+  CASE WHEN regexp_full_match(trim(trade_date), '\\d{8}') THEN
+      TRY_CAST(substr(trim(trade_date), 1, 4) || '-' || substr(trim(trade_date), 5, 2) || '-' || substr(trim(trade_date), 7, 2) AS DATE) END,
+  CASE WHEN regexp_matches(trim(trade_date), '^\\d{4}[-/]\\d{2}[-/]\\d{2}( |$)') THEN TRY_CAST(replace(substr(trim(trade_date), 1, 10), '/', '-') AS DATE) END)"""
+_NUMBER = "CASE WHEN regexp_matches(trim({x}), '^[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?$') THEN TRY_CAST(trim({x}) AS DOUBLE) END"
 _LENIENT_CLOSE = f"round(TRY_CAST({_CLEAN} AS DOUBLE), 6)"
 _SYMBOL = "coalesce(nullif(trim(symbol), ''), 'UNKNOWN')"
 
@@ -493,6 +501,22 @@ FROM runs GROUP BY 1""",
     "latest_runs": f"""WITH {RUNS_SQL}
 SELECT run_key, symbol, run_number, updated_at FROM runs
 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY updated_at DESC, run_key DESC) <= 7""",
+    "retained_runs": f"""WITH {RUNS_SQL},
+registered AS (
+  SELECT 'run-' || CAST(run_number // 2 AS VARCHAR) AS run_key, symbol,
+    CASE WHEN run_number % 5 > 1 THEN 'a-' || CAST(run_number % 97 AS VARCHAR) END AS action_key, run_number, updated_at, source_name FROM runs
+),
+newest AS (SELECT * FROM registered QUALIFY row_number() OVER (PARTITION BY run_key ORDER BY updated_at DESC, symbol DESC, run_number DESC) = 1),
+of_ticker AS (SELECT * FROM newest QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY updated_at DESC, run_key DESC) <= 7)
+SELECT * FROM of_ticker
+QUALIFY action_key IS NULL OR row_number() OVER (PARTITION BY action_key ORDER BY updated_at DESC, run_key DESC) <= 7""",
+    "model_input_text": f"""WITH {RAW_QUOTES_SQL},
+typed AS (
+  SELECT coalesce(nullif(trim(symbol), ''), 'ZED4') AS symbol, {_MONTH_FIRST_DAY} AS date, {_NUMBER.format(x="close")} AS close,
+    {_NUMBER.format(x="high")} AS high, {_NUMBER.format(x="low")} AS low, {_NUMBER.format(x="volume")} AS volume, position FROM raw_quotes
+)
+SELECT symbol, date, close, high, low, volume FROM typed WHERE date IS NOT NULL AND close IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY symbol, date ORDER BY position DESC) = 1""",
     "valid_runs": f"WITH {RUNS_SQL} SELECT run_key, symbol FROM valid",
     "reuse_plan": f"""WITH {RUNS_SQL},
 kept AS (SELECT * FROM valid QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY updated_at DESC, run_key DESC) <= 7),

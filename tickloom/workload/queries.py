@@ -211,6 +211,13 @@ def _features(spark, folder) -> DataFrame:
     return features.trainable(features.temporal_features(_model_series(spark, folder)))
 
 
+@registered
+def model_input_text(spark, folder):
+    """Text quotes with blank tickers and several rows a day: month-first dates, the last row wins."""
+    text = raw_quotes(spark, folder).withColumnsRenamed({"symbol": "Ticker", "trade_date": " DATE ", "close": "Fechamento"})
+    return features.model_input(text, "zed4 ", ORDER).select("symbol", "date", "close", "high", "low", "volume")
+
+
 @registered
 def temporal_features(spark, folder):
     built = features.temporal_features(_model_series(spark, folder)).select(
@@ -400,6 +407,14 @@ def latest_runs(spark, folder):
     return registry.latest_runs(tables.runs(spark, folder)).select("run_key", "symbol", "run_number", "updated_at")
 
 
+@registered
+def retained_runs(spark, folder):
+    """Each key registered twice, some runs without an action: what the registry keeps."""
+    registered_runs = tables.runs(spark, folder).withColumn("run_key", F.concat(F.lit("run-"), F.floor(F.col("run_number") / 2)))
+    action = F.when(F.col("run_number") % 5 > 1, F.concat(F.lit("a-"), F.col("run_number") % 97))
+    return registry.retained_runs(registered_runs.withColumn("action_key", action))
+
+
 @registered
 def valid_runs(spark, folder):
     return registry.valid_runs(tables.runs(spark, folder), tables.artifacts(spark, folder)).select("run_key", "symbol")
