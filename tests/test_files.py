@@ -109,7 +109,7 @@ def test_price_series_job_writes_named_files_and_publishes(spark, tmp_path):
     text = "Date;Close\n" + "".join(f"2024-01-{d:02d};{d},5\n" for d in range(1, 11)) + "2020-01-01;1\nbad;1\n"
     path = _write(tmp_path / "in.csv", text)
     job = etl.run_price_series_job(
-        spark, path, "my series", str(tmp_path / "treated"), str(tmp_path / "out"), bucket_root=str(tmp_path / "bucket")
+        spark, path, "my series", str(tmp_path / "treated"), str(tmp_path / "out"), bucket_root=str(tmp_path / "bucket"), single_file=True
     )
     assert job.rows == 10 and job.key == "processed/my_series.parquet" and len(job.warnings) == 2
     lines = (tmp_path / "treated/my_series.csv").read_text().splitlines()

@@ -57,7 +57,9 @@ def treat_table(
     if single_symbol:
         quality.require_single_ticker(table, layout.symbol, count_missing=mode == "strict")
     report = quality.series_report(parsed, input_order, min_rows, max_period_days)
-    if single_symbol:
+    if single_symbol:  # a few findings of one series: found once, for the check here and for the caller
+        found = [tuple(row) for row in report.collect()]
+        report = table.sparkSession.createDataFrame(found, report.schema)
         quality.raise_on(report, ["no_valid_rows"])
         if parsed.isEmpty():
             raise series.SeriesError("the source is empty")
@@ -77,13 +79,14 @@ def run_price_series_job(
     key_prefix: str = "processed",
     mode: str = "strict",
     single_symbol: bool = True,
-    single_file: bool = True,
+    single_file: bool = False,
 ) -> JobSummary:
     """Treat one file and write it as ``;`` CSV and as Parquet, and publish the Parquet
     under ``bucket_root`` (any Hadoop URI) when one is given.
 
-    A single series is written as one file per format; ``single_file=False`` leaves
-    directories, as suits a table of many symbols, whose findings become a table as well.
+    The source is treated once, for the Parquet; the CSV is written from that. With
+    ``single_file`` each is one file, through one task. Findings of many symbols become a
+    table as well.
     """
     name = slug_text(source_name)
     table = delimited.read_file(spark, input_path, sep)
@@ -92,14 +95,17 @@ def run_price_series_job(
     watch = Observation()
     result = treated.frame.select(*columns).orderBy(*columns[:-1])
     csv_path, parquet_path = f"{treated_root}/{name}.csv", f"{output_root}/{name}.parquet"
+    counted = result.observe(watch, F.count(F.lit(1)).alias("rows"))
+    if single_file:
+        sinks.write_single(counted, parquet_path, "parquet")
+    else:
+        sinks.write_parquet(counted, parquet_path)
+    rows = watch.get["rows"]
+    written = spark.read.schema(result.schema).parquet(parquet_path).orderBy(*columns[:-1])
     if single_file:
-        sinks.write_single(result, csv_path, "csv")
-        sinks.write_single(result.observe(watch, F.count(F.lit(1)).alias("rows")), parquet_path, "parquet")
-        rows = spark.read.parquet(parquet_path).count()
+        sinks.write_single(written, csv_path, "csv")
     else:
-        sinks.write_csv(result, csv_path, ";")
-        sinks.write_parquet(result.observe(watch, F.count(F.lit(1)).alias("rows")), parquet_path)
-        rows = watch.get["rows"]
+        sinks.write_csv(written, csv_path, ";")
     key = f"{key_prefix}/{name}.parquet" if bucket_root else None
     if bucket_root:
         sinks.publish(spark.read.parquet(parquet_path), bucket_root, key_prefix, source_name)

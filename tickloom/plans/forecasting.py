@@ -39,12 +39,14 @@ def train_predict_evaluate(
 
 @dataclass(frozen=True)
 class ForecastRun:
-    """Results of one request: new and reused runs side by side."""
+    """Results of one request: new and reused runs side by side. ``status`` says which of the
+    series to train were long enough; the others have a plan but no results."""
 
     plan: DataFrame
     metrics: DataFrame
     past: DataFrame
     future: DataFrame
+    status: DataFrame
 
 
 def run_forecast(
@@ -77,14 +79,15 @@ def run_forecast(
     fresh = plan.where(F.col("decision") == "train")
     wanted = series.join(fresh.select("symbol"), "symbol", "left_semi")
     made = forecast.forecast_all(wanted, days, held_out, keep=materialised)
-    usable = made.status.where(F.col("status") == "ok").select("symbol")
+    status = materialised(made.status)
+    usable = status.where(F.col("status") == "ok").select("symbol")
     trained = materialised(fresh.join(usable, "symbol", "left_semi"))
     sinks.write_forecast(made, trained, f"{root}/artifacts")
     trained.select(
         "run_key", "symbol", "action_key", "run_number", moment.alias("updated_at"), F.lit(source_name).alias("source_name")
     ).write.mode("append").parquet(f"{root}/runs")
     counts = registry.attempt_counts(spark.read.parquet(f"{root}/attempts"))
-    return _results(spark, root, plan, counts)
+    return _results(spark, root, plan, counts, status)
 
 
 def _runs(spark: SparkSession, root: str) -> DataFrame | None:
@@ -104,7 +107,7 @@ def _artifact(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(_PREDICTIONS[name]).option("header", True).option("enforceSchema", False).csv(path)
 
 
-def _results(spark: SparkSession, root: str, plan: DataFrame, counts: DataFrame) -> ForecastRun:
+def _results(spark: SparkSession, root: str, plan: DataFrame, counts: DataFrame, status: DataFrame) -> ForecastRun:
     """Rows of the planned runs from the artifact tables, marked as new or reused."""
     chosen = plan.select("run_key", "decision", "action_key", "valid_runs")
 
@@ -127,7 +130,7 @@ def _results(spark: SparkSession, root: str, plan: DataFrame, counts: DataFrame)
         .withColumn("max_action_reprocessings", F.lit(registry.MAX_RUNS))
         .drop("decision", "valid_runs", "limit_reached")
     )
-    return ForecastRun(plan, metrics, of_plan("test_predictions"), of_plan("future_predictions"))
+    return ForecastRun(plan, metrics, of_plan("test_predictions"), of_plan("future_predictions"), status)
 
 
 def run_forecast_from_csv(
