@@ -131,7 +131,7 @@ def _short(frame: DataFrame, text: str, ranks: str, pattern: str) -> DataFrame:
     return frame.mapInArrow(run, _kinds(frame, frame.columns) + "ids array<int>")
 
 
-_NODE = "_node struct<text:string,ids:array<int>,ends:array<bigint>,tokens:array<bigint>>"
+_NODE = "_node struct<text:string,ids:array<int>,ends:array<int>,tokens:array<int>>"
 
 
 def _long(frame: DataFrame, text: str, ranks: str, pattern: str, leaf: int) -> DataFrame:
@@ -150,7 +150,7 @@ def _long(frame: DataFrame, text: str, ranks: str, pattern: str, leaf: int) -> D
         for batch in batches:
             nodes = [Encoded.of(x, ranks, pattern) for x in _texts(batch.column(2))]
             made = [{"text": n.text, "ids": n.ids, "ends": n.ends, "tokens": n.tokens} for n in nodes]
-            kind = pa.struct([("text", pa.string()), ("ids", pa.list_(pa.int32())), ("ends", pa.list_(pa.int64())), ("tokens", pa.list_(pa.int64()))])
+            kind = pa.struct([("text", pa.string()), ("ids", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("tokens", pa.list_(pa.int32()))])
             columns = [batch.column(0), batch.column(1), *batch.columns[3:], pa.array(made, kind)]
             yield pa.RecordBatch.from_arrays(columns, ["_key", "_leaf", *others, "_node"])
 
