@@ -40,9 +40,13 @@ def profile(table: DataFrame, exact_rows: int = EXACT_ROWS) -> DataFrame:
     numbers = table.select(*[_as_number(field).alias(field.name) for field in measured])
     parts = []
     if measured:
-        moments = _number_profile(numbers, measured).collect()  # one row per column
-        sizes = {row["column"]: row["count"] for row in moments}
-        quartiles = exact_quantiles(numbers, list(sizes), QUARTILES, exact_rows, sizes)
+        numbers.persist()  # several passes follow; all of them end here
+        try:
+            moments = _number_profile(numbers, measured).collect()  # one row per column
+            sizes = {row["column"]: row["count"] for row in moments}
+            quartiles = exact_quantiles(numbers, list(sizes), QUARTILES, exact_rows, sizes)
+        finally:
+            numbers.unpersist()
         found = table.sparkSession.createDataFrame(
             [tuple(row) for row in moments],
             "column string, count bigint, mean double, std double, min double, max double",
@@ -122,10 +126,10 @@ def exact_quantiles(
     """Exact linear-interpolated quantiles of double columns: (column, q25, q50, ...).
 
     Spark's exact ``percentile`` merges all distinct values into one buffer, so it only
-    ever sees ``exact_rows`` values here. Larger columns are narrowed first: approximate
-    quantiles cut the value range into slices, a count per slice tells which one holds the
-    wanted rank, and only that slice is looked at again. Each round is two aggregations for
-    all columns together, and only slice edges and counts reach the driver.
+    ever sees ``exact_rows`` values here. Columns of every size are narrowed first:
+    approximate quantiles cut the value range into slices, a count per slice tells which one
+    holds the wanted rank, and only that slice is looked at again. Each round is two
+    aggregations for all columns together, and only slice edges and counts reach the driver.
     """
     sizes = sizes or numbers.agg(*[F.count(name).alias(name) for name in columns]).collect()[0].asDict()
     targets: dict[tuple[str, int], _Target] = {}
@@ -133,8 +137,10 @@ def exact_quantiles(
     for (name, _), place in places.items():
         for rank in {math.floor(place), math.ceil(place)}:
             targets.setdefault((name, rank), _Target(name, rank, sizes[name]))
-    while wide := [t for t in targets.values() if t.value is None and t.total > exact_rows]:
+    wide = list(targets.values())
+    while wide:
         _narrow(numbers, wide)
+        wide = [t for t in targets.values() if t.value is None and t.total > exact_rows]
     _finish(numbers, [t for t in targets.values() if t.value is None])
 
     def interpolated(name: str, p: float) -> float | None:

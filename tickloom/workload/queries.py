@@ -373,7 +373,8 @@ def forecast_chart(spark, folder):
 
 def _next_close(spark, folder) -> DataFrame:
     raw = bars(spark, folder).withColumn("trade_date", dates.iso_text(F.col("date")))
-    return learners.next_close_rows(ohlcv.training_rows(raw, ["trade_date"], F.lit(0)))
+    # Kept: the split looks at the rows several times before the learners do.
+    return learners.next_close_rows(ohlcv.training_rows(raw, ["trade_date"], F.lit(0))).persist()
 
 
 @registered
