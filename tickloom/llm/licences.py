@@ -76,9 +76,9 @@ def _directory(path: Column) -> Column:
 
 def _own(files: DataFrame, templates: DataFrame, threshold: float) -> DataFrame:
     """``(uid, score, licence)``: the best template of each file's statements."""
-    counted = files.select(F.explode(F.concat(F.array(F.lit("")), "present")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    total = counted.where("term = ''").select(F.col("df").alias("n"))
-    weights = counted.crossJoin(F.broadcast(total)).select("term", (F.log((1.0 + F.col("n")) / (1.0 + F.col("df"))) + 1.0).alias("idf"))  # one row
+    total = files.count()
+    counted = files.select(F.explode("present").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    weights = counted.select("term", (F.log(F.lit(1.0 + total) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
     vectors = templates.join(weights, "term", "left").select("*", (F.col("tf") * F.coalesce("idf", F.lit(1.0))).alias("tw")).drop("tf", "idf")
     norms = vectors.groupBy("template").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("norm"))
     vectors = vectors.join(norms, "template").select("licence", "template", "term", (F.col("tw") / F.col("norm")).alias("tw"))
