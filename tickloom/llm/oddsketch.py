@@ -77,9 +77,15 @@ def _samples(hashes: np.ndarray, offsets: np.ndarray, count: int) -> np.ndarray:
 
 
 def _folded(row: np.ndarray, values: np.ndarray, n: int, bits: int) -> np.ndarray:
-    """The parity bitmap of each row's values, as bytes."""
-    spots = row * bits + (values % np.uint64(bits)).astype(np.int64)
-    return np.packbits((np.bincount(spots, minlength=n * bits) & 1).astype(np.uint8).reshape(n, bits), axis=1)
+    """The parity bitmap of each row's values, as bytes; ``row`` ascends. A few hundred rows are spread out at a time."""
+    spots, out = (values % np.uint64(bits)).astype(np.int64), np.empty((n, bits // 8), np.uint8)
+    for start in range(0, n, 512):
+        count = min(512, n - start)
+        low, high = np.searchsorted(row, [start, start + count])
+        places = (row[low:high] - start) * bits + spots[low:high]
+        odd = (np.bincount(places, minlength=count * bits) & 1).astype(np.uint8)
+        out[start : start + count] = np.packbits(odd.reshape(count, bits), axis=1)
+    return out
 
 
 def _prints(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES, PIECE_ROWS = 2 << 20, 4096
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 _SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
 _MASKS = np.array([(1 << (8 * i)) - 1 for i in range(8)] + [(1 << 64) - 1], dtype=np.uint64)
@@ -125,13 +125,14 @@ def held_in(values: np.ndarray, among: np.ndarray) -> np.ndarray:
 
 
 def pieces(batch: pa.RecordBatch, column: int, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Runs of rows whose texts have about ``limit`` bytes at most; a longer text is a run of its own."""
+    """Runs of up to PIECE_ROWS rows whose texts have about ``limit`` bytes at most; a longer text is a run of its own."""
     if not batch.num_rows:
         return
     _, offsets = text_bytes(batch.column(column))
     at = 0
     while at < batch.num_rows:
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
+        to = min(to, at + PIECE_ROWS)
         yield batch.slice(at, to - at)
         at = to
 
