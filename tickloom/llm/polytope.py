@@ -26,7 +26,7 @@ from tickloom.llm import words
 from tickloom.llm.common import picked, written
 from tickloom.llm.components import components
 
-TABLES, CODES = 16, 2
+TABLES, CODES = 12, 3
 BLOCK = 256
 
 
