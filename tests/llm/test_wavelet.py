@@ -62,3 +62,15 @@ def test_documents_come_back_in_order(spark, library, tmp_path, shard_tokens):
 def test_empty_table(spark):
     docs = odd.documents(spark)
     assert wavelet.documents(wavelet.shards(odd.empty(docs), VOCABULARY)).collect() == []
+
+
+def test_added_tokens_have_the_unchanged_librarys_ids(spark):
+    plain = Tokenizer.from_file(VOCABULARY)
+    added = sorted(x.content for x in plain.get_added_tokens_decoder().values())
+    texts = ["hello <|endoftext|> you", "no such token", None, "<|startoftext|>a<|endoftext|>", "<|ENDOFTEXT|> x", "", *(f"a {x}b\n{x}{x}" for x in added), "last one"]
+    want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    ids, counts = wavelet._word_ids(VOCABULARY)(*words.text_bytes(pa.array(texts)))
+    assert counts.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((r.doc_id, list(r.tokens)) for r in wavelet.documents(wavelet.shards(docs, VOCABULARY)).collect())
+    assert got == [(i, [*x, 1]) for i, x in enumerate(want)]

@@ -14,12 +14,15 @@ zeros of each plane, the documents' ends, the planes, compressed by zstandard.
 Texts are encoded by the tokenizers library, each distinct word once per worker. That gives
 the ids of whole texts: the tokenizer's normalizer and pattern neither join nor look across
 ASCII white space, which itself has no token, nor in words of ASCII letters and signs across
-the edge between the two kinds.
+the edge between the two kinds. Texts that hold one of the tokenizer's added tokens,
+such as "<|endoftext|>", are encoded whole, as the library finds those tokens before it
+normalizes and cuts.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -168,7 +171,9 @@ class _WordIds:
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(path)
-        self.encoder.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = sorted(x.content for x in self.encoder.get_added_tokens_decoder().values())
+        #: An added token in any case and form: the library looks for some of them after its normalizer.
+        self.added = re.compile("|".join(re.escape(x) for x in added).encode(), re.IGNORECASE) if added else None
         self.limit = limit
         self._clear()
 
@@ -191,6 +196,32 @@ class _WordIds:
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, one after the other, and how many each text has."""
+        whole = self._whole(data, offsets)
+        if not whole:
+            return self._by_units(data, offsets)
+        made, sizes, done = [], np.zeros(len(offsets) - 1, np.int64), 0
+        for i in [*whole, len(offsets) - 1]:
+            if i > done:
+                low, high = offsets[done], offsets[i]
+                ids, sizes[done:i] = self._by_units(data[low:high], offsets[done : i + 1] - low)
+                made.append(ids)
+            if i < len(sizes):
+                text = data[offsets[i] : offsets[i + 1]].tobytes().decode("utf-8", "replace")
+                ids = np.array(self.encoder.encode(text, add_special_tokens=False).ids, np.int32)
+                sizes[i] = len(ids)
+                made.append(ids)
+            done = i + 1
+        return np.concatenate(made), sizes
+
+    def _whole(self, data: np.ndarray, offsets: np.ndarray) -> list[int]:
+        """The texts that hold an added token."""
+        if self.added is None:
+            return []
+        raw = data.tobytes()
+        places = np.array([x.start() for x in self.added.finditer(raw, 0, int(offsets[-1]))], np.int64)
+        return np.unique(np.searchsorted(offsets, places[places >= offsets[0]], side="right") - 1).tolist()
+
+    def _by_units(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         found = _units(data, offsets)
         hashes, one, which = np.unique(found.hashes, return_index=True, return_inverse=True)
         if len(self.hashes) > self.limit:
