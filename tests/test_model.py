@@ -279,3 +279,16 @@ def test_rank_split_is_exact_with_ties(spark):
     assert max(r["trade_date_fmt"] for r in a) <= min(r["trade_date_fmt"] for r in b)
     with pytest.raises(SeriesError):
         learners.split_by_rank(rows.limit(1))
+
+
+def test_limited_search_has_the_points_of_mllib(fits):
+    rows, _, _ = fits
+    own = ridge.search_limited(rows).where("symbol = 'W2'").collect()
+    table, chosen = learners.search_one(rows.where("symbol = 'W2'"))
+    found = {(r["reg_param"], r["epochs"]): r for r in own}
+    assert len(own) == len(found) == 15
+    for want in table.collect():
+        for name in ("train_r2", "r2", "rmse", "mae"):
+            assert found[want["reg_param"], want["epochs"]][name] == pytest.approx(want[name], abs=1e-6)
+    assert [(r["reg_param"], r["epochs"]) for r in own if r["chosen"]] == [(chosen["reg_param"], chosen["epochs"])]
+    assert len({round(r["r2"], 9) for r in own}) > 3

@@ -304,6 +304,12 @@ def ridge_search(spark, folder):
     return _rounded(ridge.search_attempts(rows, ridge.fit_all(rows)), ["train_r2", "r2", "rmse", "mae"], 5)
 
 
+@registered
+def ridge_search_limited(spark, folder):
+    rows = _features(spark, folder)
+    return _rounded(ridge.search_limited(rows), ["train_r2", "r2", "rmse", "mae"], 5)
+
+
 @registered
 def ridge_refit(spark, folder):
     models = ridge.with_chosen(ridge.fit_all(_features(spark, folder)))
