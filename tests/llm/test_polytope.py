@@ -51,3 +51,10 @@ def test_rotation_keeps_lengths():
     x = np.random.default_rng(0).normal(size=(5, 16))
     assert np.allclose(np.linalg.norm(polytope._hadamard(x), axis=1), np.linalg.norm(x, axis=1))
     assert np.allclose(polytope._hadamard(polytope._hadamard(x)), x)
+
+
+def test_a_pair_that_meets_by_probes_only_is_a_link():
+    x = np.array([[1.0, 0.0], [1.0, 0.0]])
+    keys = np.array([[1, 7, 9], [2, 9, 7]])
+    found = {key: [(i.tolist(), j.tolist()) for i, j in polytope._linked(np.zeros(2, int), 0, 0, x, keys, key, 3, 0.98)] for key in (7, 9)}
+    assert found == {7: [([0], [1])], 9: [([], [])]}
