@@ -189,3 +189,21 @@ FROM files LEFT JOIN own o USING (doc_id) LEFT JOIN inherited i USING (doc_id)
 
 
 CHECKS["op1_licences"] = _licences()
+
+CHECKS["op11_fill_in_middle"] = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+    sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+drawn AS (
+  SELECT doc_id, t, u, len(u) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS p, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS q,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 50 THEN 'plain'
+      WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM cut),
+parts AS (
+  SELECT doc_id, t, n, form, array_to_string(u[1:least(p, q)], '') AS a, array_to_string(u[least(p, q) + 1:greatest(p, q)], '') AS b,
+    array_to_string(u[greatest(p, q) + 1:], '') AS c FROM drawn)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN length(a) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(b) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || c || '<M>' || b ELSE '<S>' || c || '<P>' || a || '<M>' || b END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""

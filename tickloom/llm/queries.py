@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tickloom.llm import bpe, decontaminate, licences, linededup, oddsketch, pii, polytope, quality, toxicity, wavelet
+from tickloom.llm import bpe, decontaminate, fim, licences, linededup, oddsketch, pii, polytope, quality, toxicity, wavelet
 from tickloom.llm.common import written
 from tickloom.llm.tables import read
 
@@ -66,3 +66,8 @@ def op8_wavelet_files(spark, folder):
 @registered
 def op1_licences(spark, folder):
     return licences.report(read(spark, folder, "documents"))
+
+
+@registered
+def op11_fill_in_middle(spark, folder):
+    return fim.report(read(spark, folder, "documents"))
