@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tickloom.llm import bpe, decontaminate, fim, licences, linededup, oddsketch, pii, polytope, quality, toxicity, wavelet
+from tickloom.llm import bpe, decontaminate, fim, licences, linededup, oddsketch, pii, polytope, quality, rules, toxicity, wavelet
 from tickloom.llm.common import written
 from tickloom.llm.tables import read
 
@@ -71,3 +71,8 @@ def op1_licences(spark, folder):
 @registered
 def op11_fill_in_middle(spark, folder):
     return fim.report(read(spark, folder, "documents"))
+
+
+@registered
+def op12_boosted_rules(spark, folder):
+    return rules.report(read(spark, folder, "documents"), read(spark, folder, "labels"))
