@@ -207,3 +207,23 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form,
   sha256(t) AS restored_sha256
 FROM parts
 """
+
+CHECKS["op13_bag_search"] = r"""
+WITH doc_terms AS (
+  SELECT r, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x{00}-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT *, row_number() OVER () AS r FROM documents)),
+item_terms AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x{00}-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+lengths AS (SELECT r, doc_id, count(*) AS n FROM doc_terms GROUP BY r, doc_id),
+totals AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM lengths),
+measured AS (SELECT r, doc_id, 100 - 50 + ((50 * n * big_n) // big_l) AS m FROM lengths, totals),
+tfs AS (SELECT r, term, count(*) AS tf FROM doc_terms GROUP BY r, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(big_n) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM tfs, totals GROUP BY term),
+scores AS (
+  SELECT item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM item_terms JOIN tfs USING (term) JOIN weights USING (term) JOIN measured USING (r) GROUP BY item_id, r, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scores WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 50
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tickloom.llm import bpe, decontaminate, fim, licences, linededup, oddsketch, pii, polytope, quality, rules, toxicity, wavelet
+from tickloom.llm import bpe, decontaminate, fim, lexical, licences, linededup, oddsketch, pii, polytope, quality, rules, toxicity, wavelet
 from tickloom.llm.common import written
 from tickloom.llm.tables import read
 
@@ -76,3 +76,8 @@ def op11_fill_in_middle(spark, folder):
 @registered
 def op12_boosted_rules(spark, folder):
     return rules.report(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+@registered
+def op13_bag_search(spark, folder):
+    return lexical.search(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
