@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from tickloom.operators import backtest, charts, features, forecast, learners, ridge
+from tickloom.operators import backtest, charts, features, forecast, learners, ohlcv, ridge
 from tickloom.operators.series import SeriesError
 from tickloom.plans import forecasting
 
@@ -277,8 +277,21 @@ def test_rank_split_is_exact_with_ties(spark):
     a, b = first.collect(), last.collect()
     assert (len(a), len(b)) == (15, 5) and len({r["symbol"] for r in a + b}) == 20
     assert max(r["trade_date_fmt"] for r in a) <= min(r["trade_date_fmt"] for r in b)
+    parts = [p.collect() for p in learners.split_by_rank(rows, (0.25, 0.2))]
+    assert [len(p) for p in parts] == [12, 3, 5] and sorted(parts[0] + parts[1]) == sorted(a) and sorted(parts[2]) == sorted(b)
     with pytest.raises(SeriesError):
         learners.split_by_rank(rows.limit(1))
+    with pytest.raises(SeriesError):
+        learners.split_by_rank(rows.limit(2), (0.5, 0.5))
+
+
+def test_daily_rows_equal_the_split_scan(spark, walks):
+    bars = spark.createDataFrame(walks[["ticker", "date", "close"]]).selectExpr(
+        "ticker as symbol", "date_format(date, 'yyyy-MM-dd') as trade_date", "close as open", "close as high", "close as low", "close", "1 as volume"
+    )
+    plain = learners.next_close_rows(ohlcv.daily_training_rows(bars))
+    split = learners.next_close_rows(ohlcv.training_rows(bars, ["trade_date"], F.lit(0)))
+    assert plain.exceptAll(split).isEmpty() and split.exceptAll(plain).isEmpty() and plain.count() > 400
 
 
 def test_limited_search_has_the_points_of_mllib(fits):

@@ -9,11 +9,11 @@ from contextlib import contextmanager
 
 from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import GBTRegressor, LinearRegression, LinearRegressionModel, RandomForestRegressor
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.operators import features, ridge
+from tickloom.operators import features, ranks, ridge
 from tickloom.operators.series import SeriesError
 
 # Inputs of the next-close models and the sizes of the compared learners.
@@ -23,7 +23,6 @@ FOREST_TREES = 20
 BOOSTING_ROUNDS = 20
 VALIDATION_FRACTION = 0.2
 MEASURES = ("rmse", "mae", "r2")
-_TIE_BUCKETS = 65_536
 
 
 def assemble(rows: DataFrame, inputs: Sequence[str], label: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -34,51 +33,46 @@ def assemble(rows: DataFrame, inputs: Sequence[str], label: str, keep: Sequence[
 
 
 def next_close_rows(training: DataFrame, symbol: str | None = None) -> DataFrame:
-    """Assembled next-close rows, of one symbol when given. The filter is on the window's
+    """Complete next-close rows, of one symbol when given. The filter is on the window's
     partition key, so the optimizer moves it below the window."""
     if symbol is not None:
         training = training.where(F.col("symbol") == symbol)
-    return assemble(training, NEXT_CLOSE_INPUTS, "next_close", ["symbol", "trade_date_fmt"])
+    wanted = ["symbol", "trade_date_fmt", *NEXT_CLOSE_INPUTS, "next_close"]
+    return training.dropna(subset=[*NEXT_CLOSE_INPUTS, "next_close"]).select(*wanted)
 
 
-def split_by_rank(rows: DataFrame, held_out: float = VALIDATION_FRACTION, day: str = "trade_date_fmt") -> tuple[DataFrame, DataFrame]:
-    """Earliest rows for training, the rest for validation, over the whole set.
+def split_by_rank(rows: DataFrame, held_out: float | Sequence[float] = VALIDATION_FRACTION, day: str = "trade_date_fmt") -> list[DataFrame]:
+    """Parts of the whole set in order of ``day``, the earliest first: for learning, then held out.
 
-    Rows per day are counted first; the running total over days finds the day in which the
-    split falls. Only that day's rows need ranking, so nothing is sorted globally.
+    Several fractions split what the one before left for learning: with ``(0.2, 0.1)`` the
+    parts are for learning, the last tenth of the first four fifths, and the last fifth. The
+    rows are ranked once, rows of one day by all their columns.
     """
-    days = rows.groupBy(day).agg(F.count(F.lit(1)).alias("n")).orderBy(day).collect()  # one row per calendar day
-    total = sum(row["n"] for row in days)
-    if total < 2:
-        raise SeriesError("a temporal split needs at least two rows")
-    size = max(1, min(int(total * (1.0 - held_out)), total - 1))
-    before = 0
-    for row in days:
-        if before + row["n"] >= size:
-            break
-        before += row["n"]
-    edge, take = F.lit(row[day]), size - before
-    first, last = _split_ties(rows.where(F.col(day).eqNullSafe(edge)), take, row["n"])
-    earlier = rows.where((F.col(day) < edge) | (F.col(day).isNull() & edge.isNotNull()))
-    later = rows.where(F.col(day) > edge) if row[day] is not None else rows.where(F.col(day).isNotNull())
-    return earlier.unionByName(first), later.unionByName(last)
-
-
-def _split_ties(rows: DataFrame, take: int, total: int) -> tuple[DataFrame, DataFrame]:
-    """Split rows of one day, whose mutual order is free, into exactly ``take`` and the rest.
-    Whole hash buckets go to either side; only the bucket at the boundary is sorted."""
-    if take == total:
-        return rows, rows.limit(0)
-    order = [name for name in ("symbol", "label") if name in rows.columns]
-    bucket = F.pmod(F.xxhash64(*order), F.lit(_TIE_BUCKETS))
-    sizes = {r["bucket"]: r["n"] for r in rows.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    for edge in sorted(sizes):
-        if sizes[edge] >= take:
-            break
-        take -= sizes[edge]
-    boundary = rows.where(bucket == edge).orderBy(*order)
-    first = rows.where(bucket < edge).unionByName(boundary.limit(take))
-    return first, rows.where(bucket > edge).unionByName(boundary.offset(take))
+    placed = ranks.ranked(rows, [day], "_rank")
+    size = placed.count()
+    edges = [size]
+    for fraction in [held_out] if isinstance(held_out, float) else held_out:
+        if size < 2:
+            raise SeriesError("a temporal split needs at least two rows")
+        size = max(1, min(int(size * (1.0 - fraction)), size - 1))
+        edges.append(size)
+    bounds = [0, *reversed(edges)]
+    return [placed.where((F.col("_rank") > a) & (F.col("_rank") <= b)).drop("_rank") for a, b in zip(bounds, bounds[1:])]
+
+
+def _assembled(rows: DataFrame) -> DataFrame:
+    return assemble(rows, NEXT_CLOSE_INPUTS, "next_close")
+
+
+def linear(rows: DataFrame) -> LinearRegressionModel:
+    """The linear learner on next-close rows."""
+    return LinearRegression(maxIter=LINEAR_ITERATIONS).fit(_assembled(rows))
+
+
+def coefficients(model: LinearRegressionModel, spark: SparkSession) -> DataFrame:
+    """(input, coefficient), the intercept as an input of that name."""
+    found = [*zip(NEXT_CLOSE_INPUTS, map(float, model.coefficients)), ("intercept", float(model.intercept))]
+    return spark.createDataFrame(found, "input string, coefficient double")
 
 
 def _score(predictions: DataFrame) -> dict[str, float]:
@@ -106,14 +100,14 @@ def _packed(rows: DataFrame) -> Iterator[DataFrame]:
 
 
 def compare(training: DataFrame, validation: DataFrame) -> tuple[str, Model, DataFrame]:
-    """Fit the three learners; the lowest validation RMSE wins, the first on ties.
+    """Fit the three learners on next-close rows; the lowest validation RMSE wins, the first on ties.
     Returns its name, the fitted model and the (model, rmse, mae, r2) table."""
     learners = {
         "linear_regression": LinearRegression(maxIter=LINEAR_ITERATIONS),
         "random_forest": RandomForestRegressor(numTrees=FOREST_TREES),
         "gbt": GBTRegressor(maxIter=BOOSTING_ROUNDS),
     }
-    with _packed(training) as known, _packed(validation) as unseen:
+    with _packed(_assembled(training)) as known, _packed(_assembled(validation)) as unseen:
         fitted = {name: learner.fit(known) for name, learner in learners.items()}
         scored = {name: _score(model.transform(unseen)) for name, model in fitted.items()}
     best = min(scored, key=lambda name: scored[name]["rmse"])
@@ -126,10 +120,10 @@ def compare(training: DataFrame, validation: DataFrame) -> tuple[str, Model, Dat
 
 
 def held_out_score(model: Model, rows: DataFrame) -> DataFrame:
-    """One row with the errors of a fitted model on rows it has not seen."""
+    """One row with the errors of a fitted model on next-close rows it has not seen."""
     if rows.isEmpty():
         raise SeriesError("no valid test rows after preprocessing")
-    score = _score(model.transform(rows))
+    score = _score(model.transform(_assembled(rows)))
     return rows.sparkSession.createDataFrame([tuple(score[m] for m in MEASURES)], "rmse double, mae double, r2 double")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions import dates, names, numbers
@@ -51,21 +51,34 @@ def curate(raw: DataFrame, order: Sequence[str], block: Column) -> DataFrame:
     ).select(*RAW_COLUMNS, "trade_date_fmt", "prev_close", "daily_pct_change")
 
 
-def training_rows(raw: DataFrame, order: Sequence[str], block: Column) -> DataFrame:
-    """Rows that have a next close, with the previous and next close of their symbol."""
-    typed = raw.withColumns(
+def _training_types(raw: DataFrame) -> DataFrame:
+    return raw.withColumns(
         {
             "trade_date_fmt": dates.training_date(F.col("trade_date").cast("string")),
             **{name: numbers.to_double(F.col(name)) for name in (*PRICES, "volume")},
         }
     )
+
+
+def training_rows(raw: DataFrame, order: Sequence[str], block: Column) -> DataFrame:
+    """Rows that have a next close, with the previous and next close of their symbol."""
     linked = with_neighbours(
-        typed, "symbol", "trade_date_fmt", order, block, "close",
+        _training_types(raw), "symbol", "trade_date_fmt", order, block, "close",
         previous="prev_close", following="next_close",
     )
     return linked.where(F.col("next_close").isNotNull())
 
 
+def daily_training_rows(bars: DataFrame) -> DataFrame:
+    """The same for tables of one row per symbol and day: a symbol has a row per calendar day
+    at most, so a plain window will do."""
+    by_day = Window.partitionBy("symbol").orderBy(F.col("trade_date_fmt").asc_nulls_first())
+    linked = _training_types(bars).withColumns(
+        {"prev_close": F.lag("close").over(by_day), "next_close": F.lead("close").over(by_day)}
+    )
+    return linked.where(F.col("next_close").isNotNull())
+
+
 def fill_training_types(raw: DataFrame) -> DataFrame:
     """Add the optional price columns a training file may lack, as null text."""
     return raw.withColumns(

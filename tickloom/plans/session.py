@@ -2,14 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from tickloom.sources.shared import materialised
 
-
-def materialised(frame: DataFrame) -> DataFrame:
-    """The frame's rows, computed once and kept by a reliable checkpoint.
-
-    The folder is the session's ``spark.checkpoint.dir``; a session without one is an error.
-    """
-    if frame.sparkSession.sparkContext.getCheckpointDir() is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return frame.checkpoint()
+__all__ = ["materialised"]

@@ -304,14 +304,46 @@ _DIGEST = "sha256(concat_ws('|', strftime(date, '%Y-%m-%d'), " + ", ".join(
     _FIXED.format(name=name) for name in ("close", "high", "low", "volume")
 ) + "))"
 
-CHECKS: dict[str, str] = {
-    "ohlcv_bars": f"WITH {BARS_SQL} SELECT * FROM bars",
-    "ohlcv_curated": f"WITH {_CURATED} SELECT * FROM curated",
-    "series_strict": _treated(_STRICT_DAY, _STRICT_CLOSE, "%Y-%m-%d"),
-    "series_lenient": _treated(_LENIENT_DAY, _LENIENT_CLOSE, "%d/%m/%Y"),
-    "date_training": f"""WITH {RAW_QUOTES_SQL}
-SELECT {_TRAINING_DAY} AS training_date, {_PADDED_DAY} AS padded_date, count(*) AS n FROM raw_quotes GROUP BY 1, 2""",
-    "prev_next_close": f"""WITH {RAW_QUOTES_SQL},
+# The rows of the next-close models in their order, and the linear model by elimination: means, then the
+# centred moments relative to the inputs' own spread, one pivot after the other, back substitution.
+_INPUT_NAMES = ("open", "high", "low", "volume", "prev_close")
+
+
+def _split_parts(rows: str, order: str) -> str:
+    size = "CAST(floor({n} * (1.0::DOUBLE - 0.2)) AS BIGINT)"
+    cut = "greatest(1, least(" + size + ", {n} - 1))"
+    return f"""counted AS (SELECT *, row_number() OVER (ORDER BY {order}) AS rank, count(*) OVER () AS n FROM {rows}),
+cuts AS (SELECT *, {cut.format(n="n")} AS first_cut FROM counted),
+parts AS (SELECT *, CASE WHEN rank <= {cut.format(n="first_cut")} THEN 'fit' WHEN rank <= first_cut THEN 'validation' ELSE 'held_out' END AS part FROM cuts)"""
+
+
+def _eliminated() -> str:
+    size = len(_INPUT_NAMES)
+    names = (*_INPUT_NAMES, "next_close")
+    means = ", ".join(f"avg({x}) AS mean_{x}, stddev_pop({x}) AS dev_{x}" for x in names)
+    moment = "avg(({x} - mean_{x}) / dev_{x} * (({y} - mean_{y}) / dev_{y}))"
+    start = ", ".join(moment.format(x=names[i], y=names[j]) + f" AS a{i}_{j}" for i in range(size) for j in range(size + 1))
+    steps, last = [], "moments"
+    for k in range(size):
+        cells = ", ".join(
+            f"a{i}_{j} - a{i}_{k} * a{k}_{j} / a{k}_{k} AS a{i}_{j}" if i > k else f"a{i}_{j}" for i in range(size) for j in range(size + 1)
+        )
+        steps.append(f"pivot{k} AS (SELECT {cells} FROM {last})")
+        last = f"pivot{k}"
+    for i in reversed(range(size)):
+        known = "".join(f" - a{i}_{j} * w{j}" for j in range(i + 1, size))
+        steps.append(f"back{i} AS (SELECT *, (a{i}_{size}{known}) / a{i}_{i} AS w{i} FROM {last})")
+        last = f"back{i}"
+    betas = ", ".join(f"w{i} * dev_next_close / dev_{x} AS beta_{x}" for i, x in enumerate(_INPUT_NAMES))
+    line = " + ".join(f"beta_{x} * mean_{x}" for x in _INPUT_NAMES)
+    return f"""scales AS (SELECT {means} FROM parts WHERE part = 'fit'),
+moments AS (SELECT {start} FROM parts, scales WHERE part = 'fit'),
+{", ".join(steps)},
+slopes AS (SELECT {betas}, {", ".join(f"mean_{x}" for x in names)} FROM {last}, scales),
+model AS (SELECT *, mean_next_close - ({line}) AS beta_intercept FROM slopes)"""
+
+
+_PREV_NEXT = f"""{RAW_QUOTES_SQL},
 typed AS (
   SELECT symbol, {_TRAINING_DAY} AS trade_date_fmt, TRY_CAST(open AS DOUBLE) AS open, TRY_CAST(high AS DOUBLE) AS high,
     TRY_CAST(low AS DOUBLE) AS low, TRY_CAST(close AS DOUBLE) AS close, TRY_CAST(volume AS DOUBLE) AS volume,
@@ -320,10 +352,39 @@ typed AS (
 linked AS (
   SELECT *, lag(close) OVER w AS prev_close, lead(close) OVER w AS next_close FROM typed
   WINDOW w AS (PARTITION BY symbol ORDER BY trade_date_fmt NULLS FIRST, position)
-)
-SELECT symbol, trade_date_fmt, close, prev_close, next_close, volume FROM linked
-WHERE open IS NOT NULL AND high IS NOT NULL AND low IS NOT NULL AND volume IS NOT NULL AND prev_close IS NOT NULL
-  AND next_close IS NOT NULL""",
+),
+complete AS (
+  SELECT symbol, trade_date_fmt, close, prev_close, next_close, volume FROM linked
+  WHERE open IS NOT NULL AND high IS NOT NULL AND low IS NOT NULL AND volume IS NOT NULL AND prev_close IS NOT NULL
+    AND next_close IS NOT NULL
+)"""
+_TOTAL_ORDER = ", ".join(f"{c} NULLS FIRST" for c in ("trade_date_fmt", "symbol", "close", "prev_close", "next_close", "volume"))
+_NEXT_CLOSE = f"""{BARS_SQL},
+next_close_rows AS (
+  SELECT symbol, date AS trade_date_fmt, open, high, low, CAST(volume AS DOUBLE) AS volume, lag(close) OVER w AS prev_close, lead(close) OVER w AS next_close
+  FROM bars WINDOW w AS (PARTITION BY symbol ORDER BY date)
+),
+usable_rows AS (SELECT * FROM next_close_rows WHERE prev_close IS NOT NULL AND next_close IS NOT NULL),
+{_split_parts("usable_rows", "trade_date_fmt, symbol")},
+{_eliminated()}"""
+
+CHECKS: dict[str, str] = {
+    "ohlcv_bars": f"WITH {BARS_SQL} SELECT * FROM bars",
+    "ohlcv_curated": f"WITH {_CURATED} SELECT * FROM curated",
+    "series_strict": _treated(_STRICT_DAY, _STRICT_CLOSE, "%Y-%m-%d"),
+    "series_lenient": _treated(_LENIENT_DAY, _LENIENT_CLOSE, "%d/%m/%Y"),
+    "date_training": f"""WITH {RAW_QUOTES_SQL}
+SELECT {_TRAINING_DAY} AS training_date, {_PADDED_DAY} AS padded_date, count(*) AS n FROM raw_quotes GROUP BY 1, 2""",
+    "prev_next_close": f"WITH {_PREV_NEXT} SELECT * FROM complete",
+    "next_close_ranks": f"WITH {_PREV_NEXT} SELECT *, row_number() OVER (ORDER BY {_TOTAL_ORDER}) AS rank FROM complete",
+    "next_close_split": f"""WITH {_PREV_NEXT},
+{_split_parts("complete", _TOTAL_ORDER)}
+SELECT symbol, trade_date_fmt, close, prev_close, next_close, volume, part FROM parts""",
+    "next_close_linear": f"""WITH {_NEXT_CLOSE}
+{" UNION ALL ".join(f"SELECT '{x}' AS input, round(beta_{x}, 4) AS coefficient FROM model" for x in (*_INPUT_NAMES, "intercept"))}""",
+    "next_close_linear_score": f"""WITH {_NEXT_CLOSE},
+predicted AS (SELECT next_close AS y, beta_intercept + {" + ".join(f"beta_{x} * {x}" for x in _INPUT_NAMES)} AS p FROM parts, model WHERE part = 'validation')
+SELECT round(sqrt(avg((y - p) * (y - p))), 4) AS rmse, round(avg(abs(y - p)), 4) AS mae, round(1 - avg((y - p) * (y - p)) / var_pop(y), 4) AS r2 FROM predicted""",
     "history_between": f"""WITH {BARS_SQL} SELECT * FROM bars WHERE symbol IN ('S1', 'S3', 'S7')
   AND date BETWEEN DATE '1996-01-01' AND DATE '1997-06-30'""",
     "fixed_width_bars": f"""WITH {FIXED_LINES_SQL}

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import dates, names, numbers, scores
 from tickloom.operators import (
-    backtest, charts, features, forecast, learners, ohlcv, profile as profiles, quality, registry, ridge, series, tickers,
+    backtest, charts, features, forecast, learners, ohlcv, profile as profiles, quality, ranks, registry, ridge, series,
+    tickers,
 )
 from tickloom.sources import delimited, fixedwidth, sinks
 from tickloom.workload import tables
@@ -378,9 +379,33 @@ def forecast_chart(spark, folder):
 
 
 def _next_close(spark, folder) -> DataFrame:
-    raw = bars(spark, folder).withColumn("trade_date", dates.iso_text(F.col("date")))
-    # Kept: the split looks at the rows several times before the learners do.
-    return learners.next_close_rows(ohlcv.training_rows(raw, ["trade_date"], F.lit(0))).persist()
+    daily = bars(spark, folder).withColumn("trade_date", dates.iso_text(F.col("date")))
+    return learners.next_close_rows(ohlcv.daily_training_rows(daily))
+
+
+@registered
+def next_close_split(spark, folder):
+    """Raw rows, several per symbol and day, ranked over the whole set."""
+    parts = zip(("fit", "validation", "held_out"), learners.split_by_rank(prev_next_close(spark, folder), (0.2, 0.2)))
+    tagged = [rows.withColumn("part", F.lit(part)) for part, rows in parts]
+    return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
+
+
+@registered
+def next_close_ranks(spark, folder):
+    return ranks.ranked(prev_next_close(spark, folder), ["trade_date_fmt"])
+
+
+@registered
+def next_close_linear(spark, folder):
+    fit_rows, _, _ = learners.split_by_rank(_next_close(spark, folder), (0.2, 0.2))
+    return _rounded(learners.coefficients(learners.linear(fit_rows), spark), ["coefficient"], 4)
+
+
+@registered
+def next_close_linear_score(spark, folder):
+    fit_rows, validation, _ = learners.split_by_rank(_next_close(spark, folder), (0.2, 0.2))
+    return _rounded(learners.held_out_score(learners.linear(fit_rows), validation), learners.MEASURES, 4)
 
 
 @registered
@@ -390,8 +415,7 @@ def model_comparison(spark, folder):
 
 @registered
 def final_score(spark, folder):
-    train, held_out = learners.split_by_rank(_next_close(spark, folder))
-    fit_rows, validation = learners.split_by_rank(train)
+    fit_rows, validation, held_out = learners.split_by_rank(_next_close(spark, folder), (0.2, 0.2))
     _, model, _ = learners.compare(fit_rows, validation)
     return learners.held_out_score(model, held_out)
 
