@@ -1,12 +1,14 @@
 import datetime as dt
+import hashlib
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators import quality, series
 from tickloom.plans import etl, exploring, training
-from tickloom.sources import curated, delimited, fixedwidth, order, sinks
+from tickloom.sources import curated, delimited, fixedwidth, folder, landing, order, sinks
 
 
 def _quote(symbol="77ZEDX3", day="20190312", opened="880", high="912", low="805", close="899", volume="2600", name="COMPANY"):
@@ -24,12 +26,54 @@ def _write(path, text, encoding="utf-8"):
     return str(path)
 
 
-def test_separator_rule():
-    assert delimited.separator_of("a;b\n1;2\n") == ";"
-    assert delimited.separator_of("Date,Close\n2024-01-01,10.5\n") == ","
-    assert delimited.separator_of("plain") == ";"
-    assert delimited.separator_of('a,b,c\n"x;y;z;;",1,2\n') == ","
-    assert delimited.separator_of("day;close\n1;10,5\n2;11,25\n3;9\n") == ";"
+SAMPLES = {
+    "a;b\n1;2\n": ";",
+    "Date,Close\n2024-01-01,10.5\n": ",",
+    "plain": ";",
+    'a,b,c\n"x;y;z;;",1,2\n': ",",
+    "day;close\n1;10,5\n2;11,25\n3;9\n": ";",
+    "a,b;c\n1,2\n": ",",
+    "\n \n": ";",
+}
+
+
+def test_separator_rule(spark):
+    samples = spark.createDataFrame(list(SAMPLES.items()), "sample string, wanted string")
+    voted = samples.select("wanted", folder.voted_separator(F.split("sample", "\n")).alias("found")).collect()
+    assert [r["found"] for r in voted] == [r["wanted"] for r in voted]
+    lines = samples.select("sample", F.explode(F.split("sample", "\n")).alias("line"))
+    by_lines = {r["path"]: r["separator"] for r in folder.voted_separators(lines, "sample", "line").collect()}
+    assert by_lines == {k: v for k, v in SAMPLES.items() if k.strip()}
+
+
+def test_many_files_in_many_layouts_are_one_scan(spark, tmp_path):
+    wanted = {}
+    for i in range(300):
+        kind = i % 40
+        mark, names = ";,"[kind % 2], ["symbol", "date", f"x{kind // 2 % 5}", "close"]
+        names = names[kind // 10 :] + names[: kind // 10]
+        value = {"symbol": f"S{i}", "date": "2024-01-02", "close": f"{i}.5", f"x{kind // 2 % 5}": f'"a{mark}b"' if i % 3 else ""}
+        rows = [mark.join(names), mark.join(value[n] for n in names)]
+        _write(tmp_path / f"part {i:03d}.csv", "\r\n".join(rows) + "\r\n")
+        wanted[f"S{i}"] = (f"{i}.5", f"a{mark}b" if i % 3 else None)
+    scan = delimited.read_folder(spark, str(tmp_path))
+    assert set(scan.table.columns) == {"symbol", "date", "close", *(f"x{k}" for k in range(5)), *order.ORDER}
+    rows = scan.table.select("symbol", "close", F.coalesce(*(f"x{k}" for k in range(5))).alias("x"), "date").collect()
+    assert {r["symbol"]: (r["close"], r["x"]) for r in rows} == wanted and {r["date"] for r in rows} == {"2024-01-02"}
+    plan = scan.table._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 2 and plan.count("Union") == 0
+    commas = scan.findings.where("check = 'separator'").count()
+    assert commas == 150
+
+
+def test_broken_bytes_and_marks_in_a_folder(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b"\xef\xbb\xbfsymbol;close\nA;1\nB\xff\xfe;2\n")
+    (tmp_path / "b.CSV").write_bytes("\n\nSymbol,close,\n".encode() + b"Z\xc3;x,3,4\n" + "Ç,4,5\nSymbol,close,\n".encode())
+    scan = delimited.read_folder(spark, str(tmp_path))
+    assert scan.table.columns[:3] == ["symbol", "close", "_c2"]
+    assert sorted((r[0], r[1], r[2]) for r in scan.table.collect()) == [("A", "1", None), ("B\ufffd\ufffd", "2", None), ("Z\ufffd;x", "3", "4"), ("Ç", "4", "5")]
+    found = {os.path.basename(r["symbol"]): (r["observed"], r["message"].split("block ")[1]) for r in scan.findings.where("check = 'broken_bytes'").collect()}
+    assert found == {"a.csv": (1, "at byte 0, line 3"), "b.CSV": (1, "at byte 0, line 4")}
 
 
 def test_fixed_width_records(spark, tmp_path):
@@ -100,8 +144,8 @@ def test_upload_keeps_raw_lines_and_writes_a_display_copy(spark, tmp_path):
     assert "separator" in {r["check"] for r in made.findings.collect()}
     shown = spark.read.option("header", True).option("sep", ";").csv(str(tmp_path / "out/PETR4_SA_tratado_20240101000000.csv"))
     assert sorted(r["date"] for r in shown.collect()) == ["01/01/2024", "02/01/2024"]
-    landed = spark.read.parquet(str(tmp_path / "land")).orderBy(*order.ORDER).collect()
-    assert [r["value"] for r in landed] == ["Date,Close", "2024-01-01,10.5", "02/01/2024,11.25"]
+    landed = spark.read.parquet(str(tmp_path / "land")).collect()
+    assert [bytes(r["content"]) for r in landed] == [b"Date,Close\n2024-01-01,10.5\n02/01/2024,11.25\n"]
     assert {r["source_slug"] for r in landed} == {"PETR4_SA"}
 
 
@@ -180,3 +224,25 @@ def test_findings_can_stop_a_job(spark):
     quality.raise_on(report, ["no_valid_rows"])
     with pytest.raises(series.SeriesError):
         quality.raise_on(report, ["small_series"])
+
+
+def test_landed_bytes_come_back_equal(spark, tmp_path):
+    (tmp_path / "in/deep").mkdir(parents=True)
+    latin = "Ação;preço\r\nÉ;1,5\r\n".encode("latin-1")
+    draw = random.Random(2)
+    files = {"in/a b.csv": latin, "in/deep/a b.csv": b"\xef\xbb\xbfx\n\n", "in/z.bin": draw.randbytes(5 << 20) + b"\x00\r", "in/exact.bin": b"x" * 2048}
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content)
+    (tmp_path / "in/empty.csv").write_bytes(b"")
+    landing.land_raw(spark, str(tmp_path / "in"), str(tmp_path / "land"), "São Paulo", 1024, recursive=True)
+    landed = spark.read.parquet(str(tmp_path / "land"))
+    assert landed.agg(F.max(F.octet_length("content"))).first()[0] == 1024 and landed.count() == 1 + 1 + 5121 + 2
+    assert landing.faults(landed).collect() == []
+    back = landing.restored(landed, str(tmp_path / "out")).collect()
+    found = {r["path"].split("/in/")[1]: (tmp_path / "out" / r["target"].split("/out/")[1]).read_bytes() for r in back}
+    assert found == {name.removeprefix("in/"): content for name, content in files.items()}
+    assert {r["sha256"] for r in back} == {hashlib.sha256(x).hexdigest() for x in files.values()}
+    damaged = landed.withColumn("content", F.when(F.col("path").endswith("z.bin") & (F.col("number") == 7), F.unhex(F.lit("00"))).otherwise(F.col("content")))
+    assert {r["fault"] for r in landing.faults(damaged).collect()} == {"changed piece"}
+    assert {r["fault"] for r in landing.faults(landed.where("number != 5120")).collect()} == {"missing piece"}
+    assert {r["fault"] for r in landing.faults(landed.union(landed.where("number = 3"))).collect()} == {"repeated piece"}

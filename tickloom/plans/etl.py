@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tickloom.functions import dates
 from tickloom.functions.names import slug_text
 from tickloom.operators import ohlcv, quality, series
-from tickloom.sources import delimited, order, sinks
+from tickloom.sources import delimited, landing, order, sinks
 
 
 @dataclass(frozen=True)
@@ -130,15 +130,15 @@ def run_stock_job(
 
 
 def upload_series(spark: SparkSession, path: str, source_name: str, landing_root: str, analysis_root: str, stamp: str) -> TreatedSeries:
-    """A user's file: keep the raw lines, require one ticker, treat leniently and write the
+    """A user's file: keep its bytes, require one ticker, treat leniently and write the
     display copy. Separator warnings join the findings."""
-    sinks.land_raw(spark, path, landing_root, source_name)
-    scan = delimited.probe_files(spark.createDataFrame([(delimited.qualified(spark, path),)], "path string")).collect()[0]
-    if scan["separator"] is None:
+    landing.land_raw(spark, path, landing_root, source_name)
+    full_path, separator = delimited.probed_file(spark, path)
+    if separator is None:
         raise series.SeriesError("the source is empty")
-    table = delimited.read_file(spark, path, scan["separator"])
+    table = delimited.read_file(spark, path, separator)
     treated = treat_table(table, "lenient", single_symbol=True)
-    seen = spark.createDataFrame([(scan["path"], scan["separator"])], "path string, separator string")
+    seen = spark.createDataFrame([(full_path, separator)], "path string, separator string")
     display = treated.frame.select(F.to_date("date").alias("date"), "close").orderBy("date")
     sinks.write_display_csv(display, analysis_root, source_name, stamp)
     return TreatedSeries(treated.frame, treated.findings.unionByName(quality.separator_findings(seen)))

@@ -2,41 +2,16 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable, Iterator, Sequence
-from dataclasses import dataclass
-from functools import reduce
+from collections.abc import Sequence
 
-import pandas as pd
-import pyarrow.fs as fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.operators import quality
-from tickloom.sources import fixedwidth, order
+from tickloom.sources import folder as folders
+from tickloom.sources import order
+from tickloom.sources.folder import FolderScan, NoInput, read_folder
 
-# Accepted separators and how much of a file decides between them.
-SEPARATORS = ";,"
-SAMPLE_CHARACTERS = 4096
-
-_QUOTED = re.compile('"[^"]*"')
-
-
-class NoInput(FileNotFoundError):
-    """A folder holds no file that could be read."""
-
-
-def separator_of(sample: str) -> str:
-    """Separator of a text sample: the one that cuts its lines most evenly.
-
-    Separators inside double quotes do not count. A separator that every line holds equally
-    often is sure; between two of those, and where none is, the more frequent one wins, the
-    semicolon at ties.
-    """
-    lines = [_QUOTED.sub("", line) for line in sample.splitlines() if line.strip()]
-    counts = {mark: [line.count(mark) for line in lines] for mark in SEPARATORS}
-    even = [mark for mark in SEPARATORS if counts[mark] and min(counts[mark]) == max(counts[mark]) > 0]
-    return max(even or SEPARATORS, key=lambda mark: sum(counts[mark]))
+__all__ = ["FolderScan", "NoInput", "latest_file", "line_separators", "parse_lines", "probed_file", "read_file", "read_folder", "separator_by_count"]
 
 
 def separator_by_count(header: Column) -> Column:
@@ -52,130 +27,33 @@ def line_separators(lines: DataFrame, path: str, place: str, text: str) -> DataF
     return first.select("path", separator_by_count(F.col("header")).alias("separator"))
 
 
-def list_files(spark: SparkSession, folder: str, suffixes: Sequence[str]) -> DataFrame:
-    """(path, modified, length) of the folder's files with a suffix; contents are not read.
-    Spark never lists files of zero length."""
-    listed = spark.read.format("binaryFile").load(folder).select(
-        "path", F.col("modificationTime").alias("modified"), "length"
-    )
-    name = F.lower("path")
-    return listed.where(reduce(lambda a, b: a | b, [name.endswith(suffix) for suffix in suffixes]))
-
-
 def latest_file(spark: SparkSession, folder: str, suffix: str = ".csv") -> str:
     """Path of the most recently modified file, the last path on ties."""
-    newest = list_files(spark, folder, [suffix]).orderBy(F.desc("modified"), F.desc("path")).limit(1).collect()
+    files = folders.listed_files(spark, folder, folders.glob_of(suffix))
+    newest = files.orderBy(F.desc("modified"), F.desc("path")).limit(1).collect()
     if not newest:
         raise NoInput(f"no {suffix} file in {folder}")
     return newest[0]["path"]
 
 
-def _open(path: str):
-    uri = path.replace("s3a://", "s3://", 1)
-    uri = "file://" + uri[len("file:"):] if uri.startswith("file:/") and not uri.startswith("file://") else uri
-    system, inner = fs.FileSystem.from_uri(uri)
-    return system.open_input_stream(inner, compression=None)
-
-
-def _probe(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Separator of each file from its first bytes, and its whole header line."""
-    for batch in batches:
-        found = []
-        for path in batch["path"]:
-            with _open(path) as stream:
-                # Up to four bytes a character cover the sample in any UTF-8 text.
-                data = stream.read(4 * SAMPLE_CHARACTERS)
-                while b"\n" not in data and (more := stream.read(4 * SAMPLE_CHARACTERS)):
-                    data += more
-            text = data.decode("utf-8-sig", errors="ignore")
-            header = text.splitlines()[0] if text.strip() else None
-            # A sample cut in the middle of a line ends with the line before.
-            sample = text[:SAMPLE_CHARACTERS]
-            sample = sample if len(sample) == len(text) or "\n" not in sample else sample[: sample.rindex("\n")]
-            found.append((path, separator_of(sample) if header is not None else None, header))
-        yield pd.DataFrame(found, columns=["path", "separator", "header"])
-
-
-def probe_files(files: DataFrame) -> DataFrame:
-    """(path, separator, header) per file; nulls where a file is empty."""
-    return files.select("path").mapInPandas(_probe, "path string, separator string, header string")
-
-
-@dataclass(frozen=True)
-class FolderScan:
-    """A folder's rows, all text, and what was noticed while reading it."""
-
-    table: DataFrame
-    findings: DataFrame
-
-
-def _read(spark: SparkSession, paths: Sequence[str], separator: str, tolerant: bool) -> DataFrame:
-    reader = spark.read.option("header", True).option("sep", separator).option("inferSchema", False)
-    if tolerant:
-        reader = reader.option("mode", "PERMISSIVE").option("ignoreCorruptFiles", True)
-    return order.with_order(reader.csv(list(paths)))
+def probed_file(spark: SparkSession, path: str) -> tuple[str, str | None]:
+    """One file's full path, and its separator by the vote over its first lines; none if it has no line but blank ones."""
+    found = folders.layouts(folders.listed_files(spark, path, "*")).collect()
+    return (found[0]["path"], found[0]["separator"]) if found else (path, None)
 
 
 def read_file(spark: SparkSession, path: str, sep: str = "auto", lower_names: bool = False) -> DataFrame:
     """One delimited file, every column text, with its input order columns."""
     if sep == "auto":
-        probed = probe_files(spark.createDataFrame([(qualified(spark, path),)], "path string")).collect()[0]
-        if probed["separator"] is None:
+        sep = probed_file(spark, path)[1]
+        if sep is None:
             raise NoInput(f"{path} is empty")
-        sep = probed["separator"]
-    table = _read(spark, [path], sep, tolerant=False)
+    reader = spark.read.option("header", True).option("sep", sep).option("inferSchema", False)
+    table = order.with_order(reader.csv(path))
     names = [name.strip() for name in table.columns]
     return table.toDF(*[name.lower() if lower_names else name for name in names])
 
 
-def qualified(spark: SparkSession, path: str) -> str:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return system.makeQualified(hadoop_path).toString()
-
-
-def read_folder(
-    spark: SparkSession,
-    folder: str,
-    sep: str = "auto",
-    layout: fixedwidth.FixedWidthLayout | None = fixedwidth.QUOTES,
-    tolerant: bool = False,
-) -> FolderScan:
-    """Every ``.csv`` (and, with a ``layout``, fixed-width ``.txt``) of a folder, by name.
-
-    Files with the same separator and header are one scan, so the plan grows with the
-    number of layouts and not of files. Columns a layout lacks are null.
-    """
-    listed = list_files(spark, folder, [".csv"])
-    probed = probe_files(listed)
-    if sep != "auto":
-        probed = probed.withColumn("separator", F.when(F.col("separator").isNotNull(), F.lit(sep)))
-    files = sorted(probed.collect(), key=lambda row: row["path"])
-    groups: dict[tuple[str, str], list[str]] = {}
-    for row in files:
-        if row["separator"] is not None:
-            groups.setdefault((row["separator"], row["header"]), []).append(row["path"])
-    scans = [_read(spark, paths, separator, tolerant) for (separator, _), paths in groups.items()]
-    if layout is not None:
-        texts = [row["path"] for row in list_files(spark, folder, [".txt"]).select("path").collect()]
-        if texts:
-            scans.append(fixedwidth.read_quotes(spark, sorted(texts), layout))
-    if not scans:
-        reason = "none of its files could be parsed" if files else "it holds no price file"
-        raise NoInput(f"nothing to read in {folder}: {reason}")
-    table = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), scans)
-    rows = [(row["path"], row["separator"]) for row in files]
-    seen = spark.createDataFrame(rows, "path string, separator string")
-    skipped = seen.where(F.col("separator").isNull()).select(
-        F.col("path").alias("symbol"),
-        F.lit("skipped_file").alias("check"),
-        F.lit("warning").alias("severity"),
-        F.lit(0).cast("bigint").alias("observed"),
-        F.lit("file without a header was skipped").alias("message"),
-    )
-    return FolderScan(table, quality.separator_findings(seen).unionByName(skipped))
-
-
 def parse_lines(lines: DataFrame, text: str, columns: Sequence[str], separator: str) -> DataFrame:
     """Text lines of one known layout to text columns, beside the other columns of the frame."""
     schema = ", ".join(f"`{name}` string" for name in columns)

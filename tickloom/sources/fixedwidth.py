@@ -72,6 +72,10 @@ def unreadable(quotes: DataFrame) -> DataFrame:
     )
 
 
-def read_quotes(spark: SparkSession, paths: str | Sequence[str], layout: FixedWidthLayout = QUOTES) -> DataFrame:
-    lines = order.with_order(spark.read.text(paths if isinstance(paths, str) else list(paths)))
+def read_quotes(
+    spark: SparkSession, paths: str | Sequence[str], layout: FixedWidthLayout = QUOTES, pattern: str = "*", recursive: bool = False
+) -> DataFrame:
+    """Quote records of files, or of a folder's files whose names fit the pattern."""
+    reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive)
+    lines = order.with_order(reader.text(paths if isinstance(paths, str) else list(paths)))
     return parse_quotes(lines.withColumn("value", latin1(F.col("value"))), "value", layout)

@@ -32,9 +32,13 @@ def materialised(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/tickloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """The frame as a Parquet table of the shared folder; unlike a checkpoint it can be pruned by column and filter."""
-    spark = frame.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/tickloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = scratch(frame.sparkSession, name)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

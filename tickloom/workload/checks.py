@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tickloom.workload.tables import BARS_SQL, FIXED_LINES_SQL, PRICE_LINES_SQL, RAW_QUOTES_SQL, RUNS_SQL
+from tickloom.workload.tables import (
+    BARS_SQL, FIXED_LINES_SQL, LAYOUT_HEADERS, LAYOUT_ROWS_SQL, PRICE_LINES_SQL, RAW_QUOTES_SQL, RUNS_SQL,
+)
 
 
 # Text rules
@@ -343,6 +345,13 @@ slopes AS (SELECT {betas}, {", ".join(f"mean_{x}" for x in names)} FROM {last},
 model AS (SELECT *, mean_next_close - ({line}) AS beta_intercept FROM slopes)"""
 
 
+_LAYOUT_LINES = f"""{LAYOUT_ROWS_SQL},
+layout_lines AS (
+  SELECT path, 1 AS place, CASE kind WHEN 0 THEN symbol || ';' || date || ';' || replace(close, '.', ',') || ';' || volume
+    WHEN 1 THEN date || ',' || symbol || ',' || close WHEN 2 THEN close || ';' || symbol || ';"a;b";' || date
+    ELSE volume || ',' || date || ',' || symbol || ',' || close || ',caf' || chr(233) END AS text FROM layout_rows
+  UNION ALL SELECT DISTINCT path, 0, CASE kind {" ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(LAYOUT_HEADERS))} END FROM layout_rows
+)"""
 _PREV_NEXT = f"""{RAW_QUOTES_SQL},
 typed AS (
   SELECT symbol, {_TRAINING_DAY} AS trade_date_fmt, TRY_CAST(open AS DOUBLE) AS open, TRY_CAST(high AS DOUBLE) AS high,
@@ -399,6 +408,22 @@ FROM fixed_lines WHERE starts_with(value, '01') AND length(value) >= 147""",
 headers AS (SELECT path, arg_min(text, place) AS header FROM price_lines GROUP BY 1)
 SELECT path, CASE WHEN length(header) - length(replace(header, ';', '')) >= length(header) - length(replace(header, ',', ''))
   THEN ';' ELSE ',' END AS separator FROM headers""",
+    "separator_vote": f"""WITH {PRICE_LINES_SQL}, {_LAYOUT_LINES},
+all_lines AS (SELECT path, text FROM price_lines UNION ALL SELECT 'layout-' || path, text FROM layout_lines),
+marks AS (SELECT path, length(bare) - length(replace(bare, ';', '')) AS s, length(bare) - length(replace(bare, ',', '')) AS c
+  FROM (SELECT path, regexp_replace(text, '"[^"]*"', '', 'g') AS bare FROM all_lines)),
+votes AS (SELECT path, count(*) AS lines, min(s) = max(s) AND max(s) > 0 AS even_s, min(c) = max(c) AND max(c) > 0 AS even_c, sum(s) AS s, sum(c) AS c FROM marks GROUP BY 1)
+SELECT path, CASE WHEN even_s AND NOT even_c THEN ';' WHEN even_c AND NOT even_s THEN ',' WHEN c > s THEN ',' ELSE ';' END AS separator, lines FROM votes""",
+    "folder_ingest": f"""WITH {LAYOUT_ROWS_SQL}
+SELECT symbol, date, CASE WHEN kind = 0 THEN replace(close, '.', ',') ELSE close END AS close, CASE WHEN kind IN (0, 3) THEN volume END AS volume,
+  CASE WHEN kind = 2 THEN 'a;b' END AS "note 2", CASE WHEN kind = 3 THEN 'caf' || chr(65533) END AS flag3 FROM layout_rows""",
+    "folder_findings": f"""WITH {LAYOUT_ROWS_SQL}
+SELECT DISTINCT path AS file, 'separator' AS "check", 'warning' AS severity, 1::BIGINT AS observed FROM layout_rows WHERE kind IN (1, 3)
+UNION ALL SELECT path, 'broken_bytes', 'warning', count(*) FROM layout_rows WHERE kind = 3 GROUP BY 1""",
+    "landed_files": f"""WITH {_LAYOUT_LINES},
+lines AS (SELECT path, place, text, replace(hex(encode(text)), 'C3A9', 'E9') AS bytes FROM layout_lines),
+files AS (SELECT path, string_agg(bytes || '0D0A', '' ORDER BY place, text) AS whole FROM lines GROUP BY 1)
+SELECT path, CAST(length(whole) // 2 AS BIGINT) AS bytes, sha256(unhex(whole)) AS sha256, CAST(ceil(length(whole) / 32768.0) AS BIGINT) AS pieces FROM files""",
     "union_mixed_files": f"""WITH {PRICE_LINES_SQL}
 SELECT split_part(text, separator, 1) AS symbol, split_part(text, separator, 2) AS date,
   TRY_CAST(replace(split_part(text, separator, 3), ',', '.') AS DOUBLE) AS close,

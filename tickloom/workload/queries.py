@@ -12,7 +12,8 @@ from tickloom.operators import (
     backtest, charts, features, forecast, learners, ohlcv, profile as profiles, quality, ranks, registry, ridge, series,
     tickers,
 )
-from tickloom.sources import delimited, fixedwidth, sinks
+from tickloom.sources import delimited, fixedwidth, folder as folders, landing, sinks
+from tickloom.sources.shared import scratch
 from tickloom.workload import tables
 from tickloom.workload.tables import ORDER, bars, block, raw_quotes, read
 
@@ -91,6 +92,41 @@ def separator_by_file(spark, folder):
     return delimited.line_separators(tables.price_lines(spark, folder), "path", "place", "text")
 
 
+@registered
+def separator_vote(spark, folder):
+    """Per file the separator that cuts its lines most evenly."""
+    lines = tables.price_lines(spark, folder).unionByName(tables.layout_lines(spark, folder).withColumn("path", F.concat(F.lit("layout-"), "path")), True)
+    return folders.voted_separators(lines, "path", "text")
+
+
+def _layout_folder(spark, folder):
+    files = tables.as_files(tables.layout_lines(spark, folder), "layout-files")
+    return delimited.read_folder(spark, files, layout=None, suffix=".txt", recursive=True)
+
+
+@registered
+def folder_ingest(spark, folder):
+    """A file per supplier in four layouts, written and read again as one folder."""
+    return _layout_folder(spark, folder).table.select("symbol", "date", "close", "volume", "`note 2`", "flag3")
+
+
+@registered
+def folder_findings(spark, folder):
+    return _layout_folder(spark, folder).findings.select(
+        F.regexp_extract("symbol", "path=([^/]+)/", 1).alias("file"), "check", "severity", "observed"
+    )
+
+
+@registered
+def landed_files(spark, folder):
+    """Files with carriage returns and broken bytes, landed in pieces and put together again."""
+    files = tables.as_files(tables.layout_lines(spark, folder), "raw-files", "\r\n")
+    landed = spark.read.parquet(landing.land_raw(spark, files, scratch(spark, "landed"), "raw files", 16_384, recursive=True))
+    whole = landing.restored(landed, scratch(spark, "restored")).select("path", "bytes", "sha256")
+    counts = landed.groupBy("path").agg(F.count(F.lit(1)).alias("pieces"))
+    return whole.join(counts, "path").withColumn("path", F.regexp_extract("path", "path=([^/]+)/", 1))
+
+
 @registered
 def union_mixed_files(spark, folder):
     """Each file's separator is found from its header and used for its lines; some fields are quoted."""

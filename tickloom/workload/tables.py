@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.sources.shared import scratch
+
 # A line item's place in the input: order key, line number, part key and price, because
 # the first two are not unique. As one number it is a fixed-width aggregation buffer, so
 # first-and-last aggregates stay hash aggregates instead of sorting every map task.
@@ -215,6 +217,45 @@ def price_lines(spark: SparkSession, folder: str) -> DataFrame:
     return body.unionByName(headers)
 
 
+# Files of four layouts: separators, column orders and decimal marks differ, some fields are quoted,
+# some bytes are no UTF-8, and columns come and go.
+LAYOUT_ROWS_SQL = """
+layout_rows AS (
+  SELECT 'file-' || CAST(l_suppkey AS VARCHAR) AS path, l_suppkey % 4 AS kind, 'S' || CAST(l_suppkey AS VARCHAR) AS symbol,
+    strftime(l_shipdate, '%Y-%m-%d') AS date, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS close,
+    CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS volume FROM lineitem
+)"""
+LAYOUT_HEADERS = ("symbol;date;close;volume", "date,symbol,close", '"close";"symbol";"note 2";"date"', "volume,date,Symbol,close,flag3")
+
+
+def layout_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, place, text): the lines of one file per supplier, headers at place 0."""
+    key = F.col("l_suppkey")
+    rows = read(spark, folder, "lineitem").select(
+        F.concat(F.lit("file-"), key).alias("path"), (key % 4).cast("int").alias("kind"), F.concat(F.lit("S"), key).alias("symbol"),
+        F.date_format(F.col("l_shipdate").cast("date"), "yyyy-MM-dd").alias("date"),
+        F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("close"), F.col("l_quantity").cast("bigint").cast("string").alias("volume"),
+    )
+    broken = F.concat(F.lit("caf"), F.unhex(F.lit("E9")).cast("string"))
+    text = (
+        F.when(F.col("kind") == 0, F.concat_ws(";", "symbol", "date", F.translate("close", ".", ","), "volume"))
+        .when(F.col("kind") == 1, F.concat_ws(",", "date", "symbol", "close"))
+        .when(F.col("kind") == 2, F.concat_ws(";", "close", "symbol", F.lit('"a;b"'), "date"))
+        .otherwise(F.concat_ws(",", "volume", "date", "symbol", "close", broken))
+    )
+    body = rows.select("path", F.lit(1).alias("place"), text.alias("text"))
+    header = F.get(F.array(*map(F.lit, LAYOUT_HEADERS)), F.col("kind"))
+    return body.unionByName(rows.select("path", F.lit(0).alias("place"), header.alias("text")).distinct())
+
+
+def as_files(lines: DataFrame, name: str, line_end: str = "\n") -> str:
+    """(path, place, text) as one text file per path, in folders ``path=...``; lines of one place in order of their text."""
+    target = scratch(lines.sparkSession, name)
+    placed = lines.repartition("path").sortWithinPartitions("path", "place", "text").select("path", "text")
+    placed.write.option("lineSep", line_end).partitionBy("path").text(target)
+    return target
+
+
 RUNS_SQL = """
 runs AS (
   SELECT 'run-' || CAST(event_id AS VARCHAR) AS run_key, 'U' || CAST(user_id AS VARCHAR) AS symbol,
