@@ -246,3 +246,26 @@ def test_landed_bytes_come_back_equal(spark, tmp_path):
     assert {r["fault"] for r in landing.faults(damaged).collect()} == {"changed piece"}
     assert {r["fault"] for r in landing.faults(landed.where("number != 5120")).collect()} == {"missing piece"}
     assert {r["fault"] for r in landing.faults(landed.union(landed.where("number = 3"))).collect()} == {"repeated piece"}
+
+
+def test_update_touches_only_its_buckets_and_history_prunes(spark, tmp_path):
+    path = str(tmp_path / "curated")
+    rows = [(f"T{i}", f"2024-{m:02d}-01", float(m)) for i in range(40) for m in range(1, 13)] + [("T1", None, 0.0)]
+    columns = "symbol string, trade_date_fmt string, close double"
+    sinks.write_by_symbol(spark.createDataFrame(rows, columns), path, 16)
+    files = lambda: {str(p) for p in (tmp_path / "curated").glob("*/*.parquet")}
+    before = files()
+    new = [("T1", "2024-03-01", 33.0), ("T1", "2024-03-01", 34.0), ("T1", None, 5.0), ("T2", "2025-01-01", 1.0)]
+    touched = curated.update(spark.createDataFrame(new, columns), path, 16)
+    assert 1 <= len(touched) <= 2
+    changed = {p.split("symbol_bucket=")[1].split("/")[0] for p in before ^ files()}
+    assert changed == {str(b) for b in touched} and len(before & files()) >= len(before) - 2
+    found = sorted((r["symbol"], str(r["trade_date_fmt"]), r["close"]) for r in spark.read.parquet(path).collect())
+    kept = [r for r in rows if (r[0], r[1]) not in {("T1", "2024-03-01"), ("T1", None)}]
+    assert found == sorted((s, str(d), c) for s, d, c in kept + new)
+    own = curated.history(spark, path, [" t1", "T2"], "2024-03-01", "2025-01-01", 16)
+    assert own.count() == (9 + 2) + (10 + 1) and own.schema["trade_date_fmt"].dataType.simpleString() == "date"
+    plan = own._jdf.queryExecution().executedPlan().toString()
+    assert "symbol_bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    pushed = plan.split("PushedFilters: [")[1]
+    assert "GreaterThanOrEqual(trade_date_fmt,2024-03-01)" in pushed and "In(symbol" in pushed

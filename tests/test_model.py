@@ -221,6 +221,7 @@ def test_forecast_of_many_series(spark, series):
     assert set(metrics) == {"UP", "W1", "W2", "W3", "FLAT"}
     up = metrics["UP"]
     assert (up["train_rows"], up["test_rows"]) == (59, 15)
+    assert (up["iterations"], up["epochs"]) == (3, None)
     assert up["train_target_reached"] and 0.6 <= up["train_r2"] <= 0.8
     assert up["test_r2"] == up["r2"] and len(up["backtest_folds"]) == 3 and up["backtest_summary"]["folds"] == 3
     assert metrics["FLAT"]["test_r2"] == 1.0 and metrics["FLAT"]["rmse"] == pytest.approx(0.0, abs=1e-9)
@@ -292,16 +293,3 @@ def test_daily_rows_equal_the_split_scan(spark, walks):
     plain = learners.next_close_rows(ohlcv.daily_training_rows(bars))
     split = learners.next_close_rows(ohlcv.training_rows(bars, ["trade_date"], F.lit(0)))
     assert plain.exceptAll(split).isEmpty() and split.exceptAll(plain).isEmpty() and plain.count() > 400
-
-
-def test_limited_search_has_the_points_of_mllib(fits):
-    rows, _, _ = fits
-    own = ridge.search_limited(rows).where("symbol = 'W2'").collect()
-    table, chosen = learners.search_one(rows.where("symbol = 'W2'"))
-    found = {(r["reg_param"], r["epochs"]): r for r in own}
-    assert len(own) == len(found) == 15
-    for want in table.collect():
-        for name in ("train_r2", "r2", "rmse", "mae"):
-            assert found[want["reg_param"], want["epochs"]][name] == pytest.approx(want[name], abs=1e-6)
-    assert [(r["reg_param"], r["epochs"]) for r in own if r["chosen"]] == [(chosen["reg_param"], chosen["epochs"])]
-    assert len({round(r["r2"], 9) for r in own}) > 3

@@ -229,8 +229,8 @@ def _metrics(calibrated: DataFrame, days: int) -> DataFrame:
     train_reached, test_reached = scores.in_band(F.col("train_r2")), scores.in_band(F.col("test_r2"))
     return record.withColumn("backtest_folds", flagged).select(
         "symbol",
-        F.lit(len(ridge.PENALTIES) * len(ridge.ITERATION_LIMITS)).alias("iterations"),
-        F.lit(ridge.ITERATION_LIMITS[0]).alias("epochs"),
+        F.lit(len(ridge.PENALTIES)).alias("iterations"),  # attempts made
+        F.lit(None).cast("int").alias("epochs"),  # solved without iterations
         "reg_param",
         "train_rows",
         "test_rows",

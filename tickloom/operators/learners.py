@@ -22,6 +22,8 @@ LINEAR_ITERATIONS = 50
 FOREST_TREES = 20
 BOOSTING_ROUNDS = 20
 VALIDATION_FRACTION = 0.2
+# Iteration limits that the search on one series tries with each penalty.
+ITERATION_LIMITS = (8, 16, 32, 64, 128)
 MEASURES = ("rmse", "mae", "r2")
 
 
@@ -134,7 +136,7 @@ def search_one(feature_rows: DataFrame) -> tuple[DataFrame, dict]:
     with _packed(assemble(feature_rows, features.FEATURES, "log_close", ["part"])) as data:
         train, test = data.where(F.col("part") == "train"), data.where(F.col("part") == "test")
         for penalty in ridge.PENALTIES:
-            for limit in ridge.ITERATION_LIMITS:
+            for limit in ITERATION_LIMITS:
                 learner = LinearRegression(maxIter=limit, regParam=penalty, elasticNetParam=0.0, solver="l-bfgs")
                 model = learner.fit(train)
                 on_test, on_train = _score(model.transform(test)), _score(model.transform(train))

@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 
 from tickloom.operators.features import FEATURES
 
-# Penalties and iteration limits searched, and the weights of the objective.
+# Penalties searched, and the weights of the objective.
 PENALTIES = (0.001, 0.01, 0.1)
-ITERATION_LIMITS = (8, 16, 32, 64, 128)
 GAP_WEIGHT = 0.15
 RMSE_WEIGHT = 0.005
 TAIL = 7
@@ -214,9 +213,8 @@ def with_chosen(fits: DataFrame) -> DataFrame:
 
 
 def search_attempts(features: DataFrame, fits: DataFrame) -> DataFrame:
-    """Every candidate of every symbol with its log-scale errors: a row per penalty and
-    iteration limit. A fit on the moments has few unknowns and is solved exactly, so that all
-    limits have the penalty's converged fit and the first of them is chosen. The absolute
+    """Every candidate of every symbol with its log-scale errors: a row per penalty. A fit on
+    the moments is solved exactly, without iterations, so ``epochs`` is null. The absolute
     error is the only measure that needs the rows; all candidates share that pass."""
     candidates = range(len(PENALTIES))
     scored = features.where(F.col("part") == "test").join(fits.select("symbol", "fit"), "symbol")
@@ -231,141 +229,4 @@ def search_attempts(features: DataFrame, fits: DataFrame) -> DataFrame:
     )
     return fits.join(maes, "symbol").select(
         "symbol", F.col("fit.chosen").alias("_chosen"), F.posexplode(zipped).alias("_candidate", "_attempt")
-    ).select(
-        "symbol",
-        F.explode(F.array(*[F.lit(limit) for limit in ITERATION_LIMITS])).alias("epochs"),
-        "_attempt.*",
-        (F.col("_candidate") == F.col("_chosen")).alias("_best"),
-    ).select("*", (F.col("_best") & (F.col("epochs") == ITERATION_LIMITS[0])).alias("chosen")).drop("_best")
-
-
-def _limited(system: np.ndarray, target: np.ndarray, square: float) -> list[np.ndarray]:
-    """The weights at each iteration limit of L-BFGS from 0, as MLlib's optimizer takes it
-    (memory 10, tolerance 1e-6, strong Wolfe line search), on the moments' quadratic."""
-    value = lambda w: 0.5 * float(w @ system @ w) - float(target @ w) + 0.5 * square
-    w, steps, changes, values, kept, failed, done = np.zeros(len(target)), [], [], [], [], False, 0
-    gradient, first = system @ w - target, value(w)
-    while True:
-        now = value(w)
-        values = [*values, now][-20:]
-        kept += [w] * sum(limit == done for limit in ITERATION_LIMITS[len(kept) :][:1])
-        settled = len(values) >= 2 and abs(now - max(values)) <= 1e-6 * first
-        if len(kept) == len(ITERATION_LIMITS) or settled or np.linalg.norm(gradient) <= max(1e-6 * now, 1e-8):
-            return kept + [w] * (len(ITERATION_LIMITS) - len(kept))
-        way, shares = gradient.copy(), []
-        for step, change in zip(steps, changes):
-            shares.append((step @ way) / (step @ change))
-            way = way - shares[-1] * change
-        if steps:
-            way = way * (steps[0] @ changes[0]) / (changes[0] @ changes[0])
-        for step, change, share in reversed(list(zip(steps, changes, shares))):
-            way = way + (share - (change @ way) / (step @ change)) * step
-        way = -way
-        size = _wolfe(lambda t: (t, value(w + t * way), float((system @ (w + t * way) - target) @ way)), 1.0 if done else 1.0 / np.linalg.norm(way))
-        if size is None or size * np.linalg.norm(gradient) < 1e-10:
-            if failed:
-                return kept + [w] * (len(ITERATION_LIMITS) - len(kept))
-            failed, steps, changes = True, [], []
-            continue
-        moved = w + size * way
-        after = system @ moved - target
-        steps, changes = [moved - w, *steps][:10], [after - gradient, *changes][:10]
-        w, gradient, failed, done = moved, after, False, done + 1
-
-
-def _wolfe(at, size: float) -> float | None:
-    """A step that meets the strong Wolfe conditions (1e-4, 0.9), by cubic interpolation; None where ten tries find none."""
-    low = start = at(0.0)
-    if start[2] > 0:
-        return None
-
-    def zoom(low, high):
-        for _ in range(10):
-            left, right = (high, low) if low[0] > high[0] else (low, high)
-            d1 = left[2] + right[2] - 3 * (left[1] - right[1]) / (left[0] - right[0])
-            d2 = np.sqrt(max(d1 * d1 - left[2] * right[2], 0.0))
-            width = right[0] - left[0]
-            t = right[0] - width * (right[2] + d2 - d1) / (right[2] - left[2] + 2 * d2)
-            found = at(min(max(t, left[0] + 0.1 * width), left[0] + 0.9 * width))
-            if found[1] > start[1] + 1e-4 * found[0] * start[2] or found[1] >= low[1]:
-                high = found
-            else:
-                if abs(found[2]) <= 0.9 * abs(start[2]):
-                    return found[0]
-                if found[2] * (high[0] - low[0]) >= 0:
-                    high = low
-                low = found
-        return None
-
-    for i in range(10):
-        found = at(size)
-        if found[1] > start[1] + 1e-4 * size * start[2] or (found[1] >= low[1] and i > 0):
-            return zoom(low, found)
-        if abs(found[2]) <= 0.9 * abs(start[2]):
-            return size
-        if found[2] >= 0:
-            return zoom(found, low)
-        low, size = found, size * 1.5
-    return None
-
-
-def _limited_betas(n: float, means: np.ndarray, scatter: np.ndarray, penalty: float, constant: bool) -> list[np.ndarray]:
-    """Coefficients at each iteration limit."""
-    label = len(means) - 1
-    spread = np.sqrt(np.clip(np.diag(scatter), 0.0, None) / max(n - 1.0, 1.0))
-    floor = 1e-12 * np.maximum(1.0, np.abs(means))
-    used = np.flatnonzero(spread[:label] > floor[:label])
-    if constant or spread[label] <= floor[label] or not used.size:
-        return [np.zeros(label)] * len(ITERATION_LIMITS)
-    system = scatter[np.ix_(used, used)] / np.outer(spread[used], spread[used]) / n + penalty / spread[label] * np.eye(used.size)
-    target = scatter[used, label] / (spread[used] * spread[label]) / n
-    made = []
-    for weights in _limited(system, target, (n - 1.0) / n):
-        beta = np.zeros(label)
-        beta[used] = weights * spread[label] / spread[used]
-        made.append(beta)
-    return made
-
-
-_LIMITED_TYPE = "epochs array<int>, reg_param array<double>, train_r2 array<double>, r2 array<double>, rmse array<double>, beta array<array<double>>, intercept array<double>, chosen int"
-
-
-def _limited_batch(
-    train_n: pd.Series, train_sums: pd.Series, train_products: pd.Series, train_range: pd.Series,
-    test_n: pd.Series, test_sums: pd.Series, test_products: pd.Series, test_range: pd.Series, center: pd.Series,
-) -> pd.DataFrame:
-    rows, levels = [], np.array([1.0 if name in _CENTRED else 0.0 for name in FEATURES])
-    for n, sums, products, limits, m, test_s, test_p, test_limits, middle in zip(train_n, train_sums, train_products, train_range, test_n, test_sums, test_products, test_range, center):
-        train, test = _central(float(n), np.asarray(sums), np.asarray(products)), _central(float(m), np.asarray(test_s), np.asarray(test_p))
-        flat, flat_test = limits[0] == limits[1], test_limits[0] == test_limits[1]
-        made = []
-        for penalty in PENALTIES:
-            for epochs, beta in zip(ITERATION_LIMITS, _limited_betas(float(n), *train, penalty, flat)):
-                intercept = float(train[0][-1] - train[0][:-1] @ beta)
-                train_r2, _ = _errors(float(n), *train, beta, intercept, flat)
-                r2, rmse = _errors(float(m), *test, beta, intercept, flat_test)
-                objective = -r2 + GAP_WEIGHT * max(0.0, train_r2 - r2) + RMSE_WEIGHT * rmse
-                made.append((epochs, penalty, train_r2, r2, rmse, beta.tolist(), float(intercept + middle - middle * (levels @ beta)), np.inf if np.isnan(objective) else objective))
-        rows.append([list(x) for x in zip(*made)][:-1] + [min(range(len(made)), key=lambda i: made[i][-1])])
-    return pd.DataFrame(rows, columns=[part.split()[0] for part in _LIMITED_TYPE.split(", ")])
-
-
-def search_limited(features: DataFrame) -> DataFrame:
-    """All 15 points of the search, each stopped at its own iteration limit, for every symbol:
-    the points of ``learners.search_one``. The first of equal objectives is chosen."""
-    fit = F.pandas_udf(_limited_batch, _LIMITED_TYPE)(
-        "train_n", "train_sums", "train_products", "train_label_range",
-        "test_n", "test_sums", "test_products", "test_label_range", "center",
-    )
-    both = _pivot(moments(features)).where(F.col("train_n").isNotNull() & F.col("test_n").isNotNull())
-    fits = both.select("symbol", fit.alias("fit"))
-    scored = features.where(F.col("part") == "test").join(fits, "symbol")
-    errors = [
-        F.avg(F.abs(F.col("log_close") - linear_rule(F.col("fit.beta").getItem(i), F.col("fit.intercept").getItem(i))))
-        for i in range(len(PENALTIES) * len(ITERATION_LIMITS))
-    ]
-    maes = scored.groupBy("symbol").agg(F.array(*errors).alias("mae"))
-    names = ("epochs", "reg_param", "train_r2", "r2", "rmse")
-    zipped = F.arrays_zip(*(F.col(f"fit.{name}").alias(name) for name in names), F.col("mae").alias("mae"))
-    rows = fits.join(maes, "symbol").select("symbol", F.col("fit.chosen").alias("_chosen"), F.posexplode(zipped).alias("_place", "_attempt"))
-    return rows.select("symbol", "_attempt.*", (F.col("_place") == F.col("_chosen")).alias("chosen"))
+    ).select("symbol", F.lit(None).cast("int").alias("epochs"), "_attempt.*", (F.col("_candidate") == F.col("_chosen")).alias("chosen"))

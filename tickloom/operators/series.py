@@ -116,16 +116,22 @@ def between(prices: DataFrame, tickers: Sequence[str], start, end) -> DataFrame:
     Tickers are trimmed and upper-cased. The predicates are plain comparisons on
     columns, so they reach the scan and prune partitions and row groups.
     """
+    wanted, first, last = history_bounds(tickers, start, end)
+    day = F.col("date")
+    return prices.where(
+        F.col("symbol").isin(wanted) & (day >= F.lit(first).cast("date")) & (day <= F.lit(last).cast("date"))
+    )
+
+
+def history_bounds(tickers: Sequence[str], start, end) -> tuple[list[str], str, str]:
+    """Clean tickers, and the first and last day as ISO text."""
     wanted = sorted({ticker.strip().upper() for ticker in tickers})
     if not wanted or "" in wanted:
         raise SeriesError("give at least one ticker, none of them blank")
     first, last = _day_argument(start), _day_argument(end)
     if first > last:
         raise SeriesError("the start date must not be after the end date")
-    day = F.col("date")
-    return prices.where(
-        F.col("symbol").isin(wanted) & (day >= F.lit(first).cast("date")) & (day <= F.lit(last).cast("date"))
-    )
+    return wanted, first, last
 
 
 def _day_argument(value) -> str:

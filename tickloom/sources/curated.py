@@ -1,4 +1,4 @@
-"""Tables written by the curation job."""
+"""Tables written by the curation job: read, pruned by symbol and day, and updated bucket by bucket."""
 
 from __future__ import annotations
 
@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.operators import series
+from tickloom.sources import sinks
+from tickloom.sources.shared import stored
 from tickloom.sources.sinks import symbol_bucket
 
 
@@ -24,3 +27,33 @@ def of_symbols(table: DataFrame, symbols: Sequence[str], buckets: int = 0) -> Da
     if buckets:
         rows = rows.where(F.col("symbol_bucket").isin(*[symbol_bucket(F.lit(s), buckets) for s in symbols]))
     return rows
+
+
+def history(spark: SparkSession, path: str, tickers: Sequence[str], start, end, buckets: int, day: str = "trade_date_fmt") -> DataFrame:
+    """Rows of the tickers from ``start`` to ``end``, both days included, ``day`` as a date.
+
+    Tickers are trimmed and upper-cased. Only their buckets' folders are listed, and in the
+    files, which are ordered by symbol and day, only row groups that can hold such rows: the
+    days are compared as they are stored, as ISO text.
+    """
+    wanted, first, last = series.history_bounds(tickers, start, end)
+    rows = of_symbols(spark.read.parquet(path), wanted, buckets).where((F.col(day) >= first) & (F.col(day) <= last))
+    return rows.drop("symbol_bucket").withColumn(day, F.try_to_date(day, "yyyy-MM-dd"))
+
+
+def update(new: DataFrame, path: str, buckets: int, day: str = "trade_date_fmt") -> list[int]:
+    """Put new rows into a table of ``sinks.write_by_symbol``: they replace the rows of their symbols and days.
+
+    Only buckets that new rows fall into are read and written again, all others stay as
+    they are; the touched ones are returned. What the buckets shall hold is written
+    elsewhere first, so that nothing is overwritten while it is read.
+    """
+    spark = new.sparkSession
+    fresh = stored(new.withColumn("symbol_bucket", symbol_bucket(F.col("symbol"), buckets)), "update")
+    touched = sorted(row[0] for row in fresh.select("symbol_bucket").distinct().collect())  # at most ``buckets`` numbers
+    old = spark.read.parquet(path).where(F.col("symbol_bucket").isin(touched))
+    keys = fresh.select(F.col("symbol").alias("_symbol"), F.col(day).alias("_day")).distinct()
+    replaced = F.col("symbol").eqNullSafe(F.col("_symbol")) & F.col(day).eqNullSafe(F.col("_day"))
+    merged = stored(old.join(keys, replaced, "left_anti").unionByName(fresh.select(old.columns)), "merged")
+    sinks.write_buckets(merged, path, day)
+    return touched

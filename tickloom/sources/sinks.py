@@ -71,6 +71,13 @@ def write_by_symbol(table: DataFrame, path: str, buckets: int = 0, day: str = "t
     return write_parquet(table.hint("rebalance", by).sortWithinPartitions(by, "symbol", day), path, [by])
 
 
+def write_buckets(table: DataFrame, path: str, day: str = "trade_date_fmt") -> str:
+    """Rows that carry their ``symbol_bucket``, each bucket they fall into written anew; the folders of others are not touched."""
+    ordered = table.hint("rebalance", "symbol_bucket").sortWithinPartitions("symbol_bucket", "symbol", day)
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("symbol_bucket").parquet(path)
+    return path
+
+
 def publish(table: DataFrame, root: str, prefix: str, source_name: str, by: Sequence[str] = ()) -> str:
     """Parquet at ``root/prefix/slug.parquet``; the root may be any Hadoop URI."""
     return write_parquet(table, f"{root.rstrip('/')}/{prefix}/{slug_text(source_name)}.parquet", by)

@@ -396,6 +396,13 @@ predicted AS (SELECT next_close AS y, beta_intercept + {" + ".join(f"beta_{x} *
 SELECT round(sqrt(avg((y - p) * (y - p))), 4) AS rmse, round(avg(abs(y - p)), 4) AS mae, round(1 - avg((y - p) * (y - p)) / var_pop(y), 4) AS r2 FROM predicted""",
     "history_between": f"""WITH {BARS_SQL} SELECT * FROM bars WHERE symbol IN ('S1', 'S3', 'S7')
   AND date BETWEEN DATE '1996-01-01' AND DATE '1997-06-30'""",
+    "curated_history": f"""WITH {BARS_SQL},
+kept AS (
+  SELECT * FROM bars WHERE date < DATE '1996-01-01' AND NOT (CAST(substr(symbol, 2) AS INTEGER) % 3 = 0 AND date >= DATE '1995-06-01')
+  UNION ALL SELECT * REPLACE (close + 1 AS close) FROM bars WHERE CAST(substr(symbol, 2) AS INTEGER) % 3 = 0 AND date >= DATE '1995-06-01'
+)
+SELECT symbol, date AS trade_date_fmt, open, high, low, close, volume FROM kept
+WHERE CAST(substr(symbol, 2) AS INTEGER) BETWEEN 1 AND 40 AND date BETWEEN DATE '1995-01-01' AND DATE '1996-12-31'""",
     "fixed_width_bars": f"""WITH {FIXED_LINES_SQL}
 SELECT trim(substr(value, 11, 14)) AS symbol, try_strptime(substr(value, 3, 8), '%Y%m%d')::DATE AS trade_date,
   coalesce(TRY_CAST(nullif(trim(substr(value, 57, 13)), '') AS BIGINT), 0) / 100.0::DOUBLE AS open,
@@ -535,8 +542,7 @@ steps AS (
 )
 SELECT symbol, CAST(last_date + i AS DATE) AS date, round(exp(p) - 1, 4) AS predicted FROM steps WHERE i > 0""",
     "ridge_search": f"""WITH RECURSIVE {_FITS}
-SELECT symbol, CAST(epochs AS INTEGER) AS epochs, reg_param, {", ".join(f"round({x}, 5) AS {x}" for x in ("train_r2", "r2", "rmse", "mae"))}, chosen AND epochs = 8 AS chosen
-FROM search, (VALUES (8), (16), (32), (64), (128)) AS limits(epochs)""",
+SELECT symbol, CAST(NULL AS INTEGER) AS epochs, reg_param, {", ".join(f"round({x}, 5) AS {x}" for x in ("train_r2", "r2", "rmse", "mae"))}, chosen FROM search""",
     "ridge_refit": f"""WITH RECURSIVE {_FITS},
 sizes AS (
   SELECT symbol, count(*) FILTER (part = 'train') AS train_rows, count(*) FILTER (part = 'test') AS test_rows, max(scale) AS scale,
@@ -554,7 +560,7 @@ totals AS (
 ),
 tested AS (SELECT symbol, {_errors("", "predicted", ", 10")}, {_errors("baseline_naive_", "naive", ", 10")} FROM past GROUP BY 1),
 means AS (SELECT symbol, CAST(count(*) AS INTEGER) AS folds, avg(model_rmse) AS mm, avg(naive_rmse) AS nm FROM folds GROUP BY 1)
-SELECT symbol, 15 AS iterations, 8 AS epochs, reg_param, train_rows, test_rows, 31 AS future_days, forecast_anchor_date,
+SELECT symbol, 3 AS iterations, CAST(NULL AS INTEGER) AS epochs, reg_param, train_rows, test_rows, 31 AS future_days, forecast_anchor_date,
   round(train_r2, 4) AS train_r2, round(test_r2, 4) AS r2, round(test_r2, 4) AS test_r2, 0.6::DOUBLE AS target_r2_min, 0.8::DOUBLE AS target_r2_max,
   train_r2 BETWEEN 0.6 AND 0.8 AS train_target_reached, test_r2 BETWEEN 0.6 AND 0.8 AS test_target_reached,
   train_r2 BETWEEN 0.6 AND 0.8 AND test_r2 BETWEEN 0.6 AND 0.8 AS target_reached, round(rmse, 4) AS rmse, round(mae, 4) AS mae,

@@ -12,7 +12,7 @@ from tickloom.operators import (
     backtest, charts, features, forecast, learners, ohlcv, profile as profiles, quality, ranks, registry, ridge, series,
     tickers,
 )
-from tickloom.sources import delimited, fixedwidth, folder as folders, landing, sinks
+from tickloom.sources import curated, delimited, fixedwidth, folder as folders, landing, sinks
 from tickloom.sources.shared import scratch
 from tickloom.workload import tables
 from tickloom.workload.tables import ORDER, bars, block, raw_quotes, read
@@ -78,6 +78,17 @@ def history_between(spark, folder):
     return series.between(bars(spark, folder), [" s1", "S3", "s7 "], "1996-01-01", "1997-06-30")
 
 
+@registered
+def curated_history(spark, folder):
+    """A bucketed table, updated for every third supplier, and a history read from it."""
+    daily = bars(spark, folder).withColumn("trade_date_fmt", dates.iso_text(F.col("date"))).drop("date")
+    path, number = scratch(spark, "curated"), F.substring("symbol", 2, 20).cast("int")
+    sinks.write_by_symbol(daily.where("trade_date_fmt < '1996-01-01'"), path, 8)
+    later = daily.where((number % 3 == 0) & (F.col("trade_date_fmt") >= "1995-06-01")).withColumn("close", F.col("close") + 1)
+    curated.update(later, path, 8)
+    return curated.history(spark, path, [f"s{i}" for i in range(1, 41)], "1995-01-01", "1996-12-31", 8)
+
+
 @registered
 def fixed_width_bars(spark, folder):
     quotes = fixedwidth.parse_quotes(tables.fixed_lines(spark, folder))
@@ -341,12 +352,6 @@ def ridge_search(spark, folder):
     return _rounded(ridge.search_attempts(rows, ridge.fit_all(rows)), ["train_r2", "r2", "rmse", "mae"], 5)
 
 
-@registered
-def ridge_search_limited(spark, folder):
-    rows = _features(spark, folder)
-    return _rounded(ridge.search_limited(rows), ["train_r2", "r2", "rmse", "mae"], 5)
-
-
 @registered
 def ridge_refit(spark, folder):
     models = ridge.with_chosen(ridge.fit_all(_features(spark, folder)))
