@@ -51,3 +51,33 @@ def test_long_runs_join_in_reasonable_windows():
     text = "".join(pick.choice(["word", " ", "aaaa", "1"]) * pick.randrange(1, 400) for _ in range(60))
     nodes = [bpe.Encoded.of(text[i : i + 777], RANKS, PATTERN) for i in range(0, len(text), 777)]
     assert bpe.reduced(nodes, RANKS, PATTERN).ids.tolist() == bpe.vocabulary(RANKS, PATTERN)[0].encode_ordinary(text)
+
+
+CERTAIN = st.text(st.characters(codec="utf-8") | PARTS.filter(lambda x: len(x) == 1) | st.sampled_from("\x1c\x1f\x85\xa0 　'.,"), max_size=60)
+
+
+@settings(max_examples=400, deadline=None)
+@given(CERTAIN, st.integers(1, 30))
+def test_tokens_outside_certain_places_are_stable(text, size):
+    nodes = [bpe.Encoded.of(text[i : i + size], RANKS, PATTERN) for i in range(0, len(text), size)] or [bpe.Encoded.of("", RANKS, PATTERN)]
+    assert bpe.reduced(nodes, RANKS, PATTERN).ids.tolist() == bpe.vocabulary(RANKS, PATTERN)[0].encode_ordinary(text)
+
+
+def test_joins_encode_only_what_lies_between_certain_places(monkeypatch):
+    left, right = (bpe.Encoded.of(odd.prose(i, 3000), RANKS, PATTERN) for i in (1, 2))
+    seen = []
+    plain = bpe.encoded
+    monkeypatch.setattr(bpe, "encoded", lambda encoder, text: seen.append(text) or plain(encoder, text))
+    joined = left.join(right, RANKS, PATTERN)
+    assert len(seen) == 1 and len(seen[0]) < 40
+    assert joined.ids.tolist() == bpe.vocabulary(RANKS, PATTERN)[0].encode_ordinary(left.text + right.text)
+
+
+def test_null_and_nested_ids_decode(spark):
+    table = spark.createDataFrame([(1, [31373, 995]), (2, None), (3, [])], "doc_id int, ids array<int>")
+    spelled = bpe.vocabulary(RANKS, PATTERN)[1]
+    got = {r.doc_id: bytes(r.decoded) for r in bpe.decode(table, RANKS, PATTERN).collect()}
+    assert got == {1: spelled[31373] + spelled[995], 2: b"", 3: b""}
+    many = list(range(5000))
+    got = bpe.decode(spark.createDataFrame([(1, many)], "doc_id int, ids array<int>"), RANKS, PATTERN).collect()[0]
+    assert bytes(got.decoded) == b"".join(spelled[:5000])

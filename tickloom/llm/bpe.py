@@ -1,24 +1,25 @@
-"""Byte-level BPE encoding and decoding as a reduction over a tree of text pieces.
-
-Encoded text is a monoid: an element holds a piece's tokens and where the split pattern's
-matches end in it; joining two neighbours gives the element of their joined text. A match
-stays as it is when two more characters follow it inside its piece, since the pattern never
-looks farther than two characters beyond a match's end (a contraction of three characters,
-or the look-ahead behind white space). So the join keeps the left tokens up to the last
-match that is certain, splits anew from there over a window that grows into the right
-piece, and stops at the first certain match end that is one of the right piece's own: from
-equal ends on, the splitting goes on equally.
-
-Texts up to ``leaf_chars`` are leaves and are encoded where they are. Longer ones become
-rows of their leaves, encoded by all tasks, then joined pairwise in order of place.
+"""Byte-level BPE encoding and decoding as reductions over a tree of text pieces.
+
+Encoded text is a monoid: an element holds a piece and its tokens; joining two neighbours gives
+the element of their joined text. No match of the split pattern reaches over a place between a
+character and white space behind it, nor over one between a letter and a punctuation mark behind
+it, and where a match ends there depends on nothing that follows those two characters. So such
+places are certain: the tokens on either side of them are the same in a piece and in any text
+that holds the piece. A join looks back from the edge for a certain place, and ahead for one, in
+windows that grow until they hold one (or are the whole piece), encodes what lies between them
+anew, and keeps all tokens outside.
+
+A text is cut into leaves of ``leaf_chars``, these are encoded one by one, and joined pairwise
+level by level; decoding spells out leaves of tokens and concatenates their bytes up such a tree.
+Each document is one row, so it takes one Python step in the task that reads it, and no shuffle.
 """
 
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -30,154 +31,115 @@ from pyspark.sql import functions as F
 from tickloom.llm import words
 from tickloom.llm.common import Held, picked
 
-LEAF_CHARS = 32_768
-_REACH = 2
+LEAF_CHARS, LEAF_IDS = 1024, 1024
+WINDOW = 32
+_CERTAIN = r"(?<=[^\s\x1c-\x1f])(?=[ \t\n\r])|(?<=\p{L})(?=\p{P})"
+_AHEAD, _BACK = regex.compile(_CERTAIN), regex.compile("(?r)" + _CERTAIN)
 
 
 @lru_cache(maxsize=4)
-def vocabulary(ranks: str, pattern: str) -> tuple[tiktoken.Encoding, list[bytes], regex.Pattern]:
-    """The encoder of a file of ranks, the bytes of each id, and the compiled pattern."""
+def vocabulary(ranks: str, pattern: str) -> tuple[tiktoken.Encoding, list[bytes], np.ndarray]:
+    """The encoder of a file of ranks, the bytes of each id, and their number."""
     with open(ranks, "rb") as lines:
         table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     spelled = [b""] * (max(table.values(), default=-1) + 1)
     for token, rank in table.items():
         spelled[rank] = token
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={}), spelled, regex.compile(pattern)
+    encoder = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+    return encoder, spelled, np.array([len(x) for x in spelled], np.int64)
 
 
 def encoded(encoder: tiktoken.Encoding, text: str) -> np.ndarray:
     return encoder.encode_to_numpy(text, disallowed_special=()).astype(np.int32) if text else np.zeros(0, np.int32)
 
 
+def _tokens_of(ids: np.ndarray, size: int, sizes: np.ndarray) -> int:
+    """How many of the first ids spell ``size`` bytes; a token ends there."""
+    taken = 16
+    while True:
+        ends = np.cumsum(sizes[ids[:taken]])
+        if taken >= len(ids) or ends[-1] >= size:
+            return int(np.searchsorted(ends, size)) + 1 if size else 0
+        taken *= 4
+
+
+def _certain(search: Callable, piece: str, window: int, from_end: bool) -> int:
+    """The certain place of a piece that is nearest to its start (its end); the other end of the piece if it has none."""
+    while True:
+        part = piece[-window:] if from_end else piece[:window]
+        found = search(part)
+        if found is not None:
+            return found.start() + (len(piece) - len(part) if from_end else 0)
+        if len(part) == len(piece):
+            return 0 if from_end else len(piece)
+        window *= 4
+
+
 @dataclass(frozen=True)
 class Encoded:
-    """A piece of text with its tokens; match i ends at character ``ends[i]``, after ``tokens[i]`` tokens."""
+    """A piece of text with its tokens."""
 
     text: str
     ids: np.ndarray
-    ends: np.ndarray
-    tokens: np.ndarray
 
     @classmethod
     def of(cls, text: str, ranks: str, pattern: str) -> Encoded:
-        encoder, _, split = vocabulary(ranks, pattern)
-        matches = [m.span() for m in split.finditer(text)]
-        pieces = [encoded(encoder, text[a:b]) for a, b in matches]
-        ids = np.concatenate(pieces) if pieces else np.zeros(0, np.int32)
-        return cls(text, ids, np.array([b for _, b in matches], np.int64), np.cumsum([len(x) for x in pieces], dtype=np.int64))
+        return cls(text, encoded(vocabulary(ranks, pattern)[0], text))
 
-    def join(self, right: Encoded, ranks: str, pattern: str, window: int = 256) -> Encoded:
+    def join(self, right: Encoded, ranks: str, pattern: str, window: int = WINDOW) -> Encoded:
         if not self.text or not right.text:
             return right if not self.text else self
-        encoder, _, split = vocabulary(ranks, pattern)
-        keep = int(np.searchsorted(self.ends, len(self.text) - _REACH, side="right"))
-        base = int(self.ends[keep - 1]) if keep else 0
-        tail = self.text[base:]
-        inside, spans = window, []
-        while True:
-            whole = inside >= len(right.text)
-            text = tail + right.text[:inside]
-            spans, meet = [], -1
-            for m in split.finditer(text):
-                a, b = m.span()
-                if not whole and b > len(text) - _REACH:
-                    break
-                spans.append((a, b))
-                at = int(np.searchsorted(right.ends, b - len(tail)))
-                if b > len(tail) and at < len(right.ends) and right.ends[at] == b - len(tail):
-                    meet = at
-                    break
-            if meet >= 0 or whole:
-                break
-            inside *= 2
-        again = [encoded(encoder, text[a:b]) for a, b in spans]
-        kept = int(self.tokens[keep - 1]) if keep else 0
-        skipped = int(right.tokens[meet]) if meet >= 0 else len(right.ids)
-        ids = np.concatenate([self.ids[:kept], *again, right.ids[skipped:]])
-        middle = np.cumsum([len(x) for x in again], dtype=np.int64) + kept
-        after = int(middle[-1]) if len(middle) else kept
-        rest = meet + 1 if meet >= 0 else len(right.ends)
-        ends = np.concatenate([self.ends[:keep], base + np.array([b for _, b in spans], np.int64), len(self.text) + right.ends[rest:]])
-        tokens = np.concatenate([self.tokens[:keep], middle, right.tokens[rest:] - skipped + after])
-        return Encoded(self.text + right.text, ids, ends.astype(np.int64), tokens)
+        encoder, _, sizes = vocabulary(ranks, pattern)
+        base, meet = _certain(_BACK.search, self.text, window, True), _certain(_AHEAD.search, right.text, window, False)
+        tail, head = self.text[base:], right.text[:meet]
+        kept = len(self.ids) - _tokens_of(self.ids[::-1], len(tail.encode()), sizes)
+        skipped = _tokens_of(right.ids, len(head.encode()), sizes)
+        ids = np.concatenate([self.ids[:kept], encoded(encoder, tail + head), right.ids[skipped:]])
+        return Encoded(self.text + right.text, ids)
 
 
-def reduced(nodes: list[Encoded], ranks: str, pattern: str) -> Encoded:
+def up_the_tree(nodes: list, join: Callable):
     """Neighbours joined level by level."""
     while len(nodes) > 1:
-        nodes = [nodes[i].join(nodes[i + 1], ranks, pattern) if i + 1 < len(nodes) else nodes[i] for i in range(0, len(nodes), 2)]
+        nodes = [join(nodes[i], nodes[i + 1]) if i + 1 < len(nodes) else nodes[i] for i in range(0, len(nodes), 2)]
     return nodes[0]
 
 
-def _texts(column: pa.Array) -> list[str]:
-    return [(x or b"").decode("utf-8", "replace") for x in column.cast(pa.binary()).to_pylist()]
-
-
-def _kinds(frame: DataFrame, names: list[str]) -> str:
-    return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in frame.schema.fields if f.name in names)
+def reduced(nodes: list[Encoded], ranks: str, pattern: str) -> Encoded:
+    return up_the_tree(nodes, lambda a, b: a.join(b, ranks, pattern))
 
 
-def _short(frame: DataFrame, text: str, ranks: str, pattern: str) -> DataFrame:
-    at = frame.columns.index(text)
+def _ids(text: str, ranks: str, pattern: str, leaf: int) -> np.ndarray:
+    if len(text) <= leaf:
+        return encoded(vocabulary(ranks, pattern)[0], text)
+    return reduced([Encoded.of(text[i : i + leaf], ranks, pattern) for i in range(0, len(text), leaf)], ranks, pattern).ids
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = vocabulary(ranks, pattern)[0]
-        for batch in batches:
-            for piece in words.pieces(batch, at):
-                ids = [encoded(encoder, x) for x in _texts(piece.column(at))]
-                column = words.lists(pa.array(np.concatenate(ids)), np.array([len(x) for x in ids]))
-                yield pa.RecordBatch.from_arrays([*piece.columns, column], [*piece.schema.names, "ids"])
 
-    return frame.mapInArrow(run, _kinds(frame, frame.columns) + "ids array<int>")
+def _bytes(ids: np.ndarray, spelled: list[bytes], leaf: int = LEAF_IDS) -> bytes:
+    leaves = [b"".join(map(spelled.__getitem__, ids[i : i + leaf].tolist())) for i in range(0, len(ids), leaf)]
+    return up_the_tree(leaves, bytes.__add__) if leaves else b""
 
 
-_NODE = "_node struct<text:string,ids:array<int>,ends:array<int>,tokens:array<int>>"
+def _texts(column: pa.Array) -> list[str]:
+    return [(x or b"").decode("utf-8", "replace") for x in column.cast(pa.binary()).to_pylist()]
 
 
-def _long(frame: DataFrame, text: str, ranks: str, pattern: str, leaf: int) -> DataFrame:
-    names = frame.columns
-    others = [c for c in names if c != text]
-    count = F.ceil(F.length(text) / F.lit(leaf)).cast("int")
-    leaves = (
-        frame.withColumn("_key", F.monotonically_increasing_id())
-        .withColumn("_leaf", F.explode(F.sequence(F.lit(0), count - 1)))
-        .withColumn("_piece", F.substring(F.col(text), F.col("_leaf") * leaf + 1, F.lit(leaf)))
-        .select("_key", "_leaf", "_piece", *(F.when(F.col("_leaf") == 0, F.col(c)).alias(c) for c in others))
-        .repartition(F.col("_key"), F.col("_leaf"))
-    )
+def _kinds(frame: DataFrame) -> str:
+    return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in frame.schema.fields)
 
-    def leaf_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes = [Encoded.of(x, ranks, pattern) for x in _texts(batch.column(2))]
-            made = [{"text": n.text, "ids": n.ids, "ends": n.ends, "tokens": n.tokens} for n in nodes]
-            kind = pa.struct([("text", pa.string()), ("ids", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("tokens", pa.list_(pa.int32()))])
-            columns = [batch.column(0), batch.column(1), *batch.columns[3:], pa.array(made, kind)]
-            yield pa.RecordBatch.from_arrays(columns, ["_key", "_leaf", *others, "_node"])
-
-    nodes = leaves.mapInArrow(leaf_nodes, "_key bigint, _leaf int, " + _kinds(frame, others) + _NODE)
-
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def made(row: pa.RecordBatch, pending: list[Encoded]) -> pa.RecordBatch:
-            node = reduced(pending, ranks, pattern)
-            columns = {c: row.column(row.schema.names.index(c)) for c in others} | {text: pa.array([node.text])}
-            ids = pa.array([node.ids], pa.list_(pa.int32()))
-            return pa.RecordBatch.from_arrays([*(columns[c] for c in names), ids], [*names, "ids"])
-
-        key, row, pending = None, None, []
-        for batch in batches:
-            keys, values = batch.column(0).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()
-            for i, (own, value) in enumerate(zip(keys, values, strict=True)):
-                if own != key:
-                    if pending:
-                        yield made(row, pending)
-                    key, row, pending = own, batch.slice(i, 1), []
-                arrays = [np.array(value[n], np.int32 if n == "ids" else np.int64) for n in ("ids", "ends", "tokens")]
-                pending.append(Encoded(value["text"], *arrays))
-        if pending:
-            yield made(row, pending)
 
-    ordered = nodes.repartition("_key").sortWithinPartitions("_key", "_leaf")
-    return ordered.mapInArrow(joined, _kinds(frame, names) + "ids array<int>")
+def _encoding(batches: Iterator[pa.RecordBatch], at: int, ranks: str, pattern: str, leaf: int, decoding: bool) -> Iterator[pa.RecordBatch]:
+    """The rows with ids and, when ``decoding``, the bytes of these ids instead of the text."""
+    spelled = vocabulary(ranks, pattern)[1]
+    for batch in batches:
+        for piece in words.pieces(batch, at):
+            ids = [_ids(x, ranks, pattern, leaf) for x in _texts(piece.column(at))]
+            column = words.lists(pa.array(np.concatenate(ids)), np.array([len(x) for x in ids]))
+            kept = [i for i in range(piece.num_columns) if i != at or not decoding]
+            columns, names = [*(piece.column(i) for i in kept), column], [*(piece.schema.names[i] for i in kept), "ids"]
+            if decoding:
+                columns, names = [*columns, pa.array([_bytes(x, spelled) for x in ids], pa.binary())], [*names, "decoded"]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str, leaf_chars: int = LEAF_CHARS, text: str = "text") -> DataFrame:
@@ -189,11 +151,8 @@ def encode(docs: DataFrame, ranks: str, pattern: str, leaf_chars: int = LEAF_CHA
     executor can open.
     """
     held = Held(docs)
-    name = held[text]
-    size = F.coalesce(F.length(name), F.lit(0))
-    short = _short(held.frame.where(size <= leaf_chars), name, ranks, pattern)
-    long = _long(held.frame.where(size > leaf_chars), name, ranks, pattern, leaf_chars)
-    return held.restored(short.unionByName(long), {"ids": F.col("ids")})
+    run = partial(_encoding, at=held.frame.columns.index(held[text]), ranks=ranks, pattern=pattern, leaf=leaf_chars, decoding=False)
+    return held.restored(held.frame.mapInArrow(run, _kinds(held.frame) + "ids array<int>"), {"ids": F.col("ids")})
 
 
 def decode(tokens: DataFrame, ranks: str, pattern: str, ids: str = "ids") -> DataFrame:
@@ -206,27 +165,29 @@ def decode(tokens: DataFrame, ranks: str, pattern: str, ids: str = "ids") -> Dat
     frame, at = held.frame, held.names.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelled = vocabulary(ranks, pattern)[1].__getitem__
+        spelled = vocabulary(ranks, pattern)[1]
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
                 piece = batch.slice(start, 1000)
-                made = [b"".join(map(spelled, x or ())) for x in _values(piece.column(at))]
+                made = [_bytes(x, spelled) for x in _values(piece.column(at))]
                 yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(made, pa.binary())], [*piece.schema.names, "decoded"])
 
-    out = frame.mapInArrow(run, _kinds(frame, frame.columns) + "decoded binary")
+    out = frame.mapInArrow(run, _kinds(frame) + "decoded binary")
     return held.restored(out, {"decoded": F.col("decoded")})
 
 
-def _values(column: pa.ListArray) -> Iterator[list[int]]:
-    offsets, flat = column.offsets.to_pylist(), column.values
-    for a, b in zip(offsets, offsets[1:]):
-        yield flat.slice(a, b - a).to_numpy(zero_copy_only=False).tolist()
+def _values(column: pa.ListArray) -> Iterator[np.ndarray]:
+    """The lists of a column; a null one is empty."""
+    offsets, flat = column.offsets.to_numpy(), column.values
+    for i, (a, b) in enumerate(zip(offsets, offsets[1:])):
+        yield flat.slice(a, b - a if column[i].is_valid else 0).to_numpy(zero_copy_only=False)
 
 
 def digests(docs: DataFrame, ranks: str, pattern: str, leaf_chars: int = LEAF_CHARS) -> DataFrame:
-    """Encoded and decoded again: per row the count of tokens and the digests of ids and decoded bytes."""
-    tokens = encode(picked(docs, doc_id="doc_id", text="text"), ranks, pattern, leaf_chars).select("doc_id", "ids")
-    return decode(tokens, ranks, pattern).select(
+    """Encoded and decoded again, in one pass: per row the count of tokens and the digests of ids and decoded bytes."""
+    rows = picked(docs, doc_id="doc_id", text="text")
+    run = partial(_encoding, at=1, ranks=ranks, pattern=pattern, leaf=leaf_chars, decoding=True)
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded binary").select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
