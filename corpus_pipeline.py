@@ -27,8 +27,8 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: five-word shingles, similarity 0.8 or more."""
-    return oddsketch.without_duplicates(docs)
+    """One document of each group of near duplicates stays: three-word shingles, similarity 0.85 or more, as in op10."""
+    return oddsketch.without_duplicates(docs, length=3, percent=85)
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
