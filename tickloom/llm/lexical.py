@@ -224,7 +224,8 @@ def _block(docs: DataFrame, terms: DataFrame, block: int) -> DataFrame:
     scored = best_classes(found, postings, items.dictionary, kind)
     winners = written(_top(scored, "item", "place", F.desc("score"), F.asc_nulls_last("first_doc"), "class").drop("place"), "winners")
 
-    won = winners.select("class").distinct().join(found, "class").select("class", "h", "m", "terms", "tfs")
+    # TOP classes per item at most; as a table its size is known, so Spark broadcasts it only where it is small.
+    won = written(winners.select("class").distinct().join(found, "class").select("class", "h", "m", "terms", "tfs"), "won")
     members = bagged.join(won, ["h", "m", "terms", "tfs"]).select("class", "doc_id")
     members = _top(members, "class", "place", F.asc_nulls_last("doc_id")).drop("place")
     ranked = _top(winners.join(members, "class"), "item", "rank", F.desc("score"), F.asc_nulls_last("doc_id"))
