@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tickloom.workload.tables import (
-    BARS_SQL, FIXED_LINES_SQL, LAYOUT_HEADERS, LAYOUT_ROWS_SQL, PRICE_LINES_SQL, RAW_QUOTES_SQL, RUNS_SQL,
+    BARS_SQL, FIXED_LINES_SQL, KINDS, KINDS_SQL, LAYOUT_HEADERS, LAYOUT_ROWS_SQL, PRICE_LINES_SQL, RAW_QUOTES_SQL, RUNS_SQL,
 )
 
 
@@ -431,6 +431,21 @@ UNION ALL SELECT path, 'broken_bytes', 'warning', count(*) FROM layout_rows WHER
 lines AS (SELECT path, place, text, replace(hex(encode(text)), 'C3A9', 'E9') AS bytes FROM layout_lines),
 files AS (SELECT path, string_agg(bytes || '0D0A', '' ORDER BY place, text) AS whole FROM lines GROUP BY 1)
 SELECT path, CAST(length(whole) // 2 AS BIGINT) AS bytes, sha256(unhex(whole)) AS sha256, CAST(ceil(length(whole) / 32768.0) AS BIGINT) AS pieces FROM files""",
+    "inferred_types": f"""WITH {KINDS_SQL}, columns AS (
+  {" UNION ALL ".join(f"SELECT '{x}' AS col, trim({x}) AS v FROM kinds" for x in KINDS)}),
+marked AS (SELECT col, CASE WHEN v IS NULL OR v = '' THEN 0
+  WHEN regexp_full_match(v, '[+-]?[0-9]+') AND TRY_CAST(v AS BIGINT) IS NOT NULL THEN 1
+  WHEN regexp_full_match(v, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') THEN 2
+  WHEN regexp_full_match(v, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AND TRY_CAST(v AS DATE) IS NOT NULL THEN 4
+  WHEN regexp_full_match(v, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}[ T][0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}(\\.[0-9]{{1,6}})?') AND TRY_CAST(v AS TIMESTAMP) IS NOT NULL THEN 8
+  ELSE 16 END AS k FROM columns),
+seen AS (SELECT col, bit_or(k) AS k, count(*) FILTER (WHERE k <> 0) AS filled FROM marked GROUP BY 1)
+SELECT col AS "column", CASE WHEN k = 0 THEN 'null' WHEN k & 16 <> 0 OR (k & 3 <> 0 AND k & 12 <> 0) THEN 'text' WHEN k = 4 THEN 'date'
+  WHEN k & 12 <> 0 THEN 'timestamp' WHEN k = 1 THEN 'long' ELSE 'double' END AS type, filled FROM seen""",
+    "typed_rows": f"""WITH {KINDS_SQL}
+SELECT name, CAST(sum(CAST(whole AS BIGINT)) AS BIGINT) AS whole, round(sum(CAST(trim(number) AS DOUBLE)), 2) AS number, max(TRY_CAST(nullif(day, '') AS DATE)) AS day,
+  strftime(max(CAST(moment AS TIMESTAMP)), '%Y-%m-%d %H:%M:%S') AS moment, min(mixed) AS mixed, sum(CAST(large AS DOUBLE)) AS large, 0::BIGINT AS nothing,
+  count(*) FILTER (WHERE bad_day = '1994-02-30') AS bad_days FROM kinds GROUP BY 1""",
     "union_mixed_files": f"""WITH {PRICE_LINES_SQL}
 SELECT split_part(text, separator, 1) AS symbol, split_part(text, separator, 2) AS date,
   TRY_CAST(replace(split_part(text, separator, 3), ',', '.') AS DOUBLE) AS close,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import dates, names, numbers, scores
 from tickloom.operators import (
-    backtest, charts, features, forecast, learners, ohlcv, profile as profiles, quality, ranks, registry, ridge, series,
+    backtest, charts, features, forecast, inference, learners, ohlcv, profile as profiles, quality, ranks, registry, ridge, series,
     tickers,
 )
 from tickloom.sources import curated, delimited, fixedwidth, folder as folders, landing, sinks
@@ -138,6 +138,22 @@ def landed_files(spark, folder):
     return whole.join(counts, "path").withColumn("path", F.regexp_extract("path", "path=([^/]+)/", 1))
 
 
+@registered
+def inferred_types(spark, folder):
+    return inference.inferred_types(tables.kinds(spark, folder), tables.KINDS)
+
+
+@registered
+def typed_rows(spark, folder):
+    """Sums over the typed columns show that every value came through."""
+    rows = tables.kinds(spark, folder)
+    made = inference.typed(rows, inference.inferred_types(rows, tables.KINDS))
+    return made.groupBy("name").agg(
+        F.sum("whole").alias("whole"), F.round(F.sum("number"), 2).alias("number"), F.max("day").alias("day"), F.date_format(F.max("moment"), "yyyy-MM-dd HH:mm:ss").alias("moment"),
+        F.min("mixed").alias("mixed"), F.sum("large").alias("large"), F.count("nothing").alias("nothing"), F.count_if(F.col("bad_day") == "1994-02-30").alias("bad_days"),
+    )
+
+
 @registered
 def union_mixed_files(spark, folder):
     """Each file's separator is found from its header and used for its lines; some fields are quoted."""

@@ -217,6 +217,34 @@ def price_lines(spark: SparkSession, folder: str) -> DataFrame:
     return body.unionByName(headers)
 
 
+# Text columns of several kinds, for type inference.
+KINDS_SQL = """
+kinds AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS whole, CASE WHEN l_linenumber = 7 THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) WHEN l_linenumber = 6 THEN '1e3'
+      ELSE ' ' || CAST(l_partkey AS VARCHAR) END AS number,
+    CASE WHEN l_linenumber = 1 THEN '' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS day,
+    CASE WHEN l_linenumber = 2 THEN strftime(l_shipdate, '%Y-%m-%d') || ' 10:30:00' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS moment,
+    CASE WHEN l_linenumber = 3 THEN '1994-02-30' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS bad_day,
+    CASE WHEN l_linenumber = 4 THEN '7' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS mixed,
+    CASE WHEN l_linenumber = 5 THEN '99999999999999999999' ELSE '1' END AS large, CASE WHEN l_linenumber = 1 THEN '  ' END AS nothing, l_returnflag AS name
+  FROM lineitem
+)"""
+KINDS = ("whole", "number", "day", "moment", "bad_day", "mixed", "large", "nothing", "name")
+
+
+def kinds(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines as text: whole and other numbers, days, moments, days that are none, and mixtures."""
+    day, place = F.date_format(F.col("l_shipdate").cast("date"), "yyyy-MM-dd"), F.col("l_linenumber")
+    price = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
+    return read(spark, folder, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("whole"),
+        F.when(place == 7, price).when(place == 6, "1e3").otherwise(F.concat(F.lit(" "), "l_partkey")).alias("number"),
+        F.when(place == 1, "").otherwise(day).alias("day"), F.when(place == 2, F.concat(day, F.lit(" 10:30:00"))).otherwise(day).alias("moment"),
+        F.when(place == 3, "1994-02-30").otherwise(day).alias("bad_day"), F.when(place == 4, "7").otherwise(day).alias("mixed"),
+        F.when(place == 5, "9" * 20).otherwise("1").alias("large"), F.when(place == 1, "  ").alias("nothing"), F.col("l_returnflag").alias("name"),
+    )
+
+
 # Files of four layouts: separators, column orders and decimal marks differ, some fields are quoted,
 # some bytes are no UTF-8, and columns come and go.
 LAYOUT_ROWS_SQL = """
