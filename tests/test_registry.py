@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import features, registry
 from tickloom.plans import forecasting
+from tickloom.sources import exports, sinks
 
 START = dt.datetime(2024, 1, 1)
 
@@ -113,3 +114,21 @@ def test_forecast_from_a_treated_file(spark, tmp_path):
     assert [r["symbol"] for r in run.metrics.collect()] == ["PETR4"]
     assert run.future.count() == 2
     assert run.past.where(F.col("close").isNull()).count() == 0
+
+
+def test_exports_come_back_as_nested_records(spark, tmp_path):
+    run = forecasting.run_forecast(spark, _series(spark), str(tmp_path), "demo", days=3, now=START)
+    whole = exports.read_exports(spark, str(tmp_path / "artifacts"))
+    assert whole.train.columns == ["symbol", "date", "close", "low", "high", "volume", "run_key"]
+    text = exports.as_text(exports.records(whole))
+    back = {r["r"]["symbol"]: r["r"] for r in text.select(exports.from_text(F.col("value")).alias("r")).collect()}
+    metrics = {r["symbol"]: r for r in run.metrics.collect()}
+    assert set(back) == {"A", "B"}
+    for symbol, record in back.items():
+        assert record["metrics"]["backtest_folds"] == metrics[symbol]["backtest_folds"] and record["metrics"]["epochs"] is None
+        assert len(record["future"]) == 3 and [f["date"] for f in record["future"]] == sorted(f["date"] for f in record["future"])
+        assert len(record["past"]) == metrics[symbol]["test_rows"] and sum(a["chosen"] for a in record["search"]) == 1
+    assert all('"epochs":null' in r["value"] for r in text.collect())
+    kept = exports.test_metrics(spark, str(tmp_path / "artifacts")).collect()
+    assert {tuple(r["keys"].split(",")) for r in kept} == {("symbol", "run_key", *sinks.TEST_METRICS)} and len(sinks.TEST_METRICS) == 11
+    assert {r["symbol"]: r["rmse"] for r in kept} == {s: m["rmse"] for s, m in metrics.items()}

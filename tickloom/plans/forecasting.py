@@ -11,13 +11,9 @@ from pyspark.sql import functions as F
 from tickloom.operators import features, forecast, registry
 from tickloom.operators.series import SeriesError
 from tickloom.plans.session import materialised
-from tickloom.sources import delimited, order, sinks
+from tickloom.sources import delimited, exports, order, sinks
 
 _TABLES = ("training_metrics", "test_predictions", "future_predictions")
-_PREDICTIONS = {
-    "test_predictions": "symbol string, date date, close double, predicted double, run_key string",
-    "future_predictions": "symbol string, date date, predicted double, run_key string",
-}
 
 
 def train_predict_evaluate(
@@ -101,10 +97,7 @@ def _keys_of(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def _artifact(spark: SparkSession, root: str, name: str) -> DataFrame:
-    path = f"{root}/artifacts/{name}"
-    if name == "training_metrics":
-        return spark.read.schema(f"{forecast.METRICS_SCHEMA}, run_key string").json(path)
-    return spark.read.schema(_PREDICTIONS[name]).option("header", True).option("enforceSchema", False).csv(path)
+    return exports.read_artifact(spark, f"{root}/artifacts", name)
 
 
 def _results(spark: SparkSession, root: str, plan: DataFrame, counts: DataFrame, status: DataFrame) -> ForecastRun:

@@ -635,3 +635,14 @@ SELECT symbol, action_key, coalesce(c, 0) AS valid_runs, CASE WHEN coalesce(c, 0
   CASE WHEN coalesce(c, 0) >= 7 THEN latest ELSE action_key || '::run-' || (coalesce(last_number, 0) + 1) END AS run_key
 FROM wanted LEFT JOIN full_runs USING (symbol) LEFT JOIN numbers USING (action_key)""",
 }
+
+_KEYS = "symbol,run_key,train_r2,test_r2,target_r2_min,target_r2_max,train_target_reached,test_target_reached,target_reached,rmse,mae,epochs,iterations"
+CHECKS["forecast_test_metrics"] = f"""SELECT symbol, 'run-' || symbol AS run_key, '{_KEYS}' AS keys, train_r2, test_r2, target_r2_min, target_r2_max, train_target_reached,
+  test_target_reached, target_reached, rmse, mae, epochs, iterations FROM ({CHECKS["forecast_all"]})"""
+CHECKS["forecast_exports"] = f"""WITH RECURSIVE {_FORECAST},
+e_sizes AS (SELECT symbol, max(reg_param) AS reg_param, count(*) FILTER (part = 'train') AS train_rows, count(*) FILTER (part = 'test') AS test_rows FROM predictions GROUP BY 1),
+e_tested AS (SELECT symbol, CAST(count(*) AS INTEGER) AS past_rows, min(date) AS past_first, sqrt(avg((close - predicted) * (close - predicted))) AS rmse FROM past GROUP BY 1),
+e_ahead AS (SELECT symbol, CAST(count(*) AS INTEGER) AS future_rows, max(date) AS future_last FROM future GROUP BY 1),
+e_folds AS (SELECT symbol, CAST(count(*) AS INTEGER) AS folds, CAST(sum(rows) AS BIGINT) AS fold_rows FROM folds GROUP BY 1)
+SELECT 'run-' || symbol AS run_key, symbol, train_rows, test_rows, 3 AS attempts, past_rows, past_first, future_rows, future_last, folds, fold_rows, reg_param,
+  CAST(NULL AS INTEGER) AS epochs, round(rmse, 4) AS rmse FROM e_sizes JOIN e_tested USING (symbol) JOIN e_ahead USING (symbol) JOIN e_folds USING (symbol)"""

@@ -12,8 +12,8 @@ from tickloom.operators import (
     backtest, charts, features, forecast, inference, learners, ohlcv, profile as profiles, quality, ranks, registry, ridge, series,
     tickers,
 )
-from tickloom.sources import curated, delimited, fixedwidth, folder as folders, landing, sinks
-from tickloom.sources.shared import scratch
+from tickloom.sources import curated, delimited, exports, fixedwidth, folder as folders, landing, sinks
+from tickloom.sources.shared import materialised, scratch
 from tickloom.workload import tables
 from tickloom.workload.tables import ORDER, bars, block, raw_quotes, read
 
@@ -412,6 +412,34 @@ def forecast_all(spark, folder):
     return _rounded(flat, [*measures, "model_rmse_mean", "naive_rmse_mean"], 4)
 
 
+def _exported(spark, folder) -> str:
+    made, root = forecast.forecast_all(_model_series(spark, folder), keep=materialised), scratch(spark, "exports")
+    sinks.write_forecast(made, made.metrics.select("symbol", F.concat(F.lit("run-"), "symbol").alias("run_key")), root)
+    return root
+
+
+@registered
+def forecast_test_metrics(spark, folder):
+    """The exported test metrics, with the order of their keys."""
+    found = exports.test_metrics(spark, _exported(spark, folder))
+    return _rounded(found, ["train_r2", "test_r2", "rmse", "mae"], 4)
+
+
+@registered
+def forecast_exports(spark, folder):
+    """Exports read back, gathered to a nested record per run, which goes through its JSON text."""
+    whole = exports.read_exports(spark, _exported(spark, folder))
+    record = exports.as_text(exports.records(whole)).select(exports.from_text(F.col("value")).alias("r")).select("r.*")
+    sizes = [whole.train.groupBy("run_key").agg(F.count(F.lit(1)).alias("train_rows")), whole.test.groupBy("run_key").agg(F.count(F.lit(1)).alias("test_rows"))]
+    flat = record.join(sizes[0], "run_key").join(sizes[1], "run_key").select(
+        "run_key", "symbol", "train_rows", "test_rows", F.size("search").alias("attempts"), F.size("past").alias("past_rows"),
+        F.element_at("past", 1)["date"].alias("past_first"), F.size("future").alias("future_rows"), F.element_at("future", -1)["date"].alias("future_last"),
+        F.size("metrics.backtest_folds").alias("folds"), F.aggregate("metrics.backtest_folds", F.lit(0).cast("long"), lambda a, f: a + f["rows"]).alias("fold_rows"),
+        F.element_at(F.filter("search", lambda a: a["chosen"]), 1)["reg_param"].alias("reg_param"), "metrics.epochs", "metrics.rmse",
+    )
+    return _rounded(flat, ["rmse"], 4)
+
+
 @registered
 def forecast_folds(spark, folder):
     folds = _forecast(spark, folder).metrics.select("symbol", F.inline("backtest_folds"))
