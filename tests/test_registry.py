@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import features, registry
 from tickloom.plans import forecasting
-from tickloom.sources import exports, sinks
+from tickloom.sources import exports, sinks, versions
 
 START = dt.datetime(2024, 1, 1)
 
@@ -102,7 +102,7 @@ def test_a_request_beyond_the_limit_reuses_the_latest_run(spark, tmp_path, monke
             assert plan["A"]["decision"] == "train" and plan["A"]["run_number"] == i + 1
             latest = plan["A"]["run_key"]
     assert plan["A"]["decision"] == "reuse" and plan["A"]["run_key"] == latest
-    assert spark.read.parquet(f"{root}/runs").count() == 4
+    assert forecasting.registered_runs(spark, root).count() == 4
     exported = spark.read.parquet(f"{root}/artifacts/train_parquet")
     assert exported.columns == ["ticker", "data", "fechamento", "mínima", "máxima", "volume", "run_key"]
 
@@ -132,3 +132,60 @@ def test_exports_come_back_as_nested_records(spark, tmp_path):
     kept = exports.test_metrics(spark, str(tmp_path / "artifacts")).collect()
     assert {tuple(r["keys"].split(",")) for r in kept} == {("symbol", "run_key", *sinks.TEST_METRICS)} and len(sinks.TEST_METRICS) == 11
     assert {r["symbol"]: r["rmse"] for r in kept} == {s: m["rmse"] for s, m in metrics.items()}
+
+
+VERSIONED = ("k string, at int, v string", "k", ["at"])
+
+
+def _table(spark, root):
+    return {r["k"]: (r["at"], r["v"]) for r in versions.read(spark, root, *VERSIONED).collect()}
+
+
+def _append(spark, root, *rows):
+    return versions.append(spark.createDataFrame(rows, VERSIONED[0]), root)
+
+
+def test_last_writer_wins_before_and_after_compaction(spark, tmp_path):
+    root = str(tmp_path)
+    assert _table(spark, root) == {}
+    _append(spark, root, ("a", 2, "x"), ("b", 1, "x"))
+    _append(spark, root, ("a", 1, "late"), ("c", 1, None))
+    wanted = {"a": (2, "x"), "b": (1, "x"), "c": (1, None)}
+    assert _table(spark, root) == wanted and versions.compact(spark, root, *VERSIONED)
+    assert _table(spark, root) == wanted
+    _append(spark, root, ("b", 1, "y"), ("b", 0, "z"))
+    assert _table(spark, root) == {**wanted, "b": (1, "y")}
+    assert versions.compact(spark, root, *VERSIONED) and versions.compact(spark, root, *VERSIONED)
+    assert len(versions.vacuum(spark, root)) == 3 + 2 * 2
+    assert _table(spark, root) == {**wanted, "b": (1, "y")}
+    assert [p.name for p in tmp_path.iterdir() if p.name.startswith("manifest")] == ["manifest-000000003"]
+
+
+def test_a_writer_that_stops_half_way_is_never_seen(spark, tmp_path):
+    root = str(tmp_path)
+    _append(spark, root, ("a", 1, "x"))
+    half = _append(spark, root, ("a", 9, "half"))
+    (tmp_path / "log" / half / "_SUCCESS").unlink()
+    (tmp_path / "data" / "stopped").mkdir(parents=True)
+    (tmp_path / ".draft-stopped").write_text("{")
+    assert _table(spark, root) == {"a": (1, "x")}
+    assert versions.compact(spark, root, *VERSIONED) and _table(spark, root) == {"a": (1, "x")}
+
+
+def test_two_jobs_register_at_once_and_nothing_is_lost(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    _append(spark, root, ("a", 1, "x"))
+    plain, done = versions.last_written, []
+
+    def other_job_first(rows, key, order):
+        if not done:  # while this compaction writes, another job registers and compacts
+            done.append(True)
+            _append(spark, root, ("b", 1, "y"))
+            assert versions.compact(spark, root, *VERSIONED)
+        return plain(rows, key, order)
+
+    monkeypatch.setattr(versions, "last_written", other_job_first)
+    assert not versions.compact(spark, root, *VERSIONED)
+    monkeypatch.undo()
+    assert _table(spark, root) == {"a": (1, "x"), "b": (1, "y")}
+    assert len(list((tmp_path / "data").iterdir())) == 1 and not list(tmp_path.glob(".draft*"))

@@ -133,3 +133,24 @@ def reuse_plan(wanted: DataFrame, valid: DataFrame, reuse: str = "ticker") -> Da
         F.when(~reused, number).alias("run_number"),
         F.when(reused, F.col("latest")).otherwise(run_key(F.col("action_key"), number)).alias("run_key"),
     )
+
+
+def planned_results(plan: DataFrame, metrics: DataFrame, counts: DataFrame) -> DataFrame:
+    """Metrics of the planned runs, each marked as new or as one that was there before.
+
+    ``plan`` is ``reuse_plan``'s, ``counts`` ``attempt_counts``'. The cap is reported as
+    reached only where it made the run come from the registry.
+    """
+    chosen = plan.select("run_key", "decision", "action_key", "valid_runs")
+    processed = counts.select(
+        "symbol", F.col("effective").alias("ticker_reprocess_count"), F.col("total").alias("ticker_processing_count_total"), "limit_reached"
+    )
+    cached = F.col("decision") == "reuse"
+    return (
+        metrics.join(chosen, "run_key").join(processed, "symbol")
+        .withColumn("from_cache", cached)
+        .withColumn("cache_limit_reached", cached & F.col("limit_reached"))
+        .withColumn("action_reprocess_count", F.least(F.col("valid_runs") + F.when(cached, 0).otherwise(1), F.lit(MAX_RUNS)))
+        .withColumn("max_action_reprocessings", F.lit(MAX_RUNS))
+        .drop("decision", "valid_runs", "limit_reached")
+    )

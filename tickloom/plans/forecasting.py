@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tickloom.operators import features, forecast, registry
 from tickloom.operators.series import SeriesError
 from tickloom.plans.session import materialised
-from tickloom.sources import delimited, exports, order, sinks
+from tickloom.sources import delimited, exports, order, sinks, versions
 
 _TABLES = ("training_metrics", "test_predictions", "future_predictions")
 
@@ -65,9 +65,9 @@ def run_forecast(
     moment = F.lit(now).cast("timestamp")
     keys = materialised(registry.fingerprints(series, source_name, held_out, days))
     keys.select("symbol", "action_key", moment.alias("updated_at")).write.mode("append").parquet(f"{root}/attempts")
-    runs = _runs(spark, root)
-    if runs is None:
-        valid = spark.createDataFrame([], registry.RUN_SCHEMA)
+    runs = registered_runs(spark, root)
+    if runs.isEmpty():
+        valid = runs
     else:
         stored = {name: _keys_of(spark, root, name) for name in _TABLES}
         valid = registry.valid_runs(registry.retained_runs(runs), stored)
@@ -79,17 +79,18 @@ def run_forecast(
     usable = status.where(F.col("status") == "ok").select("symbol")
     trained = materialised(fresh.join(usable, "symbol", "left_semi"))
     sinks.write_forecast(made, trained, f"{root}/artifacts")
-    trained.select(
+    made_runs = trained.select(
         "run_key", "symbol", "action_key", "run_number", moment.alias("updated_at"), F.lit(source_name).alias("source_name")
-    ).write.mode("append").parquet(f"{root}/runs")
+    )
+    versions.append(made_runs, f"{root}/runs")
+    versions.compact(spark, f"{root}/runs", registry.RUN_SCHEMA, "run_key", ["updated_at"])
     counts = registry.attempt_counts(spark.read.parquet(f"{root}/attempts"))
     return _results(spark, root, plan, counts, status)
 
 
-def _runs(spark: SparkSession, root: str) -> DataFrame | None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/runs")
-    exists = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-    return spark.read.schema(registry.RUN_SCHEMA).parquet(f"{root}/runs") if exists else None
+def registered_runs(spark: SparkSession, root: str) -> DataFrame:
+    """One row per run key, the last registration; empty before the first run."""
+    return versions.read(spark, f"{root}/runs", registry.RUN_SCHEMA, "run_key", ["updated_at"])
 
 
 def _keys_of(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -102,27 +103,12 @@ def _artifact(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def _results(spark: SparkSession, root: str, plan: DataFrame, counts: DataFrame, status: DataFrame) -> ForecastRun:
     """Rows of the planned runs from the artifact tables, marked as new or reused."""
-    chosen = plan.select("run_key", "decision", "action_key", "valid_runs")
+    chosen = plan.select("run_key")
 
     def of_plan(name: str) -> DataFrame:
-        return _artifact(spark, root, name).join(chosen.select("run_key"), "run_key", "left_semi")
+        return _artifact(spark, root, name).join(chosen, "run_key", "left_semi")
 
-    processed = counts.select(
-        "symbol",
-        F.col("effective").alias("ticker_reprocess_count"),
-        F.col("total").alias("ticker_processing_count_total"),
-        "limit_reached",
-    )
-    metrics = (
-        _artifact(spark, root, "training_metrics")
-        .join(chosen, "run_key")
-        .join(processed, "symbol")
-        .withColumn("from_cache", F.col("decision") == "reuse")
-        .withColumn("cache_limit_reached", F.col("from_cache") & F.col("limit_reached"))
-        .withColumn("action_reprocess_count", F.least(F.col("valid_runs") + F.when(F.col("from_cache"), 0).otherwise(1), F.lit(registry.MAX_RUNS)))
-        .withColumn("max_action_reprocessings", F.lit(registry.MAX_RUNS))
-        .drop("decision", "valid_runs", "limit_reached")
-    )
+    metrics = registry.planned_results(plan, _artifact(spark, root, "training_metrics"), counts)
     return ForecastRun(plan, metrics, of_plan("test_predictions"), of_plan("future_predictions"), status)
 
 

@@ -646,3 +646,13 @@ e_ahead AS (SELECT symbol, CAST(count(*) AS INTEGER) AS future_rows, max(date) A
 e_folds AS (SELECT symbol, CAST(count(*) AS INTEGER) AS folds, CAST(sum(rows) AS BIGINT) AS fold_rows FROM folds GROUP BY 1)
 SELECT 'run-' || symbol AS run_key, symbol, train_rows, test_rows, 3 AS attempts, past_rows, past_first, future_rows, future_last, folds, fold_rows, reg_param,
   CAST(NULL AS INTEGER) AS epochs, round(rmse, 4) AS rmse FROM e_sizes JOIN e_tested USING (symbol) JOIN e_ahead USING (symbol) JOIN e_folds USING (symbol)"""
+CHECKS["registry_versions"] = f"""WITH {RUNS_SQL},
+named AS (SELECT 'run-' || CAST(run_number // 3 AS VARCHAR) AS run_key, symbol, action_key, run_number, updated_at, source_name FROM runs)
+SELECT * FROM named QUALIFY row_number() OVER (PARTITION BY run_key ORDER BY updated_at DESC, run_number DESC) = 1"""
+CHECKS["cached_results"] = f"""WITH plan AS ({CHECKS["reuse_plan"]}), counts AS ({CHECKS["run_counts"]}),
+known AS (SELECT 'run-' || CAST(event_id AS VARCHAR) AS run_key, CAST(event_id AS DOUBLE) AS rmse, 'U' || CAST(user_id AS VARCHAR) AS symbol FROM events
+  UNION ALL SELECT run_key, -1.0::DOUBLE, symbol FROM plan WHERE decision = 'train')
+SELECT run_key, rmse, k.symbol, action_key, effective AS ticker_reprocess_count, total AS ticker_processing_count_total, decision = 'reuse' AS from_cache,
+  decision = 'reuse' AND limit_reached AS cache_limit_reached, least(valid_runs + CASE WHEN decision = 'reuse' THEN 0 ELSE 1 END, 7) AS action_reprocess_count,
+  7 AS max_action_reprocessings
+FROM known k JOIN plan USING (run_key) JOIN counts c ON c.symbol = k.symbol"""

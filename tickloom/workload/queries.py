@@ -12,7 +12,7 @@ from tickloom.operators import (
     backtest, charts, features, forecast, inference, learners, ohlcv, profile as profiles, quality, ranks, registry, ridge, series,
     tickers,
 )
-from tickloom.sources import curated, delimited, exports, fixedwidth, folder as folders, landing, sinks
+from tickloom.sources import curated, delimited, exports, fixedwidth, folder as folders, landing, sinks, versions
 from tickloom.sources.shared import materialised, scratch
 from tickloom.workload import tables
 from tickloom.workload.tables import ORDER, bars, block, raw_quotes, read
@@ -536,6 +536,27 @@ def valid_runs(spark, folder):
     return registry.valid_runs(tables.runs(spark, folder), tables.artifacts(spark, folder)).select("run_key", "symbol")
 
 
+@registered
+def registry_versions(spark, folder):
+    """Runs registered in four appends, each key several times, with a compaction in between."""
+    root, given = scratch(spark, "registry"), tables.runs(spark, folder).withColumn("run_key", F.concat(F.lit("run-"), F.floor(F.col("run_number") / 3)))
+    how = (registry.RUN_SCHEMA, "run_key", ["updated_at", "run_number"])
+    for i in range(4):
+        versions.append(given.where(F.col("run_number") % 4 == i), root)
+        if i == 1:
+            versions.compact(spark, root, *how)
+    return versions.read(spark, root, *how)
+
+
+@registered
+def cached_results(spark, folder):
+    """Metrics of planned runs: those of reused runs are there already, the others are made up for the plan."""
+    given, plan = tables.runs(spark, folder), materialised(reuse_plan(spark, folder))
+    known = given.select("run_key", F.col("run_number").cast("double").alias("rmse"), "symbol")
+    fresh = plan.where("decision = 'train'").select("run_key", F.lit(-1.0).alias("rmse"), "symbol")
+    return registry.planned_results(plan, known.unionByName(fresh), registry.attempt_counts(given))
+
+
 @registered
 def reuse_plan(spark, folder):
     runs = tables.runs(spark, folder)
