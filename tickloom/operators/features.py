@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tickloom.functions import dates, names, numbers
+from tickloom.operators.ordering import position
 from tickloom.operators.series import UNKNOWN_SYMBOL, quoted
 
 # The model's inputs and its row minimums.
@@ -37,8 +38,8 @@ def model_input(table: DataFrame, default_ticker: str = "", order: Sequence[str]
     """(symbol, date, close, high, low, volume) from any table with recognisable headers.
 
     Missing optional columns are null; a blank ticker becomes the upper-cased default; text
-    dates are read month first. ``order`` names the columns by which the last row of a symbol
-    and day wins. A table that has one row for each (a treated series) can go without.
+    dates are read month first. ``order`` names the columns, without nulls and different for every
+    row, by which the last row of a symbol and day wins. A table that has one row for each (a treated series) can go without.
     """
     kinds = {name.strip().lower(): kind for name, kind in table.dtypes}
     headers = {
@@ -61,11 +62,15 @@ def model_input(table: DataFrame, default_ticker: str = "", order: Sequence[str]
         dates.as_date(quoted(day_header), kinds[day_header.strip().lower()]).alias("date"),
         *[number(logical).alias(logical) for logical in measures],
         *[quoted(name).alias(f"_order{i}") for i, name in enumerate(order)],
-    ).dropna(subset=["date", "close"])
+    )
     if not order:
-        return found
-    last = F.max(F.struct(*[f"_order{i}" for i in range(len(order))], *measures)).alias("_last")
-    return found.groupBy("symbol", "date").agg(last).select("symbol", "date", *[f"_last.{name}" for name in measures])
+        return found.dropna(subset=["date", "close"])
+    # The last row with a close wins. What is no date or close goes after the grouping, by aggregates:
+    # a filter before it would parse every text once more, outside the projection that shares its parts.
+    usable = F.when(F.col("close").isNotNull(), position([f"_order{i}" for i in range(len(order))]))
+    last = [F.max_by(name, usable).alias(name) for name in measures]
+    days = found.groupBy("symbol", "date").agg(*last, F.max("date").alias("_day"))
+    return days.where(F.col("_day").isNotNull() & F.col("close").isNotNull()).select("symbol", "date", *measures)
 
 
 def split_size(rows: Column, held_out: float) -> Column:

@@ -46,67 +46,69 @@ def with_neighbours(
     return _split_scan(rows, key, day, order, block, value, wanted)
 
 
-def _edges(first: Column, last: Column, known: Column) -> list[Column]:
-    return [first.alias("_first"), last.alias("_last"), known.alias("_known")]
-
-
 def _beyond(groups: DataFrame, within: str, place: Column) -> DataFrame:
-    """What lies just outside each group, looked up among its siblings."""
+    """What lies just outside each group, looked up among its siblings. Every group has a row, so a
+    sibling's edge is there even where its value is null: the flags tell a null from no sibling."""
     sequence = Window.partitionBy(within).orderBy(place)
     before = sequence.rowsBetween(Window.unboundedPreceding, -1)
     return groups.withColumns(
         {
             "_left": F.lag("_last").over(sequence),
+            "_has_left": F.lag(F.lit(True), 1, False).over(sequence),
             "_right": F.lead("_first").over(sequence),
+            "_has_right": F.lead(F.lit(True), 1, False).over(sequence),
             "_left_known": F.last("_known", ignorenulls=True).over(before),
         }
     )
 
 
+_OUTSIDE = ("_left", "_has_left", "_right", "_has_right", "_left_known")
+
+
 def _outer(level: DataFrame, parent: DataFrame, on: str) -> DataFrame:
     """Fill edges that have no sibling from the parent level."""
-    outside = parent.select(
-        on, F.col("_left").alias("_p_left"), F.col("_right").alias("_p_right"), F.col("_left_known").alias("_p_known")
-    )
+    outside = parent.select(on, *[F.col(name).alias(f"_p{name}") for name in _OUTSIDE])
     filled = {
-        "_left": F.coalesce("_left", "_p_left"),
-        "_right": F.coalesce("_right", "_p_right"),
-        "_left_known": F.coalesce("_left_known", "_p_known"),
+        "_left": F.when(F.col("_has_left"), F.col("_left")).otherwise(F.col("_p_left")),
+        "_right": F.when(F.col("_has_right"), F.col("_right")).otherwise(F.col("_p_right")),
+        "_has_left": F.col("_has_left") | F.col("_p_has_left"),
+        "_has_right": F.col("_has_right") | F.col("_p_has_right"),
+        "_left_known": F.coalesce("_left_known", "_p_left_known"),
     }
-    return level.join(outside, on).withColumns(filled).drop("_p_left", "_p_right", "_p_known")
+    return level.join(outside, on).withColumns(filled).drop(*[f"_p{name}" for name in _OUTSIDE])
 
 
 def _split_scan(rows, key, day, order, block, value, wanted) -> DataFrame:
-    boxed = F.struct(F.col(value).alias("v"))  # a present row with a null value stays distinguishable
     place = position(order)
     known_place = F.when(F.col(value).isNotNull(), place)
     # Groups are structs: unlike bare columns they join on plain equality with nulls inside,
     # so the shuffle of the row windows also serves the join with the block summaries. Those
-    # are aggregated before their own, much narrower shuffle.
+    # are aggregated before their own, much narrower shuffle; plain values of fixed width
+    # keep the aggregates hash based.
     in_block = F.struct(F.col(key).alias("key"), F.col(day).alias("day"), block.alias("block"))
     placed = rows.withColumn("_in_block", in_block)
 
     blocks = placed.groupBy("_in_block").agg(
-        *_edges(F.min_by(boxed, place), F.max_by(boxed, place), F.max_by(F.col(value), known_place))
+        F.min_by(value, place).alias("_first"), F.max_by(value, place).alias("_last"), F.max_by(value, known_place).alias("_known")
     )
     blocks = blocks.withColumn("_in_day", F.struct("_in_block.key", "_in_block.day"))
     at = F.col("_in_block.block")
-    known_at = F.when(F.col("_known").isNotNull(), at)
     days = blocks.groupBy("_in_day").agg(
-        *_edges(F.min_by("_first", at), F.max_by("_last", at), F.max_by(F.col("_known"), known_at))
+        F.min_by("_first", at).alias("_first"), F.max_by("_last", at).alias("_last"),
+        F.max_by("_known", F.when(F.col("_known").isNotNull(), at)).alias("_known"),
     )
     days = _beyond(days.withColumn("_of_key", F.struct("_in_day.key")), "_of_key", F.col("_in_day.day").asc_nulls_first())
     blocks = _outer(_beyond(blocks, "_in_day", at), days, "_in_day")
 
     sequence = Window.partitionBy("_in_block").orderBy(*order)
     before = sequence.rowsBetween(Window.unboundedPreceding, -1)
-    inside = placed.withColumns(
-        {
-            "_left": F.lag(boxed).over(sequence),
-            "_right": F.lead(boxed).over(sequence),
-            "_left_known": F.last(value, ignorenulls=True).over(before),
-        }
-    )
-    found = _outer(inside, blocks, "_in_block")
-    results = {"previous": F.col("_left.v"), "following": F.col("_right.v"), "last_known": F.col("_left_known")}
-    return found.select(*rows.columns, *[results[kind].alias(name) for kind, name in wanted.items()])
+    inside = {
+        "_left": F.lag(value).over(sequence),
+        "_has_left": F.lag(F.lit(True), 1, False).over(sequence),
+        "_right": F.lead(value).over(sequence),
+        "_has_right": F.lead(F.lit(True), 1, False).over(sequence),
+        "_left_known": F.last(value, ignorenulls=True).over(before),
+    }
+    found = _outer(placed.withColumns(inside), blocks, "_in_block")
+    results = {"previous": "_left", "following": "_right", "last_known": "_left_known"}
+    return found.select(*rows.columns, *[F.col(results[kind]).alias(name) for kind, name in wanted.items()])
