@@ -27,7 +27,8 @@ def test_lenient_date_agrees_with_pandas(values):
     texts = [
         "2024-01-02", "2024-01-02 10:30", "2024-01-02T10:30:00", "2024-13-45", "20240102", "02/01/2024", "2/1/2024",
         "01/15/2024", "15/01/2024 10:00", "2024/01/02", "2024/1/5", "15-01-2024", "15.01.2024", "1.2.2024", "202401",
-        "2024-01-02junk", "nan", "", "31/02/2024", "2024-02-30",
+        "2024-01-02junk", "nan", "", "31/02/2024", "2024-02-30", "2 Jan 2024", "Jan 2, 2024", "02-Jan-2024", "2 January 2024", "January 2 2024",
+        "31 Feb 2024", "Foo 2, 2024", "MAY 5, 2024", "Sept 3, 2024", "2 jan 2024 10:30", "12 Marchy 2024", "29 Feb 2024",
     ]
     expected = []
     for text in texts:

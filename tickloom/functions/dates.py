@@ -20,6 +20,15 @@ _EDGES = r"^[\s\u00A0\u2000-\u200A\u202F\u3000]+|[\s\u00A0\u2000-\u200A\u202F\u3
 _ZONE = r"(:[0-9]{2}(?:\.[0-9]+)?) ?(?:Z|UTC|[+-][0-9]{2}:?[0-9]{2})$"
 
 
+# English month names and their short forms.
+MONTHS = (
+    ("january", "jan"), ("february", "feb"), ("march", "mar"), ("april", "apr"), ("may",), ("june", "jun"), ("july", "jul"),
+    ("august", "aug"), ("september", "sep", "sept"), ("october", "oct"), ("november", "nov"), ("december", "dec"),
+)
+_DAY_NAMED = r"^\?(\d{1,2})[ ./-]*([A-Za-z]{3,9})[., /-]*(\d{4})$"
+_NAMED_DAY = r"^\?([A-Za-z]{3,9})[. /-]*(\d{1,2})[, /.-]+(\d{4})$"
+
+
 def stripped(text: Column) -> Column:
     """The text without white space of any kind at its edges."""
     return F.regexp_replace(text, _EDGES, "")
@@ -71,16 +80,17 @@ def lenient_date(text: Column) -> Column:
     """Day first unless the text starts with a year; a clock time may follow and is dropped.
 
     Accepts ``-``, ``/`` and ``.`` between the parts. A day-first text whose month slot
-    is no month (01/15/2024) is read month first.
+    is no month (01/15/2024) is read month first. The month may also be an English name or its
+    short form, behind the day or before it (2 Jan 2024, January 2, 2024).
     """
     day_first, month_first = _both_readings(text)
-    return F.coalesce(_as_day(F.regexp_replace(day_first, _YEAR_FIRST, "$1-$2$4-$3$5")), _as_day(month_first))
+    return F.coalesce(_as_day(F.regexp_replace(day_first, _YEAR_FIRST, "$1-$2$4-$3$5")), _as_day(month_first), _named_day(text))
 
 
 def month_first_date(text: Column) -> Column:
     """As ``lenient_date``, but 01/02/2024 is 2 January; where that is no day, it is read day first."""
     day_first, month_first = _both_readings(text)
-    return F.coalesce(_as_day(F.regexp_replace(month_first, _YEAR_FIRST, "$1-$2$4-$3$5")), _as_day(day_first))
+    return F.coalesce(_as_day(F.regexp_replace(month_first, _YEAR_FIRST, "$1-$2$4-$3$5")), _as_day(day_first), _named_day(text))
 
 
 def _both_readings(text: Column) -> tuple[Column, Column]:
@@ -90,6 +100,17 @@ def _both_readings(text: Column) -> tuple[Column, Column]:
     return day_first, month_first
 
 
+def _named_day(text: Column) -> Column:
+    """Day of a text with a month's name in it; only texts with letters are looked at."""
+    marked = _unclocked(F.regexp_replace(stripped(text), _ZONE, "$1"))
+    turned = F.regexp_replace(marked, _NAMED_DAY, "?$2 $1 $3")
+    part = lambda place: F.regexp_extract(turned, _DAY_NAMED, place)
+    numbers = F.create_map(*[F.lit(x) for i, names in enumerate(MONTHS, 1) for spelled in names for x in (spelled, f"{i:02d}")])
+    month = F.try_element_at(numbers, F.lower(part(2)))
+    iso = F.concat_ws("-", part(3), month, F.lpad(part(1), 2, "0"))
+    return F.when(text.rlike("[A-Za-z]{3}") & turned.rlike(_DAY_NAMED) & month.isNotNull(), _as_day(iso))
+
+
 def training_date(text: Column) -> Column:
     """ISO day, YYYYMM (first of the month) or yyyyMMdd."""
     shape = _shape(text)

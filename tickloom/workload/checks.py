@@ -656,3 +656,8 @@ SELECT run_key, rmse, k.symbol, action_key, effective AS ticker_reprocess_count,
   decision = 'reuse' AND limit_reached AS cache_limit_reached, least(valid_runs + CASE WHEN decision = 'reuse' THEN 0 ELSE 1 END, 7) AS action_reprocess_count,
   7 AS max_action_reprocessings
 FROM known k JOIN plan USING (run_key) JOIN counts c ON c.symbol = k.symbol"""
+CHECKS["named_month_dates"] = """WITH spelled AS (
+  SELECT CASE l_orderkey % 5 WHEN 0 THEN strftime(l_shipdate, '%-d %b %Y') WHEN 1 THEN strftime(l_shipdate, '%B %-d, %Y')
+      WHEN 2 THEN strftime(l_shipdate, '%d-%b-%Y') WHEN 3 THEN strftime(l_shipdate, '%b %d %Y %H:%M') ELSE '31 Feb ' || year(l_shipdate) END AS text,
+    CASE WHEN l_orderkey % 5 < 4 THEN CAST(l_shipdate AS DATE) END AS date FROM lineitem)
+SELECT text, any_value(date) AS date, count(*) AS n FROM spelled GROUP BY text"""

@@ -65,6 +65,16 @@ def date_training(spark, folder):
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
+@registered
+def named_month_dates(spark, folder):
+    """Ship dates spelled with month names in four ways, some of them no days, and read again."""
+    day, key = F.col("l_shipdate").cast("date"), F.col("l_orderkey") % 5
+    ways = [F.date_format(day, p) for p in ("d MMM yyyy", "MMMM d, yyyy", "dd-MMM-yyyy", "MMM dd yyyy HH:mm")]
+    text = F.get(F.array(*ways, F.concat(F.lit("31 Feb "), F.year(day))), key.cast("int"))
+    rows = read(spark, folder, "lineitem").select(text.alias("text"))
+    return rows.groupBy("text").agg(F.count(F.lit(1)).alias("n")).select("text", dates.lenient_date(F.col("text")).alias("date"), "n")
+
+
 @registered
 def prev_next_close(spark, folder):
     rows = ohlcv.training_rows(raw_quotes(spark, folder), ORDER, block())
