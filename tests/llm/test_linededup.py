@@ -41,3 +41,52 @@ def test_long_document_of_many_lines(spark):
     text = "\n".join(f"line {i} of a long one" for i in range(5000))
     docs = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
     assert {r.doc_id: r.text for r in linededup.deduplicated(docs).collect()} == {1: text, 2: ""}
+
+
+def repeated_runs(docs):
+    """By brute force: all maximal runs of lines, as (document, first line, last line), that equal an earlier place."""
+    places = [(d, i) for d, lines in enumerate(docs) for i in range(len(lines))]
+    for e, j in places:
+        for d, i in places:
+            if (e, j) < (d, i) and docs[d][i] == docs[e][j] and not (i and j and docs[d][i - 1] == docs[e][j - 1]):
+                n = 1
+                while i + n < len(docs[d]) and j + n < len(docs[e]) and docs[d][i + n] == docs[e][j + n]:
+                    n += 1
+                yield d, i, i + n - 1
+
+
+def units_in(lines, least=25):
+    """How many lines of a run begin a unit that ends inside it, and whether one line is a unit."""
+    sizes = [len(x.split()) for x in lines]
+    return sum(sum(sizes[i:]) >= least for i in range(len(sizes))), max(sizes) >= least
+
+
+def test_nothing_long_stays_of_a_repeated_run(spark):
+    import random
+
+    pick = random.Random(5)
+    lines = [" ".join(odd.prose(100 + i, n, n).split()) for i, n in enumerate([30, 26, 25, 24, 24, 24, 24, 13, 12, 12, 11, 8, 5, 3])]
+    texts = [[pick.choice(lines) for _ in range(pick.randrange(1, 9))] for _ in range(40)]
+    texts += [[lines[0]], [lines[0], lines[3], lines[4]], [lines[7], lines[0], lines[3], lines[4], lines[9]]]
+    docs = spark.createDataFrame([(i, "\n".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    removed = {r.doc_id: {i for x in r.removed for i in range(x["from"], x["to"] + 1)} for r in linededup.marked(docs).collect()}
+    for d, gone in removed.items():  # what goes stands earlier
+        before = {x for t in texts[:d] for x in t}
+        assert all(texts[d][i] in before or texts[d][i] in texts[d][:i] for i in gone)
+    for d, first, last in repeated_runs(texts):
+        units, single = units_in(texts[d][first : last + 1])
+        if units < 2 and not single:
+            continue
+        left = 0
+        for i in range(first, last + 1):
+            left = 0 if i in removed[d] else left + len(texts[d][i].split())
+            assert left < 25, (d, first, last)
+
+
+def test_many_equal_lines_and_many_ranges(spark):
+    line = " ".join(odd.prose(9, 26, 26).split())
+    unique = [f"line {i} of a long one" for i in range(10_000)]
+    texts = ["\n".join([line] * 100_000), "\n".join(x for u in unique for x in (u, line)), "\n".join([line] * 50_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left = {r.doc_id: r.text for r in linededup.deduplicated(docs).collect()}
+    assert left == {0: line, 1: "\n".join(unique), 2: ""}

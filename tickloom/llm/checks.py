@@ -73,21 +73,27 @@ units AS (
   FROM grown WHERE total_before < 25 GROUP BY doc_id, i HAVING max(total) >= 25),
 windowed AS (
   SELECT *, row_number() OVER w AS r, count(*) OVER (PARTITION BY doc_id) AS n,
+    lag(first_words) OVER w AS words_before,
     lag(unit) OVER w AS earlier, lead(unit) OVER w AS later FROM units WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 prints AS (
-  SELECT doc_id, i, unit FROM windowed
-  WHERE first_words >= 25 OR n = 1 OR unit <= earlier OR unit < later),
-firsts AS (SELECT unit, min({'d': doc_id, 'i': i}) AS f FROM prints GROUP BY unit HAVING count(*) > 1),
+  SELECT doc_id, i, unit, lag(i) OVER (PARTITION BY doc_id, unit ORDER BY i) AS prior FROM windowed
+  WHERE first_words >= 25 OR words_before >= 25 OR n = 1 OR unit <= earlier OR unit < later),
+firsts AS (SELECT unit, min({'d': doc_id, 'i': i}) AS f FROM prints WHERE prior IS NULL GROUP BY unit HAVING count(*) > 1),
 diagonals AS (
-  SELECT DISTINCT p.doc_id, f.d AS source, p.i - f.i AS diagonal FROM prints p JOIN firsts USING (unit)
-  WHERE p.doc_id <> f.d OR p.i <> f.i),
+  SELECT p.doc_id, f.d AS source, p.i - f.i AS diagonal FROM prints p JOIN firsts USING (unit) WHERE prior IS NULL AND p.doc_id <> f.d
+  UNION SELECT doc_id, doc_id, i - prior FROM prints WHERE prior IS NOT NULL),
 same AS (
   SELECT g.doc_id, g.source, g.diagonal, a.place, a.words, a.i - row_number() OVER (PARTITION BY g.doc_id, g.source, g.diagonal ORDER BY a.i) AS run
   FROM diagonals g JOIN numbered a ON a.doc_id = g.doc_id JOIN numbered b ON b.doc_id = g.source AND b.i = a.i - g.diagonal
   WHERE a.line = b.line),
 ranges AS (
   SELECT DISTINCT doc_id, min(place) AS x, max(place) AS y FROM same GROUP BY doc_id, source, diagonal, run HAVING sum(words) >= 25),
-removed AS (SELECT doc_id, list({'x': x, 'y': y} ORDER BY x, y) AS r FROM ranges GROUP BY doc_id)
+opened AS (
+  SELECT *, max(y) OVER (PARTITION BY doc_id ORDER BY x, y ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM ranges),
+parts AS (
+  SELECT *, sum(CASE WHEN x <= before THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY x, y ROWS UNBOUNDED PRECEDING) AS part FROM opened),
+merged AS (SELECT doc_id, part, min(x) AS x, max(y) AS y FROM parts GROUP BY doc_id, part),
+removed AS (SELECT doc_id, list({'x': x, 'y': y} ORDER BY x, y) AS r FROM merged GROUP BY doc_id)
 SELECT doc_id, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(parts) END AS BIGINT) AS n_lines,
   coalesce(array_to_string(list_transform(r, lambda q: q.x || '-' || q.y), ','), '') AS removed,
   sha256(CASE WHEN r IS NULL THEN coalesce(text, '') ELSE array_to_string(list_filter(parts, lambda p, k: len(list_filter(r, lambda q: k - 1 BETWEEN q.x AND q.y)) = 0), chr(10)) END) AS text_sha256

@@ -1,19 +1,24 @@
 """Line deduplication by winnowing over line hashes, in DataFrame functions only.
 
 Blank lines aside, every run of lines that just reaches ``min_words`` words is a unit. A
-unit of one line is a fingerprint; of units of more lines, those that are minima of a window
-of ``window`` neighbouring units are. So any repeated run with a line of ``min_words`` words,
-or with ``window`` units one after the other, shares a fingerprint with its first occurrence.
-
-A later occurrence joins the first one by the fingerprint. The two documents' lines are then
+unit of one line and the unit behind it are fingerprints; of all others, those that are
+minima of a window of ``window`` neighbouring units are. So any repeated run with a line of
+``min_words`` words, or with ``window`` units one after the other, shares a fingerprint with
+an earlier place.
+
+A fingerprint's first place in a document joins its first place anywhere; each further place
+in the document joins the one before it there, so that a line that comes n times makes one
+comparison for each distance between neighbours, not n. The lines of the two places are then
 compared along that diagonal, both ways over their whole length, and each run of equal lines
 with ``min_words`` words or more is deleted from the later place. The first occurrence of a
-line is never deleted: every deleted line equals one that stands before it.
+line is never deleted: every deleted line equals one that stands before it. What stays
+between deleted lines of a repeated run is under ``min_words`` words, wherever its parts
+stand first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import Held, picked, written
@@ -52,35 +57,74 @@ def _units(lines: Column, min_words: int) -> Column:
 
 
 def _fingerprints(lines: DataFrame, window: int, min_words: int) -> DataFrame:
-    """``(uid, id, unit, at)``: hash and first line (from 0) of the single-line units and of the windows' minima (the last one at ties)."""
+    """``(uid, id, unit, at, prior)``: hash and first line (from 0) of the fingerprints, and the unit's place before that in the document.
+
+    Fingerprints are the single-line units, the units behind them and the windows' minima (the last one at ties).
+    """
     unit = lambda u, i: F.struct(u.alias("unit"), (-i).alias("back"))
     units = lines.withColumn("units", F.filter(F.transform(_units(F.col("lines"), min_words), unit), lambda x: x["unit"].isNotNull()))
     count = F.size("units")
     starts = F.sequence(F.lit(1), F.greatest(count - window + 1, F.lit(1)))
     minima = F.transform(starts, lambda s: F.array_min(F.slice("units", s, F.lit(window))))
-    long = F.filter("units", lambda x: F.get("lines", -x["back"])["words"] >= min_words)
-    prints = units.where(count > 0).select("uid", "id", F.explode(F.array_distinct(F.concat(minima, long))).alias("p"))
-    return prints.select("uid", "id", F.col("p.unit").alias("unit"), (-F.col("p.back")).alias("at"))
+    is_long = lambda i: F.coalesce(F.get("lines", i)["words"] >= min_words, F.lit(False))
+    near_long = F.filter("units", lambda x: is_long(-x["back"]) | is_long(-x["back"] - 1))
+    sorted_ = units.where(count > 0).select("uid", "id", F.sort_array(F.concat(minima, near_long)).alias("found"))
+    single = sorted_.select("uid", "id", F.filter("found", lambda x, i: (i == 0) | (F.get("found", i - 1) != x)).alias("found"))
 
+    def placed(x: Column, i: Column) -> Column:
+        next_ = F.get("found", i + 1)  # of the same unit: the place before
+        prior = F.when(next_["unit"] == x["unit"], -next_["back"])
+        return F.struct(x["unit"].alias("unit"), (-x["back"]).alias("at"), prior.alias("prior"))
 
-def _repeated(own: Column, first: Column, diagonal: Column, min_words: int) -> Column:
-    """Ranges of places [from, to] of lines that are equal along the diagonal in runs of min_words words or more."""
-    begin = F.greatest(diagonal, F.lit(0))
-    size = F.least(F.size(own) - begin, F.size(first) - (begin - diagonal))
-    a, b = F.slice(own, begin + 1, size), F.slice(first, begin - diagonal + 1, size)
-    same = F.zip_with(a, b, lambda x, y: F.struct(((x["h"] == y["h"]) & (x["g"] == y["g"])).alias("same"), x["at"].alias("at"), x["words"].alias("words")))
-    same = F.concat(same, F.array(F.struct(F.lit(False).alias("same"), F.lit(-1).alias("at"), F.lit(0).alias("words"))))
-    ranges = F.array().cast("array<struct<from:int,to:int>>")
-    state = F.struct(F.lit(-1).alias("from"), F.lit(-1).alias("to"), F.lit(0).alias("words"), ranges.alias("out"))
+    prints = single.select("uid", "id", F.explode(F.transform("found", placed)).alias("p"))
+    return prints.select("uid", "id", "p.unit", "p.at", "p.prior")
 
-    def step(n: Column, x: Column) -> Column:
-        longer = F.struct(
-            F.when(n["from"] < 0, x["at"]).otherwise(n["from"]).alias("from"), x["at"].alias("to"), (n["words"] + x["words"]).alias("words"), n["out"].alias("out")
-        )
-        out = F.when(n["words"] >= min_words, F.concat(n["out"], F.array(F.struct(n["from"].alias("from"), n["to"].alias("to"))))).otherwise(n["out"])
-        return F.when(x["same"], longer).otherwise(F.struct(F.lit(-1).alias("from"), F.lit(-1).alias("to"), F.lit(0).alias("words"), out.alias("out")))
 
-    return F.aggregate(same, state, step, lambda n: n["out"])
+def _diagonals(prints: DataFrame) -> DataFrame:
+    """``(uid, source, diagonals)``: for each document the earlier ones to compare it with, itself included, and how far lines are apart."""
+    opening = prints.where("prior IS NULL")
+    first = opening.groupBy("unit").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "uid", "at")).alias("first")).where("n > 1")
+    first = first.select("unit", F.col("first.uid").alias("source"), F.col("first.at").alias("source_at"))
+    between = opening.join(first, "unit").where("uid != source").select("uid", "source", (F.col("at") - F.col("source_at")).alias("diagonal"))
+    inside = prints.where("prior IS NOT NULL").select("uid", F.col("uid").alias("source"), (F.col("at") - F.col("prior")).alias("diagonal"))
+    return between.unionByName(inside).groupBy("uid", "source").agg(F.collect_set("diagonal").alias("diagonals"))
+
+
+def _repeated(sides: DataFrame, min_words: int) -> DataFrame:
+    """``(uid, from, to)``: places of lines that are equal along a diagonal in runs of min_words words or more.
+
+    ``sides`` has uid, diagonals and both documents' lines.
+    """
+    each = sides.select("uid", "lines", "first", F.explode("diagonals").alias("diagonal"))
+    begin = F.greatest("diagonal", F.lit(0))
+    other = begin - F.col("diagonal")
+    size = F.least(F.size("lines") - begin, F.size("first") - other)
+    compared = F.zip_with(
+        F.slice("lines", begin + 1, size), F.slice("first", other + 1, size),
+        lambda x, y: F.struct(((x["h"] == y["h"]) & (x["g"] == y["g"])).alias("same"), x["at"].alias("at"), x["words"].alias("words")),
+    )
+    same = each.select("uid", compared.alias("same"))
+
+    def edges(step: int) -> Column:
+        """Places of equal lines whose neighbour on that side isn't equal."""
+        edge = lambda x, i: F.when(x["same"] & ~F.coalesce(F.get("same", i + step)["same"], F.lit(False)), i)
+        return F.filter(F.transform("same", edge), lambda i: i.isNotNull())
+
+    run = lambda s, e: F.struct(
+        F.get("same", s)["at"].alias("from"), F.get("same", e)["at"].alias("to"),
+        F.aggregate(F.slice("same", s + 1, e - s + 1), F.lit(0), lambda n, x: n + x["words"]).alias("words"),
+    )
+    return same.select("uid", F.inline(F.zip_with(edges(-1), edges(1), run))).where(F.col("words") >= min_words).select("uid", "from", "to")
+
+
+def _merged(ranges: DataFrame) -> DataFrame:
+    """Per document its ranges in order, those that overlap as one."""
+    order = Window.partitionBy("uid").orderBy("from", "to")
+    before = F.max("to").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opened = ranges.withColumn("new", F.when(F.col("from") <= before, 0).otherwise(1))
+    parts = opened.withColumn("part", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = parts.groupBy("uid", "part").agg(F.min("from").alias("from"), F.max("to").alias("to"))
+    return whole.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("from", "to"))).alias("ranges"))
 
 
 def marked(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -96,22 +140,25 @@ def marked(docs: DataFrame, min_words: int = MIN_WORDS, window: int = WINDOW, ke
     numbered = written(_numbered(held, name, min_words), "lines")
     lines = numbered.select("uid", F.col(own_key).alias("id"), "lines")
     prints = written(_fingerprints(lines, window, min_words), "prints")
-    first = prints.groupBy("unit").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "uid", "at")).alias("first")).where("n > 1")
-    first = first.select("unit", F.col("first.uid").alias("source"), F.col("first.at").alias("source_at"))
-    diagonals = prints.join(first, "unit").where("uid != source or at != source_at")
-    diagonals = diagonals.select("uid", "source", (F.col("at") - F.col("source_at")).alias("diagonal")).distinct()
-    sides = diagonals.join(lines.select("uid", "lines"), "uid").join(lines.select(F.col("uid").alias("source"), F.col("lines").alias("first")), "source")
-    ranges = sides.select("uid", _repeated(F.col("lines"), F.col("first"), F.col("diagonal"), min_words).alias("ranges")).where(F.size("ranges") > 0)
-    ranges = ranges.groupBy("uid").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ranges")))).alias("ranges"))
+    sides = _diagonals(prints).join(lines.select("uid", "lines"), "uid")
+    sides = sides.join(lines.select(F.col("uid").alias("source"), F.col("lines").alias("first")), "source")
+    ranges = _merged(_repeated(sides, min_words))
     joined = numbered.join(ranges, "uid", "left")
     empty = F.array().cast("array<struct<from:int,to:int>>")
     return held.restored(joined, {"removed": F.coalesce("ranges", empty)})
 
 
 def remaining(text: Column, removed: Column) -> Column:
-    """The text without the removed lines."""
-    kept = F.filter(F.split(text, "\n"), lambda x, i: ~F.exists(removed, lambda r: i.between(r["from"], r["to"])))
-    return F.when(F.size(removed) == 0, text).otherwise(F.array_join(kept, "\n"))
+    """The text without the removed lines; ranges are in order and don't overlap."""
+
+    def kept(parts: Column) -> Column:
+        end = lambda i: F.coalesce(F.get(removed, i)["to"], F.lit(-1))
+        gaps = F.transform(removed, lambda r, i: F.slice(parts, end(i - 1) + 2, r["from"] - end(i - 1) - 1))
+        last = end(F.size(removed) - 1)
+        return F.array_join(F.concat(F.flatten(gaps), F.slice(parts, last + 2, F.greatest(F.size(parts) - last - 1, F.lit(0)))), "\n")
+
+    cut = F.transform(F.array(F.split(text, "\n")), kept)  # the text is split once, not once a range
+    return F.when(F.size(removed) == 0, text).otherwise(F.get(cut, F.lit(0)))
 
 
 def deduplicated(
