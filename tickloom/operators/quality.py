@@ -37,12 +37,16 @@ def series_report(
     ``small_series``   fewer valid days than recommended
     ``trimmed``        history reaches back beyond the look-back
     """
-    valid = F.col("date").isNotNull() & F.col("close").isNotNull()
     # Per (symbol, date) first: partial aggregation makes a hot symbol at most one row a day.
-    daily = parsed.groupBy("symbol", F.when(valid, F.col("date")).alias("day")).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    totals = daily.groupBy("symbol").agg(
+    daily = parsed.groupBy("symbol", series.valid_day().alias("day")).agg(F.count(F.lit(1)).alias("rows"))
+    return report_of_days(daily, min_rows, max_period_days)
+
+
+def report_of_days(
+    days: DataFrame, min_rows: int = series.MIN_RECOMMENDED_ROWS, max_period_days: int = series.MAX_PERIOD_DAYS
+) -> DataFrame:
+    """The same findings from rows counted per symbol and day (``series.days``)."""
+    totals = days.groupBy("symbol").agg(
         F.count("day").alias("days"),
         F.coalesce(F.sum(F.when(F.col("day").isNull(), F.col("rows"))), F.lit(0)).alias("dropped"),
         F.min("day").alias("first"),

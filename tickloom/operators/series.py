@@ -90,6 +90,26 @@ def keep_last_per_day(parsed: DataFrame, order: Sequence[str]) -> DataFrame:
     )
 
 
+def valid_day() -> Column:
+    """The day of a parsed row, null where date or close can't be used."""
+    return F.when(F.col("date").isNotNull() & F.col("close").isNotNull(), F.col("date"))
+
+
+def days(parsed: DataFrame, order: Sequence[str]) -> DataFrame:
+    """(symbol, day, rows, close): per symbol and day its rows and its last close. Rows that can't be used have no day.
+
+    Treated rows and findings both follow from it, so that a source is read once for the two.
+    """
+    day = valid_day()
+    last = F.max_by("close", F.when(day.isNotNull(), position(order)))
+    return parsed.groupBy("symbol", day.alias("day")).agg(F.count(F.lit(1)).alias("rows"), last.alias("close"))
+
+
+def daily_closes(counted: DataFrame) -> DataFrame:
+    """The rows of ``keep_last_per_day`` from those of ``days``."""
+    return counted.where(F.col("day").isNotNull()).select("symbol", F.col("day").alias("date"), "close")
+
+
 def mark_trim(daily: DataFrame, max_period_days: int = MAX_PERIOD_DAYS) -> DataFrame:
     """Add each symbol's newest day and whether the row lies inside the look-back."""
     newest = F.max("date").over(Window.partitionBy("symbol"))

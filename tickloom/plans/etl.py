@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tickloom.functions import dates
 from tickloom.functions.names import slug_text
 from tickloom.operators import ohlcv, quality, series
-from tickloom.sources import delimited, landing, order, sinks
+from tickloom.operators.expectations import Expectation
+from tickloom.sources import delimited, guarded, landing, order, sinks
+from tickloom.sources.shared import stored
 
 
 @dataclass(frozen=True)
@@ -46,25 +48,29 @@ def treat_table(
     min_rows: int = series.MIN_RECOMMENDED_ROWS,
     input_order: list[str] = order.ORDER,
     single_symbol: bool = False,
+    store: bool = False,
 ) -> TreatedSeries:
     """Treated series of every symbol in a price table.
 
     ``single_symbol`` enforces the one-ticker-per-file contract: more than one ticker, or
-    no valid row at all, is an error.
+    no valid row at all, is an error. With ``store``, and always for a single symbol, the
+    rows per symbol and day are stored first, so that rows and findings read the source once.
     """
     layout = series.Layout.of(table, exact_first=mode == "lenient")
     parsed = series.parse_series(table, input_order, mode, layout)
     if single_symbol:
         quality.require_single_ticker(table, layout.symbol, count_missing=mode == "strict")
-    report = quality.series_report(parsed, input_order, min_rows, max_period_days)
+    days = series.days(parsed, input_order)
+    if store or single_symbol:
+        days = stored(days, "days")
+    report = quality.report_of_days(days, min_rows, max_period_days)
     if single_symbol:  # a few findings of one series: found once, for the check here and for the caller
         found = [tuple(row) for row in report.collect()]
         report = table.sparkSession.createDataFrame(found, report.schema)
         quality.raise_on(report, ["no_valid_rows"])
-        if parsed.isEmpty():
+        if days.isEmpty():
             raise series.SeriesError("the source is empty")
-    daily = series.keep_last_per_day(parsed, input_order)
-    recent = series.mark_trim(daily, max_period_days).where("recent")
+    recent = series.mark_trim(series.daily_closes(days), max_period_days).where("recent")
     return TreatedSeries(recent.select("symbol", dates.iso_text(F.col("date")).alias("date"), "close"), report)
 
 
@@ -90,7 +96,7 @@ def run_price_series_job(
     """
     name = slug_text(source_name)
     table = delimited.read_file(spark, input_path, sep)
-    treated = treat_table(table, mode, single_symbol=single_symbol)
+    treated = treat_table(table, mode, single_symbol=single_symbol, store=True)
     columns = ["date", "close"] if single_symbol else ["symbol", "date", "close"]
     watch = Observation()
     result = treated.frame.select(*columns).orderBy(*columns[:-1])
@@ -129,6 +135,24 @@ def run_stock_job(
     return JobSummary(watch.get["rows"], None, output_path)
 
 
+def quote_expectations() -> list[Expectation]:
+    """What parsed quotes must keep: rows without day or close go to quarantine; an unknown symbol and a close of 0 or less are counted."""
+    return [
+        Expectation("day_known", F.col("date").isNotNull(), "divert"),
+        Expectation("close_known", F.col("close").isNotNull(), "divert"),
+        Expectation("symbol_known", F.col("symbol") != series.UNKNOWN_SYMBOL),
+        Expectation("close_positive", F.col("close") > 0),
+    ]
+
+
+def write_quotes(
+    table: DataFrame, path: str, mode: str = "strict", input_order: list[str] = order.ORDER, expectations: list[Expectation] | None = None,
+) -> guarded.Written:
+    """Parse a price table and write its rows under expectations (``quote_expectations`` if none are given), in one pass."""
+    parsed = series.parse_series(table, input_order, mode)
+    return guarded.write(parsed, path, quote_expectations() if expectations is None else expectations)
+
+
 def upload_series(spark: SparkSession, path: str, source_name: str, landing_root: str, analysis_root: str, stamp: str) -> TreatedSeries:
     """A user's file: keep its bytes, require one ticker, treat leniently and write the
     display copy. Separator warnings join the findings."""

@@ -478,6 +478,15 @@ totals AS (
     min(date) FILTER (WHERE close IS NOT NULL) AS first, max(date) FILTER (WHERE close IS NOT NULL) AS last
   FROM parsed GROUP BY 1
 ) {_FINDINGS}""",
+    "guarded_findings": f"""{_parsed(_STRICT_DAY, _STRICT_CLOSE)}
+SELECT 'day_known' AS name, 'divert' AS action, count(*) FILTER (date IS NULL) AS rows FROM parsed
+UNION ALL SELECT 'close_known', 'divert', count(*) FILTER (close IS NULL) FROM parsed
+UNION ALL SELECT 'symbol_known', 'warn', count(*) FILTER (symbol = 'UNKNOWN') FROM parsed
+UNION ALL SELECT 'close_positive', 'warn', count(*) FILTER (close IS NULL OR close <= 0) FROM parsed""",
+    "guarded_quotes": f"""{_parsed(_STRICT_DAY, _STRICT_CLOSE)}
+SELECT symbol, date, close, CAST(position AS VARCHAR) AS position, CASE WHEN date IS NULL OR close IS NULL THEN concat_ws(',',
+  CASE WHEN date IS NULL THEN 'day_known' END, CASE WHEN close IS NULL THEN 'close_known' END,
+  CASE WHEN symbol = 'UNKNOWN' THEN 'symbol_known' END, CASE WHEN close IS NULL OR close <= 0 THEN 'close_positive' END) END AS broken FROM parsed""",
     "ticker_report": f"""WITH {RAW_QUOTES_SQL},
 counted AS (SELECT 'file-' || CAST(position % 50 AS BIGINT) AS source, count(DISTINCT nullif(trim(symbol), '')) AS tickers FROM raw_quotes GROUP BY 1)
 SELECT source AS symbol, 'several_tickers' AS "check", 'error' AS severity, tickers AS observed,

@@ -12,7 +12,8 @@ from tickloom.operators import (
     backtest, charts, features, forecast, inference, learners, ohlcv, profile as profiles, quality, ranks, registry, ridge, series,
     tickers,
 )
-from tickloom.sources import curated, delimited, exports, fixedwidth, folder as folders, landing, sinks, versions
+from tickloom.plans import etl
+from tickloom.sources import curated, delimited, exports, fixedwidth, folder as folders, guarded, landing, sinks, versions
 from tickloom.sources.shared import materialised, scratch
 from tickloom.workload import tables
 from tickloom.workload.tables import ORDER, bars, block, raw_quotes, read
@@ -227,6 +228,23 @@ def quality_report(spark, folder):
     return quality.series_report(parsed, ORDER)
 
 
+@registered
+def guarded_findings(spark, folder):
+    """Quotes written under expectations: how many rows break each, as counted by the one write."""
+    return etl.write_quotes(raw_quotes(spark, folder), scratch(spark, "quotes"), input_order=ORDER).to_frame(spark)
+
+
+@registered
+def guarded_quotes(spark, folder):
+    """Quotes written under expectations and read back: the kept rows, and those in quarantine with what they break."""
+    quotes = raw_quotes(spark, folder)
+    made = etl.write_quotes(quotes, scratch(spark, "quotes"), input_order=ORDER)
+    parsed = series.parse_series(quotes, ORDER)
+    kept = guarded.read(parsed, made.path).withColumn("broken", F.lit(None).cast("array<string>"))
+    rows = kept.unionByName(guarded.read(parsed, made.quarantine, quarantined=True))
+    return _position_text(rows.select("symbol", "date", "close", "position", F.array_join("broken", ",").alias("broken")))
+
+
 @registered
 def ticker_report(spark, folder):
     files = raw_quotes(spark, folder).withColumn("source", F.concat(F.lit("file-"), F.pmod("position", F.lit(50)).cast("bigint")))
