@@ -45,3 +45,14 @@ def test_long_runs_context_and_redaction(spark):
     left = {r[0]: r[1] for r in clean.toDF(*(f"c{i}" for i in range(len(clean.columns)))).select("c0", "c1").collect()}
     assert left[8] == "server <ip>, write to <email>" and left[7] == texts[7]
     assert pii.report(odd.empty(docs)).collect() == []
+
+
+def test_many_spans_in_one_text(spark):
+    pick = random.Random(3)
+    parts = [pick.choice(["mail ", "x ", "日 ", "😀 "]) + f"a{i}@b.org" + pick.choice([" ", "\n", ", "]) for i in range(200_000)]
+    text = "".join(parts)
+    spans = pii.find(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().pii
+    found = [m for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    assert [(s.start, s.end) for s in spans] == [m.span() for m in found]
+    near = [bool(re.search("mail|contact|write", text[max(0, m.start() - 40) : m.start()])) for m in found]
+    assert [s.score > 0.9 for s in spans] == near

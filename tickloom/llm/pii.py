@@ -4,6 +4,8 @@ DataFrame functions only. Where the matches of a pattern stand follows from the
 between them: a text is its pieces and its matches, turn by turn. Repetitions are possessive,
 so that matching neither recurses nor backtracks over a long run of digits, and a match
 begins at a run's first character or where the last match ended, so that a run is read once.
+Starts are sums over runs of pieces and then over the runs, and context comes from blocks of
+the text, so that the work grows with a text's length and not with its spans times its length.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from tickloom.llm.common import Held, picked
 
 CONTEXT_CHARS = 40
 THRESHOLD = 0.5
+_RUN, _BLOCK = 256, 512
 
 
 def _digits(match: Column) -> Column:
@@ -82,34 +85,53 @@ KINDS = (
 _SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
 
 
-def _spans(text: Column, kind: Kind) -> Column:
-    """The kind's confirmed spans in order: code points from 0, end exclusive."""
-    found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    pieces = F.transform(
-        F.arrays_zip(F.split(text, kind.pattern, -1).alias("gap"), found.alias("match")),
-        lambda x: F.struct(F.length(x["gap"]).alias("gap"), x["match"].alias("match")),
-    )
-    nothing = F.array().cast("array<struct<start:int,match:string>>")
-    start = F.struct(F.lit(0).alias("at"), nothing.alias("out"))
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _placed(pieces: Column, valid: Callable[[Column], Column]) -> Column:
+    """The valid matches with their starts: runs of ``_RUN`` pieces are summed up each by itself, then the runs' widths."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,match:string>>").alias("out"))
 
     def step(n: Column, x: Column) -> Column:
         begin = n["at"] + x["gap"]
         held = F.array(F.struct(begin.alias("start"), x["match"].alias("match")))
-        good = x["match"].isNotNull() & kind.valid(x["match"])
-        out = F.when(good, F.concat(n["out"], held)).otherwise(n["out"])
+        out = F.when(x["match"].isNotNull() & valid(x["match"]), F.concat(n["out"], held)).otherwise(n["out"])
         return F.struct((begin + F.coalesce(F.length(x["match"]), F.lit(0))).alias("at"), out.alias("out"))
 
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    further = lambda n, run: F.struct((n["at"] + run["at"]).alias("at"), F.concat(n["out"], F.array(n["at"])).alias("out"))
+    moved = lambda run, by: F.transform(run["out"], lambda x: F.struct((x["start"] + by).alias("start"), x["match"].alias("match")))
+    runs = F.transform(F.sequence(F.lit(1), F.size(pieces), F.lit(_RUN)), lambda i: F.aggregate(F.slice(pieces, i, F.lit(_RUN)), start, step))
+    return _with(runs, lambda made: F.flatten(F.zip_with(made, F.aggregate(made, none, further, lambda n: n["out"]), moved)))
+
+
+def _spans(text: Column, blocks: Column, kind: Kind) -> Column:
+    """The kind's confirmed spans in order: code points from 0, end exclusive. ``blocks`` are the text's pieces of ``_BLOCK`` characters."""
+    found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
+    pieces = F.transform(
+        F.arrays_zip(F.split(text, kind.pattern, -1).alias("gap"), found.alias("match")),
+        lambda x: F.struct(F.length(x["gap"]).alias("gap"), x["match"].alias("match")),
+    )
+
     def scored(x: Column) -> Column:
         begin, end = x["start"], x["start"] + F.length(x["match"])
-        near = F.substring(text, F.greatest(begin - CONTEXT_CHARS, F.lit(0)) + 1, F.least(begin, F.lit(CONTEXT_CHARS)))
+        first = F.greatest(begin - CONTEXT_CHARS, F.lit(0))
+        block = F.floor(first / _BLOCK).cast("int")
+        around = F.concat(F.coalesce(F.get(blocks, block), F.lit("")), F.coalesce(F.get(blocks, block + 1), F.lit("")))
+        near = F.substring(around, first - block * _BLOCK + 1, begin - first)
         score = F.when(F.lower(near).rlike(kind.words), F.least(F.lit(1.0), F.lit(kind.score + 0.3))).otherwise(F.lit(kind.score))
         return F.struct(F.lit(kind.name).alias("kind"), begin.alias("start"), end.alias("end"), score.alias("score"))
 
-    spans = F.transform(F.aggregate(pieces, start, step, lambda n: n["out"]), scored)
+    spans = F.transform(_with(pieces, lambda p: _placed(p, kind.valid)), scored)
     if not kind.base:
         spans = F.filter(spans, lambda s: s["score"] >= THRESHOLD)
-    possible = (text.contains(kind.hint) if kind.hint else F.lit(True)) & text.rlike(kind.pattern)
-    return F.when(possible, spans).otherwise(F.array().cast(_SPANS))
+    return F.when(_possible(text, kind), spans).otherwise(F.array().cast(_SPANS))
+
+
+def _possible(text: Column, kind: Kind) -> Column:
+    return (text.contains(kind.hint) if kind.hint else F.lit(True)) & text.rlike(kind.pattern)
 
 
 def find(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -123,7 +145,9 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
     held = Held(docs)
     name = held[text]
     frame = held.frame.withColumn("whole", F.coalesce(F.col(name), F.lit("")))
-    frame = frame.withColumns({f"found_{kind.name}": _spans(F.col("whole"), kind) for kind in KINDS})
+    blocks = F.regexp_extract_all("whole", F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0))
+    frame = frame.withColumn("blocks", F.when(F.col("whole").rlike("[0-9@]"), blocks))  # each kind needs a digit or @
+    frame = frame.withColumns({f"found_{kind.name}": _spans(F.col("whole"), F.col("blocks"), kind) for kind in KINDS})
     return held.restored(frame, {"pii": F.concat(*(F.col(f"found_{kind.name}") for kind in KINDS))})
 
 
