@@ -3,8 +3,9 @@
 Measures of the whole text (kinds of characters, word and line shapes, repetition) become a
 document's features, each also as steps between quantiles of the sample. Preference pairs
 set good labelled documents against bad ones; the loss is logistic on the difference of
-features, so that the weights order documents. The cut is a quantile of the sample's scores:
-the share of bad labels lies below it.
+features, so that the weights order documents by a strength. The cut is a quantile of the
+strengths of all documents that are scored, at the level that parts the labelled sample with
+the fewest errors.
 """
 
 from __future__ import annotations
@@ -15,16 +16,19 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  pa.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import labelled, words
-from tickloom.llm.common import Held, picked
+from tickloom.llm.common import Held, picked, written
 
 FOLDS, HELD_OUT = 3, 1
 PAIRS_PER_ROW = 16
 STEPS = 12
 RIDGE = 1e-4
+#: So many quantiles of all documents are tried as the cut; their ranks are off by one in ``ACCURACY`` at most.
+LEVELS = 2000
+ACCURACY = 100_000
 #: Bytes whose rate among the bytes is a measure of its own.
 MARKS = b"!?.,;:|*$#%&=_-'\"()[]{}<>/\\@+~^`"
 
@@ -95,33 +99,40 @@ def measured(docs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Model:
-    """Weights of the scaled measures and of the steps past ``edges``; ``cut`` is the quantile taken as score 0.5."""
+    """Weights of the scaled measures and of the steps past ``edges``, and the sorted strengths of the sample's ``good`` and ``bad`` rows."""
 
     middle: np.ndarray
     scale: np.ndarray
     edges: np.ndarray
     weights: np.ndarray
-    cut: float
+    good: np.ndarray
+    bad: np.ndarray
 
     def features(self, measures: np.ndarray) -> np.ndarray:
         plain = np.clip((measures - self.middle) / self.scale, -8, 8)
         steps = (measures[:, :, None] > self.edges[None]).reshape(len(measures), -1)
         return np.concatenate([plain, steps], axis=1)
 
-    def score(self, measures: np.ndarray) -> np.ndarray:
-        return labelled.sigmoid(self.features(measures) @ self.weights - self.cut)
+    def strength(self, measures: np.ndarray) -> np.ndarray:
+        return self.features(measures) @ self.weights
 
 
-def fit(measures: np.ndarray, label: np.ndarray, rounds: int = 500, seed: int = 7) -> Model:
-    """Bradley-Terry weights from pairs of a good and a bad row: each row is in ``PAIRS_PER_ROW`` pairs at least."""
-    middle, scale = measures.mean(axis=0), measures.std(axis=0) + 1e-9
-    edges = np.quantile(measures, (np.arange(STEPS) + 0.5) / STEPS, axis=0).T
-    model = Model(middle, scale, edges, np.zeros(measures.shape[1] * (1 + STEPS)), 0.0)
-    x = model.features(measures)
+def preferences(label: np.ndarray, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (good row, bad row): each row is in ``PAIRS_PER_ROW`` of them at least."""
     good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
     random = np.random.default_rng(seed)
     first = np.concatenate([np.repeat(good, PAIRS_PER_ROW), random.choice(good, len(bad) * PAIRS_PER_ROW)])
     second = np.concatenate([random.choice(bad, len(good) * PAIRS_PER_ROW), np.repeat(bad, PAIRS_PER_ROW)])
+    return first, second
+
+
+def fit(measures: np.ndarray, label: np.ndarray, rounds: int = 500, seed: int = 7) -> Model:
+    """Bradley-Terry weights from preference pairs, with a small ridge."""
+    middle, scale = measures.mean(axis=0), measures.std(axis=0) + 1e-9
+    edges = np.quantile(measures, (np.arange(STEPS) + 0.5) / STEPS, axis=0).T
+    model = Model(middle, scale, edges, np.zeros(measures.shape[1] * (1 + STEPS)), np.zeros(0), np.zeros(0))
+    x = model.features(measures)
+    first, second = preferences(label, seed)
     weights, moment, square = model.weights, np.zeros_like(model.weights), np.zeros_like(model.weights)
     for step in range(1, rounds + 1):
         score = x @ weights
@@ -132,7 +143,7 @@ def fit(measures: np.ndarray, label: np.ndarray, rounds: int = 500, seed: int =
         rate = 0.05 * (1 - 0.9 * step / rounds)
         weights = weights - rate * (moment / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
     score = x @ weights
-    return Model(middle, scale, edges, weights, float(np.quantile(score, len(bad) / len(label))))
+    return Model(middle, scale, edges, weights, np.sort(score[label == 1]), np.sort(score[label == 0]))
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = labelled.SAMPLE_ROWS) -> Model | float:
@@ -150,29 +161,69 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = labelled.SAMPLE_ROWS)
     return fit(pa.compute.list_flatten(values).to_numpy().reshape(len(label), -1), label)
 
 
-def score(docs: DataFrame, model: Model | float) -> DataFrame:
-    """The documents with ``score``: near 1 for good whole texts, 0.5 at the cut.
+def ranked(docs: DataFrame, model: Model) -> DataFrame:
+    """The documents with ``strength``: the higher, the likelier a document is preferred; no bounds.
 
-    Null and empty texts are scored by measures of 0. Rows and columns stay as they are; a
-    column named score is replaced.
+    Null and empty texts get the strength of measures of 0. Rows and columns stay as they
+    are; a column named strength is replaced.
     """
     held = Held(docs)
     frame, at = held.frame, held.frame.columns.index(held["text"])
-    shared = frame.sparkSession.sparkContext.broadcast(model)  # some hundreds of numbers
+    shared = frame.sparkSession.sparkContext.broadcast(model)  # some hundreds of weights, SAMPLE_ROWS strengths
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = shared.value
         for batch in batches:
             for piece in words.pieces(batch, at):
-                scores = np.full(piece.num_rows, made) if isinstance(made, float) else made.score(measures(piece.column(at)))
-                yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(scores)], [*piece.schema.names, "score"])
+                strength = pa.array(made.strength(measures(piece.column(at))))
+                yield pa.RecordBatch.from_arrays([*piece.columns, strength], [*piece.schema.names, "strength"])
 
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in frame.schema.fields)
-    return held.restored(frame.mapInArrow(run, kinds + "score double"), {"score": F.col("score")})
+    return held.restored(frame.mapInArrow(run, kinds + "strength double"), {"strength": F.col("strength")})
+
+
+def cut(ranks: DataFrame, model: Model) -> float:
+    """The quantile of the strengths of all rows that parts the labelled sample with the fewest errors.
+
+    ``LEVELS`` levels are tried, and the middle one of those with the fewest errors is taken.
+    Rows at the cut are above it. Without rows it is 0.
+    """
+    levels = (np.arange(1, LEVELS + 1) / LEVELS).tolist()
+    marks = ranks.agg(F.percentile_approx("strength", levels, ACCURACY)).first()[0]
+    if not marks:
+        return 0.0
+    wrong = np.searchsorted(model.good, marks) + len(model.bad) - np.searchsorted(model.bad, marks)
+    best = np.flatnonzero(wrong == wrong.min())
+    return marks[int(best[(len(best) - 1) // 2])]
+
+
+def _logistic(at: float) -> Column:
+    return (F.tanh((F.col("strength") - F.lit(at)) / 2) + 1) / 2
+
+
+def score(docs: DataFrame, model: Model | float) -> DataFrame:
+    """The documents with ``score``: near 1 for good whole texts, 0.5 at the cut.
+
+    The cut is taken over all of ``docs``; their strengths are written once for it, beside
+    their other columns. Null and empty texts are scored by measures of 0. A model of one
+    number is the score of every document. Rows and columns stay as they are; a column
+    named score is replaced.
+    """
+    held = Held(docs)
+    if isinstance(model, float):
+        return held.restored(held.frame, {"score": F.lit(model)})
+    frame = held.frame.withColumnRenamed(held["text"], "text")
+    frame = written(ranked(frame, model).withColumnRenamed("text", held["text"]), "strengths")
+    return held.restored(frame, {"score": _logistic(cut(frame, model))})
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per document: whether its fold is held out, its score, and the prediction."""
-    scored = score(picked(docs, doc_id="doc_id", text="text"), train(docs, labels))
+    model, table = train(docs, labels), picked(docs, doc_id="doc_id", text="text")
+    if isinstance(model, Model):
+        table = written(ranked(table, model).select("doc_id", "strength"), "strengths")
+        scored = table.withColumn("score", _logistic(cut(table, model)))
+    else:
+        scored = table.withColumn("score", F.lit(model))
     held_out = F.coalesce(labelled.fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
