@@ -6,27 +6,31 @@ they are ordered to the depth of the longest window. Every test suffix of a wind
 is found in it by binary search, all suffixes of the benchmark at once. Neighbouring windows
 on one diagonal join into the longest verbatim matches, with their places.
 
-The test side goes to the tasks in blocks of bounded size (``BLOCK_BYTES`` of text), however
-long the benchmark is: one pass over the documents per block, and what a pass finds is added
-to what earlier ones found. Documents are never shuffled or joined.
+The test side goes to the tasks in blocks of bounded size (``BLOCK_BYTES`` of text), one at a
+time however long the benchmark is. A benchmark of one block takes one pass, and documents
+are never shuffled or joined. With more blocks the documents are written once with row
+numbers; each pass but the last writes what it found in the documents it found anything in,
+gives its block back, and the last pass takes these findings up.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  pa.compute
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import words
-from tickloom.llm.common import Held, picked
+from tickloom.llm.common import Held, picked, written
 
 WINDOW = 10
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 _ANCHOR = 4
 _FOUND = "n_words long, spans array<struct<first:int,last:int>>, matches array<struct<item:string,words:int,doc_word:int,item_word:int>>"
 
@@ -185,10 +189,9 @@ def _shard(batch: pa.RecordBatch, text: int, test: Suffixes, earlier: tuple[int,
     return [words.longs(counts), words.lists(spans, np.bincount(owner, minlength=n)), words.lists(matches, np.bincount(rows[0], minlength=n))]
 
 
-def _pass(frame: DataFrame, text: str, items: list[tuple[str, str]], window: int, again: bool) -> DataFrame:
-    """One block of the benchmark against all documents."""
-    held = frame.sparkSession.sparkContext.broadcast(Suffixes.of(items, window))
-    kept = [c for c in frame.columns if not (again and c in ("n_words", "spans", "matches"))]
+def _pass(frame: DataFrame, text: str, held: Broadcast, again: bool) -> DataFrame:
+    """One block of the benchmark against all documents; ``again``: the frame holds findings of other blocks."""
+    kept = [c for c in frame.columns if not (again and c in ("spans", "matches"))]
     at = frame.columns.index(text)
     earlier = (frame.columns.index("spans"), frame.columns.index("matches")) if again else None
     keep = [frame.columns.index(c) for c in kept]
@@ -204,7 +207,11 @@ def _pass(frame: DataFrame, text: str, items: list[tuple[str, str]], window: int
 
 
 def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[list[tuple[str, str]]]:
-    """The benchmark's items as (item_id as text, text), in blocks of about ``limit`` bytes of text."""
+    """The benchmark's items as (item_id as text, text), in blocks of about ``limit`` bytes of text.
+
+    Blocks come one by one, so that the caller holds no more than it keeps; an item longer
+    than ``limit`` is not cut.
+    """
     items = picked(benchmark, item="item_id", text="text").select(
         F.coalesce(F.col("item").cast("string"), F.lit("null")).alias("item"), "text"
     )
@@ -228,11 +235,24 @@ def search(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_by
     replaced, all others stay whatever their names.
     """
     held = Held(docs)
-    text, frame, again = held[text], held.frame, False
+    text, frame, spark = held[text], held.frame, docs.sparkSession
+    found, last = [], []
     for items in blocks(benchmark, block_bytes):
-        frame, again = _pass(frame, text, items, window, again), True
-    if not again:
-        frame = _pass(frame, text, [], window, False)
+        if last:
+            if not found:
+                frame = written(frame.withColumn("row", F.monotonically_increasing_id()), "numbered")
+            block = spark.sparkContext.broadcast(Suffixes.of(last, window))  # BLOCK_BYTES of text
+            hits = _pass(frame.select("row", text), text, block, False).where(F.size("spans") > 0)
+            found.append(written(hits.select("row", "spans", "matches"), "found"))
+            block.destroy()
+        last = items
+    if found:
+        hits = reduce(DataFrame.union, found).groupBy("row")
+        hits = hits.agg(*(F.flatten(F.collect_list(name)).alias(name) for name in ("spans", "matches")))
+        frame = frame.join(hits, "row", "left")
+        none = {name: F.coalesce(name, F.array().cast(hits.schema[name].dataType)) for name in ("spans", "matches")}
+        frame = frame.withColumns(none).drop("row")
+    frame = _pass(frame, text, spark.sparkContext.broadcast(Suffixes.of(last, window)), bool(found))
     added = {name: F.col(name) for name in ("n_words", "spans", "matches")}
     return held.restored(frame, added)
 
