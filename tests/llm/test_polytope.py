@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 import odd
 from tickloom.llm import polytope
@@ -58,3 +59,25 @@ def test_a_pair_that_meets_by_probes_only_is_a_link():
     keys = np.array([[1, 7, 9], [2, 9, 7]])
     found = {key: [(i.tolist(), j.tolist()) for i, j in polytope._linked(np.zeros(2, int), 0, 0, x, keys, key, 3, 0.98)] for key in (7, 9)}
     assert found == {7: [([0], [1])], 9: [([], [])]}
+
+
+@pytest.mark.parametrize("kind, labels", [("double", [1.2, 1.9, 0.0, -0.0, None]), ("string", ["a", "b", "", "", None])])
+def test_labels_of_any_type_keep_apart(spark, kind, labels):
+    rows = [(2 * i + j, [1.0, 2.0, 3.0 + j / 100], x) for i, x in enumerate(labels) for j in (0, 1)]
+    table = spark.createDataFrame(rows, f"vec_id long, embedding array<float>, label {kind}")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in polytope.near_duplicates(table).collect()}
+    assert got == {0: (1, 0), 1: (1, 0), 2: (1, 2), 3: (1, 2), **{i: (3, 4) for i in range(4, 8)}, 8: (0, 8), 9: (0, 9)}
+
+
+@pytest.mark.parametrize("width, least", [(24, 0.9), (64, 0.86), (300, 0.77)])
+def test_pairs_at_the_threshold_meet(width, least):
+    random = np.random.default_rng(width)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    a = unit(random.normal(size=(1500, width)))
+    away = random.normal(size=a.shape)
+    away = unit(away - (away * a).sum(axis=1, keepdims=True) * a)
+    cosine = 0.98 + 0.005 * random.random((len(a), 1))
+    b = cosine * a + np.sqrt(1 - cosine**2) * away
+    keys = [polytope.bucket_keys(x, np.zeros(len(a), np.uint64), polytope.TABLES, polytope.CODES) for x in (a, b)]
+    met = (keys[0][:, :, :, None] == keys[1][:, :, None, :]).any(axis=(2, 3))
+    assert met.any(axis=1).all() and met.mean() > least

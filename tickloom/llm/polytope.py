@@ -86,7 +86,7 @@ def _units(batch: pa.RecordBatch, vectors: int) -> tuple[np.ndarray, list[np.nda
 
 
 def _hashed(frame: DataFrame, tables: int, codes: int) -> DataFrame:
-    """``(id, label, vector)`` with ``keys``: home keys and probe keys by turns, null for vectors that link with nothing."""
+    """``(id, label, vector, salt)`` with ``keys``, salted by the label's hash: home keys and probe keys by turns, null for vectors that link with nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,7 +97,7 @@ def _hashed(frame: DataFrame, tables: int, codes: int) -> DataFrame:
                 at = np.flatnonzero(good & (sizes == d))
                 x = np.stack([rows[i] for i in at.tolist()])
                 x = x / np.abs(x).max(axis=1, keepdims=True)
-                salt = batch.column(1).take(pa.array(at)).to_numpy().astype(np.int64).view(np.uint64)
+                salt = batch.column(3).take(pa.array(at)).to_numpy().view(np.uint64)
                 keys[at] = bucket_keys(x, words.mixed(salt + np.uint64(d << 40)), tables, codes).reshape(len(at), -1)
             lists = words.lists(words.longs(keys[good].ravel()), good * keys.shape[1])
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "keys"])
@@ -195,14 +195,17 @@ def near_duplicates(
 ) -> DataFrame:
     """Per row: its id, ``n_links``, ``component_id`` and ``kept``.
 
-    Links join vectors of one label (a whole number) and one length with a cosine of
+    Links join vectors of one label (of any simple type) and one length with a cosine of
     ``threshold`` or more, as far as hashing proposes them. Vectors that are null, empty,
     zero, or hold null or non-finite components, and rows with a null label or id, link
     with nothing. ``n_links`` counts the other rows linked directly, copies too. Rows that
     share an id are one node, and each counts as a row. A row with a null id has no
     component and is kept.
     """
-    source = picked(vectors, id=key, label=label, vector=vector).withColumn("label", F.col("label").cast("bigint"))
+    source = picked(vectors, id=key, label=label, vector=vector)
+    if source.schema["label"].dataType.typeName() in ("float", "double"):
+        source = source.withColumn("label", F.col("label") + F.lit(0.0))  # -0.0 is 0.0
+    source = source.withColumn("label", F.col("label").cast("string")).withColumn("salt", F.xxhash64("label"))
     kind = source.schema["id"].dataType.simpleString()
     hashed = written(_hashed(source, tables, codes), "hashed")
     usable = hashed.where((F.size("keys") > 0) & F.col("id").isNotNull())
