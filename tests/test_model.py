@@ -155,6 +155,22 @@ def test_search_attempts_report_absolute_error(walks, fits):
     assert [r["chosen"] for r in table].index(True) == found["W2"]["fit"]["chosen"]
 
 
+def test_full_search_scores_every_limit_of_every_penalty(fits):
+    rows, fitted, _ = fits
+    made = ridge.search_grid(rows).collect()
+    symbols = {r["symbol"] for r in fitted.collect()}
+    assert sorted((r["symbol"], r["reg_param"], r["epochs"]) for r in made) == [
+        (s, p, e) for s in sorted(symbols) for p in ridge.PENALTIES for e in ridge.ITERATION_LIMITS
+    ]
+    assert {r["symbol"] for r in made if r["chosen"]} == symbols and sum(r["chosen"] for r in made) == len(symbols)
+    three = {(r["symbol"], r["reg_param"]): r for r in ridge.search_attempts(rows, fitted).where("symbol LIKE 'W%'").collect()}
+    for r in (r for r in made if r["symbol"].startswith("W")):
+        want = three[r["symbol"], r["reg_param"]]
+        for name in ("train_r2", "r2", "rmse", "mae"):
+            assert r[name] == pytest.approx(want[name], abs=1e-7)
+        assert r["chosen"] == (want["chosen"] and r["epochs"] == 8)
+
+
 def test_recursive_forecast_matches_a_loop(walks, fits):
     _, fitted, found = fits
     made = forecast.future_path(ridge.with_chosen(fitted), 40).toPandas()

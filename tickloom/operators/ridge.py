@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from tickloom.operators.features import FEATURES
 
-# Penalties searched, and the weights of the objective.
+# Penalties searched, the iteration limits tried with each of them by the full grid,
+# and the weights of the objective.
 PENALTIES = (0.001, 0.01, 0.1)
+ITERATION_LIMITS = (8, 16, 32, 64, 128)
 GAP_WEIGHT = 0.15
 RMSE_WEIGHT = 0.005
 TAIL = 7
@@ -87,7 +89,23 @@ def _central(n: float, sums: np.ndarray, products: np.ndarray) -> tuple[np.ndarr
     return means, raw - n * np.outer(means, means)
 
 
-def _solve(n: float, means: np.ndarray, scatter: np.ndarray, penalty: float, constant: bool) -> tuple[np.ndarray, float]:
+def _newton(system: np.ndarray, target: np.ndarray, limit: int) -> np.ndarray:
+    """At most ``limit`` Newton steps from 0 on the fit's quadratic. The first is the solution up to rounding,
+    later ones correct it; what no longer halves the step is rounding and ends the fit."""
+    weights = np.linalg.solve(system, target)
+    before = np.linalg.norm(weights)
+    for _ in range(limit - 1):
+        step = np.linalg.solve(system, target - system @ weights)
+        length = np.linalg.norm(step)
+        if not length < before / 2:
+            break
+        weights, before = weights + step, length
+    return weights
+
+
+def _solve(
+    n: float, means: np.ndarray, scatter: np.ndarray, penalty: float, constant: bool, limit: int = 1
+) -> tuple[np.ndarray, float]:
     """Coefficients and intercept of the penalised fit on standardised inputs; none for a constant label."""
     label = len(means) - 1
     variance = np.clip(np.diag(scatter), 0.0, None) / max(n - 1.0, 1.0)
@@ -100,7 +118,7 @@ def _solve(n: float, means: np.ndarray, scatter: np.ndarray, penalty: float, con
             scaled = scatter[np.ix_(used, used)] / np.outer(spread[used], spread[used]) / n
             target = scatter[used, label] / (spread[used] * spread[label]) / n
             system = scaled + (penalty / spread[label]) * np.eye(used.size)
-            beta[used] = np.linalg.solve(system, target) * spread[label] / spread[used]
+            beta[used] = _newton(system, target, limit) * spread[label] / spread[used]
     return beta, float(means[label] - means[:label] @ beta)
 
 
@@ -125,6 +143,17 @@ _FIT_TYPE = (
 )
 
 
+def _objective(train_r2: float, r2: float, rmse: float) -> float:
+    """What the search makes small; an undefined one never wins over a defined one."""
+    value = -r2 + GAP_WEIGHT * max(0.0, train_r2 - r2) + RMSE_WEIGHT * rmse
+    return np.inf if np.isnan(value) else value
+
+
+def _uncentred(beta: np.ndarray, intercept: float, center: float) -> float:
+    levels = np.array([1.0 if name in _CENTRED else 0.0 for name in FEATURES])
+    return float(intercept + center - center * (levels @ beta))
+
+
 def _fit_one(train, test, center: float) -> dict:
     n_train, n_test = float(train[0]), float(test[0])
     full = [train[i] + test[i] for i in range(3)]
@@ -138,14 +167,9 @@ def _fit_one(train, test, center: float) -> dict:
         train_r2, _ = _errors(n_train, *train_moments, beta, intercept, flat_train)
         r2, rmse = _errors(n_test, *test_moments, beta, intercept, flat_test)
         attempts.append((beta, intercept, train_r2, r2, rmse))
-    objective = [-r2 + GAP_WEIGHT * max(0.0, tr - r2) + RMSE_WEIGHT * rmse for _, _, tr, r2, rmse in attempts]
-    # Python's min keeps the first of equals; an undefined objective never wins over a defined one.
-    chosen = min(range(len(attempts)), key=lambda i: np.inf if np.isnan(objective[i]) else objective[i])
+    # Python's min keeps the first of equals.
+    chosen = min(range(len(attempts)), key=lambda i: _objective(*attempts[i][2:]))
     full_beta, full_intercept = _solve(float(full[0]), *_central(float(full[0]), full[1], full[2]), PENALTIES[chosen], flat)
-    levels = np.array([1.0 if name in _CENTRED else 0.0 for name in FEATURES])
-
-    def uncentred(beta: np.ndarray, intercept: float) -> float:
-        return float(intercept + center - center * (levels @ beta))
 
     return {
         "reg_param": list(PENALTIES),
@@ -153,10 +177,10 @@ def _fit_one(train, test, center: float) -> dict:
         "r2": [a[3] for a in attempts],
         "rmse": [a[4] for a in attempts],
         "beta": [a[0].tolist() for a in attempts],
-        "intercept": [uncentred(a[0], a[1]) for a in attempts],
+        "intercept": [_uncentred(a[0], a[1], center) for a in attempts],
         "chosen": chosen,
         "full_beta": full_beta.tolist(),
-        "full_intercept": uncentred(full_beta, full_intercept),
+        "full_intercept": _uncentred(full_beta, full_intercept, center),
     }
 
 
@@ -230,3 +254,57 @@ def search_attempts(features: DataFrame, fits: DataFrame) -> DataFrame:
     return fits.join(maes, "symbol").select(
         "symbol", F.col("fit.chosen").alias("_chosen"), F.posexplode(zipped).alias("_candidate", "_attempt")
     ).select("symbol", F.lit(None).cast("int").alias("epochs"), "_attempt.*", (F.col("_candidate") == F.col("_chosen")).alias("chosen"))
+
+
+_GRID_TYPE = (
+    "epochs array<int>, reg_param array<double>, train_r2 array<double>, r2 array<double>, rmse array<double>, "
+    "beta array<array<double>>, intercept array<double>, chosen int"
+)
+
+
+def _grid_one(train, test, center: float) -> list:
+    n_train, n_test = float(train[0]), float(test[0])
+    train_moments, test_moments = _central(n_train, train[1], train[2]), _central(n_test, test[1], test[2])
+    flat_train, flat_test = train[3][0] == train[3][1], test[3][0] == test[3][1]
+    attempts = []
+    for penalty in PENALTIES:
+        for limit in ITERATION_LIMITS:
+            beta, intercept = _solve(n_train, *train_moments, penalty, flat_train, limit)
+            train_r2, _ = _errors(n_train, *train_moments, beta, intercept, flat_train)
+            r2, rmse = _errors(n_test, *test_moments, beta, intercept, flat_test)
+            attempts.append((limit, penalty, train_r2, r2, rmse, beta.tolist(), _uncentred(beta, intercept, center)))
+    chosen = min(range(len(attempts)), key=lambda i: _objective(*attempts[i][2:5]))
+    return [*map(list, zip(*attempts)), chosen]
+
+
+def _grid_batch(
+    train_n: pd.Series, train_sums: pd.Series, train_products: pd.Series, train_range: pd.Series,
+    test_n: pd.Series, test_sums: pd.Series, test_products: pd.Series, test_range: pd.Series, center: pd.Series,
+) -> pd.DataFrame:
+    train = zip(train_n, map(np.asarray, train_sums), map(np.asarray, train_products), train_range)
+    test = zip(test_n, map(np.asarray, test_sums), map(np.asarray, test_products), test_range)
+    rows = [_grid_one(a, b, c) for a, b, c in zip(train, test, center)]
+    return pd.DataFrame(rows, columns=[part.split()[0] for part in _GRID_TYPE.split(", ")])
+
+
+def search_grid(features: DataFrame) -> DataFrame:
+    """The full search of every symbol: a row per penalty and iteration limit, each fitted, scored and
+    held against the test rows on its own; the first of equal objectives is chosen. Fits on moments
+    converge within the smallest limit, so the points of a penalty agree."""
+    fit = F.pandas_udf(_grid_batch, _GRID_TYPE)(
+        "train_n", "train_sums", "train_products", "train_label_range",
+        "test_n", "test_sums", "test_products", "test_label_range", "center",
+    )
+    both = _pivot(moments(features)).where(F.col("train_n").isNotNull() & F.col("test_n").isNotNull())
+    fits = both.select("symbol", fit.alias("fit"))
+    scored = features.where(F.col("part") == "test").join(fits, "symbol")
+    error = [
+        F.avg(F.abs(F.col("log_close") - linear_rule(F.col("fit.beta").getItem(i), F.col("fit.intercept").getItem(i))))
+        for i in range(len(PENALTIES) * len(ITERATION_LIMITS))
+    ]
+    maes = scored.groupBy("symbol").agg(F.array(*error).alias("mae"))
+    names = ("epochs", "reg_param", "train_r2", "r2", "rmse")
+    zipped = F.arrays_zip(*[F.col(f"fit.{name}").alias(name) for name in names], F.col("mae").alias("mae"))
+    return fits.join(maes, "symbol").select(
+        "symbol", F.col("fit.chosen").alias("_chosen"), F.posexplode(zipped).alias("_place", "_attempt")
+    ).select("symbol", "_attempt.*", (F.col("_place") == F.col("_chosen")).alias("chosen"))

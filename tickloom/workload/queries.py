@@ -392,8 +392,7 @@ def ridge_moments(spark, folder):
 
 @registered
 def ridge_search(spark, folder):
-    rows = _features(spark, folder)
-    return _rounded(ridge.search_attempts(rows, ridge.fit_all(rows)), ["train_r2", "r2", "rmse", "mae"], 5)
+    return _rounded(ridge.search_grid(_features(spark, folder)), ["train_r2", "r2", "rmse", "mae"], 5)
 
 
 @registered
