@@ -8,7 +8,8 @@ the plan grows with the number of different column names only.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import pandas as pd
@@ -23,6 +24,9 @@ from tickloom.sources.shared import stored
 # Accepted separators and how much of a file decides between them.
 SEPARATORS = ";,"
 SAMPLE_CHARACTERS = 4096
+# Folders that are listed by tasks become this many tasks a core, not a task each.
+LISTING_TASKS = 4
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 _LINE_END = r"\r\n|\r|\n"
 _QUOTED = '"[^"]*"'
@@ -39,10 +43,6 @@ def _marks(line: Column, mark: str) -> Column:
     return F.length(bare) - F.length(F.replace(bare, F.lit(mark), F.lit("")))
 
 
-def _counts(lines: Column, mark: str) -> Column:
-    return F.transform(F.filter(lines, lambda x: F.trim(x) != ""), lambda x: _marks(x, mark))
-
-
 def _winner(least: dict[str, Column], most: dict[str, Column], total: dict[str, Column]) -> Column:
     """The separator that every line holds equally often; of two such, or none, the more frequent one, ``;`` at ties."""
     even = {mark: (least[mark] == most[mark]) & (most[mark] > 0) for mark in SEPARATORS}
@@ -50,12 +50,30 @@ def _winner(least: dict[str, Column], most: dict[str, Column], total: dict[str,
     return F.when(even[";"] & ~even[","], ";").when(even[","] & ~even[";"], ",").otherwise(more_commas)
 
 
+def _counts(lines: Column, mark: str) -> Column:
+    return F.transform(lines, lambda x: _marks(x, mark))
+
+
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is made once, however often the body uses it (a one-element transform)."""
+    return F.transform(F.array(value), body).getItem(0)
+
+
 def voted_separator(lines: Column) -> Column:
     """Separator of a sample given as an array of lines. Separators inside double quotes do not count."""
-    found = {mark: _counts(lines, mark) for mark in SEPARATORS}
-    total = {mark: F.aggregate(x, F.lit(0), lambda a, b: a + b) for mark, x in found.items()}
-    least, most = ({mark: f(x) for mark, x in found.items()} for f in (F.array_min, F.array_max))
-    return F.when(F.size(found[";"]) == 0, ";").otherwise(_winner(least, most, total))
+
+    def vote(found: Column) -> Column:
+        least, most, total = ({m: found.getField(f"{name}{i}") for i, m in enumerate(SEPARATORS)} for name in ("least", "most", "total"))
+        return F.when(found.getField("lines") == 0, ";").otherwise(_winner(least, most, total))
+
+    def counted(filled: Column) -> Column:
+        counts = [_counts(filled, m) for m in SEPARATORS]
+        kinds = {"least": F.array_min, "most": F.array_max, "total": lambda x: F.aggregate(x, F.lit(0), lambda a, b: a + b)}
+        found = [_once(c, lambda x: F.struct(*[f(x).alias(name) for name, f in kinds.items()])) for c in counts]
+        parts = [found[i].getField(name).alias(f"{name}{i}") for i in range(len(found)) for name in kinds]
+        return F.struct(F.size(filled).alias("lines"), *parts)
+
+    return _once(_once(F.filter(lines, lambda x: F.trim(x) != ""), counted), vote)
 
 
 def voted_separators(lines: DataFrame, path: str, text: str) -> DataFrame:
@@ -72,11 +90,24 @@ def glob_of(suffix: str) -> str:
     return "*" + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix)
 
 
+@contextmanager
+def _listing(spark: SparkSession) -> Iterator[None]:
+    """While files are listed, each listing task takes many folders: by default it takes one of up to 10,000."""
+    before = spark.conf.get(_LISTING)
+    spark.conf.set(_LISTING, min(int(before), LISTING_TASKS * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(_LISTING, before)
+
+
 def listed_files(spark: SparkSession, folder: str, pattern: str, recursive: bool = False) -> DataFrame:
     """(path, file, modified, length): path as files are opened, file as scans name it; contents are not read.
     Spark never lists files of zero length."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive)
-    return reader.load(folder).select(
+    with _listing(spark):
+        files = reader.load(folder)
+    return files.select(
         "path", F.col("_metadata.file_path").alias("file"), F.col("modificationTime").alias("modified"), "length"
     )
 
@@ -145,7 +176,8 @@ def scanned_lines(spark: SparkSession, folder: str, pattern: str, recursive: boo
     """The files' lines as ``value`` with their input order, and whether their bytes were ``broken``.
     Bytes that are not UTF-8 become U+FFFD; byte-order marks go."""
     reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive).option("ignoreCorruptFiles", tolerant)
-    lines = order.with_order(reader.text(folder))
+    with _listing(spark):
+        lines = order.with_order(reader.text(folder))
     broken = F.col("value").isNotNull() & ~F.is_valid_utf8("value")
     text = F.make_valid_utf8("value")
     bare = F.when(text.startswith(_MARK), F.substring(text, 2, 2**31 - 1)).otherwise(text)

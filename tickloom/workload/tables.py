@@ -280,7 +280,9 @@ def as_files(lines: DataFrame, name: str, line_end: str = "\n") -> str:
     """(path, place, text) as one text file per path, in folders ``path=...``; lines of one place in order of their text."""
     target = scratch(lines.sparkSession, name)
     placed = lines.repartition("path").sortWithinPartitions("path", "place", "text").select("path", "text")
-    placed.write.option("lineSep", line_end).partitionBy("path").text(target)
+    # Tasks move their own files to the new folder; by the first algorithm the driver moves them one by one.
+    moved = placed.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    moved.option("lineSep", line_end).partitionBy("path").text(target)
     return target
 
 
