@@ -77,6 +77,27 @@ def test_split_scan_equals_the_plain_window(spark, seed, block):
     assert by_place(plain) == by_place(made) and made.count() == 400
 
 
+@pytest.mark.parametrize("plain_rows", [0, 60, 200_000])
+def test_plain_window_and_split_scan_agree(spark, plain_rows):
+    rows = _crowd(spark, 5)
+    made = with_neighbours(
+        rows, "symbol", "day", ["n"], F.floor(F.col("n") / 8), "close",
+        previous="before", following="after", last_known="known", plain_rows=plain_rows,
+    )
+    sequence = Window.partitionBy("symbol").orderBy(F.col("day").asc_nulls_first(), "n")
+    known = F.last("close", ignorenulls=True).over(sequence.rowsBetween(Window.unboundedPreceding, -1))
+    plain = rows.withColumns({"before": F.lag("close").over(sequence), "after": F.lead("close").over(sequence), "known": known})
+    by_place = lambda table: sorted(table.collect(), key=lambda r: r["n"])
+    assert by_place(plain) == by_place(made)
+
+
+def test_keys_with_few_rows_are_shuffled_once(spark):
+    rows = _crowd(spark, 5)
+    made = with_neighbours(rows, "symbol", "day", ["n"], F.floor(F.col("n") / 8), "close", previous="before")
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "LeftSemi" in plan
+
+
 def test_rows_of_one_day_need_an_order(spark):
     with pytest.raises(ValueError):
         with_neighbours(_crowd(spark, 1), "symbol", "day", [], F.lit(0), "close", previous="before")

@@ -1,7 +1,9 @@
 """Previous and next value per key over raw, not yet de-duplicated rows.
 
 A plain window puts all rows of a key into one task. Raw rows have no bound per key
-(every row without a symbol shares ``UNKNOWN``), so every key takes a split scan:
+(every row without a symbol shares ``UNKNOWN``). Keys are dealt into a fixed number of parts by
+their hash and the parts counted, from the key and the order alone. Keys of parts with few
+rows, all of them in order, take the plain window: one shuffle. The others take a split scan:
 
     rows -> (key, day, block) -> (key, day) -> (key)
 
@@ -14,12 +16,17 @@ the calendar in turn.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.ordering import position
 
+# Parts into which keys are dealt, and the most rows of a part that takes the plain window.
+PARTS = 1 << 16
+PLAIN_ROWS = 200_000
+
 
 def with_neighbours(
     rows: DataFrame,
@@ -31,6 +38,7 @@ def with_neighbours(
     previous: str | None = None,
     following: str | None = None,
     last_known: str | None = None,
+    plain_rows: int = PLAIN_ROWS,
 ) -> DataFrame:
     """Add the requested neighbours of ``value`` in (``day``, ``order``) sequence per ``key``.
 
@@ -43,7 +51,25 @@ def with_neighbours(
     wanted = {kind: name for kind, name in wanted.items() if name}
     if not order:
         raise ValueError("rows of one day need an order")
-    return _split_scan(rows, key, day, order, block, value, wanted)
+    part = F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int")
+    unordered = reduce(lambda a, b: a | b, [F.col(name).isNull() for name in order])
+    placed = rows.withColumn("_part", part)
+    sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.max(unordered).alias("_unordered"))
+    crowded = F.broadcast(sizes.where((F.col("_n") > plain_rows) | F.col("_unordered")).select("_part"))  # at most PARTS rows
+    plain = _plain_window(placed.join(crowded, "_part", "left_anti").drop("_part"), key, day, order, value, wanted)
+    split = _split_scan(placed.join(crowded, "_part", "left_semi").drop("_part"), key, day, order, block, value, wanted)
+    return plain.unionByName(split)
+
+
+def _plain_window(rows: DataFrame, key: str, day: str, order: Sequence[str], value: str, wanted: dict[str, str]) -> DataFrame:
+    sequence = Window.partitionBy(key).orderBy(F.col(day).asc_nulls_first(), *order)
+    before = sequence.rowsBetween(Window.unboundedPreceding, -1)
+    neighbours = {
+        "previous": F.lag(value).over(sequence),
+        "following": F.lead(value).over(sequence),
+        "last_known": F.last(value, ignorenulls=True).over(before),
+    }
+    return rows.withColumns({name: neighbours[kind] for kind, name in wanted.items()})
 
 
 def _beyond(groups: DataFrame, within: str, place: Column) -> DataFrame:
