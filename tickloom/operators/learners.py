@@ -23,6 +23,8 @@ FOREST_TREES = 20
 BOOSTING_ROUNDS = 20
 VALIDATION_FRACTION = 0.2
 MEASURES = ("rmse", "mae", "r2")
+# Fixed value: most rows that a learner keeps in one partition; a tree learner holds some 220 bytes of each.
+PACKED_ROWS = 500_000
 
 
 def assemble(rows: DataFrame, inputs: Sequence[str], label: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -90,8 +92,12 @@ def _score(predictions: DataFrame) -> dict[str, float]:
 
 
 @contextmanager
-def _packed(rows: DataFrame) -> Iterator[DataFrame]:
-    """Keep rows for the many passes of a learner."""
+def _packed(rows: DataFrame, most: int = PACKED_ROWS) -> Iterator[DataFrame]:
+    """Keep rows for the many passes of a learner, at most about ``most`` in a partition: a file split
+    of sorted rows is small on disk and large in memory."""
+    total = rows.count()
+    if total > most:
+        rows = rows.repartition(max(math.ceil(total / most), rows.sparkSession.sparkContext.defaultParallelism))
     kept = rows.persist()
     try:
         yield kept
