@@ -126,9 +126,10 @@ class Forecast:
             "predicted", F.expm1(ridge.linear_rule(F.col("beta"), F.col("intercept")))
         )
         damped = backtest.calibrate(scored, ["symbol", "part"]).withColumn("predicted", F.col("calibrated"))
+        # The folds are numbered here, where the rows are sorted as they need it.
         return self._keep(
-            damped.select(
-                "symbol", "date", "close", "part", "predicted", "naive", "calibrated_r2", "reg_param", "last_date"
+            backtest.with_fold(damped, by=["symbol", "part"]).select(
+                "symbol", "date", "close", "part", "predicted", "naive", "calibrated_r2", "reg_param", "last_date", "fold"
             )
         )
 
@@ -176,9 +177,8 @@ def forecast_all(
 
 
 def _metrics(calibrated: DataFrame, days: int) -> DataFrame:
-    """One record per symbol from a single pass: the folds are a fixed few, so each is a
+    """One record per symbol from a single pass over rows with their ``fold``: the folds are a fixed few, so each is a
     set of conditional aggregates beside those of the whole test part."""
-    rows = backtest.with_fold(calibrated, by=["symbol", "part"])
     is_test = F.col("part") == "test"
 
     def when(condition: Column, name: str) -> Column:
@@ -203,7 +203,7 @@ def _metrics(calibrated: DataFrame, days: int) -> DataFrame:
             *errors(inside, "naive", "naive_"),
         )
 
-    record = rows.groupBy("symbol").agg(
+    record = calibrated.groupBy("symbol").agg(
         F.max("reg_param").alias("reg_param"),
         F.count(when(~is_test, "date")).alias("train_rows"),
         F.count(when(is_test, "date")).alias("test_rows"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import dates
 from tickloom.functions.names import slug_text
+from tickloom.sources.shared import stored
 
 # Header names of exported train and test tables, and the test metrics kept.
 EXPORT_NAMES = {"symbol": "ticker", "date": "data", "close": "fechamento", "low": "mínima", "high": "máxima", "volume": "volume"}
@@ -103,7 +104,8 @@ def write_forecast(forecast, keys: DataFrame, root: str, mode: str = "append") -
     ``keys`` maps each symbol to the key of its run. Metrics are JSON, attempts and
     predictions CSV, and the train and test rows Parquet.
     """
-    keys = keys.select("symbol", "run_key")
+    # A row per symbol, read by every artifact: written once, what it is made of isn't made again for each.
+    keys = stored(keys.select("symbol", "run_key"), "run-keys")
 
     def keyed(table: DataFrame) -> DataFrame:
         return table.join(keys, "symbol")
