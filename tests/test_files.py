@@ -269,3 +269,18 @@ def test_update_touches_only_its_buckets_and_history_prunes(spark, tmp_path):
     assert "symbol_bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
     pushed = plan.split("PushedFilters: [")[1]
     assert "GreaterThanOrEqual(trade_date_fmt,2024-03-01)" in pushed and "In(symbol" in pushed
+
+
+def test_folders_are_listed_by_a_few_tasks(spark, tmp_path):
+    for i in range(60):
+        (tmp_path / f"path=f{i}").mkdir()
+        (tmp_path / f"path=f{i}" / "a.txt").write_text("symbol;date;close\nA;2024-01-01;1\n")
+    before = spark.conf.get(folder._LISTING)
+    spark.sparkContext.setJobGroup("listing", "listing")
+    assert folder.listed_files(spark, str(tmp_path), "*.txt", True).count() == 60
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+    sizes = [tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s)]
+    assert sizes and max(sizes) <= folder.LISTING_TASKS * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(folder._LISTING) == before
