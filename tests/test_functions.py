@@ -110,3 +110,13 @@ def test_scores(spark):
 def test_distance_to_band(values):
     assert values(scores.distance_to_band, [0.5, 0.7, 0.9], "double") == [pytest.approx(0.1), 0.0, pytest.approx(0.1)]
     assert values(scores.in_band, [0.5, 0.6, 0.8, 0.81], "double") == [False, True, True, False]
+
+
+def test_common_shapes_need_no_patterns(values):
+    texts = [" 2024-02-03 ", "2024/02/03", "2024.02.03", "20240203", "02/03/2024", "13.02.2024", "2024-13-45", "202402", None, "3 Feb 2024"]
+    days = values(lambda x: dates._by_shape(x, F.lit("1900-01-01").cast("date"), ((7, 1, 4), (7, 4, 1))), texts)
+    assert [d and d.isoformat() for d in days] == [
+        *["2024-02-03"] * 5, "2024-02-13", None, None, "1900-01-01", "1900-01-01"
+    ]
+    whole = values(dates.month_first_date, texts)
+    assert [d and d.isoformat() for d in whole] == [*["2024-02-03"] * 5, "2024-02-13", None, None, None, "2024-02-03"]
