@@ -308,3 +308,12 @@ def test_daily_rows_equal_the_split_scan(spark, walks):
     plain = learners.next_close_rows(ohlcv.daily_training_rows(bars))
     split = learners.next_close_rows(ohlcv.training_rows(bars, ["trade_date"], F.lit(0)))
     assert plain.exceptAll(split).isEmpty() and split.exceptAll(plain).isEmpty() and plain.count() > 400
+
+
+def test_learners_keep_bounded_partitions(spark):
+    rows = spark.range(0, 1000, 1, 2)
+    with learners._packed(rows, 100) as kept:
+        sizes = [len(part) for part in kept.rdd.glom().collect()]
+        assert len(sizes) >= 10 and sum(sizes) == 1000 and max(sizes) <= 200
+    with learners._packed(rows) as kept:
+        assert kept.rdd.getNumPartitions() == 2
