@@ -189,3 +189,16 @@ def test_two_jobs_register_at_once_and_nothing_is_lost(spark, tmp_path, monkeypa
     monkeypatch.undo()
     assert _table(spark, root) == {"a": (1, "x"), "b": (1, "y")}
     assert len(list((tmp_path / "data").iterdir())) == 1 and not list(tmp_path.glob(".draft*"))
+
+
+def test_run_keys_of_exports_are_made_once(spark, tmp_path):
+    made_keys = spark.sparkContext.accumulator(0)
+
+    def key(symbol):
+        made_keys.add(1)
+        return f"run-{symbol}"
+
+    made = forecasting.forecast.forecast_all(_series(spark), days=3, keep=lambda frame: frame.localCheckpoint())
+    keys = made.metrics.select("symbol", F.udf(key, "string")("symbol").alias("run_key"))
+    sinks.write_forecast(made, keys, str(tmp_path / "out"))
+    assert made_keys.value == made.metrics.count() == spark.read.text(str(tmp_path / "out" / "test_metrics")).count()
